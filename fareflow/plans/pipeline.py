@@ -52,5 +52,16 @@ BUILDERS: dict[str, Callable[[Models], DataFrame]] = {
     "stg_payments": _stg(staging.stg_payments, "payments_raw"),
     "stg_cities": _stg(staging.stg_cities, "cities_raw"),
     "stg_status_events": _stg(staging.stg_status_events, "driver_status_events_raw"),
+    "trip_hot_keys": lambda m: intermediate.trip_hot_keys(m.stg_payments),
+    "int_trip_details": lambda m: intermediate.int_trip_details(m.stg_trips, m.stg_payments, m.trip_hot_keys),
+    "int_payment_analysis": lambda m: intermediate.int_payment_analysis(m.stg_payments, m.stg_trips,
+                                                                        m.trip_hot_keys),
+    "int_driver_activity": lambda m: intermediate.int_driver_activity(m.stg_status_events),
+    "driver_trip_stats": lambda m: intermediate.driver_trip_stats(m.stg_trips),
+    "status_event_counts": lambda m: intermediate.status_event_counts(m.stg_status_events),
+    "driver_metrics": lambda m: intermediate.driver_metrics(m.stg_trips, m.stg_drivers, m.stg_status_events,
+                                                            m.config.as_of),
+    "rider_trip_stats": lambda m: intermediate.rider_trip_stats(m.stg_trips),
+    "rider_metrics": lambda m: intermediate.rider_metrics(m.stg_trips, m.stg_riders, m.config.as_of),
     "payments_reliability": lambda m: marts.payments_reliability(m.stg_payments),
 }

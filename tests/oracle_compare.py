@@ -47,6 +47,15 @@ def _norm(v):
     return v
 
 
+def _arrow_type(t) -> str:
+    s = str(t)
+    if s in ("large_string", "string_view"):
+        return "string"
+    if s.startswith("timestamp"):
+        return "timestamp" + ("_tz" if "tz=" in s else "")
+    return s
+
+
 def rows_of(pdf: pd.DataFrame) -> list[tuple]:
     cols = sorted(pdf.columns)
     out = [tuple(_norm(v) for v in r) for r in pdf[cols].itertuples(index=False, name=None)]
@@ -70,6 +79,12 @@ def compare(spark, name: str, fn, sql: str | None, sf_dir: str, con) -> dict:
         res["status"] = "COLUMNS"
         res["detail"] = f"spark={sorted(spdf.columns)} oracle={sorted(odf.columns)}"
         return res
+    st = {f.name: _arrow_type(f.type) for f in sdf.toArrow().schema}
+    ot = {f.name: _arrow_type(f.type) for f in con.execute(f"SELECT * FROM ({sql}) LIMIT 0").to_arrow_table().schema}
+    if st != ot:
+        res["status"] = "TYPES"
+        res["detail"] = str({k: (st[k], ot.get(k)) for k in st if st[k] != ot.get(k)})
+        return res
     a, b = rows_of(spdf), rows_of(odf)
     if len(a) != len(b):
         res["status"] = "ROWCOUNT"
