@@ -61,7 +61,7 @@ def payment_summary(payments: DataFrame, key: str = "trip_id") -> DataFrame:
     Aggregated with partial (map-side) aggregation, so a trip with a huge
     number of payments never reaches one task as raw rows.
     """
-    order = F.struct((F.col("payment_status") == "success").cast("int").alias("ok"),
+    order = F.struct(F.when(F.col("payment_status") == "success", 1).otherwise(0).alias("ok"),
                      F.col("created_at").alias("ts"), F.col("payment_id").alias("pid"))
     return (payments.groupBy(key)
             .agg(F.count(F.lit(1)).alias("payment_attempts"),

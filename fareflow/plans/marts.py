@@ -11,8 +11,198 @@ from fareflow.functions import bands
 from fareflow.functions.dates import days_between, months_crossed, part, trailing_days
 from fareflow.functions.keys import surrogate_key
 from fareflow.functions.rates import exact_avg, safe_pct
+from fareflow.operators.fraud import FRAUD_FLAGS, payment_summary, trip_fraud_flags
+from fareflow.operators.joins import hot_keys, lookup_left_join
+from fareflow.operators.ranking import global_rank, rank_within
+from fareflow.operators.spine import date_attributes, date_spine, spine_between
 from fareflow.session import DEFAULT_AS_OF
 
+# Date dimension span: 2020-01-01 plus offsets 0..3650 (fixed values).
+DIM_DATES_START = dt.date(2020, 1, 1)
+DIM_DATES_DAYS = 3650
+LEADERBOARD_DAYS = 30
+LEADERBOARD_TOP = 10
+FRAUD_WINDOW_DAYS = 7
+
+
+def _ts(d: dt.date):
+    return F.lit(dt.datetime(d.year, d.month, d.day)).cast("timestamp")
+
+
+def dim_cities(stg_cities: DataFrame, as_of: dt.date = DEFAULT_AS_OF) -> DataFrame:
+    """City dimension with market type and age."""
+    return stg_cities.select(
+        surrogate_key("city_id").alias("city_sk"),
+        "city_id", "city_name", "country_code", "launch_date",
+        bands.market_type("country_code").alias("market_type"),
+        part("YEAR", "launch_date").alias("launch_year"),
+        part("MONTH", "launch_date").alias("launch_month"),
+        days_between("launch_date", as_of).alias("days_operating"),
+        months_crossed("launch_date", as_of).alias("months_operating"),
+    )
+
+
+def dim_drivers(driver_metrics: DataFrame, valid_from: dt.date = DEFAULT_AS_OF) -> DataFrame:
+    """Driver dimension, one current version per driver."""
+    return driver_metrics.select(
+        surrogate_key("driver_id").alias("driver_sk"),
+        "driver_id", "driver_status", "city_id", "rating", "onboarding_date",
+        "driver_tier", "rating_category", "driver_health_status",
+        "lifetime_trips", "lifetime_revenue", "avg_trip_fare", "days_active",
+        part("YEAR", "onboarding_date").alias("onboarding_year"),
+        part("MONTH", "onboarding_date").alias("onboarding_month"),
+        _ts(valid_from).alias("valid_from"),
+        F.lit(None).cast("timestamp").alias("valid_to"),
+        F.lit(True).alias("is_current"),
+    )
+
+
+def dim_riders(rider_metrics: DataFrame, valid_from: dt.date = DEFAULT_AS_OF) -> DataFrame:
+    """Rider dimension, one current version per rider."""
+    return rider_metrics.select(
+        surrogate_key("rider_id").alias("rider_sk"),
+        "rider_id", "signup_date", "country_code", "region", "ltv_segment", "rider_status",
+        "lifetime_trips", "rider_ltv", "avg_trip_value", "corporate_trips", "personal_trips",
+        "corporate_revenue", "personal_revenue",
+        part("YEAR", "signup_date").alias("signup_year"),
+        part("MONTH", "signup_date").alias("signup_month"),
+        _ts(valid_from).alias("valid_from"),
+        F.lit(None).cast("timestamp").alias("valid_to"),
+        F.lit(True).alias("is_current"),
+    )
+
+
+def dim_dates(spark, start: dt.date = DIM_DATES_START, days: int = DIM_DATES_DAYS) -> DataFrame:
+    """The calendar dimension (fixed span)."""
+    return date_attributes(date_spine(spark, start, days))
+
+
+def trip_calendar(stg_trips: DataFrame) -> DataFrame:
+    """The date dimension over the span of the trip data (data-derived spine)."""
+    return date_attributes(spine_between(stg_trips, "requested_at"))
+
+
+def trip_grain(stg_trips: DataFrame, stg_payments: DataFrame) -> DataFrame:
+    """Trip details at one row per trip (the fact's grain).
+
+    Payments are summarised per trip first (partial aggregation), then
+    joined 1:1 to the trips; the chosen payment's fee gives net revenue and
+    each fraud flag is "fired on any of the trip's payments".
+    """
+    trips = stg_trips.filter(F.col("trip_status").isin("completed", "cancelled", "no_show"))
+    j = trip_fraud_flags(trips.join(payment_summary(stg_payments), "trip_id", "left"))
+    return j.select(
+        "trip_id", "rider_id", "driver_id", "city_id", "requested_at", "pickup_at", "dropoff_at",
+        bands.trip_duration("trip_status", "pickup_at", "dropoff_at").alias("trip_duration_minutes"),
+        "actual_fare", "surge_multiplier",
+        bands.trip_type("is_corporate").alias("trip_type"),
+        F.col("is_corporate").alias("is_corporate_trip"),
+        bands.net_revenue("actual_fare", "chosen_fee").alias("net_revenue"),
+        F.coalesce(F.col("has_duplicate_payments"), F.lit(False)).alias("has_duplicate_payments"),
+        *FRAUD_FLAGS, "is_fraud_flag",
+        bands.surge_band("surge_multiplier").alias("surge_impact_category"),
+        "created_at", "updated_at", "trip_status", "payment_method",
+    )
+
+
+def fact_trips(trips: DataFrame, dim_drivers: DataFrame, dim_riders: DataFrame, dim_cities: DataFrame,
+               inserted_at: dt.date = DEFAULT_AS_OF, broadcast_max_rows: int = 2_000_000,
+               driver_hot: DataFrame | None = None, rider_hot: DataFrame | None = None) -> DataFrame:
+    """The trip fact, keyed by trip_sk, with surrogate keys of current dims.
+
+    ``trips`` is trip-grain (``trip_grain``) or a delta of it.  Each dim
+    lookup broadcasts the (key, sk) pairs when a row count proves them small,
+    else salts hot fact keys (a driver with a third of all trips) and
+    replicates that driver's dim row per salt.
+    """
+    drivers = dim_drivers.filter("is_current").select("driver_id", "driver_sk")
+    riders = dim_riders.filter("is_current").select("rider_id", "rider_sk")
+    cities = dim_cities.select("city_id", "city_sk")
+    f = lookup_left_join(trips, drivers, "driver_id", hot=driver_hot, salt_cols=["trip_id"],
+                         broadcast_max_rows=broadcast_max_rows)
+    f = lookup_left_join(f, riders, "rider_id", hot=rider_hot, salt_cols=["trip_id"],
+                         broadcast_max_rows=broadcast_max_rows)
+    f = lookup_left_join(f, cities, "city_id", broadcast_max_rows=broadcast_max_rows)
+    return f.select(
+        surrogate_key("trip_id").alias("trip_sk"),
+        "driver_sk", "rider_sk", "city_sk",
+        F.to_date("requested_at").alias("trip_date"),
+        F.lit(1).cast("bigint").alias("trip_count"),
+        F.col("actual_fare").alias("gross_revenue"),
+        "net_revenue", "surge_multiplier", "trip_duration_minutes", "trip_type", "is_fraud_flag",
+        "surge_impact_category", "requested_at", "pickup_at", "dropoff_at", "created_at",
+        _ts(inserted_at).alias("inserted_at"),
+        "trip_id", "trip_status", "payment_method", "is_corporate_trip", "has_duplicate_payments",
+        *FRAUD_FLAGS, "updated_at",
+    )
+
+
+def _dim_join(fact: DataFrame, dim: DataFrame, sk: str, cols: list[str], broadcast_max_rows: int) -> DataFrame:
+    """Inner join of the fact to a dimension on its surrogate key."""
+    d = dim.select(sk, *cols)
+    return lookup_left_join(fact, d, sk, broadcast_max_rows=broadcast_max_rows, how="inner")
+
+
+def daily_revenue(fact: DataFrame, dim_cities: DataFrame, broadcast_max_rows: int = 2_000_000) -> DataFrame:
+    """Revenue per day and city.
+
+    ``total_trips`` counts trip ids: the fact holds one row per trip (its
+    merge key), so the distinct count equals the plain count and needs no
+    extra shuffle on trip_id.
+    """
+    j = _dim_join(fact, dim_cities, "city_sk", ["city_name", "country_code"], broadcast_max_rows)
+    zero = F.lit(0).cast("decimal(28,9)")
+    return (j.groupBy(F.to_date("requested_at").alias("revenue_date"), "city_name", "country_code")
+            .agg(F.count("trip_id").alias("total_trips"),
+                 F.sum("gross_revenue").alias("gross_revenue"),
+                 F.sum("net_revenue").alias("net_revenue"),
+                 F.sum(F.when(F.col("trip_type") == "Corporate", F.col("gross_revenue")).otherwise(zero))
+                  .alias("corporate_revenue"),
+                 F.sum(F.when(F.col("trip_type") == "Personal", F.col("gross_revenue")).otherwise(zero))
+                  .alias("personal_revenue"),
+                 F.sum(F.when(F.col("is_fraud_flag"), 1).otherwise(0)).cast("bigint").alias("fraud_trips"),
+                 exact_avg("trip_duration_minutes").alias("avg_trip_duration"),
+                 exact_avg("gross_revenue").alias("avg_ticket_size")))
+
+
+def drivers_leaderboard(fact: DataFrame, dim_drivers: DataFrame, dim_cities: DataFrame,
+                        as_of: dt.date = DEFAULT_AS_OF, days: int = LEADERBOARD_DAYS,
+                        top: int = LEADERBOARD_TOP, broadcast_max_rows: int = 2_000_000) -> DataFrame:
+    """Top drivers by completed-trip revenue per city over the trailing window.
+
+    The date filter is a literal on ``trip_date`` (a partition filter on the
+    stored fact).  Revenue is aggregated per driver and city first; the
+    overall rank is then a distributed global rank over those rows and the
+    city rank a per-city window cut at ``top``.
+    """
+    f = trailing_days(fact, "trip_date", days, as_of).filter(F.col("trip_status") == "completed")
+    j = _dim_join(f, dim_drivers, "driver_sk",
+                  ["driver_id", "driver_status", "driver_tier", "rating_category"], broadcast_max_rows)
+    j = _dim_join(j, dim_cities, "city_sk", ["city_name"], broadcast_max_rows)
+    agg = (j.groupBy("driver_id", "driver_status", "driver_tier", "rating_category", "city_name")
+           .agg(F.count("trip_id").alias("trips_completed"),
+                F.sum("gross_revenue").alias("total_revenue"),
+                exact_avg("trip_duration_minutes").alias("avg_trip_time")))
+    ranked = global_rank(agg, "total_revenue", name="overall_rank")
+    ranked = rank_within(ranked, ["city_name"], ["total_revenue"], name="city_rank")
+    return ranked.filter(F.col("city_rank") <= top).select(
+        "driver_id", "driver_status", "driver_tier", "rating_category", "city_name",
+        "trips_completed", "total_revenue", "avg_trip_time", "city_rank", "overall_rank")
+
+
+def fraud_monitoring(fact: DataFrame, dim_cities: DataFrame, dim_drivers: DataFrame, dim_riders: DataFrame,
+                     as_of: dt.date = DEFAULT_AS_OF, days: int = FRAUD_WINDOW_DAYS,
+                     broadcast_max_rows: int = 2_000_000) -> DataFrame:
+    """Flagged trips of the trailing window with their first-matching reason."""
+    f = trailing_days(fact, "trip_date", days, as_of).filter(F.col("is_fraud_flag") == F.lit(True))
+    j = _dim_join(f, dim_cities, "city_sk", ["city_name"], broadcast_max_rows)
+    j = _dim_join(j, dim_drivers, "driver_sk", ["driver_id"], broadcast_max_rows)
+    j = _dim_join(j, dim_riders, "rider_sk", ["rider_id"], broadcast_max_rows)
+    return j.select(
+        "trip_id", F.to_date("requested_at").alias("fraud_date"), "city_name", "driver_id", "rider_id",
+        "gross_revenue", "is_fraud_flag", bands.fraud_reason().alias("fraud_reason"),
+        "payment_method", "trip_type")
+
 
 def payments_reliability(stg_payments: DataFrame) -> DataFrame:
     """Daily payment volume and failure rate per provider.

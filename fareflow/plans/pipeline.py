@@ -10,8 +10,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
+from fareflow.operators.joins import hot_keys
+
 from fareflow.plans import intermediate, marts, staging
 from fareflow.session import PipelineConfig
 from fareflow.sources.adapter import raw_tables_from_testdata
@@ -41,6 +44,10 @@ class Models:
         return self[name]
 
 
+def _keep(df: DataFrame) -> DataFrame:
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def _stg(fn: Callable[[DataFrame], DataFrame], raw_name: str):
     return lambda m: fn(m.raw[raw_name])
 
@@ -64,4 +71,24 @@ BUILDERS: dict[str, Callable[[Models], DataFrame]] = {
     "rider_trip_stats": lambda m: intermediate.rider_trip_stats(m.stg_trips),
     "rider_metrics": lambda m: intermediate.rider_metrics(m.stg_trips, m.stg_riders, m.config.as_of),
     "payments_reliability": lambda m: marts.payments_reliability(m.stg_payments),
+    # dimensions are read by the fact and three reports: computed once, kept
+    # (persist is recomputed from lineage if an executor is lost)
+    "dim_cities": lambda m: _keep(marts.dim_cities(m.stg_cities, m.config.as_of)),
+    "dim_drivers": lambda m: _keep(marts.dim_drivers(m.driver_metrics, m.config.as_of)),
+    "dim_riders": lambda m: _keep(marts.dim_riders(m.rider_metrics, m.config.as_of)),
+    "dim_dates": lambda m: marts.dim_dates(m.spark),
+    "trip_calendar": lambda m: marts.trip_calendar(m.stg_trips),
+    "driver_hot_keys": lambda m: hot_keys(m.stg_trips, "driver_id"),
+    "rider_hot_keys": lambda m: hot_keys(m.stg_trips, "rider_id"),
+    "trip_grain": lambda m: marts.trip_grain(m.stg_trips, m.stg_payments),
+    "fact_trips": lambda m: marts.fact_trips(m.trip_grain, m.dim_drivers, m.dim_riders, m.dim_cities,
+                                             m.config.as_of, m.config.broadcast_max_rows,
+                                             m.driver_hot_keys, m.rider_hot_keys),
+    "daily_revenue": lambda m: marts.daily_revenue(m.fact_trips, m.dim_cities, m.config.broadcast_max_rows),
+    "drivers_leaderboard": lambda m: marts.drivers_leaderboard(m.fact_trips, m.dim_drivers, m.dim_cities,
+                                                               m.config.as_of,
+                                                               broadcast_max_rows=m.config.broadcast_max_rows),
+    "fraud_monitoring": lambda m: marts.fraud_monitoring(m.fact_trips, m.dim_cities, m.dim_drivers, m.dim_riders,
+                                                         m.config.as_of,
+                                                         broadcast_max_rows=m.config.broadcast_max_rows),
 }
