@@ -35,7 +35,10 @@ class Models:
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._cache:
-            self._cache[name] = BUILDERS[name](self)
+            df = BUILDERS[name](self)
+            if name in SHARED and self.config.reuse:
+                df = _keep(df)
+            self._cache[name] = df
         return self._cache[name]
 
     def __getattr__(self, name: str) -> DataFrame:
@@ -44,6 +47,13 @@ class Models:
         return self[name]
 
 
+# Models read by several downstream models in one run: computed once and kept
+# (the table layer of the model graph).  A persisted block lost with its
+# executor is recomputed from lineage.
+SHARED = {"stg_trips", "stg_payments", "stg_drivers", "stg_riders", "stg_cities", "stg_status_events",
+          "driver_metrics", "rider_metrics", "trip_grain", "fact_trips"}
+
+
 def _keep(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 

@@ -29,6 +29,7 @@ class PipelineConfig:
     as_of: dt.date = DEFAULT_AS_OF
     warehouse: str | None = None
     broadcast_max_rows: int = 2_000_000
+    reuse: bool = True
     extra: dict = field(default_factory=dict)
 
     @property
