@@ -215,3 +215,22 @@ QUERIES = {
     "date_spine": date_spine_q,
     "date_diffs": date_diffs,
 }
+
+
+def _register_more() -> None:
+    from fareflow.plans import history, quality_checks
+
+    QUERIES.update({
+        "dq_not_null": quality_checks.dq_not_null,
+        "dq_unique": quality_checks.dq_unique,
+        "dq_accepted": quality_checks.dq_accepted,
+        "dq_relationships": quality_checks.dq_relationships,
+        "dq_custom": quality_checks.dq_custom,
+        "freshness": quality_checks.dq_freshness,
+        "incremental_delta": history.incremental_delta,
+        "merge_by_key": history.merge_by_key_q,
+        "scd2_history": history.scd2_history,
+    })
+
+
+_register_more()

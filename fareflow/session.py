@@ -47,6 +47,8 @@ SESSION_DEFAULTS = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
+    # listing thousands of daily partition folders: a bounded number of tasks
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "64",
     "spark.ui.enabled": "false",
 }
 
