@@ -231,6 +231,13 @@ def _register_more() -> None:
         "merge_by_key": history.merge_by_key_q,
         "scd2_history": history.scd2_history,
     })
+    from fareflow.streaming import status_stream
+
+    QUERIES.update({
+        "stream_dedup": status_stream.stream_dedup,
+        "stream_sessions": status_stream.stream_sessions,
+        "stream_merge": status_stream.stream_merge,
+    })
 
 
 _register_more()

@@ -27,11 +27,14 @@ class Models:
         self.raw = raw
         self.config = config or PipelineConfig()
         self._cache: dict[str, DataFrame] = {}
+        self.extra_sources: dict[str, str] = {}
 
     @classmethod
     def from_testdata(cls, spark: SparkSession, sf_dir: str,
                       config: PipelineConfig | None = None) -> "Models":
-        return cls(spark, raw_tables_from_testdata(spark, sf_dir), config)
+        m = cls(spark, raw_tables_from_testdata(spark, sf_dir), config)
+        m.extra_sources["sf_dir"] = sf_dir
+        return m
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._cache:
