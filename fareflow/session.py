@@ -50,6 +50,7 @@ SESSION_DEFAULTS = {
     # listing thousands of daily partition folders: a bounded number of tasks
     "spark.sql.sources.parallelPartitionDiscovery.parallelism": "64",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
