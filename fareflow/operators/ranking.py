@@ -24,31 +24,53 @@ def _order(cols: Sequence[str]):
 
 
 def rank_within(df: DataFrame, partition: Sequence[str], order_desc: Sequence[str],
-                name: str = "rank") -> DataFrame:
-    """RANK() OVER (PARTITION BY partition ORDER BY order_desc DESC): ties share, gaps follow."""
-    w = Window.partitionBy(*partition).orderBy(*_order(order_desc))
-    return df.withColumn(name, F.rank().over(w).cast("bigint"))
+                name: str = "rank", partitions: int | None = None) -> DataFrame:
+    """RANK() OVER (PARTITION BY partition ORDER BY order_desc DESC): ties share, gaps follow.
+
+    Computed like ``global_rank`` with the group columns leading the range
+    key, so a group holding a large share of the rows spans several ranges
+    instead of one task.
+    """
+    return _ranked(df, list(partition), list(order_desc), name, partitions)
 
 
 def top_n_per(df: DataFrame, partition: Sequence[str], order_desc: Sequence[str], n: int,
               name: str = "rank") -> DataFrame:
-    """Rows ranked ``<= n`` within their group (ties at the cut are all kept)."""
-    return rank_within(df, partition, order_desc, name).filter(F.col(name) <= n)
+    """Rows ranked ``<= n`` within their group (ties at the cut are all kept).
+
+    A window rank with the filter directly above it: Spark plans a partial
+    WindowGroupLimit before the shuffle, so at most n rows (plus ties) per
+    group leave each map task.
+    """
+    w = Window.partitionBy(*partition).orderBy(*_order(order_desc))
+    return df.withColumn(name, F.rank().over(w).cast("bigint")).filter(F.col(name) <= n)
 
 
 def global_rank(df: DataFrame, order_desc: str, name: str = "rank",
                 partitions: int | None = None) -> DataFrame:
     """RANK() OVER (ORDER BY order_desc DESC NULLS LAST) computed in parallel."""
+    return _ranked(df, [], [order_desc], name, partitions)
+
+
+def _ranked(df: DataFrame, partition: list[str], order_desc: list[str], name: str,
+            partitions: int | None) -> DataFrame:
+    """Rank by range: rank inside each range, plus the rows of the same group
+    in all earlier ranges.  Equal (group, value) keys fall in the same range,
+    so a tie never straddles two ranges."""
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(n, F.col(order_desc).desc_nulls_last())
-                .withColumn("_range", F.spark_partition_id()))
+    key = [F.col(c).asc_nulls_first() for c in partition] + _order(order_desc)
+    ranged = df.repartitionByRange(n, *key).withColumn("_range", F.spark_partition_id())
     local = ranged.withColumn(
-        "_local_rank",
-        F.rank().over(Window.partitionBy("_range").orderBy(F.col(order_desc).desc_nulls_last())))
-    sizes = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_rows"))
-    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_range", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
-    return (local.join(F.broadcast(offsets), "_range")
-                 .withColumn(name, (F.col("_local_rank") + F.col("_offset")).cast("bigint"))
-                 .drop("_range", "_local_rank", "_offset"))
+        "_local_rank", F.rank().over(Window.partitionBy("_range", *partition).orderBy(*_order(order_desc))))
+    # one row per (range, group): at most ranges + groups rows
+    sizes = ranged.groupBy("_range", *partition).agg(F.count(F.lit(1)).alias("_rows"))
+    before = Window.partitionBy(*partition).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_range", *partition, F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
+    if not partition:
+        # one row per range: bounded by the partition count
+        offsets = F.broadcast(offsets)
+    cond = [local["_range"] == offsets["_range"]] + [local[c].eqNullSafe(offsets[c]) for c in partition]
+    joined = local.join(offsets, cond, "inner")
+    return joined.select(*[local[c] for c in df.columns],
+                         (F.col("_local_rank") + F.col("_offset")).cast("bigint").alias(name))

@@ -13,7 +13,7 @@ from fareflow.functions.keys import surrogate_key
 from fareflow.functions.rates import exact_avg, safe_pct
 from fareflow.operators.fraud import FRAUD_FLAGS, payment_summary, trip_fraud_flags
 from fareflow.operators.joins import hot_keys, lookup_left_join
-from fareflow.operators.ranking import global_rank, rank_within
+from fareflow.operators.ranking import global_rank, top_n_per
 from fareflow.operators.spine import date_attributes, date_spine, spine_between
 from fareflow.session import DEFAULT_AS_OF
 
@@ -184,8 +184,7 @@ def drivers_leaderboard(fact: DataFrame, dim_drivers: DataFrame, dim_cities: Dat
                 F.sum("gross_revenue").alias("total_revenue"),
                 exact_avg("trip_duration_minutes").alias("avg_trip_time")))
     ranked = global_rank(agg, "total_revenue", name="overall_rank")
-    ranked = rank_within(ranked, ["city_name"], ["total_revenue"], name="city_rank")
-    return ranked.filter(F.col("city_rank") <= top).select(
+    return top_n_per(ranked, ["city_name"], ["total_revenue"], top, name="city_rank").select(
         "driver_id", "driver_status", "driver_tier", "rating_category", "city_name",
         "trips_completed", "total_revenue", "avg_trip_time", "city_rank", "overall_rank")
 
