@@ -92,3 +92,7 @@ def trip_fraud_flags(df: DataFrame) -> DataFrame:
     for name in FRAUD_FLAGS:
         any_flag = F.col(name) if any_flag is None else any_flag | F.col(name)
     return out.withColumn("is_fraud_flag", any_flag)
+
+
+# name used by the operator inventory
+flag_duplicates = duplicate_payments

@@ -94,3 +94,21 @@ def freshness(df: DataFrame, table: str, loaded_at: str | None, warn_minutes: in
          .when(age > error_minutes, "error")
          .when(age > warn_minutes, "warn")
          .otherwise("pass").alias("status"))
+
+
+def quarantine(df: DataFrame, casts: dict[str, str], key: str) -> tuple[DataFrame, DataFrame]:
+    """Q6: split rows that cast cleanly from rows that would fail a cast.
+
+    A value fails when it is not NULL but ``try_cast`` gives NULL.  Returns
+    ``(good, bad)``: ``good`` with the casts applied, ``bad`` as
+    ``(key, failed_columns)`` plus the raw row, for a quarantine table.
+    With strict (ANSI) casts the whole job would fail on the first bad value.
+    """
+    fails = [F.when(F.col(c).isNotNull() & F.col(c).try_cast(t).isNull(), F.lit(c)) for c, t in casts.items()]
+    failed = F.concat_ws(",", *fails)
+    marked = df.withColumn("_failed", failed)
+    good = marked.filter(F.col("_failed") == "").drop("_failed").select(
+        *[F.col(c).try_cast(casts[c]).alias(c) if c in casts else F.col(c) for c in df.columns])
+    bad = marked.filter(F.col("_failed") != "").select(F.col(key).cast("string").alias("row_key"),
+                                                        F.col("_failed").alias("failed_columns"), *df.columns)
+    return good, bad

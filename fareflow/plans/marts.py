@@ -105,6 +105,10 @@ def trip_grain(stg_trips: DataFrame, stg_payments: DataFrame) -> DataFrame:
     )
 
 
+# B6 collapse of the trip x payment fan-out to the fact's grain
+collapse_payments = trip_grain
+
+
 def fact_trips(trips: DataFrame, dim_drivers: DataFrame, dim_riders: DataFrame, dim_cities: DataFrame,
                inserted_at: dt.date = DEFAULT_AS_OF, broadcast_max_rows: int = 2_000_000,
                driver_hot: DataFrame | None = None, rider_hot: DataFrame | None = None) -> DataFrame:

@@ -227,6 +227,7 @@ def _register_more() -> None:
         "dq_relationships": quality_checks.dq_relationships,
         "dq_custom": quality_checks.dq_custom,
         "freshness": quality_checks.dq_freshness,
+        "dq_quarantine": quality_checks.dq_quarantine,
         "incremental_delta": history.incremental_delta,
         "merge_by_key": history.merge_by_key_q,
         "scd2_history": history.scd2_history,

@@ -62,7 +62,14 @@ def _keep(df: DataFrame) -> DataFrame:
 
 
 def _stg(fn: Callable[[DataFrame], DataFrame], raw_name: str):
-    return lambda m: fn(m.raw[raw_name])
+    def build(m: "Models") -> DataFrame:
+        raw = m.raw[raw_name]
+        if not m.config.strict_casts:
+            from fareflow.operators.quality import quarantine
+            from fareflow.plans.quality_checks import STAGING_CASTS, UNIQUE
+            raw = quarantine(raw, STAGING_CASTS[raw_name], UNIQUE[raw_name])[0]
+        return fn(raw)
+    return build
 
 
 BUILDERS: dict[str, Callable[[Models], DataFrame]] = {
@@ -105,3 +112,37 @@ BUILDERS: dict[str, Callable[[Models], DataFrame]] = {
                                                          m.config.as_of,
                                                          broadcast_max_rows=m.config.broadcast_max_rows),
 }
+
+
+# Layers of a full run and how each model is materialised.
+VIEWS = ["stg_trips", "stg_drivers", "stg_riders", "stg_payments", "stg_cities", "stg_status_events"]
+TABLES = ["int_trip_details", "int_payment_analysis", "int_driver_activity", "driver_metrics", "rider_metrics",
+          "dim_cities", "dim_drivers", "dim_riders", "dim_dates", "trip_grain"]
+REPORTS = ["daily_revenue", "drivers_leaderboard", "fraud_monitoring", "payments_reliability"]
+
+
+def materialize(models: Models, warehouse: str) -> dict[str, str]:
+    """One full run: views, then tables, then the incremental fact, then reports.
+
+    Every table is written under ``warehouse`` and read back, so later
+    models start from stored files; the fact is merged by key into its
+    date-partitioned table (first run = full load).  Returns name -> path.
+    """
+    from fareflow.plans.history import load_fact
+    from fareflow.sources.sinks import as_view, write_table
+
+    paths: dict[str, str] = {}
+    root = warehouse.rstrip("/")
+    for name in VIEWS:
+        as_view(models[name], name)
+    for name in TABLES:
+        paths[name] = f"{root}/{name}"
+        models._cache[name] = write_table(models[name], paths[name])
+    paths["fact_trips"] = f"{root}/fact_trips"
+    load_fact(models, paths["fact_trips"])
+    cols = BUILDERS["fact_trips"](models).columns
+    models._cache["fact_trips"] = models.spark.read.parquet(paths["fact_trips"]).select(*cols)
+    for name in REPORTS:
+        paths[name] = f"{root}/{name}"
+        models._cache[name] = write_table(models[name], paths[name])
+    return paths

@@ -86,3 +86,29 @@ def dq_freshness(m) -> DataFrame:
 def dq_summary(m) -> DataFrame:
     """Every rule result of the suite in one table."""
     return _union([dq_not_null(m), dq_unique(m), dq_accepted(m), dq_relationships(m)])
+
+
+# Casts staging applies to each raw table (the typed contract).
+STAGING_CASTS = {
+    "trips_raw": {"trip_id": "bigint", "rider_id": "bigint", "driver_id": "bigint", "city_id": "bigint",
+                  "requested_at": "timestamp", "pickup_at": "timestamp", "dropoff_at": "timestamp",
+                  "estimated_fare": "decimal(28,9)", "actual_fare": "decimal(28,9)",
+                  "surge_multiplier": "decimal(28,9)", "is_corporate": "boolean",
+                  "created_at": "timestamp", "updated_at": "timestamp"},
+    "drivers_raw": {"driver_id": "bigint", "city_id": "bigint", "vehicle_id": "bigint", "onboarding_date": "date",
+                    "created_at": "timestamp", "updated_at": "timestamp", "rating": "double"},
+    "riders_raw": {"rider_id": "bigint", "signup_date": "date", "created_at": "timestamp"},
+    "payments_raw": {"payment_id": "bigint", "trip_id": "bigint", "amount": "decimal(28,9)",
+                     "fee": "decimal(28,9)", "created_at": "timestamp"},
+    "cities_raw": {"city_id": "bigint", "launch_date": "date"},
+    "driver_status_events_raw": {"event_id": "bigint", "driver_id": "bigint", "event_timestamp": "timestamp"},
+}
+
+
+def dq_quarantine(m) -> DataFrame:
+    """Q6: raw rows that staging's casts would reject, with the failing columns."""
+    parts = []
+    for t, casts in STAGING_CASTS.items():
+        _, bad = Q.quarantine(m.raw[t], casts, UNIQUE[t])
+        parts.append(bad.select(F.lit(t).alias("table"), "row_key", "failed_columns"))
+    return _union(parts)

@@ -30,6 +30,7 @@ class PipelineConfig:
     warehouse: str | None = None
     broadcast_max_rows: int = 2_000_000
     reuse: bool = True
+    strict_casts: bool = True
     extra: dict = field(default_factory=dict)
 
     @property
