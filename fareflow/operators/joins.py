@@ -16,6 +16,7 @@ every row in the same bucket again.
 
 from __future__ import annotations
 
+import weakref
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -82,20 +83,33 @@ def fanout_left_join(one: DataFrame, many: DataFrame, key: str, hot: DataFrame,
     return joined.filter(keep).select(*one.columns, *right_cols)
 
 
+_ROW_COUNTS: "weakref.WeakKeyDictionary[DataFrame, int]" = weakref.WeakKeyDictionary()
+
+
+def row_count(df: DataFrame) -> int:
+    """``df.count()``, remembered per DataFrame object (a dimension is counted
+    once per run however many joins it serves)."""
+    if df not in _ROW_COUNTS:
+        _ROW_COUNTS[df] = df.count()
+    return _ROW_COUNTS[df]
+
+
 def lookup_left_join(facts: DataFrame, dim: DataFrame, key: str, hot: DataFrame | None = None,
                      salt_cols: Sequence[str] | None = None, buckets: int = DEFAULT_BUCKETS,
-                     broadcast_max_rows: int | None = None, how: str = "left") -> DataFrame:
+                     broadcast_max_rows: int | None = None, how: str = "left",
+                     size_of: DataFrame | None = None) -> DataFrame:
     """``facts JOIN dim ON key`` for a dim unique per key.
 
-    * ``broadcast_max_rows``: count the dim; broadcast it when the count is
-      within the bound (the count is the size proof).
+    * ``broadcast_max_rows``: count the dim (or ``size_of``, a table the
+      dim is a filter/projection of: an upper bound); broadcast it when the
+      count is within the bound (the count is the size proof).
     * otherwise, with ``hot`` given, hot fact keys are salted and their dim
       rows replicated per salt: every fact row still meets exactly its one
       dim row, so left/inner semantics are unchanged.
     * otherwise a plain shuffle join (AQE may split skewed partitions).
     """
     dim_cols = [c for c in dim.columns if c != key]
-    if broadcast_max_rows is not None and dim.count() <= broadcast_max_rows:
+    if broadcast_max_rows is not None and row_count(size_of if size_of is not None else dim) <= broadcast_max_rows:
         return facts.join(F.broadcast(dim), key, how)
     if hot is None:
         return facts.join(dim, key, how)

@@ -123,10 +123,10 @@ def fact_trips(trips: DataFrame, dim_drivers: DataFrame, dim_riders: DataFrame,
     riders = dim_riders.filter("is_current").select("rider_id", "rider_sk")
     cities = dim_cities.select("city_id", "city_sk")
     f = lookup_left_join(trips, drivers, "driver_id", hot=driver_hot, salt_cols=["trip_id"],
-                         broadcast_max_rows=broadcast_max_rows)
+                         broadcast_max_rows=broadcast_max_rows, size_of=dim_drivers)
     f = lookup_left_join(f, riders, "rider_id", hot=rider_hot, salt_cols=["trip_id"],
-                         broadcast_max_rows=broadcast_max_rows)
-    f = lookup_left_join(f, cities, "city_id", broadcast_max_rows=broadcast_max_rows)
+                         broadcast_max_rows=broadcast_max_rows, size_of=dim_riders)
+    f = lookup_left_join(f, cities, "city_id", broadcast_max_rows=broadcast_max_rows, size_of=dim_cities)
     return f.select(
         surrogate_key("trip_id").alias("trip_sk"),
         "driver_sk", "rider_sk", "city_sk",
@@ -144,7 +144,7 @@ def fact_trips(trips: DataFrame, dim_drivers: DataFrame, dim_riders: DataFrame,
 def _dim_join(fact: DataFrame, dim: DataFrame, sk: str, cols: list[str], broadcast_max_rows: int) -> DataFrame:
     """Inner join of the fact to a dimension on its surrogate key."""
     d = dim.select(sk, *cols)
-    return lookup_left_join(fact, d, sk, broadcast_max_rows=broadcast_max_rows, how="inner")
+    return lookup_left_join(fact, d, sk, broadcast_max_rows=broadcast_max_rows, how="inner", size_of=dim)
 
 
 def daily_revenue(fact: DataFrame, dim_cities: DataFrame, broadcast_max_rows: int = 2_000_000) -> DataFrame:

@@ -120,13 +120,15 @@ def fact_stream(spark: SparkSession, orders: DataFrame, models, target_path: str
     from fareflow.plans.history import FACT_CLUSTER, FACT_KEY, FACT_PARTITION, build_fact
     from fareflow.operators.incremental import merge_by_key
     from fareflow.plans import marts, staging
-    from fareflow.sources.adapter import ADAPTER_SQL, conform
-    from fareflow.sources.raw import RAW_SCHEMAS
+    from fareflow.sources.adapter import bind_adapter, test_tables
+
+    sf_dir = models.extra_sources["sf_dir"]
 
     def on_batch(batch: DataFrame, epoch_id: int) -> None:
+        # a micro-batch lives in the stream's own session: the static tables
+        # it is bound with in SQL are opened in that session too
         s = batch.sparkSession
-        trips_raw = conform(s.sql(ADAPTER_SQL["trips_raw"].replace("FROM orders", "FROM {orders}"), orders=batch),
-                            RAW_SCHEMAS["trips_raw"])
+        trips_raw = bind_adapter(s, "trips_raw", {**test_tables(s, sf_dir), "orders": batch})
         trips = staging.stg_trips(trips_raw)
         fact = build_fact(models, marts.trip_grain(trips, models.stg_payments))
         merge_by_key(s, target_path, fact, FACT_KEY, FACT_PARTITION, FACT_CLUSTER)
