@@ -78,8 +78,14 @@ def write_partitioned(df: DataFrame, path: str, partition: str, cluster: list[st
 
 
 def merge_by_key(spark: SparkSession, target_path: str, source: DataFrame, key: str, partition: str,
-                 cluster: list[str] | None = None) -> None:
-    """Upsert ``source`` (unique per ``key``) into the partitioned table."""
+                 cluster: list[str] | None = None, partition_immutable: bool = False) -> None:
+    """Upsert ``source`` (unique per ``key``) into the partitioned table.
+
+    Finding the old partition of an updated key reads the (key, partition)
+    columns of the whole target.  ``partition_immutable=True`` states that a
+    key never changes partition (e.g. the date of a trip's request), so only
+    the source's own partitions are read and rewritten.
+    """
     if not table_exists(spark, target_path):
         write_partitioned(source, target_path, partition, cluster)
         return
@@ -89,9 +95,12 @@ def merge_by_key(spark: SparkSession, target_path: str, source: DataFrame, key:
     target = spark.read.parquet(target_path)
     src_keys = source.select(F.col(key).alias("_k"), F.col(partition).alias("_new_part"))
     # partitions that gain a row, and partitions holding an old version of a source key
-    old_parts = (target.join(src_keys, target[key] == src_keys["_k"], "inner")
-                 .select(F.col(partition).alias("_p")))
-    touched = (source.select(F.col(partition).alias("_p")).union(old_parts).distinct())
+    touched = source.select(F.col(partition).alias("_p"))
+    if not partition_immutable:
+        old_parts = (target.join(src_keys, target[key] == src_keys["_k"], "inner")
+                     .select(F.col(partition).alias("_p")))
+        touched = touched.union(old_parts)
+    touched = touched.distinct()
     # the partition column is low-cardinality (dates): the touched set is small
     touched_list = [r["_p"] for r in touched.collect()]
     affected = target.filter(F.col(partition).isin(touched_list)) if touched_list else target.limit(0)
