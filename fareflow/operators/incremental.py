@@ -69,11 +69,17 @@ def new_rows(source: DataFrame, target_path: str | None, watermark_col: str = "c
 
 def write_partitioned(df: DataFrame, path: str, partition: str, cluster: list[str] | None = None,
                       mode: str = "overwrite") -> None:
-    """One directory per ``partition`` value, rows sorted by ``cluster``
-    inside each file so parquet min/max statistics skip row groups."""
-    out = df.repartition(partition)
-    if cluster:
-        out = out.sortWithinPartitions(*cluster)
+    """One directory per ``partition`` value, files sorted by ``cluster``.
+
+    Rows are range-partitioned on (partition, *cluster): a day with many
+    rows spans several write tasks (several files in its directory) instead
+    of one task per day, and every file covers a narrow, sorted
+    (city_sk, driver_sk) range, so parquet min/max statistics skip row groups.
+    """
+    spark = df.sparkSession
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    keys = [partition] + list(cluster or [])
+    out = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
     out.write.mode(mode).partitionBy(partition).parquet(path)
 
 
