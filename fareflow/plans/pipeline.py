@@ -54,7 +54,9 @@ class Models:
 # (the table layer of the model graph).  A persisted block lost with its
 # executor is recomputed from lineage.
 SHARED = {"stg_trips", "stg_payments", "stg_drivers", "stg_riders", "stg_cities", "stg_status_events",
-          "driver_metrics", "rider_metrics", "trip_grain", "fact_trips"}
+          "driver_metrics", "rider_metrics", "trip_grain", "fact_trips",
+          # hot-key sets: at most max_keys rows each, read by several joins
+          "trip_hot_keys", "driver_hot_keys", "rider_hot_keys"}
 
 
 def _keep(df: DataFrame) -> DataFrame:
