@@ -12,7 +12,7 @@ from fareflow.functions.dates import days_between, months_crossed, part, trailin
 from fareflow.functions.keys import surrogate_key
 from fareflow.functions.rates import exact_avg, safe_pct
 from fareflow.operators.fraud import FRAUD_FLAGS, payment_summary, trip_fraud_flags
-from fareflow.operators.joins import hot_keys, lookup_left_join
+from fareflow.operators.joins import lookup_left_join
 from fareflow.operators.ranking import global_rank, top_n_per
 from fareflow.operators.spine import date_attributes, date_spine, spine_between
 from fareflow.session import DEFAULT_AS_OF
