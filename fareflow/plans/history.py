@@ -70,3 +70,35 @@ def scd2_history(m) -> DataFrame:
     t0 = dt.datetime(SNAPSHOT_AS_OF.year, SNAPSHOT_AS_OF.month, SNAPSHOT_AS_OF.day)
     h = scd2_init(driver_snapshot(m, SNAPSHOT_AS_OF), t0)
     return scd2_apply(h, driver_snapshot(m, m.config.as_of), "driver_id", DRIVER_TRACKED, m.config.as_of_ts)
+
+
+# Dimensions kept as type-2 history by ``snapshot`` (tracked attributes).
+SNAPSHOT_DIMS = {
+    "dim_drivers": ("driver_id", ["driver_status", "driver_tier", "rating_category", "driver_health_status",
+                                  "city_id", "rating"]),
+    "dim_riders": ("rider_id", ["country_code", "region", "ltv_segment", "rider_status"]),
+}
+
+
+def snapshot(m, warehouse: str, effective_at: dt.datetime | None = None) -> dict[str, str]:
+    """Update the type-2 history of each dimension under ``warehouse``.
+
+    The first run stores the current dimension as version one; later runs
+    close changed versions and open new ones.  The new history is
+    checkpointed (shared checkpoint folder) before it replaces the stored
+    table it was computed from.
+    """
+    from fareflow.operators.incremental import table_exists
+
+    eff = effective_at or m.config.as_of_ts
+    paths = {}
+    for name, (key, tracked) in SNAPSHOT_DIMS.items():
+        path = f"{warehouse.rstrip('/')}/{name}_history"
+        current = m[name].drop("valid_from", "valid_to", "is_current")
+        if table_exists(m.spark, path):
+            hist = scd2_apply(m.spark.read.parquet(path), current, key, tracked, eff).checkpoint(eager=True)
+        else:
+            hist = scd2_init(current, eff)
+        hist.write.mode("overwrite").parquet(path)
+        paths[name] = path
+    return paths

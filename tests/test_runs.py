@@ -82,3 +82,34 @@ def test_stream_sessions_across_micro_batches_equal_batch(spark):
     from fareflow.operators.sessions import pair_sessions
     expect = pair_sessions(m.stg_status_events).filter(F.col("session_end").isNotNull())
     assert _rows(got.select(*expect.columns)) == _rows(expect)
+
+
+def test_snapshot_history_versions(spark):
+    from fareflow.plans.history import snapshot
+
+    wh = tempfile.mkdtemp(prefix="fareflow-snap-")
+    early = Models.from_testdata(spark, SF, PipelineConfig(as_of=dt.date(2001, 7, 1)))
+    late = Models.from_testdata(spark, SF)
+    p1 = snapshot(early, wh, dt.datetime(2001, 7, 1))
+    first = spark.read.parquet(p1["dim_drivers"])
+    n_first = first.count()
+    assert first.filter("is_current").count() == n_first
+    p2 = snapshot(late, wh, dt.datetime(2001, 8, 2))
+    hist = spark.read.parquet(p2["dim_drivers"])
+    cur = hist.filter("is_current")
+    assert cur.count() == cur.select("driver_id").distinct().count() == late.dim_drivers.count()
+    closed = hist.filter(~F.col("is_current"))
+    assert closed.filter(F.col("valid_to") != F.lit(dt.datetime(2001, 8, 2))).count() == 0
+    assert hist.count() == n_first + closed.count()
+
+
+def test_cli_test_and_freshness(spark, capsys):
+    from fareflow.__main__ import main
+
+    code = main(["freshness", "--sf-dir", SF])
+    out = capsys.readouterr().out
+    assert "cities_raw" in out and "column missing" in out
+    assert code in (0, 1)
+    code = main(["test", "--sf-dir", SF])
+    out = capsys.readouterr().out
+    assert "not_null" in out and code == 1   # the raw test data violates declared rules
