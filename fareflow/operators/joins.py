@@ -94,23 +94,41 @@ def row_count(df: DataFrame) -> int:
     return _ROW_COUNTS[df]
 
 
+# Bytes per value used to bound a broadcast side (strings: the 32-character
+# surrogate keys and short names of the dimensions, plus row overhead).
+_WIDTH = {"LongType": 8, "IntegerType": 4, "ShortType": 2, "ByteType": 1, "DoubleType": 8, "FloatType": 4,
+          "BooleanType": 1, "DateType": 4, "TimestampType": 8, "TimestampNTZType": 8, "DecimalType": 16,
+          "StringType": 48}
+ROW_OVERHEAD = 16
+DEFAULT_BROADCAST_MAX_BYTES = 64 * 1024 * 1024
+
+
+def row_width(df: DataFrame) -> int:
+    """Estimated bytes per row of ``df`` in a broadcast hash relation."""
+    return ROW_OVERHEAD + sum(_WIDTH.get(type(f.dataType).__name__, 64) for f in df.schema.fields)
+
+
 def lookup_left_join(facts: DataFrame, dim: DataFrame, key: str, hot: DataFrame | None = None,
                      salt_cols: Sequence[str] | None = None, buckets: int = DEFAULT_BUCKETS,
                      broadcast_max_rows: int | None = None, how: str = "left",
-                     size_of: DataFrame | None = None) -> DataFrame:
+                     size_of: DataFrame | None = None,
+                     broadcast_max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES) -> DataFrame:
     """``facts JOIN dim ON key`` for a dim unique per key.
 
     * ``broadcast_max_rows``: count the dim (or ``size_of``, a table the
       dim is a filter/projection of: an upper bound); broadcast it when the
-      count is within the bound (the count is the size proof).
+      count is within the bound and count x estimated row width of the
+      projected dim is within ``broadcast_max_bytes`` (the size proof).
     * otherwise, with ``hot`` given, hot fact keys are salted and their dim
       rows replicated per salt: every fact row still meets exactly its one
       dim row, so left/inner semantics are unchanged.
     * otherwise a plain shuffle join (AQE may split skewed partitions).
     """
     dim_cols = [c for c in dim.columns if c != key]
-    if broadcast_max_rows is not None and row_count(size_of if size_of is not None else dim) <= broadcast_max_rows:
-        return facts.join(F.broadcast(dim), key, how)
+    if broadcast_max_rows is not None:
+        rows = row_count(size_of if size_of is not None else dim)
+        if rows <= broadcast_max_rows and rows * row_width(dim) <= broadcast_max_bytes:
+            return facts.join(F.broadcast(dim), key, how)
     if hot is None:
         return facts.join(dim, key, how)
     f = _salt_rows(_flag_hot(facts, key, hot), salt_cols or facts.columns, buckets).drop("_hot")

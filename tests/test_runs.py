@@ -113,3 +113,16 @@ def test_cli_test_and_freshness(spark, capsys):
     code = main(["test", "--sf-dir", SF])
     out = capsys.readouterr().out
     assert "not_null" in out and code == 1   # the raw test data violates declared rules
+
+
+def test_fact_without_broadcast_equals_broadcast(spark):
+    """The shuffle (salted) lookup path gives the same fact as the broadcast path."""
+    from fareflow.operators.joins import hot_keys
+    from fareflow.plans import marts
+
+    m = Models.from_testdata(spark, SF)
+    hot_d = hot_keys(m.stg_trips, "driver_id", max_keys=10, min_rows=1)   # driver 0 (30 % of trips) is hot
+    assert hot_d.count() >= 1
+    shuffled = marts.fact_trips(m.trip_grain, m.dim_drivers, m.dim_riders, m.dim_cities, broadcast_max_rows=0,
+                                driver_hot=hot_d, rider_hot=hot_keys(m.stg_trips, "rider_id", 10, 1))
+    assert _rows(shuffled) == _rows(m.fact_trips)
