@@ -153,3 +153,46 @@ def test_quality_checks(spark):
     ts = spark.createDataFrame([(dt.datetime(2020, 1, 1, 0, 0),)], "c timestamp")
     assert freshness(ts, "t", "c", 60, 120, dt.datetime(2020, 1, 1, 1, 30)).first()["status"] == "warn"
     assert freshness(ts, "t", "c", 60, 120, dt.datetime(2020, 1, 1, 2, 1)).first()["status"] == "error"
+
+
+def test_new_rows_watermark_options(spark):
+    """Default `created_at >` misses updates and ties; updated_at / inclusive pick them up."""
+    from fareflow.operators.incremental import new_rows
+
+    t = dt.datetime(2020, 1, 1)
+    src = spark.createDataFrame([(1, t, t), (2, t + dt.timedelta(hours=1), t + dt.timedelta(hours=1)),
+                                 (3, t, t + dt.timedelta(days=2))],
+                                "k bigint, created_at timestamp, updated_at timestamp")
+    path = shared_table_path(spark, "test-wm")
+    src.filter("k < 3").withColumn("updated_at", F.col("created_at")).write.parquet(path)
+    wm_created = t + dt.timedelta(hours=1)
+    assert new_rows(src, path, "created_at").count() == 0                      # update of k=3 missed
+    assert sorted(r.k for r in new_rows(src, path, "created_at", inclusive=True).collect()) == [2]
+    assert sorted(r.k for r in new_rows(src, path, "updated_at").collect()) == [3]
+    assert new_rows(src, None).count() == 3                                    # no target: full load
+    assert new_rows(src, path, watermark=wm_created).count() == 0
+
+
+def test_stream_dedup_drops_late_duplicates(spark):
+    """A duplicate inside the watermark is dropped; the stream keeps one row per event."""
+    import glob as _glob
+    import os as _os
+    import shutil as _shutil
+    import tempfile as _tempfile
+
+    from fareflow.streaming import status_stream as S
+
+    base = dt.datetime(2024, 1, 1, 12)
+    rows = [(1, base, 7, "click", 0.0, None), (2, base + dt.timedelta(minutes=5), 7, "view", 0.0, None),
+            (1, base + dt.timedelta(minutes=1), 7, "click", 0.0, None)]     # duplicate of event 1
+    df = spark.createDataFrame(rows, S.EVENTS_SCHEMA)
+    folder = _tempfile.mkdtemp(prefix="fareflow-dup-")
+    df.coalesce(1).write.parquet(folder + "/x")
+    (src,) = _glob.glob(folder + "/x/*.parquet")
+    flat = _tempfile.mkdtemp(prefix="fareflow-dup-flat-")
+    _shutil.copy(src, flat + "/events_0.parquet")
+    out = S.run_to_table(S.staged_status_stream(S.read_stream(spark, flat, "events_*.parquet", S.EVENTS_SCHEMA)),
+                         "test-dup")
+    got = sorted((r.event_id, r.driver_status) for r in out.collect())
+    assert got == [(1, "online"), (2, "offline")]
+    assert _os.path.isdir(flat)
