@@ -20,6 +20,7 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--warehouse", help="output folder (shared storage on a cluster)")
     ap.add_argument("--as-of", help="evaluation date YYYY-MM-DD (default 2001-08-02)")
     ap.add_argument("--master", default=None)
+    ap.add_argument("--tune", action="store_true", help="size shuffles and splits from the input size")
     args = ap.parse_args(argv)
 
     from fareflow.plans import quality_checks
@@ -28,6 +29,12 @@ def main(argv: list[str] | None = None) -> int:
 
     as_of = dt.date.fromisoformat(args.as_of) if args.as_of else DEFAULT_AS_OF
     spark = get_session(args.master)
+    if args.tune:
+        import glob
+
+        from fareflow.session import input_bytes, tune_for_input
+        files = sorted(glob.glob(f"{args.sf_dir}/*.parquet")) or [args.sf_dir]
+        print("shuffle partitions:", tune_for_input(spark, input_bytes(spark, files)))
     m = Models.from_testdata(spark, args.sf_dir, PipelineConfig(as_of=as_of, warehouse=args.warehouse))
     if args.command in ("run", "snapshot") and not args.warehouse:
         ap.error("--warehouse is required for run and snapshot")

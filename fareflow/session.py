@@ -101,3 +101,30 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return configure(spark)
+
+
+def input_bytes(spark: SparkSession, paths: list[str]) -> int:
+    """Total size of the files under ``paths`` (one listing call per path)."""
+    jvm = spark._jvm
+    conf = spark._jsc.hadoopConfiguration()
+    total = 0
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        total += path.getFileSystem(conf).getContentSummary(path).getLength()
+    return total
+
+
+def tune_for_input(spark: SparkSession, total_bytes: int, partition_bytes: int = 256 * 1024 * 1024) -> int:
+    """Size shuffles and scan splits for ``total_bytes`` of input.
+
+    The initial shuffle partition count gives ~``partition_bytes`` per
+    partition for a shuffle as large as the input (AQE then coalesces the
+    smaller shuffles to the same advisory size), so no reduce task has to hold
+    more than a few hundred MB and spills stay rare.  Returns the count.
+    """
+    parts = max(200, -(-total_bytes // partition_bytes))
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(partition_bytes))
+    spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", str(4 * partition_bytes))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(2 * partition_bytes))
+    return parts
