@@ -16,6 +16,8 @@ def _plan(df) -> str:
 
 @pytest.fixture(scope="module")
 def lazy(spark):
+    # cached plans of other tests would be substituted into these plans
+    spark.catalog.clearCache()
     return Models.from_testdata(spark, SF, PipelineConfig(reuse=False))
 
 
@@ -31,9 +33,10 @@ def test_dedup_limits_rows_before_the_shuffle(lazy):
     assert "WindowGroupLimit" in p and "Partial" in p and "Final" in p
 
 
-def test_trip_grain_join_reuses_the_trip_partitioning(lazy):
+def test_trip_grain_join_reuses_the_trip_partitioning(spark, lazy):
     """The dedup of trips and the per-trip payment aggregate are both hash
     partitioned by trip_id: the join between them adds no exchange."""
+    spark.catalog.clearCache()
     p = _plan(lazy.trip_grain)
     assert p.count("Exchange hashpartitioning(trip_id") == 2
     assert "SortAggregate" in p and "partial_" in p
