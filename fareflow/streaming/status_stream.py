@@ -90,6 +90,8 @@ def _pair(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.D
     minutes = (end - start).values.astype("timedelta64[ns]").astype("int64") // 60_000_000_000
     last = rows.iloc[-1]
     state.update((last["event_timestamp"].to_pydatetime(), int(last["event_id"]), str(last["driver_status"])))
+    if not pair.any():
+        return
     yield pd.DataFrame({
         "driver_id": [key[0]] * int(pair.sum()),
         "session_start": start.values, "session_end": end.values,
