@@ -95,26 +95,31 @@ def merge_by_key(spark: SparkSession, target_path: str, source: DataFrame, key:
     if not table_exists(spark, target_path):
         write_partitioned(source, target_path, partition, cluster)
         return
-    # the source is read three times below (touched set, survivors, write):
+    # the source is read three times below (its partitions, the key lookup, the write):
     # computed once and kept (recomputed from lineage if an executor is lost)
     source = source.persist(StorageLevel.MEMORY_AND_DISK)
     target = spark.read.parquet(target_path)
     src_keys = source.select(F.col(key).alias("_k"), F.col(partition).alias("_new_part"))
-    # partitions that gain a row, and partitions holding an old version of a source key
-    touched = source.select(F.col(partition).alias("_p"))
+    # partitions that gain a row (the source's) ...
+    new_parts = {r["_p"] for r in source.select(F.col(partition).alias("_p")).distinct().collect()}
+    # ... and partitions holding an old version of a source key (a moved key)
+    old_parts: set = set()
     if not partition_immutable:
-        old_parts = (target.join(src_keys, target[key] == src_keys["_k"], "inner")
-                     .select(F.col(partition).alias("_p")))
-        touched = touched.union(old_parts)
-    touched = touched.distinct()
-    # the partition column is low-cardinality (dates): the touched set is small
-    touched_list = [r["_p"] for r in touched.collect()]
+        old_parts = {r["_p"] for r in target.join(src_keys, target[key] == src_keys["_k"], "inner")
+                     .select(F.col(partition).alias("_p")).distinct().collect()}
+    # partition values are dates: both sets are bounded by the calendar
+    touched_list = sorted(new_parts | old_parts, key=str)
     affected = target.filter(F.col(partition).isin(touched_list)) if touched_list else target.limit(0)
     kept = affected.join(source.select(key), key, "left_anti")
     merged = kept.unionByName(source.select(*target.columns))
-    # partitions that will hold no row after the merge must be removed by hand
-    survivors = {r["_p"] for r in merged.select(F.col(partition).alias("_p")).distinct().collect()}
-    emptied = [p for p in touched_list if p not in survivors]
+    # a partition is left empty only if it lost a moved key, receives no
+    # source row and keeps none of its other rows: check just those
+    candidates = sorted(old_parts - new_parts, key=str)
+    emptied = []
+    if candidates:
+        still = {r["_p"] for r in kept.filter(F.col(partition).isin(candidates))
+                 .select(F.col(partition).alias("_p")).distinct().collect()}
+        emptied = [p for p in candidates if p not in still]
     # Dynamic overwrite replaces exactly the partitions present in ``merged``.
     # New files go to a staging folder and replace the old ones only at job
     # commit, so tasks (and their retries) still read the old target files.
