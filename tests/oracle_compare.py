@@ -80,7 +80,7 @@ def compare(spark, name: str, fn, sql: str | None, sf_dir: str, con) -> dict:
         res["detail"] = f"spark={sorted(spdf.columns)} oracle={sorted(odf.columns)}"
         return res
     st = {f.name: _arrow_type(f.type) for f in sdf.toArrow().schema}
-    ot = {f.name: _arrow_type(f.type) for f in con.execute(f"SELECT * FROM ({sql}) LIMIT 0").to_arrow_table().schema}
+    ot = {f.name: _arrow_type(f.type) for f in con.sql(f"SELECT * FROM ({sql}) LIMIT 0").to_arrow_table().schema}
     if st != ot:
         res["status"] = "TYPES"
         res["detail"] = str({k: (st[k], ot.get(k)) for k in st if st[k] != ot.get(k)})
