@@ -105,8 +105,24 @@ def trip_grain(stg_trips: DataFrame, stg_payments: DataFrame) -> DataFrame:
     )
 
 
-# B6 collapse of the trip x payment fan-out to the fact's grain
-collapse_payments = trip_grain
+def collapse_payments(trip_details: DataFrame, stg_payments: DataFrame) -> DataFrame:
+    """B6 on the fan-out itself: one row per trip of ``int_trip_details``.
+
+    The chosen row is the trip's payment with success first, then latest
+    ``created_at`` (looked up by payment_id), then highest payment_id; every
+    fraud flag is true when any of the trip's rows has it.  Same result as
+    ``trip_grain``, which the fact uses because it aggregates the payments
+    before the join instead of after the fan-out.
+    """
+    created = stg_payments.select("payment_id", F.col("created_at").alias("_paid_at"))
+    td = trip_details.join(created, "payment_id", "left")
+    order = F.struct(F.when(F.col("payment_status") == "success", 1).otherwise(0),
+                     F.col("_paid_at"), F.col("payment_id"))
+    keep = [c for c in trip_details.columns if c not in FRAUD_FLAGS + ["is_fraud_flag", "trip_id"]]
+    picked = [F.max_by(F.col(c), order).alias(c) for c in keep]
+    flags = [F.bool_or(F.col(c)).alias(c) for c in FRAUD_FLAGS + ["is_fraud_flag"]]
+    return td.groupBy("trip_id").agg(*picked, *flags).select("trip_id", *[c for c in trip_details.columns
+                                                                          if c != "trip_id"])
 
 
 def fact_trips(trips: DataFrame, dim_drivers: DataFrame, dim_riders: DataFrame, dim_cities: DataFrame,

@@ -133,3 +133,17 @@ def test_net_revenue_uses_fee_of_chosen_payment(spark):
         "created_at timestamp")
     got = {r.trip_id: r.chosen_fee for r in payment_summary(p).collect()}
     assert got == {1: Decimal("3"), 2: Decimal("7")}
+
+
+def test_b6_collapse_of_fan_out_equals_trip_grain(m):
+    from fareflow.plans.marts import collapse_payments
+
+    c = collapse_payments(m.int_trip_details, m.stg_payments)
+    g = m.trip_grain
+    cols = [x for x in g.columns if x in c.columns and x not in ("net_revenue",)]
+    assert "fraud_amount_mismatch" in cols and "has_duplicate_payments" in cols
+    left = sorted(tuple(r) for r in c.select(*cols).collect())
+    right = sorted(tuple(r) for r in g.select(*cols).collect())
+    assert left == right
+    nets = c.select("trip_id", "net_revenue").exceptAll(g.select("trip_id", "net_revenue"))
+    assert nets.count() == 0
