@@ -82,10 +82,14 @@ def int_payment_analysis(stg_payments: DataFrame, stg_trips: DataFrame,
         bands.fee_percentage("fee", "amount").alias("fee_percentage"),
         bands.amount_difference("amount", "actual_fare").alias("amount_difference"),
     )
+    # the lookup keeps exactly one row per payment, so the provider statistic
+    # is taken from the payments directly instead of a second join
+    flags = stg_payments.select("payment_provider",
+                                bands.status_flag("payment_status", "failed").alias("is_failed"))
     return group_stat_back(
         pa, "payment_provider",
         {"provider_failure_rate": safe_pct(F.sum("is_failed"), F.count(F.lit(1)))},
-        bounded=True)
+        bounded=True, stats_from=flags)
 
 
 def int_driver_activity(stg_status_events: DataFrame, chunk: str = "day") -> DataFrame:
