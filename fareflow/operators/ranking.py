@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -60,7 +61,13 @@ def _ranked(df: DataFrame, partition: list[str], order_desc: list[str], name: st
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     key = [F.col(c).asc_nulls_first() for c in partition] + _order(order_desc)
-    ranged = df.repartitionByRange(n, *key).withColumn("_range", F.spark_partition_id())
+    # Both branches below (ranks inside a range, rows per range) must see the
+    # same range ids.  Two separate range exchanges would each sample their
+    # own bounds, so the partitioned rows are kept once, with their id, and
+    # both branches read that copy; a lost block is rebuilt from the same
+    # shuffle dependency (same bounds, same id).
+    ranged = (df.repartitionByRange(n, *key).withColumn("_range", F.spark_partition_id())
+              .persist(StorageLevel.MEMORY_AND_DISK))
     local = ranged.withColumn(
         "_local_rank", F.rank().over(Window.partitionBy("_range", *partition).orderBy(*_order(order_desc))))
     # one row per (range, group): at most ranges + groups rows
