@@ -1,14 +1,16 @@
 """Ranking operators.
 
-``rank_within`` / ``top_n_per`` are per-group windows; with a ``rank <= n``
-filter Spark inserts a partial WindowGroupLimit before the shuffle, so every
-map task forwards at most the top rows (plus ties) of each group.
+``top_n_per`` is a per-group window with a ``rank <= n`` filter: Spark
+inserts a partial WindowGroupLimit before the shuffle, so every map task
+forwards at most the top rows (plus ties) of each group.
 
 ``global_rank`` is RANK() over the whole table without a single-partition
 window: rows are range-partitioned on the ordering value (equal values land
 in the same range), ranked inside each range, and shifted by the number of
 rows in all earlier ranges.  Only the per-range row counts (one row per
-partition, a bounded table) meet in one place.
+partition, a bounded table) meet in one place.  ``rank_within`` does the
+same with the group columns leading the range key, so one group holding a
+large share of the rows spans several ranges instead of one task.
 """
 
 from __future__ import annotations
