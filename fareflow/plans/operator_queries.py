@@ -242,3 +242,38 @@ def _register_more() -> None:
 
 
 _register_more()
+
+
+# ---- one query per band, under the names of the build plan -----------------------
+
+def _trip_band(column: str, expr):
+    return lambda m: m.stg_trips.select("trip_id", expr().alias(column))
+
+
+def _per_driver(column: str):
+    return lambda m: m.driver_metrics.select("driver_id", column)
+
+
+def _per_rider(column: str):
+    return lambda m: m.rider_metrics.select("rider_id", column)
+
+
+def _per_payment(column: str):
+    return lambda m: m.int_payment_analysis.select("payment_id", column)
+
+
+QUERIES.update({
+    "surge_band": _trip_band("surge_impact_category", lambda: bands.surge_band("surge_multiplier")),
+    "trip_duration": _trip_band("trip_duration_minutes",
+                                lambda: bands.trip_duration("trip_status", "pickup_at", "dropoff_at")),
+    "trip_type": _trip_band("trip_type", lambda: bands.trip_type("is_corporate")),
+    "driver_health": _per_driver("driver_health_status"),
+    "rating_category": _per_driver("rating_category"),
+    "driver_tier": _per_driver("driver_tier"),
+    "ltv_segment": _per_rider("ltv_segment"),
+    "rider_status": _per_rider("rider_status"),
+    "region": _per_rider("region"),
+    "referral_effectiveness": _per_rider("referral_effectiveness"),
+    "fee_percentage": _per_payment("fee_percentage"),
+    "provider_failure_rate": _per_payment("provider_failure_rate"),
+})
