@@ -81,6 +81,8 @@ def _pair(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.D
         ts, eid, st = state.get
         rows = pd.concat([pd.DataFrame({"event_timestamp": [ts], "event_id": [eid], "driver_status": [st]}),
                           rows], ignore_index=True)
+    if rows.empty:
+        return
     rows = rows.sort_values(["event_timestamp", "event_id"], kind="mergesort").reset_index(drop=True)
     nxt_ts = rows["event_timestamp"].shift(-1)
     nxt_st = rows["driver_status"].shift(-1)

@@ -106,7 +106,14 @@ def main(argv: list[str]) -> int:
     import __spark_entry__ as E
     from fareflow.session import get_session
 
-    spark = get_session("local[8]")
+    if os.environ.get("FAREFLOW_PLAIN_SESSION"):
+        # a session with Spark's own defaults, as an outside caller would pass
+        from pyspark.sql import SparkSession
+        spark = SparkSession.builder.master("local[8]").config("spark.ui.showConsoleProgress", "false") \
+            .getOrCreate()
+        spark.sparkContext.setLogLevel("ERROR")
+    else:
+        spark = get_session("local[8]")
     con = duck(sf_dir)
     qs, osql = E.queries(), E.oracle_sql()
     bad = 0
