@@ -231,6 +231,7 @@ def _register_more() -> None:
         "incremental_delta": history.incremental_delta,
         "merge_by_key": history.merge_by_key_q,
         "scd2_history": history.scd2_history,
+        "incremental_updates": history.incremental_updates,
     })
     from fareflow.streaming import status_stream
 

@@ -9,7 +9,7 @@ import __spark_entry__ as E
 from tests.oracle_compare import compare, duck
 
 SF = os.environ.get("FAREFLOW_TEST_SF", "/root/testdata/sf0.001")
-SLOW = {"merge_by_key", "incremental_delta", "stream_merge"}
+SLOW = {"merge_by_key", "incremental_delta", "incremental_updates", "stream_merge"}
 
 
 @pytest.fixture(scope="module")
