@@ -66,3 +66,20 @@ def test_dedupe_tiebreak_in_sort_order(spark):
     df = spark.createDataFrame([(1, 2, 3)], "k bigint, ts bigint, seq bigint")
     p = _plan(dedupe_latest(df, ["k"], ["ts"], ["seq"]))
     assert "seq" in p.split("WindowGroupLimit")[1]
+
+
+def test_report_windows_prune_date_partitions_of_the_stored_fact(spark, lazy):
+    """On the stored fact (one folder per trip_date) the trailing-window filter
+    of the reports becomes a partition filter: other days are not listed or read."""
+    import datetime as dt
+
+    from fareflow.functions.dates import trailing_days
+    from fareflow.operators.incremental import shared_table_path, write_partitioned
+
+    path = shared_table_path(spark, "plan-fact")
+    write_partitioned(lazy.fact_trips, path, "trip_date", ["city_sk", "driver_sk"])
+    stored = spark.read.parquet(path)
+    recent = trailing_days(stored, "trip_date", 30, dt.date(2001, 8, 2)).select("trip_id", "gross_revenue")
+    p = _plan(recent)
+    assert "PartitionFilters: [isnotnull(trip_date" in p and "2001-07-03" in p
+    assert "ReadSchema: struct<gross_revenue:decimal(28,9),trip_id:bigint>" in p
