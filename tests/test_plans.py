@@ -83,3 +83,16 @@ def test_report_windows_prune_date_partitions_of_the_stored_fact(spark, lazy):
     p = _plan(recent)
     assert "PartitionFilters: [isnotnull(trip_date" in p and "2001-07-03" in p
     assert "ReadSchema: struct<gross_revenue:decimal(28,9),trip_id:bigint>" in p
+
+
+def test_incremental_watermark_reaches_the_scan(spark, lazy):
+    """In a full run the trip grain is a stored table: the high watermark is read
+    first and applied as a literal, which parquet receives as a pushed filter."""
+    from fareflow.operators.incremental import new_rows, shared_table_path, write_partitioned
+    from fareflow.sources.sinks import write_table
+
+    grain = write_table(lazy.trip_grain, shared_table_path(spark, "plan-grain"))
+    target = shared_table_path(spark, "plan-target")
+    write_partitioned(lazy.fact_trips.filter("trip_date < DATE '1998-01-01'"), target, "trip_date")
+    p = _plan(new_rows(grain, target, "created_at").select("trip_id"))
+    assert "PushedFilters: [IsNotNull(created_at), GreaterThan(created_at," in p
