@@ -126,3 +126,28 @@ def test_fact_without_broadcast_equals_broadcast(spark):
     shuffled = marts.fact_trips(m.trip_grain, m.dim_drivers, m.dim_riders, m.dim_cities, broadcast_max_rows=0,
                                 driver_hot=hot_d, rider_hot=hot_keys(m.stg_trips, "rider_id", 10, 1))
     assert _rows(shuffled) == _rows(m.fact_trips)
+
+
+def test_distributed_stream_sessions_equal_batch(spark):
+    """The foreachBatch variant over four time-ordered micro-batches equals batch pairing."""
+    ev = spark.read.parquet(f"{SF}/events.parquet")
+    u = F.unix_micros(F.col("ts").cast("timestamp"))
+    q = ev.select(F.percentile(u, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))).first()[0]
+    tagged = ev.withColumn("_p", F.when(u <= q[0], 0).when(u <= q[1], 1).when(u <= q[2], 2).otherwise(3))
+    parts = tempfile.mkdtemp(prefix="fareflow-ev2-")
+    flat = tempfile.mkdtemp(prefix="fareflow-ev2-flat-")
+    for i in range(4):
+        tagged.filter(F.col("_p") == i).drop("_p").coalesce(1).write.parquet(f"{parts}/part{i}")
+        (src,) = glob.glob(f"{parts}/part{i}/*.parquet")
+        shutil.copy(src, f"{flat}/events_{i}.parquet")
+        t = dt.datetime(2020, 1, 1, 0, i).timestamp()
+        os.utime(f"{flat}/events_{i}.parquet", (t, t))
+    stream = S.read_stream(spark, flat, "events_*.parquet", S.EVENTS_SCHEMA, max_files_per_trigger=1)
+    out = tempfile.mkdtemp(prefix="fareflow-sess-") + "/sessions"
+    S.session_stream_batches(S.staged_status_stream(stream), out, out + "-state", chunk="hour")
+    got = spark.read.parquet(out).drop("epoch")
+    assert spark.read.parquet(out).select("epoch").distinct().count() == 4
+    m = Models.from_testdata(spark, SF)
+    from fareflow.operators.sessions import pair_sessions
+    expect = pair_sessions(m.stg_status_events).filter(F.col("session_end").isNotNull())
+    assert _rows(got.select(*expect.columns)) == _rows(expect)
