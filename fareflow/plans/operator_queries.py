@@ -238,6 +238,7 @@ def _register_more() -> None:
     QUERIES.update({
         "stream_dedup": status_stream.stream_dedup,
         "stream_sessions": status_stream.stream_sessions,
+        "stream_sessions_distributed": status_stream.stream_sessions_distributed,
         "stream_merge": status_stream.stream_merge,
     })
 

@@ -216,3 +216,12 @@ def session_stream_batches(staged: DataFrame, sink_path: str, state_path: str, c
          .option("checkpointLocation", sink_path + "-checkpoint")
          .trigger(availableNow=True).start())
     q.awaitTermination()
+
+
+def stream_sessions_distributed(m) -> DataFrame:
+    """I6, distributed form: closed sessions from ``session_stream_batches``."""
+    folder = m.extra_sources["sf_dir"]
+    events = read_stream(m.spark, folder, "events.parquet", EVENTS_SCHEMA)
+    out = shared_table_path(m.spark, "sessions-distributed")
+    session_stream_batches(staged_status_stream(events), out, out + "-state")
+    return m.spark.read.parquet(out).select(*[f.name for f in SESSION_SCHEMA.fields])
