@@ -151,3 +151,20 @@ def test_distributed_stream_sessions_equal_batch(spark):
     from fareflow.operators.sessions import pair_sessions
     expect = pair_sessions(m.stg_status_events).filter(F.col("session_end").isNotNull())
     assert _rows(got.select(*expect.columns)) == _rows(expect)
+
+
+def test_tune_for_input_sizes_partitions(spark):
+    from fareflow.session import input_bytes, tune_for_input
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        n = input_bytes(spark, [f"{SF}/lineitem.parquet", f"{SF}/orders.parquet"])
+        assert n > 0
+        assert tune_for_input(spark, n) == 200                      # small input: the floor
+        assert tune_for_input(spark, 100 * 1024 ** 4) == 409600     # 100 TB at 256 MB per partition
+        assert spark.conf.get("spark.sql.files.maxPartitionBytes") == str(512 * 1024 * 1024)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+        spark.conf.unset("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes")
