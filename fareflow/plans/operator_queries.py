@@ -228,6 +228,7 @@ def _register_more() -> None:
         "dq_custom": quality_checks.dq_custom,
         "freshness": quality_checks.dq_freshness,
         "dq_quarantine": quality_checks.dq_quarantine,
+        "dq_summary": quality_checks.dq_summary,
         "incremental_delta": history.incremental_delta,
         "merge_by_key": history.merge_by_key_q,
         "scd2_history": history.scd2_history,
