@@ -3,8 +3,8 @@
 Two passes over the documents:
 
 1. Corpus statistics for BM25: the number of documents with each term, the number of documents
-   and their mean length, over all documents.  Terms are words hashed to 2^18 numbers, so the
-   statistics that every task gets are at most 2^18 counts (2 MB), whatever the corpus.
+   and their mean length, over all documents.  Terms are words (runs of letters) hashed to 2^18
+   numbers, so the statistics that every task gets are 2^18 counts (2 MB), whatever the corpus.
 2. The index is sharded: a shard is the next ``shard_docs`` documents of a scan partition (or
    fewer, when they reach ``shard_ids`` ids) with their inverted lists.  The first document
    is the seed; its window is filled with the best-scoring unused documents of the shard, in
@@ -18,9 +18,6 @@ document depends on the shard size alone, so the job grows with the input.
 
 from __future__ import annotations
 
-import zlib
-from array import array
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,7 +26,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fareflow.llm.common import partition_id, texts
-from fareflow.llm.tokens import Bounded, text_ids
+from fareflow.llm.tokens import text_ids
+from fareflow.llm.words import LETTER, Units, batches_of, units
 
 WORD_BPE = "word_bpe_49k.json"
 END_ID = 1
@@ -37,15 +35,14 @@ TERMS = 1 << 18
 K1, B = 1.2, 0.75
 _DOCS, _WORDS = TERMS, TERMS + 1  # two more numbers in the statistics
 
-_terms = Bounded(lambda word: zlib.crc32(word.strip(".,;:!?()\"'").encode()) % TERMS, 500_000)
 
-
-def _term_counts(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct terms of a document and how often each occurs."""
-    counts = Counter(words)
-    terms = np.fromiter(map(_terms.__getitem__, counts), np.int64, len(counts))
-    terms, place = np.unique(terms, return_inverse=True)
-    return terms, np.bincount(place, np.fromiter(counts.values(), np.int64, len(counts)))
+def _term_counts(cut: Units) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of a batch of texts: terms (ascending in each text) and how often each occurs, text after
+    text, and where each text begins."""
+    text = np.repeat(np.arange(len(cut.text_end)), np.diff(cut.first_of))
+    word = cut.kind == LETTER
+    key, counts = np.unique(text[word] * TERMS + (cut.hash[word] >> np.uint64(46)).astype(np.int64), return_counts=True)
+    return key % TERMS, counts, np.searchsorted(key, np.arange(len(cut.text_end) + 1) * TERMS)
 
 
 def corpus_statistics(docs: DataFrame) -> tuple[np.ndarray, float]:
@@ -54,13 +51,11 @@ def corpus_statistics(docs: DataFrame) -> tuple[np.ndarray, float]:
     def counted(batches):
         seen = np.zeros(TERMS + 2, np.int64)
         for batch in batches:
-            found = array("l")
-            for text in texts(batch):
-                words = text.lower().split()
-                found.extend(set(map(_terms.__getitem__, set(words))))
-                seen[_DOCS] += 1
-                seen[_WORDS] += len(words)
-            seen[:TERMS] += np.bincount(np.frombuffer(found, np.int64), minlength=TERMS) if found else 0
+            for first, last, raw in batches_of(texts(batch)):
+                terms, counts, _ = _term_counts(units(raw))
+                seen[:TERMS] += np.bincount(terms, minlength=TERMS)
+                seen[_DOCS] += last - first
+                seen[_WORDS] += counts.sum()
         some = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(seen[some])], ["term", "n"])
 
@@ -151,31 +146,37 @@ def layout(lengths: np.ndarray, window: int) -> tuple[np.ndarray, ...]:
 
 def _packed(batches: Iterator[pa.RecordBatch], idf: np.ndarray, mean: float, tokenizer: str, end_id: int,
             window: int, shard_docs: int, shard_ids: int):
-    encoder, end = text_ids(tokenizer), np.array([end_id], "<u4").tobytes()
+    encoder, end = text_ids(tokenizer), np.array([end_id], "<u4")
     sequence0 = partition_id() << 33
     doc_ids, ids, terms, counts, size = [], [], [], [], 0
 
     def pack():
         nonlocal sequence0
-        lengths = [len(i) // 4 for i in ids]
+        lengths = [len(i) for i in ids]
         order = retrieval_order(lengths, window, Shard(terms, counts, idf, mean))
         place, start, length, sequence, offset = layout(np.array(lengths, np.int64)[order], window)
         doc = [order[p] for p in place]
         yield pa.RecordBatch.from_arrays(
             [pa.array([doc_ids[d] for d in doc], pa.int64()), pa.array(start, pa.int64()), pa.array(length, pa.int64()),
-             pa.array([ids[d][4 * a:4 * (a + n)] for d, a, n in zip(doc, start.tolist(), length.tolist(), strict=True)], pa.binary()),
+             pa.array([ids[d][a:a + n].tobytes() for d, a, n in zip(doc, start.tolist(), length.tolist(), strict=True)], pa.binary()),
              pa.array([lengths[d] for d in doc], pa.int64()), pa.array(sequence0 + sequence, pa.int64()), pa.array(offset, pa.int64())],
             ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"])
         sequence0 += int(sequence[-1]) + 1
 
     for batch in batches:
-        for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts(batch), strict=True):
+        found: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def seen(first: int, cut: Units):
+            term, count, bounds = _term_counts(cut)
+            found.extend((term[i:j], count[i:j]) for i, j in zip(bounds, bounds[1:]))  # noqa: B023
+
+        own = encoder.all_ids(texts(batch), seen)
+        for doc_id, of_text, (term, count) in zip(batch.column("doc_id").to_pylist(), own, found, strict=True):
             doc_ids.append(doc_id)
-            ids.append(encoder.ids(text) + end)
-            found = _term_counts(text.lower().split())
-            terms.append(found[0])
-            counts.append(found[1])
-            size += len(ids[-1]) // 4
+            ids.append(np.concatenate([of_text, end]))
+            terms.append(term)
+            counts.append(count)
+            size += len(ids[-1])
             if len(ids) >= shard_docs or size >= shard_ids:
                 yield from pack()
                 doc_ids, ids, terms, counts, size = [], [], [], [], 0

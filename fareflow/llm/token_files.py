@@ -122,22 +122,22 @@ def decode(data: bytes, first_block: int = 0, last_block: int | None = None) ->
 
 def _segments(batches: Iterator[pa.RecordBatch], tokenizer: str, end_id: int, segment_ids: int):
     encoder, part, seq, start = text_ids(tokenizer), partition_id(), 0, 0
-    end = np.array([end_id], "<u4").tobytes()
+    end = np.array([end_id], "<u4")
     docs, parts, size = [], [], 0
 
     def row():
-        lengths = [len(p) // 4 for p in parts]
-        ids = np.frombuffer(b"".join(parts), "<u4")
+        lengths = [len(p) + 1 for p in parts]
+        ids = np.concatenate([a for p in parts for a in (p, end)])
         return pa.RecordBatch.from_arrays(
             [pa.array([part], pa.int32()), pa.array([seq], pa.int32()), pa.array([start], pa.int64()), pa.array([len(ids)], pa.int64()),
              pa.array([docs], pa.list_(pa.int64())), pa.array([lengths], pa.list_(pa.int64())), pa.array([encode(ids)], pa.binary())],
             ["part", "segment", "start", "n_ids", "doc_ids", "lengths", "data"])
 
     for batch in batches:
-        for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts(batch), strict=True):
+        for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoder.all_ids(texts(batch)), strict=True):
             docs.append(doc_id)
-            parts.append(encoder.ids(text) + end)
-            size += len(parts[-1]) // 4
+            parts.append(ids)
+            size += len(ids) + 1
             if size >= segment_ids:
                 yield row()
                 seq, start, docs, parts, size = seq + 1, start + size, [], [], 0

@@ -14,9 +14,12 @@ import re
 from array import array
 from functools import lru_cache
 
+import numpy as np
+import pandas as pd
 import regex
 
 from fareflow.llm.common import tokenizer_file
+from fareflow.llm.words import Units, batches_of, units
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
@@ -28,6 +31,27 @@ BYTE_LEVEL_CUT = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+"
 # letters include these six number characters).
 PLAIN_WORD_CUT = r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_\xb2\xb3\xb9\xbc-\xbe]+|[\d\xb2\xb3\xb9\xbc-\xbe]|[\W_]+"
 WORD = rf"[^{SPACE}]+"
+# Texts with one of these may hold pre-tokens other than words.units: an apostrophe, characters
+# from U+0080 to U+00BF or from U+0240 on, the two signs among the letters of U+00C0 to
+# U+00FF, the dotted capital I (two characters in lower case), a special string, a control character that Python takes for white space.
+_ODD = np.zeros(256, np.uint8)
+_ODD[[0x27, *range(0x1C, 0x20), 0xC2, *range(0xC9, 0x100)]] = 1
+_ODD[[0x97, 0xB7, 0xB0, ord("|")]] = 2  # odd after these bytes only
+_AFTER = np.zeros(256, np.uint8)
+_AFTER[[0x97, 0xB7, 0xB0, ord("|")]] = 0xC3, 0xC3, 0xC4, ord("<")
+
+
+def odd_texts(cut: Units) -> np.ndarray:
+    """Whether each text of the batch holds something odd."""
+    buffer = np.frombuffer(cut.bytes, np.uint8)
+    kind = _ODD[buffer]
+    at = np.flatnonzero(kind)
+    at = at[(kind[at] == 1) | (buffer[at - 1] == _AFTER[buffer[at]])]
+    odd = np.zeros(len(cut.text_end), bool)
+    odd[np.searchsorted(cut.text_end, at, "right")] = True
+    return odd
+
+
 # Python's str.split() also splits at these four, which the tokenizers treat as text.
 NOT_SPACE = "\x1c\x1d\x1e\x1f"
 # Below this character nothing is changed by NFC, and lower case is the same everywhere.
@@ -39,6 +63,8 @@ BYTE_LEVEL = {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b n
 
 
 def byte_level(piece: str) -> str:
+    if piece.isascii() and piece.isprintable() and " " not in piece:
+        return piece
     return piece.encode().decode("latin-1").translate(BYTE_LEVEL)
 
 
@@ -95,6 +121,8 @@ class TextIds:
         self.kind = cut_kind(name)
         self.pieces = Bounded(self._piece, limit)
         self.words = Bounded(self._word, limit)
+        self.units: dict[bytes, bytes] = {}
+        self.units_limit = 2 * limit
         self._cut = re.compile(PLAIN_WORD_CUT)
         self._split = regex.compile(WORD)
 
@@ -105,7 +133,7 @@ class TextIds:
         return _id_bytes([t.id for t in self.tokenizer.model.tokenize(byte_level(piece))])
 
     def _word(self, word: str) -> bytes:
-        if "<|" in word or max(word) >= PLAIN_BELOW:
+        if "<|" in word or "\x85" in word or "\xa0" in word or max(word) >= PLAIN_BELOW:
             return self._library(word)
         word = word.lower()
         return self.pieces[word] if word.isalpha() else b"".join([self.pieces[p] for p in self._cut.findall(word)])
@@ -120,6 +148,58 @@ class TextIds:
             return self._library(text)
         return b"".join(map(self.words.__getitem__, self.split(text)))
 
+    def all_ids(self, texts: list[str], seen=None) -> list[np.ndarray]:
+        """``ids`` of many texts, as arrays of unsigned 32-bit integers.
+
+        With the word-end cut, a text that is not ``odd_texts`` is cut into exactly
+        the units of ``words.units``; the ids of a unit are looked up once per batch.  ``seen``
+        is called with (first text, units) of every batch.
+        """
+        out: list[np.ndarray] = []
+        for first, last, raw in batches_of(texts):
+            if self.kind == "word_end" or seen:
+                cut = units(raw)
+                if seen:
+                    seen(first, cut)
+            if self.kind == "word_end":
+                odd = odd_texts(cut)
+                out += self._unit_ids(cut, odd)
+            else:
+                odd = np.ones(len(raw), bool)
+                out += [None] * len(raw)
+            for i in np.flatnonzero(odd):
+                out[first + i] = np.frombuffer(self.ids(texts[first + i]), "<u4")
+        return out
+
+    def _unit_ids(self, cut: Units, odd: np.ndarray) -> list[np.ndarray]:
+        plain = np.flatnonzero(np.repeat(~odd, np.diff(cut.first_of)))
+        codes, distinct = pd.factorize(cut.hash[plain])
+        place = np.empty(len(distinct), np.int64)
+        place[codes[::-1]] = np.arange(len(codes) - 1, -1, -1)  # first place of each
+        if not cut.same(plain, plain[place][codes]):  # two units with one hash
+            odd[:] = True
+            return [None] * len(odd)
+        found = self._looked_up([cut.bytes[a:a + n] for a, n in zip(cut.start[plain[place]].tolist(), cut.size[plain[place]].tolist(), strict=True)])
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        flat, offsets = np.frombuffer(b"".join(found), "<u4"), np.cumsum(sizes) - sizes
+        size = sizes[codes]
+        ends = np.cumsum(size)
+        ids = flat[np.arange(int(size.sum())) + np.repeat(offsets[codes] - (ends - size), size)]
+        of_text = np.concatenate([[0], np.cumsum(np.where(odd, 0, np.diff(cut.first_of)))])  # in plain units
+        bounds = np.concatenate([[0], ends])[of_text]
+        return [ids[a:b] for a, b in zip(bounds, bounds[1:])]
+
+    def _looked_up(self, units: list[bytes]) -> list[bytes]:
+        known, tokenize = self.units, self.tokenizer.model.tokenize
+        found = list(map(known.get, units))
+        if len(known) > self.units_limit:
+            known.clear()
+        for i, ids in enumerate(found):
+            if ids is None:
+                unit = units[i]
+                found[i] = known[unit] = array("I", [t.id for t in tokenize(byte_level(unit.decode().lower()))]).tobytes()
+        return found
+
 
 @lru_cache(maxsize=2)
 def text_ids(name: str) -> TextIds:
