@@ -34,7 +34,19 @@ def nearest(words: np.ndarray) -> np.ndarray:
 
 
 def nearby(words: np.ndarray, bits: int) -> np.ndarray:
-    """Per word, the codeword indices of itself and of its ``bits`` one-bit neighbours:
-    shape (n, bits + 1), the word's own first, with repeats."""
+    """Per word, the codeword indices of itself and of its ``bits`` one-bit neighbours, shape (n, 6).
+
+    The word's own comes first; where there are fewer than six, it fills the rest.  There are never
+    more: only a word 3 bits from its codeword has neighbours with other codewords, these
+    lie 4 bits from it, and each takes four of the 20 other bits.
+    """
     flips = np.array([0, *(1 << b for b in range(bits))], np.uint32)
-    return nearest(words.astype(np.uint32)[:, None] ^ flips)
+    near = nearest(words.astype(np.uint32)[:, None] ^ flips)
+    own = near[:, :1].copy()
+    near.sort(axis=1)
+    new = near != own
+    new[:, 1:] &= near[:, 1:] != near[:, :-1]
+    out = np.repeat(own, 6, axis=1)
+    row, column = np.nonzero(new)
+    out[row, np.cumsum(new, axis=1)[row, column]] = near[row, column]
+    return out

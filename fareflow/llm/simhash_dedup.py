@@ -1,24 +1,29 @@
 """Operator 9: SimHash near-duplicates by Golay-code fuzzy hashing.
 
-A 64-bit fingerprint is cut into three segments of 22, 21 and 21 bits.  With at most 4 differing
-bits, the two least differing segments differ in at most 2 bits together.  Take those two
-segments as one word of 43 or fewer bits: two such words at a distance of at most 2 have a word
-m between them that is at most one bit from each.  A fingerprint therefore gets, for each of the
-three segment pairs, the pair of nearest codeword indices of every word at most one bit away
-(about ten distinct keys of 24 bits); linked fingerprints share the key of m, so no link is lost.
+A 64-bit fingerprint is cut into three segments of 22, 21 and 21 bits.  A segment's fuzzy keys are
+the nearest Golay codeword indices of all words at most one bit away, at most six.  Two segments
+at a distance of at most 2 have a word between them that is at most one bit from each, so they
+share a fuzzy key.  At most 4 differing bits over three segments (pigeonhole) leave two cases:
+
+- one segment is equal, and of the other two one differs in at most 2 bits: the key is the equal
+  segment with the other's fuzzy key (34 bits, for each ordered pair of segments);
+- every segment differs, by (1, 1, 1) or (1, 1, 2) bits.  Take the word between the two that has the
+  midpoint in the segment with most errors s, the second's bits in t and the first's in u: it is one
+  flip in s and in t from the first, and one in s and in u from the second.  The keys are the
+  triples of indices with fuzzy keys in two segments and the own index in the third (36 bits).
+
+So linked fingerprints share a key, and unlinked ones hardly ever do by chance (about one pair in
+ten million).  A fingerprint has about a hundred distinct keys.
 
 Only distinct fingerprints are keyed.  Buckets are verified by the exact bit distance.  A bucket
 with more than ``BUCKET`` fingerprints is dealt into blocks, and each pair of blocks is a cell of
 its own, so no task holds an unbounded group.  Cells of up to 16 rows give their links, larger ones a
 spanning forest of them, which has the same connected components and is never quadratic.
-
-The expected number of chance comparisons is about 8e-6 times the square of the number of
-distinct fingerprints; it is what the 24 bits of a key leave.
 """
 
 from __future__ import annotations
 
-from itertools import accumulate
+from itertools import accumulate, permutations
 
 import numpy as np
 import pyarrow as pa
@@ -68,16 +73,24 @@ def fingerprints(docs: DataFrame, shingle_words: int = 4) -> DataFrame:
 
 def fuzzy_keys(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(row, key) of every distinct key of each fingerprint."""
-    near = [nearby((prints >> np.uint64(shift)) & np.uint64((1 << bits) - 1), bits).astype(np.int64) for shift, bits in SEGMENTS]
+    segment = [(prints >> np.uint64(shift)) & np.uint64((1 << bits) - 1) for shift, bits in SEGMENTS]
+    near = [nearby(part, bits).astype(np.int64) for part, (_, bits) in zip(segment, SEGMENTS, strict=True)]
     rows, keys = [], []
-    for pair, (i, j) in enumerate(((0, 1), (0, 2), (1, 2))):
-        # a word at most one bit away differs in one segment of the two or in none
-        grid = np.concatenate([near[i] << 12 | near[j][:, :1], near[i][:, :1] << 12 | near[j][:, 1:]], axis=1)
+
+    def emit(grid: np.ndarray) -> None:
         grid.sort(axis=1)
         new = np.ones(grid.shape, bool)
         new[:, 1:] = grid[:, 1:] != grid[:, :-1]
         rows.append(np.nonzero(new)[0])
-        keys.append(grid[new] | pair << 24)
+        keys.append(grid[new])
+
+    for tag, (i, j) in enumerate(permutations(range(3), 2)):
+        emit(near[j] | (segment[i].astype(np.int64) << 12)[:, None] | tag << 36)
+    triples = []
+    for own in range(3):
+        parts = [near[i][:, :1, None] if i == own else near[i][:, :, None] if i == (own + 1) % 3 else near[i][:, None, :] for i in range(3)]
+        triples.append((parts[0] << 24 | parts[1] << 12 | parts[2]).reshape(len(prints), -1))
+    emit(np.concatenate(triples, axis=1) | 6 << 36)
     return np.concatenate(rows), np.concatenate(keys)
 
 
@@ -159,7 +172,8 @@ def links(prints: DataFrame, max_distance: int = MOST) -> DataFrame:
 def _grouped(docs: DataFrame, shingle_words: int, max_distance: int) -> tuple[DataFrame, DataFrame]:
     """All documents' fingerprints, and (fp, root) of the distinct ones."""
     prints = stored(fingerprints(docs, shingle_words), "fingerprints")
-    distinct = prints.select("fp").distinct()
+    spread = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    distinct = prints.select("fp").distinct().repartition(spread, "fp")  # 8 bytes a row, but much work on each
     roots = connected_components(links(distinct, max_distance))
     return prints, (distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
                     .select("fp", F.coalesce("root", "fp").alias("root")))
