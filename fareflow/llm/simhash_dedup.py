@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fareflow.llm.common import stored, texts
+from fareflow.llm.common import parts, stored, texts
 from fareflow.llm.components import connected_components
 from fareflow.llm.golay import nearby
 
@@ -62,7 +62,7 @@ def fingerprint(text: str, shingle_words: int = 4) -> int:
 def fingerprints(docs: DataFrame, shingle_words: int = 4) -> DataFrame:
     """``doc_id``, ``text_hash`` (of the text as it stands) and ``fp`` (the fingerprint as a signed long)."""
     def run(batches):
-        for batch in batches:
+        for batch in parts(batches):
             prints = np.array([fingerprint(t, shingle_words) for t in texts(batch)], np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_hash"), pa.array(prints.view(np.int64))],
                                              ["doc_id", "text_hash", "fp"])
@@ -95,7 +95,7 @@ def fuzzy_keys(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _keyed(batches):
-    for batch in batches:
+    for batch in parts(batches):
         fp = batch.column("fp").to_numpy()
         for at in range(0, len(fp), 4096):
             part = fp[at:at + 4096]
@@ -173,7 +173,8 @@ def _grouped(docs: DataFrame, shingle_words: int, max_distance: int) -> tuple[Da
     """All documents' fingerprints, and (fp, root) of the distinct ones."""
     prints = stored(fingerprints(docs, shingle_words), "fingerprints")
     spread = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    distinct = prints.select("fp").distinct().repartition(spread, "fp")  # 8 bytes a row, but much work on each
+    # 8 bytes a row, but much work on each: as many tasks as there are shuffle partitions
+    distinct = prints.select("fp").distinct().repartition(spread, F.xxhash64("fp"))
     roots = connected_components(links(distinct, max_distance))
     return prints, (distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
                     .select("fp", F.coalesce("root", "fp").alias("root")))
