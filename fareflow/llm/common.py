@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -45,6 +46,13 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def parts(batches: Iterable[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
+    """The batches in smaller ones, so that a worker holds the Python values of few rows at once."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def texts(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     """The column's values; null reads as the empty text."""
     return [t or "" for t in batch.column(column).to_pylist()]

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fareflow.llm.common import texts
+from fareflow.llm.common import parts, texts
 
 SLICE_BYTES = 32 << 20
 
@@ -98,7 +98,7 @@ def contained_items(docs: DataFrame, benchmark: DataFrame, shingle_words: int =
 
     def search(index):
         def run(batches):
-            for batch in batches:
+            for batch in parts(batches):
                 rows = [(d, i, hit, size) for d, t in zip(batch.column("doc_id").to_pylist(), texts(batch), strict=True)
                         for i, hit, size in index.value.search(t)]
                 columns = list(zip(*rows, strict=True)) or [()] * 4
@@ -113,7 +113,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, shingle_words: int
     """The rows of ``docs``, all columns, that contain no benchmark item.  Null texts stay."""
     def keep(index):
         def run(batches):
-            for batch in batches:
+            for batch in parts(batches):
                 at = batch.schema.get_field_index("text")
                 clean = [not index.value.search(t or "") for t in batch.column(at).to_pylist()]
                 yield batch.filter(pa.array(clean, pa.bool_()))

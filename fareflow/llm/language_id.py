@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fareflow.llm.common import labelled_sample, texts
+from fareflow.llm.common import labelled_sample, parts, texts
 
 SIZE = 1 << 13  # hashed n-grams
 PER_LANGUAGE = 500  # documents of a language in the k-means, at most
@@ -103,7 +103,7 @@ def fit(docs: DataFrame, training, lang: str = "lang", per_language: int = PER_L
 
     def counted(batches):
         seen = np.zeros(SIZE + 1, np.int64)
-        for batch in batches:
+        for batch in parts(batches):
             for text in texts(batch):
                 if (found := grams(text)) is not None:
                     seen[found[0]] += 1
@@ -117,7 +117,7 @@ def fit(docs: DataFrame, training, lang: str = "lang", per_language: int = PER_L
     idf = (np.log((1 + seen[SIZE]) / (1 + seen[:SIZE])) + 1).astype(np.float32)
 
     def vectors(batches):
-        for batch in batches:
+        for batch in parts(batches):
             found = [(l, _vector(g, idf)) for l, t in zip(batch.column("label").to_pylist(), texts(batch), strict=True) if (g := grams(t)) is not None]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([l for l, _ in found], pa.string()), pa.array([v[0] for _, v in found], pa.list_(pa.int32())),
@@ -151,7 +151,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)  # languages x centroids x 2^13 numbers
 
     def run(batches):
-        for batch in batches:
+        for batch in parts(batches):
             rows = [shared.value.predict(t) for t in texts(batch)]
             columns = list(zip(*rows, strict=True)) or [()] * 4
             kinds = (pa.string(), pa.string(), pa.float64(), pa.bool_())

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fareflow.llm.common import texts
+from fareflow.llm.common import parts, texts
 
 # Known licence sentences in normalised form (lower case, "license", single spaces),
 # identifier -> pattern, in the order in which they are tried.
@@ -142,7 +142,7 @@ def license_matches(docs: DataFrame, max_gap: int = 2) -> DataFrame:
     each; an empty table gives no rows; other columns are ignored.  Documents never move.
     """
     def run(batches):
-        for batch in batches:
+        for batch in parts(batches):
             rows = [(d, licence, a, b, ",".join(ids)) for d, t in zip(batch.column("doc_id").to_pylist(), texts(batch), strict=True)
                     for licence, a, b, ids in scan(t, max_gap)]
             columns = list(zip(*rows, strict=True)) or [()] * 5

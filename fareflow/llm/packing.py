@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fareflow.llm.common import partition_id, texts
+from fareflow.llm.common import partition_id, parts, texts
 from fareflow.llm.tokens import text_ids
 from fareflow.llm.words import LETTER, Units, batches_of, units
 
@@ -50,7 +50,7 @@ def corpus_statistics(docs: DataFrame) -> tuple[np.ndarray, float]:
 
     def counted(batches):
         seen = np.zeros(TERMS + 2, np.int64)
-        for batch in batches:
+        for batch in parts(batches):
             for first, last, raw in batches_of(texts(batch)):
                 terms, counts, _ = _term_counts(units(raw))
                 seen[:TERMS] += np.bincount(terms, minlength=TERMS)
@@ -163,7 +163,7 @@ def _packed(batches: Iterator[pa.RecordBatch], idf: np.ndarray, mean: float, tok
             ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"])
         sequence0 += int(sequence[-1]) + 1
 
-    for batch in batches:
+    for batch in parts(batches):
         found: list[tuple[np.ndarray, np.ndarray]] = []
 
         def seen(first: int, cut: Units):

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fareflow.llm.common import labelled_sample, texts
+from fareflow.llm.common import labelled_sample, parts, texts
 from fareflow.llm.tokens import Bounded
 
 SIZE = 1 << 18  # hashed features
@@ -39,8 +39,8 @@ def _shape(word: str) -> int:
     return zlib.crc32(f"{left[:3]} {case} {right[:3]}".encode())
 
 
-_word_hash = Bounded(lambda word: zlib.crc32(word.lower().encode()), 400_000)
-_shape_hash = Bounded(_shape, 400_000)
+_word_hash = Bounded(lambda word: zlib.crc32(word.lower().encode()), 150_000)
+_shape_hash = Bounded(_shape, 150_000)
 
 
 def _mix(x: np.ndarray, seed: int) -> np.ndarray:
@@ -139,7 +139,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", per_label: i
     known = labels.select("doc_id", (F.col(label) == 1).alias("label"))
 
     def run(batches):
-        for batch in batches:
+        for batch in parts(batches):
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("label"), pa.array([features(t) for t in texts(batch)], pa.list_(pa.int32()))],
                 ["doc_id", "label", "features"])
@@ -186,7 +186,7 @@ def score_documents(docs: DataFrame, model: Model) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)  # 2 MB, whatever the corpus
 
     def run(batches):
-        for batch in batches:
+        for batch in parts(batches):
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([shared.value.score(t) for t in texts(batch)], pa.float64())],
                                              ["doc_id", "score"])
 
@@ -198,7 +198,7 @@ def keep_good(docs: DataFrame, model: Model, threshold: float) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        for batch in batches:
+        for batch in parts(batches):
             at = batch.schema.get_field_index("text")
             yield batch.filter(pa.array([shared.value.score(t or "") >= threshold for t in batch.column(at).to_pylist()], pa.bool_()))
 

@@ -20,7 +20,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from fareflow.llm.common import partition_id, texts
+from fareflow.llm.common import partition_id, parts, texts
 from fareflow.llm.tokens import pre_tokens
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -39,7 +39,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], tokenizer: str, block_bytes: int)
     cut = pre_tokens(tokenizer).cut
     part, seq = partition_id(), 0
     numbers, ids, sizes, rows, size = _Numbers(), [], [], [], 0
-    for batch in batches:
+    for batch in parts(batches):
         for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts(batch), strict=True):
             pieces = cut(text)
             rows.append(np.unique(np.fromiter(map(numbers.__getitem__, pieces), np.uint32, len(pieces)), return_counts=True))

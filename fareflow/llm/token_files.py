@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareflow.llm.common import partition_id, texts
+from fareflow.llm.common import partition_id, parts, texts
 from fareflow.llm.tokens import text_ids
 
 WORD_BPE = "word_bpe_49k.json"
@@ -123,24 +123,24 @@ def decode(data: bytes, first_block: int = 0, last_block: int | None = None) ->
 def _segments(batches: Iterator[pa.RecordBatch], tokenizer: str, end_id: int, segment_ids: int):
     encoder, part, seq, start = text_ids(tokenizer), partition_id(), 0, 0
     end = np.array([end_id], "<u4")
-    docs, parts, size = [], [], 0
+    docs, held, size = [], [], 0
 
     def row():
-        lengths = [len(p) + 1 for p in parts]
-        ids = np.concatenate([a for p in parts for a in (p, end)])
+        lengths = [len(p) + 1 for p in held]
+        ids = np.concatenate([a for p in held for a in (p, end)])
         return pa.RecordBatch.from_arrays(
             [pa.array([part], pa.int32()), pa.array([seq], pa.int32()), pa.array([start], pa.int64()), pa.array([len(ids)], pa.int64()),
              pa.array([docs], pa.list_(pa.int64())), pa.array([lengths], pa.list_(pa.int64())), pa.array([encode(ids)], pa.binary())],
             ["part", "segment", "start", "n_ids", "doc_ids", "lengths", "data"])
 
-    for batch in batches:
+    for batch in parts(batches):
         for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoder.all_ids(texts(batch)), strict=True):
             docs.append(doc_id)
-            parts.append(ids)
+            held.append(ids)
             size += len(ids) + 1
             if size >= segment_ids:
                 yield row()
-                seq, start, docs, parts, size = seq + 1, start + size, [], [], 0
+                seq, start, docs, held, size = seq + 1, start + size, [], [], 0
     if docs:
         yield row()
 
@@ -177,7 +177,7 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
         before += n
 
     def documents(batches):
-        for batch in batches:
+        for batch in parts(batches):
             for row in batch.to_pylist():
                 ids, at = decode(row["data"]).astype("<u4"), offsets[row["part"]] + row["start"]
                 lengths = np.array(row["lengths"], np.int64)

@@ -116,7 +116,7 @@ def _id_bytes(ids: list[int]) -> bytes:
 class TextIds:
     """Ids of whole texts as little-endian 32-bit integers."""
 
-    def __init__(self, name: str, limit: int = 500_000):
+    def __init__(self, name: str, limit: int = 250_000):
         self.tokenizer = load(name)
         self.kind = cut_kind(name)
         self.pieces = Bounded(self._piece, limit)
