@@ -66,10 +66,14 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, per_label: int) -> DataF
     of a document the smallest counts; of rows that share a doc_id the one of the smallest text
     hash.  Only ids are ranked; the sample's ids (a bounded table) are broadcast to the documents.
     """
-    lowest = Window.partitionBy("label").orderBy("hash", "doc_id")
-    chosen = (labels.where("doc_id IS NOT NULL AND label IS NOT NULL").groupBy("doc_id").agg(F.min("label").alias("label"))
-              .withColumn("hash", F.xxhash64("doc_id"))
-              .withColumn("place", F.row_number().over(lowest)).where(F.col("place") <= per_label).select("doc_id", "label"))
+    known = (labels.where("doc_id IS NOT NULL AND label IS NOT NULL").groupBy("doc_id").agg(F.min("label").alias("label"))
+             .withColumn("hash", F.xxhash64("doc_id")))
+    # before ranking, a label's rows are thinned by their hash to about twice the wanted number
+    share = F.broadcast(known.groupBy("label").agg((2 * per_label / F.count(F.lit(1))).alias("share")))
+    thinned = known.join(share, "label").where(F.pmod("hash", F.lit(1 << 30)) < F.col("share") * (1 << 30))
+    lowest = Window.partitionBy("label").orderBy(F.pmod("hash", F.lit(1 << 30)), "doc_id")
+    chosen = (thinned.withColumn("place", F.row_number().over(lowest)).where(F.col("place") <= per_label)
+              .select("doc_id", "label"))
     rows = docs.select("doc_id", "text").where("text IS NOT NULL").join(F.broadcast(chosen), "doc_id")
     return (rows.groupBy("doc_id", "label").agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("first"))
             .select("doc_id", "label", F.col("first.text").alias("text")))
