@@ -37,6 +37,7 @@ WORD = rf"[^{SPACE}]+"
 _ODD = np.zeros(256, np.uint8)
 _ODD[[0x27, *range(0x1C, 0x20), 0xC2, *range(0xC9, 0x100)]] = 1
 _ODD[[0x97, 0xB7, 0xB0, ord("|")]] = 2  # odd after these bytes only
+_ODD = _ODD.tobytes()
 _AFTER = np.zeros(256, np.uint8)
 _AFTER[[0x97, 0xB7, 0xB0, ord("|")]] = 0xC3, 0xC3, 0xC4, ord("<")
 
@@ -44,7 +45,9 @@ _AFTER[[0x97, 0xB7, 0xB0, ord("|")]] = 0xC3, 0xC3, 0xC4, ord("<")
 def odd_texts(cut: Units) -> np.ndarray:
     """Whether each text of the batch holds something odd."""
     buffer = np.frombuffer(cut.bytes, np.uint8)
-    kind = _ODD[buffer]
+    kind = np.frombuffer(cut.bytes.translate(_ODD), np.uint8)
+    if not kind.any():
+        return np.zeros(len(cut.text_end), bool)
     at = np.flatnonzero(kind)
     at = at[(kind[at] == 1) | (buffer[at - 1] == _AFTER[buffer[at]])]
     odd = np.zeros(len(cut.text_end), bool)
@@ -122,7 +125,7 @@ class TextIds:
         self.pieces = Bounded(self._piece, limit)
         self.words = Bounded(self._word, limit)
         self.units: dict[bytes, bytes] = {}
-        self.units_limit = 2 * limit
+        self.units_limit = 800_000
         self._cut = re.compile(PLAIN_WORD_CUT)
         self._split = regex.compile(WORD)
 

@@ -14,8 +14,8 @@ import xxhash
 
 SPACE, LETTER, DIGIT, MARK = range(4)
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
-CLASS = np.array([SPACE if c in (9, 10, 11, 12, 13, 32) else LETTER if c >= 128 or chr(c).isalpha() else DIGIT if 48 <= c <= 57 else MARK
-                  for c in range(256)], np.uint8)
+CLASS = bytes(SPACE if c in (9, 10, 11, 12, 13, 32) else LETTER if c >= 128 or chr(c).isalpha() else DIGIT if 48 <= c <= 57 else MARK
+              for c in range(256))
 _MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
 _MASK = np.array([(1 << 8 * n) - 1 for n in range(8)] + [2**64 - 1], np.uint64)
 LONG = 128  # bytes from which a unit is hashed as a whole
@@ -28,6 +28,7 @@ class Units:
     size: np.ndarray
     kind: np.ndarray  # LETTER, DIGIT or MARK
     hash: np.ndarray
+    head: tuple[np.ndarray, np.ndarray]  # bytes 0 to 7 and 8 to 15 of units shorter than LONG
     first_of: np.ndarray  # of each text the first unit; one more for the end
     text_end: np.ndarray  # in the buffer
 
@@ -35,8 +36,12 @@ class Units:
         """Whether units ``of`` have the bytes of units ``other``, pairwise."""
         if (self.size[of] != self.size[other]).any():
             return False
-        for at, left, right in zip(*_eights(self.bytes, self.start[of], self.size[of], self.start[other])):
-            if (left != right).any():
+        if any((eight[of] != eight[other]).any() for eight in self.head):
+            return False
+        more = np.flatnonzero(self.size[of] > 16)
+        left, right = of[more], other[more]
+        for _, a, b in zip(*_eights(self.bytes, self.start[left], self.size[left], self.start[right])):
+            if (a != b).any():
                 return False
         far = np.flatnonzero(self.size[of] >= LONG)
         return all(self.unit(of[i]) == self.unit(other[i]) for i in far)
@@ -61,20 +66,22 @@ def _eights(buffer: bytes, start: np.ndarray, size: np.ndarray, *others: np.ndar
     return of, *values
 
 
-def _hashes(buffer: bytes, start: np.ndarray, size: np.ndarray) -> np.ndarray:
-    out = size.astype(np.uint64)
-    for at, eight in zip(*_eights(buffer, start, size)):
+def _hashes(buffer: bytes, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, tuple[np.ndarray, np.ndarray]]:
+    out, head = size.astype(np.uint64), (np.zeros(len(size), np.uint64), np.zeros(len(size), np.uint64))
+    for number, (at, eight) in enumerate(zip(*_eights(buffer, start, size))):
+        if number < 2:
+            head[number][at] = eight
         h = (out[at] ^ eight) * _MULTIPLY
         out[at] = h ^ (h >> np.uint64(29))
     for i in np.flatnonzero(size >= LONG):
         out[i] = xxhash.xxh64_intdigest(buffer[start[i]:start[i] + size[i]])
-    return out * _MULTIPLY
+    return out * _MULTIPLY, head
 
 
 def units(raw: list[bytes]) -> Units:
     """Units of the texts, given as UTF-8."""
     buffer = (b"\n".join(raw) + b"\n").translate(LOWER)
-    kind = CLASS[np.frombuffer(buffer, np.uint8)]
+    kind = np.frombuffer(buffer.translate(CLASS), np.uint8)
     change = np.ones(len(buffer), bool)
     np.not_equal(kind[1:], kind[:-1], out=change[1:])
     change |= kind == DIGIT
@@ -85,7 +92,7 @@ def units(raw: list[bytes]) -> Units:
     start, size, kind = start[own], size[own], kind[own]
     text_end = np.cumsum([len(r) + 1 for r in raw])
     buffer += bytes(8)
-    return Units(buffer, start, size, kind, _hashes(buffer, start, size), np.concatenate([[0], np.searchsorted(start, text_end)]), text_end)
+    return Units(buffer, start, size, kind, *_hashes(buffer, start, size), np.concatenate([[0], np.searchsorted(start, text_end)]), text_end)
 
 
 def batches_of(texts: list[str], most_bytes: int = 4 << 20):
