@@ -83,6 +83,16 @@ def write_partitioned(df: DataFrame, path: str, partition: str, cluster: list[st
     out.write.mode(mode).partitionBy(partition).parquet(path)
 
 
+# Hive-style folder of the rows whose partition value is NULL.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
+def _in_partitions(column: str, values: list):
+    """Whether the partition value is one of ``values``; None stands for NULL, which ``isin`` never matches."""
+    among = F.coalesce(F.col(column).isin([v for v in values if v is not None]), F.lit(False))
+    return among | F.col(column).isNull() if None in values else among
+
+
 def merge_by_key(spark: SparkSession, target_path: str, source: DataFrame, key: str, partition: str,
                  cluster: list[str] | None = None, partition_immutable: bool = False) -> None:
     """Upsert ``source`` (unique per ``key``) into the partitioned table.
@@ -91,6 +101,9 @@ def merge_by_key(spark: SparkSession, target_path: str, source: DataFrame, key:
     columns of the whole target.  ``partition_immutable=True`` states that a
     key never changes partition (e.g. the date of a trip's request), so only
     the source's own partitions are read and rewritten.
+
+    Rows without a partition value are a partition of their own: a key may
+    move into or out of it like any other.
     """
     if not table_exists(spark, target_path):
         write_partitioned(source, target_path, partition, cluster)
@@ -98,6 +111,14 @@ def merge_by_key(spark: SparkSession, target_path: str, source: DataFrame, key:
     # the source is read three times below (its partitions, the key lookup, the write):
     # computed once and kept (recomputed from lineage if an executor is lost)
     source = source.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        _merge_into(spark, target_path, source, key, partition, cluster, partition_immutable)
+    finally:
+        source.unpersist()
+
+
+def _merge_into(spark: SparkSession, target_path: str, source: DataFrame, key: str, partition: str,
+                cluster: list[str] | None, partition_immutable: bool) -> None:
     target = spark.read.parquet(target_path)
     src_keys = source.select(F.col(key).alias("_k"), F.col(partition).alias("_new_part"))
     # partitions that gain a row (the source's) ...
@@ -109,7 +130,7 @@ def merge_by_key(spark: SparkSession, target_path: str, source: DataFrame, key:
                      .select(F.col(partition).alias("_p")).distinct().collect()}
     # partition values are dates: both sets are bounded by the calendar
     touched_list = sorted(new_parts | old_parts, key=str)
-    affected = target.filter(F.col(partition).isin(touched_list)) if touched_list else target.limit(0)
+    affected = target.filter(_in_partitions(partition, touched_list))
     kept = affected.join(source.select(key), key, "left_anti")
     merged = kept.unionByName(source.select(*target.columns))
     # a partition is left empty only if it lost a moved key, receives no
@@ -117,7 +138,7 @@ def merge_by_key(spark: SparkSession, target_path: str, source: DataFrame, key:
     candidates = sorted(old_parts - new_parts, key=str)
     emptied = []
     if candidates:
-        still = {r["_p"] for r in kept.filter(F.col(partition).isin(candidates))
+        still = {r["_p"] for r in kept.filter(_in_partitions(partition, candidates))
                  .select(F.col(partition).alias("_p")).distinct().collect()}
         emptied = [p for p in candidates if p not in still]
     # Dynamic overwrite replaces exactly the partitions present in ``merged``.
@@ -126,5 +147,4 @@ def merge_by_key(spark: SparkSession, target_path: str, source: DataFrame, key:
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     write_partitioned(merged.select(*target.columns), target_path, partition, cluster)
     for p in emptied:
-        _delete(spark, f"{target_path.rstrip('/')}/{partition}={p}")
-    source.unpersist()
+        _delete(spark, f"{target_path.rstrip('/')}/{partition}={NULL_PARTITION if p is None else p}")

@@ -56,8 +56,10 @@ def relationship_rows(child: DataFrame, column: str, parent: DataFrame, parent_c
 
 def check_relationship(child: DataFrame, table: str, column: str, parent: DataFrame,
                        parent_column: str) -> DataFrame:
-    bad = relationship_rows(child, column, parent, parent_column)
-    return bad.agg(F.count(F.lit(1)).alias("_v")).select(
+    """Rows are counted per key first (in each map task), so a hot key is one row in the anti join."""
+    keys = child.groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
+    bad = relationship_rows(keys, column, parent, parent_column)
+    return bad.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("_v")).select(
         *_result(table, "relationships", column, F.col("_v")))
 
 

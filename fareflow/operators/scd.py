@@ -47,6 +47,8 @@ def scd2_apply(history: DataFrame, snapshot: DataFrame, key: str, tracked: Seque
     hash collisions).
     """
     eff = F.lit(effective_at).cast("timestamp")
+    if not history.filter(F.col("valid_from") > eff).isEmpty():
+        raise ValueError("effective_at lies before a version of the history")
     attrs = list(snapshot.columns)
     closed_before = history.filter(~F.col("is_current"))
     current = history.filter(F.col("is_current"))

@@ -26,7 +26,10 @@ from fareflow.functions.dates import elapsed
 def next_event(events: DataFrame, key: str, ts: str, status: str, tiebreak: str,
                chunk: str = "day") -> DataFrame:
     """``events`` + ``next_ts``, ``next_status`` (NULL for a key's last event)."""
-    e = events.withColumn("_chunk", F.date_trunc(chunk, F.col(ts)))
+    # a NULL timestamp forms its own, first chunk: a plain number, so that the join below is a plain
+    # equality on the columns by which the events are already partitioned
+    e = events.withColumn("_chunk", F.coalesce(F.unix_micros(F.date_trunc(chunk, F.col(ts)).cast("timestamp")),
+                                               F.lit(-(2**63)).cast("bigint")))
     w = Window.partitionBy(key, "_chunk").orderBy(F.col(ts).asc_nulls_first(), F.col(tiebreak).asc_nulls_first())
     e = (e.withColumn("_pos", F.row_number().over(w))
           .withColumn("_has_next", F.lead(F.lit(True)).over(w))
@@ -39,9 +42,7 @@ def next_event(events: DataFrame, key: str, ts: str, status: str, tiebreak: str,
                  .withColumn("_succ_status", F.lead("_head_status").over(hw))
                  .withColumn("_succ_exists", F.lead(F.lit(True)).over(hw))
                  .select(key, "_chunk", "_succ_ts", "_succ_status", "_succ_exists"))
-    # null-safe on _chunk: a NULL timestamp forms its own (first) chunk
-    j = e.join(succ, [e[key] == succ[key], e["_chunk"].eqNullSafe(succ["_chunk"])], "left") \
-        .drop(succ[key]).drop(succ["_chunk"])
+    j = e.join(succ, [key, "_chunk"], "left")
     last = F.col("_has_next").isNull()
     return (j.withColumn("next_ts", F.when(last, F.col("_succ_ts")).otherwise(F.col("next_ts")))
              .withColumn("next_status", F.when(last, F.col("_succ_status")).otherwise(F.col("next_status")))

@@ -57,6 +57,20 @@ def merge_by_key_q(m) -> DataFrame:
     return m.spark.read.parquet(path).select(*cols)
 
 
+def merge_null_date(m) -> DataFrame:
+    """I1 with rows of no date: every 7th trip is first stored without one; of these the even ones then move
+    to their date, and every third trip comes again, the odd 7th ones still without a date."""
+    path = shared_table_path(m.spark, "fact_trips_null")
+    undated = (F.col("trip_id") % 7 == 0)
+    first = m.fact_trips.withColumn("trip_date", F.when(~undated, F.col("trip_date")))
+    merge_by_key(m.spark, path, first, FACT_KEY, FACT_PARTITION, FACT_CLUSTER)
+    still = undated & (F.col("trip_id") % 2 == 1)
+    again = (m.fact_trips.filter((F.col("trip_id") % 14 == 0) | (F.col("trip_id") % 3 == 0))
+             .withColumn("trip_date", F.when(~still, F.col("trip_date"))))
+    merge_by_key(m.spark, path, again, FACT_KEY, FACT_PARTITION, FACT_CLUSTER)
+    return m.spark.read.parquet(path).select(*m.fact_trips.columns)
+
+
 def driver_snapshot(m, as_of: dt.date) -> DataFrame:
     """Driver attributes as known on ``as_of`` (only trips requested before it)."""
     trips = m.stg_trips.filter(F.col("requested_at") < F.lit(dt.datetime(as_of.year, as_of.month, as_of.day))

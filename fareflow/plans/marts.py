@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from fareflow.functions import bands
 from fareflow.functions.dates import days_between, months_crossed, part, trailing_days
 from fareflow.functions.keys import surrogate_key
-from fareflow.functions.rates import exact_avg, safe_pct
+from fareflow.functions.rates import exact_avg, safe_divide, safe_pct
 from fareflow.operators.fraud import FRAUD_FLAGS, payment_summary, trip_fraud_flags
 from fareflow.operators.joins import lookup_left_join
 from fareflow.operators.ranking import global_rank, top_n_per
@@ -196,13 +196,17 @@ def drivers_leaderboard(fact: DataFrame, dim_drivers: DataFrame, dim_cities: Dat
     city rank a per-city window cut at ``top``.
     """
     f = trailing_days(fact, "trip_date", days, as_of).filter(F.col("trip_status") == "completed")
-    j = _dim_join(f, dim_drivers, "driver_sk",
+    # trips are summed per driver and city before any join: a busy driver is combined in the map tasks
+    per = f.groupBy("driver_sk", "city_sk").agg(
+        F.count("trip_id").alias("_trips"), F.sum("gross_revenue").alias("_revenue"),
+        F.sum("trip_duration_minutes").alias("_minutes"), F.count("trip_duration_minutes").alias("_timed"))
+    j = _dim_join(per, dim_drivers, "driver_sk",
                   ["driver_id", "driver_status", "driver_tier", "rating_category"], broadcast_max_rows)
     j = _dim_join(j, dim_cities, "city_sk", ["city_name"], broadcast_max_rows)
     agg = (j.groupBy("driver_id", "driver_status", "driver_tier", "rating_category", "city_name")
-           .agg(F.count("trip_id").alias("trips_completed"),
-                F.sum("gross_revenue").alias("total_revenue"),
-                exact_avg("trip_duration_minutes").alias("avg_trip_time")))
+           .agg(F.sum("_trips").alias("trips_completed"),
+                F.sum("_revenue").alias("total_revenue"),
+                safe_divide(F.sum("_minutes"), F.sum("_timed")).alias("avg_trip_time")))
     ranked = global_rank(agg, "total_revenue", name="overall_rank")
     return top_n_per(ranked, ["city_name"], ["total_revenue"], top, name="city_rank").select(
         "driver_id", "driver_status", "driver_tier", "rating_category", "city_name",

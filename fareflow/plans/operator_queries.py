@@ -231,6 +231,8 @@ def _register_more() -> None:
         "dq_summary": quality_checks.dq_summary,
         "incremental_delta": history.incremental_delta,
         "merge_by_key": history.merge_by_key_q,
+        "merge_null_date": history.merge_null_date,
+        "dq_quarantine_text": quality_checks.dq_quarantine_text,
         "scd2_history": history.scd2_history,
         "incremental_updates": history.incremental_updates,
     })

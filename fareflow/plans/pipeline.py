@@ -135,6 +135,10 @@ def materialize(models: Models, warehouse: str) -> dict[str, str]:
 
     paths: dict[str, str] = {}
     root = warehouse.rstrip("/")
+    if not models.config.strict_casts:  # the rows that staging leaves out are stored, never thrown away
+        from fareflow.plans.quality_checks import quarantined_rows
+        paths["quarantine"] = f"{root}/quarantine"
+        write_table(quarantined_rows(models), paths["quarantine"])
     for name in VIEWS:
         as_view(models[name], name)
     for name in TABLES:
@@ -148,3 +152,8 @@ def materialize(models: Models, warehouse: str) -> dict[str, str]:
         paths[name] = f"{root}/{name}"
         models._cache[name] = write_table(models[name], paths[name])
     return paths
+
+
+def read_report(spark: SparkSession, warehouse: str, report: str) -> DataFrame:
+    """O1: a stored report in its published order (a stored table keeps none)."""
+    return marts.ordered(spark.read.parquet(f"{warehouse.rstrip('/')}/{report}"), report)

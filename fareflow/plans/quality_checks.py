@@ -39,7 +39,9 @@ def dq_not_null(m) -> DataFrame:
 
 
 def dq_unique(m) -> DataFrame:
-    return _union([Q.check_unique(m.raw[t], t, k) for t, k in UNIQUE.items()])
+    """Q2 on the raw keys, and on the fact's merge key (the reports count trips by it)."""
+    return _union([*(Q.check_unique(m.raw[t], t, k) for t, k in UNIQUE.items()),
+                   Q.check_unique(m.fact_trips, "fact_trips", "trip_sk")])
 
 
 def dq_accepted(m) -> DataFrame:
@@ -74,6 +76,19 @@ def dq_custom(m) -> DataFrame:
     return neg.unionByName(dur).unionByName(unpaid)
 
 
+CUSTOM_CHECKS = ("no_negative_fare", "completed_duration_positive", "completed_has_successful_payment")
+
+
+def dq_custom_results(m) -> DataFrame:
+    """Q5 as rule results: the violating rows of each business check, counted."""
+    counts = dq_custom(m).groupBy("check").agg(F.count(F.lit(1)).alias("_v"))
+    rules = m.spark.createDataFrame([(c,) for c in CUSTOM_CHECKS], "check string")
+    v = F.coalesce("_v", F.lit(0)).cast("bigint")
+    return rules.join(counts, "check", "left").select(
+        F.lit("trips").alias("table"), F.col("check").alias("rule"), F.lit("*").alias("column"), v.alias("violations"),
+        F.when(v == 0, "pass").otherwise("fail").alias("status"))
+
+
 def dq_freshness(m) -> DataFrame:
     as_of = m.config.as_of_ts
     parts = []
@@ -85,7 +100,7 @@ def dq_freshness(m) -> DataFrame:
 
 def dq_summary(m) -> DataFrame:
     """Every rule result of the suite in one table."""
-    return _union([dq_not_null(m), dq_unique(m), dq_accepted(m), dq_relationships(m)])
+    return _union([dq_not_null(m), dq_unique(m), dq_accepted(m), dq_relationships(m), dq_custom_results(m)])
 
 
 # Casts staging applies to each raw table (the typed contract).
@@ -105,10 +120,26 @@ STAGING_CASTS = {
 }
 
 
-def dq_quarantine(m) -> DataFrame:
-    """Q6: raw rows that staging's casts would reject, with the failing columns."""
+def quarantined_rows(m) -> DataFrame:
+    """Q6: raw rows that staging's casts would reject: table, key, failing columns and the row as JSON."""
     parts = []
     for t, casts in STAGING_CASTS.items():
         _, bad = Q.quarantine(m.raw[t], casts, UNIQUE[t])
-        parts.append(bad.select(F.lit(t).alias("table"), "row_key", "failed_columns"))
+        row = F.to_json(F.struct(*[F.col(c) for c in m.raw[t].columns]))
+        parts.append(bad.select(F.lit(t).alias("table"), "row_key", "failed_columns", row.alias("row")))
     return _union(parts)
+
+
+def dq_quarantine(m) -> DataFrame:
+    """Q6: the rejected rows of the landing tables without their contents."""
+    return quarantined_rows(m).drop("row")
+
+
+def dq_quarantine_text(m) -> DataFrame:
+    """Q6 on a landing table of text with malformed values: some amounts and timestamps of the payments."""
+    raw = m.raw["payments_raw"]
+    text = raw.select(*[F.col(c).cast("string").alias(c) for c in raw.columns])
+    text = (text.withColumn("amount", F.when(F.col("payment_id").cast("bigint") % 50 == 0, "n/a").otherwise(F.col("amount")))
+            .withColumn("created_at", F.when(F.col("payment_id").cast("bigint") % 75 == 0, "soon").otherwise(F.col("created_at"))))
+    _, bad = Q.quarantine(text, STAGING_CASTS["payments_raw"], "payment_id")
+    return bad.select(F.lit("payments_raw").alias("table"), "row_key", "failed_columns")

@@ -76,11 +76,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder; set a scratch one only when unset.
 
     On a cluster ``spark.checkpoint.dir`` names shared storage and is kept as
-    is.  Local runs (tests) get a fresh scratch folder.
+    is; a cluster without it is an error, as a machine-local folder would be
+    a different one on each executor.  Local runs (tests) get a fresh scratch folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not current:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         current = tempfile.mkdtemp(prefix="fareflow-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(current)
@@ -93,9 +96,13 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    parts = shuffle_partitions or int(os.environ.get("FAREFLOW_SHUFFLE_PARTITIONS", "8"))
-    builder = builder.config("spark.sql.shuffle.partitions", str(parts))
-    builder = builder.config("spark.driver.memory", os.environ.get("FAREFLOW_DRIVER_MEMORY", "16g"))
+    # a running session and spark-submit bring their own sizes; only a plain local start gets defaults
+    sized = SparkSession.getActiveSession() is not None or "PYSPARK_GATEWAY_PORT" in os.environ
+    parts = shuffle_partitions or os.environ.get("FAREFLOW_SHUFFLE_PARTITIONS") or (None if sized else 8)
+    if parts:
+        builder = builder.config("spark.sql.shuffle.partitions", str(parts))
+    if not sized:
+        builder = builder.config("spark.driver.memory", os.environ.get("FAREFLOW_DRIVER_MEMORY", "16g"))
     for key, value in SESSION_DEFAULTS.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
