@@ -24,12 +24,3 @@ def surrogate_key(*cols) -> Column:
         parts.append(F.coalesce(col.cast("string"), F.lit(NULL_PLACEHOLDER)))
     return F.md5(F.concat(*parts))
 
-
-def surrogate_key_sql(*cols: str) -> str:
-    """The same key as a SQL expression (used by the oracle)."""
-    parts = []
-    for i, c in enumerate(cols):
-        if i:
-            parts.append(f"'{SEPARATOR}'")
-        parts.append(f"coalesce(cast({c} as varchar), '{NULL_PLACEHOLDER}')")
-    return f"md5(concat({', '.join(parts)}))"
