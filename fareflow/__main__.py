@@ -1,6 +1,10 @@
-"""Command line: ``python -m fareflow <command> --sf-dir DIR [--warehouse DIR] [--as-of DATE]``.
+"""Command line: ``python -m fareflow <command> (--landing DIR | --sf-dir DIR) [--warehouse DIR] [--as-of DATE]``.
+
+``--landing`` holds the six landing tables, one folder of Parquet files each, named like the table
+(``trips_raw``, ...); ``--sf-dir`` derives them from the test data.
 
 run        full run of the model graph into ``--warehouse`` (views, tables, fact merge, reports)
+report     print a stored report (``--report NAME``) in its published order
 snapshot   update the type-2 history of the driver and rider dimensions
 test       the declared data-quality rules; exit code 1 when a rule fails
 freshness  source freshness against warn / error thresholds
@@ -15,8 +19,11 @@ import sys
 
 def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="fareflow")
-    ap.add_argument("command", choices=["run", "snapshot", "test", "freshness"])
-    ap.add_argument("--sf-dir", required=True, help="folder of the test-data parquet tables")
+    ap.add_argument("command", choices=["run", "report", "snapshot", "test", "freshness"])
+    source = ap.add_mutually_exclusive_group(required=True)
+    source.add_argument("--landing", help="folder of the six landing tables")
+    source.add_argument("--sf-dir", help="folder of the test-data parquet tables")
+    ap.add_argument("--report", default="daily_revenue")
     ap.add_argument("--warehouse", help="output folder (shared storage on a cluster)")
     ap.add_argument("--as-of", help="evaluation date YYYY-MM-DD (default 2001-08-02)")
     ap.add_argument("--master", default=None)
@@ -24,20 +31,25 @@ def main(argv: list[str] | None = None) -> int:
     args = ap.parse_args(argv)
 
     from fareflow.plans import quality_checks
-    from fareflow.plans.pipeline import Models, materialize
+    from fareflow.plans.pipeline import Models, materialize, read_report
     from fareflow.session import DEFAULT_AS_OF, PipelineConfig, get_session
+    from fareflow.sources.raw import RAW_SCHEMAS, read_raw
 
     as_of = dt.date.fromisoformat(args.as_of) if args.as_of else DEFAULT_AS_OF
     spark = get_session(args.master)
     if args.tune:
-        import glob
-
         from fareflow.session import input_bytes, tune_for_input
-        files = sorted(glob.glob(f"{args.sf_dir}/*.parquet")) or [args.sf_dir]
-        print("shuffle partitions:", tune_for_input(spark, input_bytes(spark, files)))
-    m = Models.from_testdata(spark, args.sf_dir, PipelineConfig(as_of=as_of, warehouse=args.warehouse))
-    if args.command in ("run", "snapshot") and not args.warehouse:
-        ap.error("--warehouse is required for run and snapshot")
+        print("shuffle partitions:", tune_for_input(spark, input_bytes(spark, [args.landing or args.sf_dir])))
+    config = PipelineConfig(as_of=as_of)
+    if args.landing:
+        m = Models(spark, {t: read_raw(spark, t, f"{args.landing.rstrip('/')}/{t}") for t in RAW_SCHEMAS}, config)
+    else:
+        m = Models.from_testdata(spark, args.sf_dir, config)
+    if args.command in ("run", "report", "snapshot") and not args.warehouse:
+        ap.error(f"--warehouse is required for {args.command}")
+    if args.command == "report":
+        read_report(spark, args.warehouse, args.report).show(100, truncate=False)
+        return 0
     if args.command == "run":
         for name, path in materialize(m, args.warehouse).items():
             print(f"{name}\t{path}")

@@ -29,8 +29,3 @@ def exact_avg(c) -> Column:
     """
     v = _col(c)
     return F.try_divide(F.sum(v).cast("double"), F.count(v).cast("double"))
-
-
-def money(c) -> Column:
-    """SUM of a decimal money column (exact, decimal(38, 9))."""
-    return F.sum(_col(c))

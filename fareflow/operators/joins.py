@@ -4,27 +4,26 @@
   most ``max_keys`` keys can pass that share test, so the result has a proven
   size bound and may be broadcast.
 * ``fanout_left_join``: ``one LEFT JOIN many`` where ``one`` is unique per key
-  (J1).  Rows of a hot key on the ``many`` side are spread over ``buckets``
-  salts; the ``one`` row of a hot key is replicated once per salt.
+  (J1).
 * ``lookup_left_join``: ``facts LEFT JOIN dim`` where ``dim`` is unique per
-  key (J5, J7).  Broadcasts the dim when a row count proves it small;
-  otherwise salts the hot keys of ``facts`` and replicates their dim rows.
+  key (J5, J7).  Broadcasts the dim when a row count proves it small.
 
-Salts are a hash of row columns, never ``rand()``: a retried task must put
-every row in the same bucket again.
+Both split hot rows from cold ones: the unique side's rows of the hot keys (at
+most ``max_keys``) are broadcast to the hot rows, which are never shuffled; the
+rest joins on the plain key, so a partitioning by that key is reused and no key
+in it holds more than the share that ``hot_keys`` allows.  Where no key is hot,
+adaptive execution drops the hot branch.
 """
 
 from __future__ import annotations
 
 import weakref
-from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_MAX_HOT_KEYS = 1000
 DEFAULT_MIN_HOT_ROWS = 100_000
-DEFAULT_BUCKETS = 32
 
 
 def hot_keys(df: DataFrame, key: str, max_keys: int = DEFAULT_MAX_HOT_KEYS,
@@ -54,33 +53,17 @@ def _flag_hot(df: DataFrame, key: str, hot: DataFrame) -> DataFrame:
             .withColumn("_hot", F.coalesce(F.col("_hot"), F.lit(False))))
 
 
-def _salt_rows(df: DataFrame, salt_cols: Sequence[str], buckets: int) -> DataFrame:
-    """Salt of a row: hash of ``salt_cols`` for hot keys, 0 otherwise."""
-    h = F.pmod(F.xxhash64(*[F.col(c) for c in salt_cols]), F.lit(buckets))
-    return df.withColumn("_salt", F.when(F.col("_hot"), h).otherwise(F.lit(0)).cast("int"))
+def fanout_left_join(one: DataFrame, many: DataFrame, key: str, hot: DataFrame) -> DataFrame:
+    """``one LEFT JOIN many ON key``; the keys of ``hot`` join by broadcast.
 
-
-def _replicate(df: DataFrame, buckets: int) -> DataFrame:
-    """One copy per salt for hot keys, a single copy (salt 0) otherwise."""
-    salts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(buckets - 1))).otherwise(F.array(F.lit(0)))
-    return df.withColumn("_salt", F.explode(salts))
-
-
-def fanout_left_join(one: DataFrame, many: DataFrame, key: str, hot: DataFrame,
-                     salt_cols: Sequence[str], buckets: int = DEFAULT_BUCKETS) -> DataFrame:
-    """``one LEFT JOIN many ON key`` with hot keys of ``many`` salted.
-
-    ``one`` must be unique per key.  A hot key has rows in ``many`` by
-    definition, so the copies of its ``one`` row that meet no row in their
-    salt are dropped; every other unmatched row is kept as in a left join.
+    ``one`` must be unique per key, and every key of ``hot`` must have rows in
+    ``many`` (``hot_keys(many, key)``), so the hot rows are an inner join.
     """
-    right_cols = [c for c in many.columns if c != key]
-    left = _replicate(_flag_hot(one, key, hot), buckets)
-    right = _salt_rows(_flag_hot(many, key, hot), salt_cols, buckets).drop("_hot") \
-        .withColumn("_matched", F.lit(True))
-    joined = left.join(right, [key, "_salt"], "left")
-    keep = ~F.col("_hot") | F.col("_matched").isNotNull()
-    return joined.filter(keep).select(*one.columns, *right_cols)
+    columns = [*one.columns, *(c for c in many.columns if c != key)]
+    left, right = _flag_hot(one, key, hot), _flag_hot(many, key, hot)
+    cold = left.filter(~F.col("_hot")).drop("_hot").join(right.filter(~F.col("_hot")).drop("_hot"), key, "left")
+    fanned = right.filter("_hot").drop("_hot").join(F.broadcast(left.filter("_hot").drop("_hot")), key)
+    return cold.select(*columns).unionByName(fanned.select(*columns))
 
 
 _ROW_COUNTS: "weakref.WeakKeyDictionary[DataFrame, int]" = weakref.WeakKeyDictionary()
@@ -109,7 +92,6 @@ def row_width(df: DataFrame) -> int:
 
 
 def lookup_left_join(facts: DataFrame, dim: DataFrame, key: str, hot: DataFrame | None = None,
-                     salt_cols: Sequence[str] | None = None, buckets: int = DEFAULT_BUCKETS,
                      broadcast_max_rows: int | None = None, how: str = "left",
                      size_of: DataFrame | None = None,
                      broadcast_max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES) -> DataFrame:
@@ -118,19 +100,22 @@ def lookup_left_join(facts: DataFrame, dim: DataFrame, key: str, hot: DataFrame
     * ``broadcast_max_rows``: count the dim (or ``size_of``, a table the
       dim is a filter/projection of: an upper bound); broadcast it when the
       count is within the bound and count x estimated row width of the
-      projected dim is within ``broadcast_max_bytes`` (the size proof).
-    * otherwise, with ``hot`` given, hot fact keys are salted and their dim
-      rows replicated per salt: every fact row still meets exactly its one
-      dim row, so left/inner semantics are unchanged.
+      projected dim is within ``broadcast_max_bytes``.
+    * otherwise, with ``hot`` given, the dim rows of the hot keys are broadcast
+      to the facts of these keys and the rest joins by a shuffle.  Facts
+      without a key match nothing; they go the broadcast way, because a
+      shuffle would send them all to one task.
     * otherwise a plain shuffle join (AQE may split skewed partitions).
     """
-    dim_cols = [c for c in dim.columns if c != key]
+    columns = [*facts.columns, *(c for c in dim.columns if c != key)]
     if broadcast_max_rows is not None:
         rows = row_count(size_of if size_of is not None else dim)
         if rows <= broadcast_max_rows and rows * row_width(dim) <= broadcast_max_bytes:
             return facts.join(F.broadcast(dim), key, how)
     if hot is None:
         return facts.join(dim, key, how)
-    f = _salt_rows(_flag_hot(facts, key, hot), salt_cols or facts.columns, buckets).drop("_hot")
-    d = _replicate(_flag_hot(dim, key, hot), buckets).drop("_hot")
-    return f.join(d, [key, "_salt"], how).select(*facts.columns, *dim_cols)
+    f = _flag_hot(facts, key, hot).withColumn("_apart", F.col("_hot") | F.col(key).isNull())
+    d = _flag_hot(dim, key, hot)
+    cold = f.filter(~F.col("_apart")).drop("_hot", "_apart").join(d.filter(~F.col("_hot")).drop("_hot"), key, how)
+    apart = f.filter("_apart").drop("_hot", "_apart").join(F.broadcast(d.filter("_hot").drop("_hot")), key, how)
+    return cold.select(*columns).unionByName(apart.select(*columns))

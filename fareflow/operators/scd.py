@@ -1,8 +1,8 @@
 """Type-2 slowly changing dimension.
 
 History rows carry ``valid_from``, ``valid_to`` (NULL while current) and
-``is_current``.  A new snapshot is compared with the current versions by a
-hash of the tracked columns:
+``is_current``.  A new snapshot is compared with the current versions by
+their tracked columns:
 
 * unchanged key  -> current version kept as is
 * changed key    -> current version closed at ``effective_at``; a new current
@@ -10,8 +10,8 @@ hash of the tracked columns:
 * new key        -> first version starts at ``effective_at``
 * key missing from the snapshot -> current version kept (no hard delete)
 
-Closed versions pass through untouched.  Both joins are on the dimension key
-and see one current version per key on each side.
+Closed versions pass through untouched.  One full outer join on the dimension
+key sees one row per key on each side; a changed key gives two rows.
 """
 
 from __future__ import annotations
@@ -53,23 +53,23 @@ def scd2_apply(history: DataFrame, snapshot: DataFrame, key: str, tracked: Seque
     closed_before = history.filter(~F.col("is_current"))
     current = history.filter(F.col("is_current"))
 
-    new_vals = snapshot.select(F.col(key).alias("_k"), *[F.col(c).alias(f"_new_{c}") for c in tracked],
-                               F.lit(True).alias("_seen"))
-    cmp = current.join(new_vals, current[key] == F.col("_k"), "left")
-    changed = F.col("_seen").isNotNull() & ~_same(tracked, "", "_new_")
-    kept_or_closed = cmp.select(
-        *attrs, "valid_from",
-        F.when(changed, eff).otherwise(F.col("valid_to")).alias("valid_to"),
-        F.when(changed, F.lit(False)).otherwise(F.col("is_current")).alias("is_current"))
-
-    old_vals = current.select(F.col(key).alias("_k"), *[F.col(c).alias(f"_old_{c}") for c in tracked],
-                              F.lit(True).alias("_known"))
-    opened = (snapshot.join(old_vals, snapshot[key] == F.col("_k"), "left")
-              .filter(F.col("_known").isNull() | ~_same(tracked, "", "_old_"))
-              .select(*attrs, eff.alias("valid_from"), F.lit(None).cast("timestamp").alias("valid_to"),
-                      F.lit(True).alias("is_current")))
+    old = current.select(F.col(key).alias("_key"), F.struct(*attrs, "valid_from").alias("_old"))
+    new = snapshot.select(F.col(key).alias("_new_key"), F.struct(*attrs).alias("_new"))
+    both = old.join(new, F.col("_key") == F.col("_new_key"), "full")
+    known, seen = F.col("_old").isNotNull(), F.col("_new").isNotNull()
+    changed = known & seen & ~_same(tracked, "_old.", "_new.")
+
+    def row(side: str, start, end, open_):
+        return F.struct(*[F.col(f"{side}.{c}").alias(c) for c in attrs], start.alias("valid_from"),
+                        end.cast("timestamp").alias("valid_to"), open_.alias("is_current"))
+
+    never = F.lit(None)
+    kept = row("_old", F.col("_old.valid_from"), F.when(changed, eff), ~changed)
+    opened = row("_new", eff, never, F.lit(True))
+    rows = both.select(F.explode(F.when(changed, F.array(kept, opened)).when(known, F.array(kept))
+                                 .otherwise(F.array(opened))).alias("r")).select("r.*")
     cols = attrs + SCD_COLUMNS
-    return closed_before.select(*cols).unionByName(kept_or_closed.select(*cols)).unionByName(opened.select(*cols))
+    return closed_before.select(*cols).unionByName(rows.select(*cols))
 
 
 def current_versions(history: DataFrame) -> DataFrame:

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fareflow.operators.incremental import merge_by_key, new_rows, shared_table_path
-from fareflow.operators.scd import scd2_apply, scd2_init
+from fareflow.operators.joins import hot_keys
+from fareflow.operators.scd import current_versions, scd2_apply, scd2_init
 from fareflow.plans import intermediate, marts
 
 FACT_KEY = "trip_sk"
@@ -94,30 +96,82 @@ SNAPSHOT_DIMS = {
 }
 
 
+def _folder(spark, path: str):
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return jvm, p, p.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def history_versions(spark, path: str) -> list[str]:
+    """The complete stored versions of a history (folders ``v<number>`` with a success mark), oldest first."""
+    jvm, root, fs = _folder(spark, path)
+    if not fs.exists(root):
+        return []
+    names = [st.getPath().getName() for st in fs.listStatus(root)]
+    return [f"{path}/{n}" for n in sorted(names)
+            if n[:1] == "v" and n[1:].isdigit() and fs.exists(jvm.org.apache.hadoop.fs.Path(f"{path}/{n}/_SUCCESS"))]
+
+
+def stored_history(spark, path: str) -> DataFrame:
+    """The newest complete version of a history."""
+    return spark.read.parquet(history_versions(spark, path)[-1])
+
+
+def store_history(spark, history: DataFrame, path: str) -> str:
+    """Write ``history`` as a new version.  The version it was computed from stays until the next
+    run, so a failure at any point loses nothing: an incomplete version has no success mark."""
+    done = history_versions(spark, path)
+    number = int(done[-1].rsplit("/v", 1)[1]) + 1 if done else 1
+    target = f"{path}/v{number:06d}"
+    history.write.mode("overwrite").parquet(target)  # replaces an incomplete try only
+    for old in done[:-1]:
+        _, p, fs = _folder(spark, old)
+        fs.delete(p, True)
+    return target
+
+
 def snapshot(m, warehouse: str, effective_at: dt.datetime | None = None) -> dict[str, str]:
     """Update the type-2 history of each dimension under ``warehouse``.
 
     The first run stores the current dimension as version one; later runs
-    close changed versions and open new ones.  The new history is
-    checkpointed (shared checkpoint folder) before it replaces the stored
-    table it was computed from.
+    close changed versions and open new ones.  Returns the folders written.
     """
-    from fareflow.operators.incremental import table_exists
-
     eff = effective_at or m.config.as_of_ts
     paths = {}
     for name, (key, tracked) in SNAPSHOT_DIMS.items():
         path = f"{warehouse.rstrip('/')}/{name}_history"
         current = m[name].drop("valid_from", "valid_to", "is_current")
-        if table_exists(m.spark, path):
-            hist = scd2_apply(m.spark.read.parquet(path), current, key, tracked, eff).checkpoint(eager=True)
+        if history_versions(m.spark, path):
+            hist = scd2_apply(stored_history(m.spark, path), current, key, tracked, eff)
         else:
             hist = scd2_init(current, eff)
-        hist.write.mode("overwrite").parquet(path)
-        paths[name] = path
+        paths[name] = store_history(m.spark, hist, path)
     return paths
 
 
+def fact_current_dims(m) -> DataFrame:
+    """I4: the fact keyed by the current versions of the stored driver and rider histories, after
+    snapshots at SNAPSHOT_AS_OF and at as_of.  All versions of a key share its surrogate key; the
+    lookup takes the open one, of which each key has exactly one."""
+    from fareflow.plans.pipeline import Models
+
+    root = shared_table_path(m.spark, "histories")
+    early = Models(m.spark, m.raw, replace(m.config, as_of=SNAPSHOT_AS_OF))
+    snapshot(early, root)
+    early.free()
+    snapshot(m, root)
+    drivers, riders = (current_versions(stored_history(m.spark, f"{root}/{name}_history")) for name in SNAPSHOT_DIMS)
+    return marts.fact_trips(m.trip_grain, drivers, riders, m.dim_cities, m.config.as_of, m.config.broadcast_max_rows,
+                            m.driver_hot_keys, m.rider_hot_keys)
+
+
+def fact_hot_lookup(m) -> DataFrame:
+    """J7 without broadcast dimensions: a driver or rider with a tenth of all trips is hot (driver 0
+    holds 30 % of the test trips), its dimension row joins by broadcast, the rest by a shuffle."""
+    return marts.fact_trips(m.trip_grain, m.dim_drivers, m.dim_riders, m.dim_cities, m.config.as_of, 0,
+                            hot_keys(m.stg_trips, "driver_id", 10, 1), hot_keys(m.stg_trips, "rider_id", 10, 1))
+
+
 def incremental_updates(m) -> DataFrame:
     """I1/I2 with the B7 options: the watermark is ``updated_at`` and inclusive,
     so the second run re-reads the rows tied at the first run's maximum and the

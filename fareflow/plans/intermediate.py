@@ -28,7 +28,7 @@ def int_trip_details(stg_trips: DataFrame, stg_payments: DataFrame, hot: DataFra
     """M7: every trip x payment row with fraud indicators.
 
     The per-trip payment count joins the trips 1:1 first; the fan-out join to
-    payments then salts trips whose payments form a hot key.
+    payments then keeps trips whose payments form a hot key apart.
     """
     hot = hot if hot is not None else trip_hot_keys(stg_payments)
     trips = stg_trips.filter(F.col("trip_status").isin(TRIP_STATUSES))
@@ -37,7 +37,7 @@ def int_trip_details(stg_trips: DataFrame, stg_payments: DataFrame, hot: DataFra
     p = stg_payments.select("trip_id", "payment_id", "payment_status", "payment_provider",
                             F.col("amount").alias("payment_amount"),
                             F.col("fee").alias("processing_fee"), "currency")
-    j = fraud_flags(fanout_left_join(t, p, "trip_id", hot, salt_cols=["payment_id"]))
+    j = fraud_flags(fanout_left_join(t, p, "trip_id", hot))
     net = bands.net_revenue("actual_fare", "processing_fee")
     return j.select(
         "trip_id", "rider_id", "driver_id", "city_id", "vehicle_id",
@@ -64,13 +64,13 @@ def int_payment_analysis(stg_payments: DataFrame, stg_trips: DataFrame,
     """M8: payments with trip facts, date parts, rates and the provider failure rate.
 
     Payments -> trips is a lookup (trips unique per trip_id); trips with a
-    hot payment count are salted.  The provider statistic is joined back by
+    hot payment count are kept apart.  The provider statistic is joined back by
     broadcast: the provider is a whitelisted enum, so the statistic has at
     most three rows.  NULL providers form a group but never match back (J6).
     """
     hot = hot if hot is not None else trip_hot_keys(stg_payments)
     trips = stg_trips.select("trip_id", "trip_status", "actual_fare")
-    pa = lookup_left_join(stg_payments, trips, "trip_id", hot=hot, salt_cols=["payment_id"])
+    pa = lookup_left_join(stg_payments, trips, "trip_id", hot=hot)
     pa = pa.select(
         "payment_id", "trip_id", "payment_status", "payment_provider", "amount", "fee", "currency",
         "created_at", "trip_status", "actual_fare",

@@ -12,7 +12,7 @@ from fareflow.functions.dates import days_between, months_crossed, part, trailin
 from fareflow.functions.keys import surrogate_key
 from fareflow.functions.rates import exact_avg, safe_divide, safe_pct
 from fareflow.operators.fraud import FRAUD_FLAGS, payment_summary, trip_fraud_flags
-from fareflow.operators.joins import lookup_left_join
+from fareflow.operators.joins import hot_keys, lookup_left_join
 from fareflow.operators.ranking import global_rank, top_n_per
 from fareflow.operators.spine import date_attributes, date_spine, spine_between
 from fareflow.session import DEFAULT_AS_OF
@@ -132,15 +132,15 @@ def fact_trips(trips: DataFrame, dim_drivers: DataFrame, dim_riders: DataFrame,
 
     ``trips`` is trip-grain (``trip_grain``) or a delta of it.  Each dim
     lookup broadcasts the (key, sk) pairs when a row count proves them small,
-    else salts hot fact keys (a driver with a third of all trips) and
-    replicates that driver's dim row per salt.
+    else joins hot fact keys (a driver with a third of all trips) apart, by a
+    broadcast of just their dim rows.
     """
     drivers = dim_drivers.filter("is_current").select("driver_id", "driver_sk")
     riders = dim_riders.filter("is_current").select("rider_id", "rider_sk")
     cities = dim_cities.select("city_id", "city_sk")
-    f = lookup_left_join(trips, drivers, "driver_id", hot=driver_hot, salt_cols=["trip_id"],
+    f = lookup_left_join(trips, drivers, "driver_id", hot=driver_hot,
                          broadcast_max_rows=broadcast_max_rows, size_of=dim_drivers)
-    f = lookup_left_join(f, riders, "rider_id", hot=rider_hot, salt_cols=["trip_id"],
+    f = lookup_left_join(f, riders, "rider_id", hot=rider_hot,
                          broadcast_max_rows=broadcast_max_rows, size_of=dim_riders)
     f = lookup_left_join(f, cities, "city_id", broadcast_max_rows=broadcast_max_rows, size_of=dim_cities)
     return f.select(
@@ -158,9 +158,9 @@ def fact_trips(trips: DataFrame, dim_drivers: DataFrame, dim_riders: DataFrame,
 
 
 def _dim_join(fact: DataFrame, dim: DataFrame, sk: str, cols: list[str], broadcast_max_rows: int) -> DataFrame:
-    """Inner join of the fact to a dimension on its surrogate key."""
+    """Inner join of the fact to a dimension on its surrogate key (J8-J10), hot keys of the fact apart."""
     d = dim.select(sk, *cols)
-    return lookup_left_join(fact, d, sk, broadcast_max_rows=broadcast_max_rows, how="inner", size_of=dim)
+    return lookup_left_join(fact, d, sk, hot=hot_keys(fact, sk), broadcast_max_rows=broadcast_max_rows, how="inner", size_of=dim)
 
 
 def daily_revenue(fact: DataFrame, dim_cities: DataFrame, broadcast_max_rows: int = 2_000_000) -> DataFrame:

@@ -234,6 +234,8 @@ def _register_more() -> None:
         "merge_null_date": history.merge_null_date,
         "dq_quarantine_text": quality_checks.dq_quarantine_text,
         "scd2_history": history.scd2_history,
+        "fact_current_dims": history.fact_current_dims,
+        "fact_hot_lookup": history.fact_hot_lookup,
         "incremental_updates": history.incremental_updates,
     })
     from fareflow.streaming import status_stream
@@ -243,6 +245,7 @@ def _register_more() -> None:
         "stream_sessions": status_stream.stream_sessions,
         "stream_sessions_distributed": status_stream.stream_sessions_distributed,
         "stream_merge": status_stream.stream_merge,
+        "stream_late_payments": status_stream.stream_late_payments,
     })
 
 

@@ -2,8 +2,9 @@
 
 ``Models`` resolves each model on first use and memoises the DataFrame, the
 way the warehouse resolves ``ref``s: plain Python calls in dependency order,
-no scheduler.  Nothing runs until an action; Catalyst sees each output as one
-plan and prunes what the output does not need.
+no scheduler.  Building a model runs no job but the row counts that prove a
+dimension small enough to broadcast; Catalyst sees each output as one plan and
+prunes what the output does not need.
 """
 
 from __future__ import annotations
@@ -44,6 +45,11 @@ class Models:
             self._cache[name] = df
         return self._cache[name]
 
+    def free(self) -> None:
+        """Drop the kept copies; a later use computes the model again."""
+        for df in self._cache.values():
+            df.unpersist()
+
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_") or name not in BUILDERS:
             raise AttributeError(name)
@@ -143,7 +149,9 @@ def materialize(models: Models, warehouse: str) -> dict[str, str]:
         as_view(models[name], name)
     for name in TABLES:
         paths[name] = f"{root}/{name}"
-        models._cache[name] = write_table(models[name], paths[name])
+        stored = write_table(models[name], paths[name])
+        models._cache[name].unpersist()  # later models read the stored table
+        models._cache[name] = stored
     paths["fact_trips"] = f"{root}/fact_trips"
     load_fact(models, paths["fact_trips"])
     cols = BUILDERS["fact_trips"](models).columns
@@ -151,6 +159,7 @@ def materialize(models: Models, warehouse: str) -> dict[str, str]:
     for name in REPORTS:
         paths[name] = f"{root}/{name}"
         models._cache[name] = write_table(models[name], paths[name])
+    models.free()
     return paths
 
 

@@ -124,15 +124,3 @@ def stg_status_events(events_raw: DataFrame) -> DataFrame:
         F.col("event_timestamp").cast(TS).alias("event_timestamp"),
     )
     return _require(out, "event_id", "driver_id").filter(F.col("driver_status") != "unknown")
-
-
-def build_staging(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """All six staging models from the six raw tables."""
-    return {
-        "stg_trips": stg_trips(raw["trips_raw"]),
-        "stg_drivers": stg_drivers(raw["drivers_raw"]),
-        "stg_riders": stg_riders(raw["riders_raw"]),
-        "stg_payments": stg_payments(raw["payments_raw"]),
-        "stg_cities": stg_cities(raw["cities_raw"]),
-        "stg_status_events": stg_status_events(raw["driver_status_events_raw"]),
-    }

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import os
 import tempfile
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
 
@@ -20,18 +20,15 @@ class PipelineConfig:
 
     ``as_of``      the evaluation date ("today"); timestamp comparisons use
                    ``as_of`` at 00:00 UTC.
-    ``warehouse``  root folder for materialised tables (table layer, fact).
     ``broadcast_max_rows``  largest dimension that may be broadcast after a
                    row count proves its size; larger ones go through a shuffle
                    join (AQE may still convert at runtime).
     """
 
     as_of: dt.date = DEFAULT_AS_OF
-    warehouse: str | None = None
     broadcast_max_rows: int = 2_000_000
     reuse: bool = True
     strict_casts: bool = True
-    extra: dict = field(default_factory=dict)
 
     @property
     def as_of_ts(self) -> dt.datetime:
@@ -64,10 +61,8 @@ def configure(spark: SparkSession) -> SparkSession:
     for key, value in SESSION_DEFAULTS.items():
         if key == "spark.ui.enabled":
             continue
-        try:
+        if spark.conf.isModifiable(key):  # a static one: keep the cluster's
             spark.conf.set(key, value)
-        except Exception:  # static conf on a running session: keep the cluster's
-            pass
     ensure_checkpoint_dir(spark)
     return spark
 

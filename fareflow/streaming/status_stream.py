@@ -1,16 +1,21 @@
 """Structured Streaming variants of the status feed and the fact load.
 
 * ``staged_status_stream``: the high-volume status feed as a stream: cast to
-  UTC timestamps, watermark, ``dropDuplicatesWithinWatermark`` on event_id,
-  whitelist and drop unknown statuses (I5).  A duplicate arriving later than
-  the watermark is dropped with the late rows.
-* ``session_stream``: online -> offline pairing per driver with
-  ``applyInPandasWithState``; the state holds a driver's last event so a
-  session whose close arrives in a later micro-batch is still paired (I6).
-  LEAD is not supported on streams.  Per call a task sees one driver's rows
-  of one micro-batch; ``maxFilesPerTrigger`` bounds that.
-* ``fact_stream``: new orders feed the trip fact through ``foreachBatch`` and
-  the batch merge-by-key (I7).
+  UTC timestamps, watermark, whitelist and drop unknown statuses (I5).  The
+  copies of an event_id that lie at most ``within`` apart form a session window;
+  the latest of them is kept.  The window closes, and the event is emitted, once
+  the watermark passes its end (``within`` after the latest copy).  So events
+  leave in event-time order whatever order they came in: an event of a later
+  micro-batch is never older than one of an earlier.  Rows that come later than
+  that are dropped; ``late_rows`` reports how many.
+* ``session_stream``: online -> offline pairing per driver (I6): each
+  micro-batch runs the batch pairing over its events and the last event of each
+  driver seen before.  LEAD is not supported on streams.
+* ``fact_stream`` / ``payment_stream``: new orders and new payments feed the
+  trip fact through ``foreachBatch`` and the batch merge-by-key (I7).
+
+The last events of a feed stay open until the watermark passes them, as it
+does when later events come.
 
 Every stream runs with ``trigger(availableNow=True)`` in ``run_to_table``:
 process what is there, stop, return the sink as a table.  Checkpoints and
@@ -19,33 +24,26 @@ sinks live under the cluster's shared checkpoint folder.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import logging
 
-import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from fareflow.functions.clean import whitelist
 from fareflow.operators.incremental import shared_table_path
 from fareflow.plans.staging import DRIVER_EVENT_STATUSES
 
+log = logging.getLogger(__name__)
+
 EVENTS_SCHEMA = T.StructType([
     T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampNTZType()),
     T.StructField("user_id", T.LongType()), T.StructField("event_type", T.StringType()),
     T.StructField("value", T.DoubleType()), T.StructField("props", T.StringType()),
 ])
 
-SESSION_SCHEMA = T.StructType([
-    T.StructField("driver_id", T.LongType()), T.StructField("session_start", T.TimestampType()),
-    T.StructField("session_end", T.TimestampType()), T.StructField("session_duration_minutes", T.LongType()),
-    T.StructField("activity_date", T.DateType()),
-])
-STATE_SCHEMA = T.StructType([
-    T.StructField("ts", T.TimestampType()), T.StructField("event_id", T.LongType()),
-    T.StructField("status", T.StringType()),
-])
+SESSION_COLUMNS = ["driver_id", "session_start", "session_end", "session_duration_minutes", "activity_date"]
 
 
 def read_stream(spark: SparkSession, folder: str, file_name: str, schema: T.StructType,
@@ -56,58 +54,24 @@ def read_stream(spark: SparkSession, folder: str, file_name: str, schema: T.Stru
     return reader.parquet(folder)
 
 
-def staged_status_stream(events: DataFrame, watermark: str = "1 hour") -> DataFrame:
-    """The test feed mapped onto the status contract, then staged."""
+def staged_status_stream(events: DataFrame, watermark: str = "1 hour", within: str = "1 hour") -> DataFrame:
+    """The test feed mapped onto the status contract, then staged, in event-time order."""
     raw = events.select(
         "event_id", F.col("user_id").alias("driver_id"),
         F.when(F.col("event_type") == "click", " ONLINE").when(F.col("event_type") == "view", "offline")
          .otherwise(F.col("event_type")).alias("status"),
         F.col("ts").cast("timestamp").alias("event_timestamp"))
+    rank = F.struct("event_timestamp", "driver_id", "status")  # ties as in the batch dedup
     return (raw.filter(F.col("event_id").isNotNull() & F.col("driver_id").isNotNull())
             .withWatermark("event_timestamp", watermark)
-            .dropDuplicatesWithinWatermark(["event_id"])
-            .select("event_id", "driver_id",
-                    whitelist("status", DRIVER_EVENT_STATUSES, default="unknown").alias("driver_status"),
-                    "event_timestamp")
+            .groupBy("event_id", F.session_window("event_timestamp", within))
+            .agg(F.max(rank).alias("latest"))
+            .select("event_id", F.col("latest.driver_id").alias("driver_id"),
+                    whitelist("latest.status", DRIVER_EVENT_STATUSES, default="unknown").alias("driver_status"),
+                    F.col("latest.event_timestamp").alias("event_timestamp"))
             .filter(F.col("driver_status") != "unknown"))
 
 
-def _pair(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Pair a driver's events in (ts, event_id) order; keep the last as state."""
-    frames = [p[["event_timestamp", "event_id", "driver_status"]] for p in pdfs]
-    rows = pd.concat(frames, ignore_index=True) if frames else pd.DataFrame(
-        columns=["event_timestamp", "event_id", "driver_status"])
-    if state.exists:
-        ts, eid, st = state.get
-        rows = pd.concat([pd.DataFrame({"event_timestamp": [ts], "event_id": [eid], "driver_status": [st]}),
-                          rows], ignore_index=True)
-    if rows.empty:
-        return
-    rows = rows.sort_values(["event_timestamp", "event_id"], kind="mergesort").reset_index(drop=True)
-    nxt_ts = rows["event_timestamp"].shift(-1)
-    nxt_st = rows["driver_status"].shift(-1)
-    pair = (rows["driver_status"] == "online") & (nxt_st == "offline")
-    start = rows.loc[pair, "event_timestamp"]
-    end = nxt_ts[pair]
-    minutes = (end - start).values.astype("timedelta64[ns]").astype("int64") // 60_000_000_000
-    last = rows.iloc[-1]
-    state.update((last["event_timestamp"].to_pydatetime(), int(last["event_id"]), str(last["driver_status"])))
-    if not pair.any():
-        return
-    yield pd.DataFrame({
-        "driver_id": [key[0]] * int(pair.sum()),
-        "session_start": start.values, "session_end": end.values,
-        "session_duration_minutes": minutes,
-        "activity_date": start.dt.date.values,
-    })
-
-
-def session_stream(staged: DataFrame) -> DataFrame:
-    """Closed online -> offline sessions per driver, across micro-batches."""
-    return staged.groupBy("driver_id").applyInPandasWithState(
-        _pair, SESSION_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
-
-
 def run_to_table(stream: DataFrame, name: str, fmt: str = "parquet") -> DataFrame:
     """Run ``stream`` to completion (availableNow) into a table; return the table."""
     spark = stream.sparkSession
@@ -116,14 +80,46 @@ def run_to_table(stream: DataFrame, name: str, fmt: str = "parquet") -> DataFram
          .option("checkpointLocation", path + "-checkpoint")
          .trigger(availableNow=True).start(path))
     q.awaitTermination()
+    if late := late_rows(q):
+        log.warning("%s: %d rows came after the watermark and were dropped", name, late)
     return spark.read.schema(stream.schema).parquet(path)
 
 
-def fact_stream(spark: SparkSession, orders: DataFrame, models, target_path: str) -> None:
-    """Each micro-batch of new orders -> trips -> fact rows -> merge by key."""
-    from fareflow.plans.history import FACT_CLUSTER, FACT_KEY, FACT_PARTITION, build_fact
+def late_rows(query) -> int:
+    """Rows that a stream's stateful operators dropped as later than the watermark, over its recent progress."""
+    return sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"])
+
+
+def _refresh(models, trips: DataFrame, payments: DataFrame, target_path: str) -> None:
+    """Build the fact rows of ``trips`` (staged) from their own payments and merge them by key."""
     from fareflow.operators.incremental import merge_by_key
-    from fareflow.plans import marts, staging
+    from fareflow.plans import marts
+    from fareflow.plans.history import FACT_CLUSTER, FACT_KEY, FACT_PARTITION, build_fact
+
+    own = payments.join(trips.select("trip_id"), "trip_id", "left_semi")  # before any aggregation
+    fact = build_fact(models, marts.trip_grain(trips, own))
+    merge_by_key(trips.sparkSession, target_path, fact, FACT_KEY, FACT_PARTITION, FACT_CLUSTER)
+
+
+def _run_batches(stream: DataFrame, on_batch, checkpoint: str) -> None:
+    """Run ``on_batch`` on each micro-batch, computed once for all that it does."""
+    def kept(batch: DataFrame, epoch_id: int) -> None:
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            on_batch(batch, epoch_id)
+        finally:
+            batch.unpersist()
+
+    stream.writeStream.foreachBatch(kept).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+
+def fact_stream(spark: SparkSession, orders: DataFrame, models, target_path: str) -> None:
+    """Each micro-batch of new orders -> trips -> fact rows -> merge by key.
+
+    Of the payments known so far only those of the batch's trips are summarised;
+    payments that come later reach the fact by ``payment_stream``.
+    """
+    from fareflow.plans import staging
     from fareflow.sources.adapter import bind_adapter, test_tables
 
     sf_dir = models.extra_sources["sf_dir"]
@@ -133,14 +129,21 @@ def fact_stream(spark: SparkSession, orders: DataFrame, models, target_path: str
         # it is bound with in SQL are opened in that session too
         s = batch.sparkSession
         trips_raw = bind_adapter(s, "trips_raw", {**test_tables(s, sf_dir), "orders": batch})
-        trips = staging.stg_trips(trips_raw)
-        fact = build_fact(models, marts.trip_grain(trips, models.stg_payments))
-        merge_by_key(s, target_path, fact, FACT_KEY, FACT_PARTITION, FACT_CLUSTER)
+        _refresh(models, staging.stg_trips(trips_raw), models.stg_payments, target_path)
+
+    _run_batches(orders, on_batch, target_path + "-checkpoint")
 
-    q = (orders.writeStream.foreachBatch(on_batch)
-         .option("checkpointLocation", target_path + "-checkpoint")
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
+
+def payment_stream(payment_trips: DataFrame, models, payments: DataFrame, target_path: str) -> None:
+    """I7 for late payments: each micro-batch of ``payment_trips`` (column ``trip_id``) names trips
+    whose payments changed; their fact rows are built anew from ``payments``, the staged payments
+    including the new ones, and merged by key.  A payment whose trip is not there yet waits for
+    the trip's own micro-batch."""
+    def on_batch(batch: DataFrame, epoch_id: int) -> None:
+        touched = batch.select("trip_id").distinct()
+        _refresh(models, models.stg_trips.join(touched, "trip_id", "left_semi"), payments, target_path)
+
+    _run_batches(payment_trips, on_batch, target_path + "-payments-checkpoint")
 
 
 # ---- registered queries ---------------------------------------------------------
@@ -151,15 +154,7 @@ def stream_dedup(m) -> DataFrame:
     return run_to_table(staged_status_stream(events), "status-events")
 
 
-def stream_sessions(m) -> DataFrame:
-    folder = m.extra_sources["sf_dir"]
-    events = read_stream(m.spark, folder, "events.parquet", EVENTS_SCHEMA)
-    return run_to_table(session_stream(staged_status_stream(events)), "sessions")
-
-
 def stream_merge(m) -> DataFrame:
-    from fareflow.sources.adapter import TPCH_TABLES  # noqa: F401  (schemas come from the files)
-
     folder = m.extra_sources["sf_dir"]
     schema = m.spark.read.parquet(f"{folder}/orders.parquet").schema
     orders = read_stream(m.spark, folder, "orders.parquet", schema)
@@ -168,60 +163,97 @@ def stream_merge(m) -> DataFrame:
     return m.spark.read.parquet(target).select(*m.fact_trips.columns)
 
 
-def session_stream_batches(staged: DataFrame, sink_path: str, state_path: str, chunk: str = "day"):
-    """I6 without one-group-per-task: each micro-batch runs the batch pairing.
+def stream_late_payments(m) -> DataFrame:
+    """The fact first loaded with every other payment, then caught up by the payment stream."""
+    folder = m.extra_sources["sf_dir"]
+    target = shared_table_path(m.spark, "fact-late-payments")
+    _refresh(m, m.stg_trips, m.stg_payments.filter("payment_id % 20 = 0"), target)
+    schema = m.spark.read.parquet(f"{folder}/lineitem.parquet").schema
+    lines = read_stream(m.spark, folder, "lineitem.parquet", schema)
+    payment_stream(lines.select(F.col("l_orderkey").alias("trip_id")), m, m.stg_payments, target)
+    return m.spark.read.parquet(target).select(*m.fact_trips.columns)
+
+
+def session_stream(staged: DataFrame, sink_path: str, chunk: str = "day") -> DataFrame:
+    """Closed online -> offline sessions per driver, across micro-batches.
 
-    Per micro-batch (``foreachBatch``): the batch's events plus the state (the
-    last event of every driver seen so far, one row per driver) go through
-    ``next_event``, the chunked two-level LEAD, so a hot driver is spread over
-    its days like in batch.  Closed sessions are written to
-    ``sink_path/epoch=<id>`` and the new state to ``state_path/epoch=<id>``.
-    A replayed epoch reads the state of the epoch before it and overwrites its
-    own output, so the result is the same after a failure.
+    ``staged`` gives events in event-time order across micro-batches.  A
+    micro-batch's events are stored; with the state (the last event of every
+    driver seen so far, one row per driver) they go through ``next_event``, the
+    chunked two-level LEAD, so a hot driver is spread over its chunks like in
+    batch.  Closed sessions are written to ``sink_path/epoch=<id>``, events and
+    new state beside it.  A replayed epoch reads the state of the epoch before
+    it and overwrites its own output, so the result is the same after a failure;
+    older events and states are removed.
     """
     from fareflow.operators.dedupe import dedupe_latest
-    from fareflow.operators.incremental import table_exists
+    from fareflow.operators.incremental import _delete, table_exists
     from fareflow.operators.sessions import next_event
 
     cols = ["driver_id", "event_id", "driver_status", "event_timestamp"]
 
-    def previous_state(s: SparkSession, epoch_id: int):
-        if not table_exists(s, state_path):
-            return None
-        jvm = s._jvm
-        root = jvm.org.apache.hadoop.fs.Path(state_path)
-        fs = root.getFileSystem(s._jsc.hadoopConfiguration())
-        epochs = [int(st.getPath().getName().split("=")[1]) for st in fs.listStatus(root)
-                  if st.getPath().getName().startswith("epoch=")]
-        before = [e for e in epochs if e < epoch_id]
-        return s.read.parquet(f"{state_path}/epoch={max(before)}").select(*cols) if before else None
+    def stored(df: DataFrame, path: str) -> DataFrame:
+        df.write.mode("overwrite").parquet(path)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
 
     def on_batch(batch: DataFrame, epoch_id: int) -> None:
         s = batch.sparkSession
-        events = batch.select(*cols)
-        prev = previous_state(s, epoch_id)
-        both = events.unionByName(prev) if prev is not None else events
-        nxt = next_event(both, "driver_id", "event_timestamp", "driver_status", "event_id", chunk)
+        events = stored(batch.select(*cols), f"{sink_path}-events/epoch={epoch_id}")
+        state = f"{sink_path}-state/epoch={epoch_id - 1}"
+        if table_exists(s, state):
+            events = events.unionByName(s.read.schema(events.schema).parquet(state))
+        nxt = next_event(events, "driver_id", "event_timestamp", "driver_status", "event_id", chunk)
         closed = (nxt.filter((F.col("driver_status") == "online") & (F.col("next_status") == "offline"))
                   .select("driver_id", F.col("event_timestamp").alias("session_start"),
                           F.col("next_ts").alias("session_end"),
                           F.timestamp_diff("MINUTE", F.col("event_timestamp"), F.col("next_ts"))
                           .alias("session_duration_minutes"),
                           F.to_date("event_timestamp").alias("activity_date")))
-        closed.write.mode("overwrite").parquet(f"{sink_path}/epoch={epoch_id}")
-        last = dedupe_latest(both, ["driver_id"], ["event_timestamp", "event_id"], [])
-        last.write.mode("overwrite").parquet(f"{state_path}/epoch={epoch_id}")
+        stored(closed, f"{sink_path}/epoch={epoch_id}")
+        stored(dedupe_latest(events, ["driver_id"], ["event_timestamp", "event_id"], []).select(*cols),
+               f"{sink_path}-state/epoch={epoch_id}")
+        for kind in ("events", "state"):
+            _delete(s, f"{sink_path}-{kind}/epoch={epoch_id - 2}")
 
-    q = (staged.writeStream.foreachBatch(on_batch)
-         .option("checkpointLocation", sink_path + "-checkpoint")
+    q = (staged.writeStream.foreachBatch(on_batch).option("checkpointLocation", sink_path + "-checkpoint")
          .trigger(availableNow=True).start())
     q.awaitTermination()
+    if late := late_rows(q):
+        log.warning("%s: %d rows came after the watermark and were dropped", sink_path, late)
+    return staged.sparkSession.read.parquet(sink_path).select(*SESSION_COLUMNS)
+
+
+def stream_sessions(m) -> DataFrame:
+    """I6 over the events as they stand."""
+    events = read_stream(m.spark, m.extra_sources["sf_dir"], "events.parquet", EVENTS_SCHEMA)
+    return session_stream(staged_status_stream(events), shared_table_path(m.spark, "sessions"))
+
+
+def disordered(events: DataFrame, folder: str) -> str:
+    """Write ``events`` as files 0 to 5 under ``folder``, far out of order and with stale copies; the
+    watermark that covers the disorder is returned.
+
+    The odd events of each quarter of the time span come one file later than the even ones; every
+    fifth event also has a copy, ten minutes older and of another type, two files later.
+    """
+    first, last = events.agg(F.min("ts"), F.max("ts")).first()
+    span = int((last - first).total_seconds()) + 1
+    quarter = F.least(F.lit(3), F.floor(4 * F.timestamp_diff("SECOND", F.lit(first), F.col("ts")) / span))
+    tagged = events.withColumn("_file", (quarter + F.col("event_id") % 2).cast("int"))
+    stale = (events.filter("event_id % 5 = 0").withColumn("_file", (quarter + 2).cast("int"))
+             .withColumn("ts", F.expr("ts - INTERVAL 10 MINUTES"))
+             .withColumn("event_type", F.when(F.col("event_type") == "click", "view").otherwise("click")))
+    both = tagged.unionByName(stale).persist()
+    for i in range(6):  # written in turn: the file source reads the oldest first
+        both.filter(F.col("_file") == i).drop("_file").coalesce(1).write.parquet(f"{folder}/part{i}")
+    both.unpersist()
+    return f"{span // 2 + 3600} seconds"
 
 
 def stream_sessions_distributed(m) -> DataFrame:
-    """I6, distributed form: closed sessions from ``session_stream_batches``."""
-    folder = m.extra_sources["sf_dir"]
-    events = read_stream(m.spark, folder, "events.parquet", EVENTS_SCHEMA)
-    out = shared_table_path(m.spark, "sessions-distributed")
-    session_stream_batches(staged_status_stream(events), out, out + "-state")
-    return m.spark.read.parquet(out).select(*[f.name for f in SESSION_SCHEMA.fields])
+    """I6 over ``disordered`` events, a file per micro-batch: the sessions of the batch pairing."""
+    events = m.spark.read.schema(EVENTS_SCHEMA).parquet(f"{m.extra_sources['sf_dir']}/events.parquet")
+    folder = shared_table_path(m.spark, "events-disordered")
+    watermark = disordered(events, folder)
+    stream = read_stream(m.spark, f"{folder}/part*", "*.parquet", EVENTS_SCHEMA, max_files_per_trigger=1)
+    return session_stream(staged_status_stream(stream, watermark), shared_table_path(m.spark, "sessions-disordered"), "hour")

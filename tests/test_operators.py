@@ -38,26 +38,26 @@ def test_hot_keys_bound(spark):
     assert [r[0] for r in hot.collect()] == [0]
 
 
-def test_fanout_left_join_salted_equals_plain(spark):
+def test_fanout_left_join_equals_plain(spark):
     one = spark.createDataFrame([(k, f"t{k}") for k in range(6)], "k bigint, a string")
     many = spark.createDataFrame([(0, i) for i in range(40)] + [(1, 100), (1, 101), (3, 300), (9, 900)],
                                  "k bigint, pid bigint")
     hot = hot_keys(many, "k", max_keys=4, min_rows=1)
     assert {r[0] for r in hot.collect()} == {0}
-    salted = fanout_left_join(one, many, "k", hot, salt_cols=["pid"], buckets=8)
+    split = fanout_left_join(one, many, "k", hot)
     plain = one.join(many, "k", "left").select("k", "a", "pid")
     order = ["k", "pid"]
-    assert _rows(salted, order) == _rows(plain, order)
+    assert _rows(split, order) == _rows(plain, order)
 
 
 def test_lookup_left_join_paths_agree(spark):
     facts = spark.createDataFrame([(0, i) for i in range(30)] + [(1, 1), (2, 2), (7, 7)], "k bigint, id bigint")
     dim = spark.createDataFrame([(0, "zero"), (1, "one"), (2, "two")], "k bigint, name string")
     hot = hot_keys(facts, "k", max_keys=4, min_rows=1)
-    expect = _rows(facts.join(dim, "k", "left").select("k", "id", "name"), ["id"])
-    assert _rows(lookup_left_join(facts, dim, "k", hot=hot, salt_cols=["id"], buckets=5), ["id"]) == expect
-    assert _rows(lookup_left_join(facts, dim, "k", broadcast_max_rows=10), ["id"]) == expect
-    inner = lookup_left_join(facts, dim, "k", hot=hot, salt_cols=["id"], buckets=5, how="inner")
+    expect = _rows(facts.join(dim, "k", "left").select("k", "id", "name"), ["id", "k"])
+    assert _rows(lookup_left_join(facts, dim, "k", hot=hot), ["id", "k"]) == expect
+    assert _rows(lookup_left_join(facts, dim, "k", broadcast_max_rows=10), ["id", "k"]) == expect
+    inner = lookup_left_join(facts, dim, "k", hot=hot, how="inner")
     assert inner.count() == 32
 
 
@@ -184,7 +184,8 @@ def test_stream_dedup_drops_late_duplicates(spark):
 
     base = dt.datetime(2024, 1, 1, 12)
     rows = [(1, base, 7, "click", 0.0, None), (2, base + dt.timedelta(minutes=5), 7, "view", 0.0, None),
-            (1, base + dt.timedelta(minutes=1), 7, "click", 0.0, None)]     # duplicate of event 1
+            (1, base + dt.timedelta(minutes=1), 7, "click", 0.0, None),     # duplicate of event 1
+            (3, base + dt.timedelta(hours=5), 7, "click", 0.0, None)]       # moves the watermark on
     df = spark.createDataFrame(rows, S.EVENTS_SCHEMA)
     folder = _tempfile.mkdtemp(prefix="fareflow-dup-")
     df.coalesce(1).write.parquet(folder + "/x")

@@ -1,9 +1,7 @@
 """Full runs: materialised pipeline, quarantine, raw reader, multi-batch streams."""
 
 import datetime as dt
-import glob
 import os
-import shutil
 import tempfile
 
 from pyspark.sql import functions as F
@@ -61,29 +59,31 @@ def test_read_raw_with_declared_schema(spark):
     assert back.count() == m.raw["payments_raw"].count()
 
 
-def test_stream_sessions_across_micro_batches_equal_batch(spark):
-    """Events split by time into four files, one file per micro-batch: the
-    state must carry open sessions from batch to batch."""
-    ev = spark.read.parquet(f"{SF}/events.parquet")
-    u = F.unix_micros(F.col("ts").cast("timestamp"))
-    q = ev.select(F.percentile(u, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))).first()[0]
-    tagged = ev.withColumn("_p", F.when(u <= q[0], 0).when(u <= q[1], 1).when(u <= q[2], 2).otherwise(3))
-    parts = tempfile.mkdtemp(prefix="fareflow-events-")
-    flat = tempfile.mkdtemp(prefix="fareflow-events-flat-")
-    for i in range(4):
-        tagged.filter(F.col("_p") == i).drop("_p").coalesce(1).write.parquet(f"{parts}/part{i}")
-        (src,) = glob.glob(f"{parts}/part{i}/*.parquet")
-        shutil.copy(src, f"{flat}/events_{i}.parquet")
-        t = dt.datetime(2020, 1, 1, 0, i).timestamp()   # file source reads oldest first
-        os.utime(f"{flat}/events_{i}.parquet", (t, t))
-    stream = S.read_stream(spark, flat, "events_*.parquet", S.EVENTS_SCHEMA, max_files_per_trigger=1)
-    got = S.run_to_table(S.session_stream(S.staged_status_stream(stream)), "test-sessions")
+def test_stream_dedup_keeps_the_latest_copy_of_disordered_events(spark):
     m = Models.from_testdata(spark, SF)
-    from fareflow.operators.sessions import pair_sessions
-    expect = pair_sessions(m.stg_status_events).filter(F.col("session_end").isNotNull())
+    events = spark.read.schema(S.EVENTS_SCHEMA).parquet(f"{SF}/events.parquet")
+    folder = tempfile.mkdtemp(prefix="fareflow-events-")
+    watermark = S.disordered(events, folder)
+    stream = S.read_stream(spark, f"{folder}/part*", "*.parquet", S.EVENTS_SCHEMA, max_files_per_trigger=1)
+    got = S.run_to_table(S.staged_status_stream(stream, watermark), "test-dedup")
+    end = events.agg(F.max("ts")).first()[0] - dt.timedelta(seconds=int(watermark.split()[0]) + 3600)
+    expect = m.stg_status_events.filter(F.col("event_timestamp").cast("timestamp_ntz") <= F.lit(end))
+    assert expect.count() > 0
     assert _rows(got.select(*expect.columns)) == _rows(expect)
 
 
+def test_stream_reports_late_rows(spark):
+    folder = tempfile.mkdtemp(prefix="fareflow-late-")
+    for i, (event_id, hour) in enumerate([(1, 20), (2, 21), (3, 1)]):   # the third is far beyond the watermark
+        spark.createDataFrame([(event_id, dt.datetime(2020, 1, 1, hour), 7, "click", 0.0, "")], S.EVENTS_SCHEMA) \
+            .coalesce(1).write.parquet(f"{folder}/part{i}")
+    stream = S.staged_status_stream(S.read_stream(spark, f"{folder}/part*", "*.parquet", S.EVENTS_SCHEMA, 1))
+    q = (stream.writeStream.format("noop").option("checkpointLocation", folder + "/checkpoint")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert S.late_rows(q) == 1
+
+
 def test_snapshot_history_versions(spark):
     from fareflow.plans.history import snapshot
 
@@ -103,6 +103,37 @@ def test_snapshot_history_versions(spark):
     assert hist.count() == n_first + closed.count()
 
 
+def test_an_unfinished_history_version_is_ignored(spark):
+    from fareflow.plans.history import history_versions, store_history, stored_history
+
+    path = tempfile.mkdtemp(prefix="fareflow-hist-") + "/h"
+    for n in (1, 2, 3):
+        store_history(spark, spark.range(n), path)
+    assert [v.rsplit("/", 1)[1] for v in history_versions(spark, path)] == ["v000002", "v000003"]
+    os.remove(f"{path}/v000003/_SUCCESS")   # as after a crash while writing
+    assert stored_history(spark, path).count() == 2
+    store_history(spark, spark.range(5), path)
+    assert stored_history(spark, path).count() == 5
+
+
+def test_cli_run_on_landing_tables(spark, capsys):
+    from fareflow.__main__ import main
+
+    m = Models.from_testdata(spark, SF)
+    landing, wh = (tempfile.mkdtemp(prefix=f"fareflow-{k}-") for k in ("landing", "wh"))
+    for name, df in m.raw.items():
+        df.write.parquet(f"{landing}/{name}")
+    assert main(["run", "--landing", landing, "--warehouse", wh]) == 0
+    from fareflow.plans.pipeline import read_report
+    got = read_report(spark, wh, "daily_revenue")
+    assert _rows(got) == _rows(m.daily_revenue.select(*got.columns))
+    days = [(-r["revenue_date"].toordinal(), r["city_name"]) for r in got.collect()]
+    assert days == sorted(days)
+    capsys.readouterr()
+    assert main(["report", "--landing", landing, "--warehouse", wh, "--report", "daily_revenue"]) == 0
+    assert "revenue_date" in capsys.readouterr().out
+
+
 def test_cli_test_and_freshness(spark, capsys):
     from fareflow.__main__ import main
 
@@ -116,7 +147,7 @@ def test_cli_test_and_freshness(spark, capsys):
 
 
 def test_fact_without_broadcast_equals_broadcast(spark):
-    """The shuffle (salted) lookup path gives the same fact as the broadcast path."""
+    """The shuffle (hot rows apart) lookup path gives the same fact as the broadcast path."""
     from fareflow.operators.joins import hot_keys
     from fareflow.plans import marts
 
@@ -128,31 +159,6 @@ def test_fact_without_broadcast_equals_broadcast(spark):
     assert _rows(shuffled) == _rows(m.fact_trips)
 
 
-def test_distributed_stream_sessions_equal_batch(spark):
-    """The foreachBatch variant over four time-ordered micro-batches equals batch pairing."""
-    ev = spark.read.parquet(f"{SF}/events.parquet")
-    u = F.unix_micros(F.col("ts").cast("timestamp"))
-    q = ev.select(F.percentile(u, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))).first()[0]
-    tagged = ev.withColumn("_p", F.when(u <= q[0], 0).when(u <= q[1], 1).when(u <= q[2], 2).otherwise(3))
-    parts = tempfile.mkdtemp(prefix="fareflow-ev2-")
-    flat = tempfile.mkdtemp(prefix="fareflow-ev2-flat-")
-    for i in range(4):
-        tagged.filter(F.col("_p") == i).drop("_p").coalesce(1).write.parquet(f"{parts}/part{i}")
-        (src,) = glob.glob(f"{parts}/part{i}/*.parquet")
-        shutil.copy(src, f"{flat}/events_{i}.parquet")
-        t = dt.datetime(2020, 1, 1, 0, i).timestamp()
-        os.utime(f"{flat}/events_{i}.parquet", (t, t))
-    stream = S.read_stream(spark, flat, "events_*.parquet", S.EVENTS_SCHEMA, max_files_per_trigger=1)
-    out = tempfile.mkdtemp(prefix="fareflow-sess-") + "/sessions"
-    S.session_stream_batches(S.staged_status_stream(stream), out, out + "-state", chunk="hour")
-    got = spark.read.parquet(out).drop("epoch")
-    assert spark.read.parquet(out).select("epoch").distinct().count() == 4
-    m = Models.from_testdata(spark, SF)
-    from fareflow.operators.sessions import pair_sessions
-    expect = pair_sessions(m.stg_status_events).filter(F.col("session_end").isNotNull())
-    assert _rows(got.select(*expect.columns)) == _rows(expect)
-
-
 def test_tune_for_input_sizes_partitions(spark):
     from fareflow.session import input_bytes, tune_for_input
 
