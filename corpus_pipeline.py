@@ -24,8 +24,9 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the boilerplate lines of their source."""
-    return drop_boilerplate(docs)
+    """All documents, without the boilerplate lines of their source.  Exact copies count as one page
+    here, so that a group of them reaches the next stage with its text."""
+    return drop_boilerplate(docs, copies=False)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -31,13 +31,22 @@ def _key(line: Column) -> Column:
     return F.when(clean != "", F.unhex(F.md5(clean)))
 
 
-def boilerplate_lines(docs: DataFrame, host: str = "source", ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
+def boilerplate_lines(docs: DataFrame, host: str = "source", ratio: float = RATIO, min_pages: int = MIN_PAGES,
+                      copies: bool = True) -> DataFrame:
     """``host``, ``line_md5``, ``pages`` with the line, ``host_pages`` and their ``ratio``, for
-    every line above ``ratio`` that at least ``min_pages`` pages of its host hold."""
+    every line above ``ratio`` that at least ``min_pages`` pages of its host hold.  Without
+    ``copies``, rows of a host with equal texts are one page."""
     pages = docs.select(F.col(f"`{host}`").cast("string").alias("host"), "text")
-    totals = pages.groupBy("host").agg(F.count(F.lit(1)).alias("host_pages"))
-    lines = pages.select("host", F.explode(F.array_distinct(F.transform(_lines(F.col("text")), _key))).alias("line_md5"))
-    counts = lines.where("line_md5 IS NOT NULL").groupBy("host", "line_md5").agg(F.count(F.lit(1)).alias("pages"))
+    page = [] if copies else ["page"]
+    if not copies:
+        pages = pages.withColumn("page", F.unhex(F.md5("text")))
+    totals = pages.select("host", *page)
+    lines = pages.select("host", *page, F.explode(F.array_distinct(F.transform(_lines(F.col("text")), _key))).alias("line_md5"))
+    lines = lines.where("line_md5 IS NOT NULL")
+    if not copies:  # copies meet in partial aggregation; a hot line or host spreads over its pages
+        totals, lines = totals.distinct(), lines.distinct()
+    totals = totals.groupBy("host").agg(F.count(F.lit(1)).alias("host_pages"))
+    counts = lines.groupBy("host", "line_md5").agg(F.count(F.lit(1)).alias("pages"))
     counts = counts.where(F.col("pages") >= min_pages)
     of_host = counts["host"].eqNullSafe(totals["host"])
     return (counts.join(totals, of_host).withColumn("ratio", F.col("pages") / F.col("host_pages"))
@@ -46,17 +55,18 @@ def boilerplate_lines(docs: DataFrame, host: str = "source", ratio: float = RATI
 
 
 def drop_boilerplate(docs: DataFrame, host: str = "source", ratio: float = RATIO, min_pages: int = MIN_PAGES,
-                     dropped: str | None = None) -> DataFrame:
+                     dropped: str | None = None, copies: bool = True) -> DataFrame:
     """``docs``, all columns and rows, with boilerplate lines taken out of ``text``.
 
     Lines are separated by "\\n" and compared without surrounding white space; blank lines are
     never boilerplate.  A line that a page repeats counts one page and goes from every place.
     The other lines keep their order and bytes.  A null text stays null; a document with only
     boilerplate lines keeps an empty text; a null host is a host of its own; repeated rows are
-    pages of their own; an empty table gives no rows.  ``n_chars``, if there is one, follows the
+    pages of their own, or without ``copies`` one page of their host (a null text is a page like
+    any other); an empty table gives no rows.  ``n_chars``, if there is one, follows the
     new text.  ``dropped`` names an extra column for the number of dropped lines.
     """
-    found = boilerplate_lines(docs, host, ratio, min_pages)
+    found = boilerplate_lines(docs, host, ratio, min_pages, copies)
     of_host = stored(found.groupBy("host").agg(F.collect_list("line_md5").alias("__boilerplate"))
                      .withColumnRenamed("host", "__host"), "boilerplate")
     rows = docs.join(of_host, F.col(f"`{host}`").cast("string").eqNullSafe(F.col("__host")), "left")

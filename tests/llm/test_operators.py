@@ -10,6 +10,7 @@ import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from fareflow.llm import golay, language_id, quality, simhash_dedup
 from fareflow.llm.common import tokenizer_file
 from fareflow.llm.decontaminate import ContainmentIndex, contained_items, drop_contaminated, shingles
@@ -215,6 +216,17 @@ def test_line_dedup(spark, odd, empty):
     assert drop_boilerplate(empty).count() == 0 and drop_boilerplate(odd).count() == odd.count()
 
 
+def test_line_dedup_keeps_groups_of_copies(spark):
+    copy = "the copied page\nwith two lines"
+    texts = [copy] * 20 + [f"menu\nown {n} text" for n in range(20)] + ["small copy"] * 4 + [None, None]
+    hosts = ["hot"] * 40 + ["small"] * 6
+    docs = spark.createDataFrame([(n, t, h) for n, (t, h) in enumerate(zip(texts, hosts, strict=True))], "doc_id long, text string, source string")
+    got = {r.doc_id: r.text for r in drop_boilerplate(docs, copies=False).collect()}
+    assert got == {n: t and t.removeprefix("menu\n") for n, t in enumerate(texts)}
+    kept = corpus_pipeline.near_duplicates(spark, corpus_pipeline.line_dedup(spark, docs, ""), "")
+    assert [r.text for r in kept.collect()].count(copy) == 1
+
+
 def brute_components(texts, ids, distance=4):
     prints = [fingerprint(t or "") for t in texts]
     root = list(range(len(prints)))
