@@ -316,6 +316,102 @@ def test_licenses(spark, odd, empty):
     assert license_matches(empty).count() == 0 and license_matches(odd).count() == 0
 
 
+WRAPPED = {
+    "MIT": """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE.""",
+    "BSD-2-Clause": """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+THREE
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE
+IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE
+FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL
+DAMAGES, HOWEVER CAUSED.""",
+    "ISC": """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH
+REGARD TO THIS SOFTWARE. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY
+SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES.""",
+    "Apache-2.0": """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License.""",
+    "GPL-3.0-or-later": """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.
+
+You should have received a copy of the GNU General Public License
+along with this program.  If not, see <https://www.gnu.org/licenses/>.""",
+}
+WRAPPED["BSD-3-Clause"] = WRAPPED["BSD-2-Clause"].replace("THREE", """
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+""")
+WRAPPED["BSD-2-Clause"] = WRAPPED["BSD-2-Clause"].replace("THREE", "")
+WRAPPED["GPL-2.0-or-later"] = WRAPPED["GPL-3.0-or-later"].replace("Foundation, either version 3", "Foundation; either version 2")
+WRAPPED["LGPL-2.1-or-later"] = (WRAPPED["GPL-2.0-or-later"].replace("version 2", "version 2.1").replace("GNU General", "GNU Lesser General")
+                                .replace("This program", "This library"))
+
+
+@pytest.mark.parametrize("licence", sorted(WRAPPED))
+def test_wrapped_licence_texts(licence):
+    text = WRAPPED[licence]
+    for sign in ("", "// ", "# ", " * ", ";; "):
+        commented = "\n".join((sign + line).rstrip() for line in text.split("\n"))
+        for around in (commented, f"Some words.\r\n\r\n{commented}\n\nint x;", f"/*\n{commented}\n */\nint main() {{"):
+            assert [m[0] for m in scan(around)] == [licence], sign
+    assert len(scan(text)[0][3]) >= 3
+
+
+def test_licence_sentence_ends():
+    assert [m[0] for m in scan("Under the\nGNU Lesser General Public License, version\n3. Other words.")] == ["LGPL-3.0"]
+    assert [m[0] for m in scan("All rights\nreserved")] == ["all-rights-reserved"]
+    assert [m[0] for m in scan("Released under the MIT License\nAll rights reserved")] == ["MIT", "all-rights-reserved"]
+    for line, wanted in (("MIT OR Apache-2.0", "mit or apache-2.0"), ("(MIT AND (BSD-3-Clause OR ISC)) */", "(mit and (bsd-3-clause or isc))"),
+                         ("GPL-2.0-only WITH Classpath-exception-2.0 // x", "gpl-2.0-only with classpath-exception-2.0"),
+                         ("GPL-2.0+ and more", "gpl-2.0+"), ("MIT OR", "mit"), ("(MIT", "mit")):
+        assert [m[0] for m in scan(f"/* SPDX-License-Identifier: {line}\nint x;")] == [wanted]
+
+
 def test_language(spark, odd, empty):
     pick = random.Random(6)
     words = {"en": "the and of is that with for".split(), "de": "der die und nicht mit für auf".split()}
