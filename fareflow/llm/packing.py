@@ -1,19 +1,25 @@
 """Operator 4: packing by lexical retrieval.
 
-Two passes over the documents:
+Two passes over the documents, and a sample between them:
 
 1. Corpus statistics for BM25: the number of documents with each term, the number of documents
    and their mean length, over all documents.  Terms are words (runs of letters) hashed to 2^18
    numbers, so the statistics that every task gets are 2^18 counts (2 MB), whatever the corpus.
-2. The index is sharded: a shard is the next ``shard_docs`` documents of a scan partition (or
-   fewer, when they reach ``shard_ids`` ids) with their inverted lists.  The first document
-   is the seed; its window is filled with the best-scoring unused documents of the shard, in
-   order, until it is full.  The document that the window's end cuts goes on in the next
-   window and is its seed.  Every window of a shard but the last is therefore full; the last
-   is closed as sequences of powers of two, which need no padding.
-
-No document is moved between tasks, a task holds one shard at a time, and the work of a
-document depends on the shard size alone, so the job grows with the input.
+2. Documents are dealt into slots of about ``shard_docs`` documents by content.  A balanced tree of
+   at most 2^8 leaves, made from a sample of ``SAMPLE`` documents, halves them by their main
+   direction of variation (TF-IDF, 2^12 dimensions); a leaf that holds more than one slot is
+   parted by a MinHash of a document's rarest shared terms.  A MinHash that stands out in the
+   sample (a large group of copies) is parted by the hash of the doc_id instead, so no slot
+   grows with such a group.  Documents meet by slot in one shuffle, as ids and terms.
+3. The index is sharded: a shard is the next ``shard_docs`` documents in slot order (or fewer, when
+   they reach ``shard_ids`` ids, or when a slot ends after half as many) with their inverted
+   lists.  The first document is the seed; its window is filled with the best-scoring unused
+   documents of the shard, in order, until it is full.  The document that the window's end cuts
+   goes on in the next window and is its seed.  Every window of a shard but the last is
+   therefore full; the last is closed as sequences of powers of two, which need no padding.
+
+A task holds one shard at a time, and the work of a document depends on the shard size alone, so
+the job grows with the input.
 """
 
 from __future__ import annotations
@@ -22,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,6 +40,11 @@ WORD_BPE = "word_bpe_49k.json"
 END_ID = 1
 TERMS = 1 << 18
 K1, B = 1.2, 0.75
+SAMPLE = 2048  # documents from which the tree of slots is made
+DIMENSIONS, DEPTH = 1 << 12, 8
+RAREST = 8  # terms of a document that its MinHash is taken of
+HOT = 4  # a MinHash that so many documents of the sample share is parted by doc_id
+_MULTIPLY, _MASK = 0x9E3779B1, (1 << 32) - 1
 _DOCS, _WORDS = TERMS, TERMS + 1  # two more numbers in the statistics
 
 
@@ -45,8 +57,8 @@ def _term_counts(cut: Units) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return key % TERMS, counts, np.searchsorted(key, np.arange(len(cut.text_end) + 1) * TERMS)
 
 
-def corpus_statistics(docs: DataFrame) -> tuple[np.ndarray, float]:
-    """Inverse document frequency of each term number, and the mean number of words."""
+def corpus_statistics(docs: DataFrame) -> tuple[np.ndarray, float, int]:
+    """Inverse document frequency of each term number, the mean number of words, and the number of documents."""
 
     def counted(batches):
         seen = np.zeros(TERMS + 2, np.int64)
@@ -63,7 +75,97 @@ def corpus_statistics(docs: DataFrame) -> tuple[np.ndarray, float]:
     seen = np.zeros(TERMS + 2, np.int64)
     seen[rows.column("term").to_numpy()] = rows.column("n").to_numpy()
     n = seen[_DOCS]
-    return np.log1p((n - seen[:TERMS] + 0.5) / (seen[:TERMS] + 0.5)).astype(np.float32), max(1.0, seen[_WORDS] / max(1, n))
+    return np.log1p((n - seen[:TERMS] + 0.5) / (seen[:TERMS] + 0.5)).astype(np.float32), max(1.0, seen[_WORDS] / max(1, n)), int(n)
+
+
+def _sample(docs: DataFrame, n: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Terms and counts of about ``SAMPLE`` documents, chosen by their hash."""
+    def run(batches):
+        for batch in parts(batches):
+            for _, _, raw in batches_of(texts(batch)):
+                terms, counts, bounds = _term_counts(units(raw))
+                some = list(zip(bounds, bounds[1:]))
+                yield pa.RecordBatch.from_arrays([pa.array([x[i:j].tobytes() for i, j in some], pa.binary()) for x in (terms, counts)], ["t", "c"])
+
+    share = min(1.0, SAMPLE / max(1, n))
+    some = docs.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) < int(share * (1 << 30)))
+    # a group of rows that are equal in all may exceed the share; the limit holds the driver's part
+    found = some.select("text").mapInArrow(run, "t binary, c binary").limit(2 * SAMPLE).toArrow()
+    pairs = sorted(zip(found.column("t").to_pylist(), found.column("c").to_pylist(), strict=True))
+    return [(np.frombuffer(t, np.int64), np.frombuffer(c, np.int64)) for t, c in pairs]
+
+
+class Slots:
+    """Deals documents into slots of like content."""
+
+    def __init__(self, sample: list[tuple[np.ndarray, np.ndarray]], idf: np.ndarray, n: int, shard_docs: int):
+        self.idf = idf
+        self.shared = np.log1p((n - 1.5) / 2.5) + 1e-3 if n > 2 else np.inf  # the idf of a term of two documents
+        self.depth = min(DEPTH, max(0, -(-n // shard_docs) - 1).bit_length())
+        self.directions = np.zeros(((1 << self.depth) - 1, DIMENSIONS), np.float32)
+        self.limits = np.full(len(self.directions), np.inf)
+        terms, counts = [t for t, _ in sample], [c for _, c in sample]
+        if self.depth and sample:
+            rows = np.zeros((len(sample), DIMENSIONS), np.float32)
+            doc, dim, weight = self._vectors(terms, counts)
+            np.add.at(rows, (doc, dim), weight)
+            self._grow(0, rows)
+        leaf = self._leaves(terms, counts)
+        held = np.bincount(leaf, minlength=1 << self.depth)
+        self.slots = np.maximum(1, np.rint(held * (n / shard_docs / max(1, len(sample)))).astype(np.int64))
+        self.first = np.cumsum(self.slots) - self.slots
+        keys, often = np.unique([self.minhash(t) for t in terms] or [0], return_counts=True)
+        self.hot = frozenset(keys[often >= HOT].tolist()) if self.slots.max() > 1 else frozenset()
+
+    def _vectors(self, terms: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(document, dimension, weight) of the documents' terms; each document has length one."""
+        doc = np.repeat(np.arange(len(terms)), [len(t) for t in terms])
+        term = np.concatenate([np.zeros(0, np.int64), *terms])
+        weight = self.idf[term] * np.log1p(np.concatenate([np.zeros(0, np.int64), *counts]))
+        norm = np.sqrt(np.bincount(doc, weight * weight, len(terms)))
+        return doc, term % DIMENSIONS, (weight / np.maximum(norm, 1e-9)[doc]).astype(np.float32)
+
+    def _grow(self, node: int, rows: np.ndarray) -> None:
+        if node >= len(self.limits) or len(rows) < 4:
+            return
+        off = rows - rows.mean(0)
+        along = off[np.argmax((off * off).sum(1))]
+        for _ in range(12):  # power iteration
+            along = off.T @ (off @ along)
+            if not (size := np.linalg.norm(along)) > 1e-12:
+                return
+            along /= size
+        at = rows @ along
+        self.directions[node], self.limits[node] = along, np.median(at) + 1e-6
+        self._grow(2 * node + 1, rows[at <= self.limits[node]])
+        self._grow(2 * node + 2, rows[at > self.limits[node]])
+
+    def _leaves(self, terms: list[np.ndarray], counts: list[np.ndarray]) -> np.ndarray:
+        node = np.zeros(len(terms), np.int64)
+        if self.depth:
+            doc, dim, weight = self._vectors(terms, counts)
+            for _ in range(self.depth):
+                at = np.bincount(doc, self.directions[node[doc], dim] * weight, len(terms))
+                node = 2 * node + 1 + (at > self.limits[node])
+        return node - len(self.limits)
+
+    def minhash(self, terms: np.ndarray) -> int:
+        """MinHash of the rarest terms that other documents have as well."""
+        idf = self.idf[terms]
+        terms, idf = terms[idf <= self.shared], idf[idf <= self.shared]
+        if len(terms) > RAREST:
+            terms = terms[np.argsort(-idf, kind="stable")[:RAREST]]
+        return int(((terms * _MULTIPLY) & _MASK).min(initial=_MASK))
+
+    def of(self, doc_ids: list, terms: list[np.ndarray], counts: list[np.ndarray]) -> list[int]:
+        out = []
+        for doc_id, term, leaf in zip(doc_ids, terms, self._leaves(terms, counts).tolist(), strict=True):
+            slot, n = int(self.first[leaf]), int(self.slots[leaf])
+            if n > 1:
+                key = self.minhash(term)
+                slot += xxhash.xxh64_intdigest(str(doc_id if key in self.hot else key)) % n
+            out.append(slot)
+        return out
 
 
 class Shard:
@@ -144,10 +246,39 @@ def layout(lengths: np.ndarray, window: int) -> tuple[np.ndarray, ...]:
     return place, cuts - starts[place], np.diff(cuts, append=total), sequence, cuts - sequences[sequence]
 
 
-def _packed(batches: Iterator[pa.RecordBatch], idf: np.ndarray, mean: float, tokenizer: str, end_id: int,
-            window: int, shard_docs: int, shard_ids: int):
+def _narrow(values: np.ndarray) -> bytes:
+    """The numbers in the fewest bytes each that hold them all, after that number of bytes."""
+    most = values.max(initial=0)
+    size = 1 if most < 1 << 8 else 2 if most < 1 << 16 else 4
+    return bytes([size]) + values.astype(f"<u{size}").tobytes()
+
+
+def _wide(data: bytes, kind: str) -> np.ndarray:
+    return np.frombuffer(data, f"<u{data[0]}", offset=1).astype(kind)
+
+
+def _encoded(batches: Iterator[pa.RecordBatch], slots: Slots, tokenizer: str, end_id: int):
+    """``doc_id``, ``slot``, and the document's ids, terms and counts as packed integers."""
     encoder, end = text_ids(tokenizer), np.array([end_id], "<u4")
-    sequence0 = partition_id() << 33
+    for batch in parts(batches):
+        terms: list[np.ndarray] = []
+        counts: list[np.ndarray] = []
+
+        def seen(first: int, cut: Units):
+            term, count, bounds = _term_counts(cut)
+            terms.extend(term[i:j] for i, j in zip(bounds, bounds[1:]))  # noqa: B023
+            counts.extend(count[i:j] for i, j in zip(bounds, bounds[1:]))  # noqa: B023
+
+        ids = [np.concatenate([own, end]) for own in encoder.all_ids(texts(batch), seen)]
+        doc_ids = batch.column("doc_id").to_pylist()
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(doc_ids, pa.int64()), pa.array(slots.of(doc_ids, terms, counts), pa.int32()),
+             *(pa.array(list(map(_narrow, column)), pa.binary()) for column in (ids, terms, counts))],
+            ["doc_id", "slot", "ids", "terms", "counts"])
+
+
+def _packed(batches: Iterator[pa.RecordBatch], idf: np.ndarray, mean: float, window: int, shard_docs: int, shard_ids: int):
+    sequence0, last = partition_id() << 33, None
     doc_ids, ids, terms, counts, size = [], [], [], [], 0
 
     def pack():
@@ -164,22 +295,17 @@ def _packed(batches: Iterator[pa.RecordBatch], idf: np.ndarray, mean: float, tok
         sequence0 += int(sequence[-1]) + 1
 
     for batch in parts(batches):
-        found: list[tuple[np.ndarray, np.ndarray]] = []
-
-        def seen(first: int, cut: Units):
-            term, count, bounds = _term_counts(cut)
-            found.extend((term[i:j], count[i:j]) for i, j in zip(bounds, bounds[1:]))  # noqa: B023
-
-        own = encoder.all_ids(texts(batch), seen)
-        for doc_id, of_text, (term, count) in zip(batch.column("doc_id").to_pylist(), own, found, strict=True):
-            doc_ids.append(doc_id)
-            ids.append(np.concatenate([of_text, end]))
-            terms.append(term)
-            counts.append(count)
-            size += len(ids[-1])
-            if len(ids) >= shard_docs or size >= shard_ids:
+        rows = zip(*(batch.column(c).to_pylist() for c in ("doc_id", "slot", "ids", "terms", "counts")), strict=True)
+        for doc_id, slot, of_text, term, count in rows:
+            if len(ids) >= shard_docs or size >= shard_ids or slot != last and 2 * len(ids) >= shard_docs:
                 yield from pack()
                 doc_ids, ids, terms, counts, size = [], [], [], [], 0
+            last = slot
+            doc_ids.append(doc_id)
+            ids.append(_wide(of_text, "<u4"))
+            terms.append(_wide(term, "i8"))
+            counts.append(_wide(count, "i8"))
+            size += len(ids[-1])
     if ids:
         yield from pack()
 
@@ -192,13 +318,20 @@ def pack_documents(docs: DataFrame, tokenizer: str = WORD_BPE, end_id: int = END
     A document is the ids of its whole text (null: empty) and the end id, and each id lies in
     exactly one piece.  Sequences hold ``window`` ids (a power of two), or at the end of a shard a smaller
     power of two.  Null and repeated doc_ids and repeated rows are documents of their own; ties
-    in the score keep the scan order; an empty table gives no rows; other columns are ignored.
+    in the score go to the smaller doc_id; an empty table gives no rows; other columns are ignored.
     """
     if window & (window - 1):
         raise ValueError("window must be a power of two")
-    docs = docs.select("doc_id", "text")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     context = docs.sparkSession.sparkContext
-    statistics = context.broadcast(corpus_statistics(docs))  # at most 2^18 numbers
-    return docs.mapInArrow(
-        lambda it: _packed(it, *statistics.value, tokenizer, end_id, window, shard_docs, shard_ids),
+    idf, mean, n = corpus_statistics(docs)
+    dealt = Slots(_sample(docs, n) if n > shard_docs else [], idf, n, shard_docs)
+    slots, many = context.broadcast(dealt), int(dealt.slots.sum())  # at most 5 MB
+    encoded = docs.mapInArrow(lambda it: _encoded(it, slots.value, tokenizer, end_id),
+                              "doc_id long, slot int, ids binary, terms binary, counts binary")
+    # neighbouring slots go to one task, the same number to each, so that no task sorts much
+    tasks = min(many, 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    to = F.floor(F.col("slot").cast("long") * tasks / many).cast("int")
+    return encoded.repartitionById(tasks, to).sortWithinPartitions("slot", "doc_id").mapInArrow(
+        lambda it: _packed(it, slots.value.idf, mean, window, shard_docs, shard_ids),
         "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")

@@ -16,7 +16,7 @@ from fareflow.llm.common import tokenizer_file
 from fareflow.llm.decontaminate import ContainmentIndex, contained_items, drop_contaminated, shingles
 from fareflow.llm.licenses import license_matches, scan
 from fareflow.llm.line_dedup import drop_boilerplate
-from fareflow.llm.packing import layout, pack_documents
+from fareflow.llm.packing import Slots, layout, pack_documents
 from fareflow.llm.simhash_dedup import drop_near_duplicates, fingerprint, fuzzy_keys, near_duplicates, spanning_links
 from fareflow.llm.token_counts import token_counts
 from fareflow.llm.token_files import decode, encode, read_token_files, write_token_files
@@ -142,6 +142,25 @@ def test_packing_puts_lexical_neighbours_together(spark):
     assert order[:3] == [order[0]] * 3
 
 
+def test_packing_shards_by_content(spark):
+    """Documents of like content meet in a shard, however the scan deals them; a hot group of copies spreads."""
+    pick = random.Random(8)
+    words = [[f"{a}{b}{c}" for b in "bdfgk" for c in "lmnrs"] for a in ("ka", "po", "ti", "zu")]
+    words = [[w + "".join(pick.choice("aeiou") for _ in range(4)) for w in group] for group in words]
+    texts = [" ".join(pick.choice(words[n % 4]) for _ in range(30)) for n in range(640)]
+    docs = spark.createDataFrame(rows_of(texts), DOCS).repartition(16)
+    sequences = {}
+    for r in pack_documents(docs, window=256, shard_docs=40).collect():
+        sequences.setdefault(r.sequence_id, set()).add((r.doc_id - 1) % 4)
+    assert sum(len(kinds) == 1 for kinds in sequences.values()) >= 0.8 * len(sequences)
+
+    terms = [np.array(sorted(pick.sample(range(1000), 20))) for _ in range(500)]
+    sample = [(t, np.ones(20, np.int64)) for t in [terms[0]] * 500 + terms]
+    slots = Slots(sample, np.full(1 << 18, 3.0, np.float32), 10_000, 10)
+    copies = slots.of(list(range(1000)), [terms[0]] * 1000, [np.ones(20, np.int64)] * 1000)
+    assert np.unique(copies, return_counts=True)[1].max() < 20
+
+
 def test_top_k(spark):
     pick = random.Random(1)
     nan = float("nan")
