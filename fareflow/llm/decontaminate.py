@@ -6,7 +6,9 @@ about a short item, so, as in containment indexes, items are partitioned by size
 shingles falls in the class of the power of two u >= q, and its signature is the bottom
 floor((1 - threshold) * u) + 1 of its shingles in hash order.  At most floor((1 - threshold) * q)
 shingles of a contained item are missing, so at least one of its signature is in the document:
-no contained item is lost, however long the document is.  A document probes the signatures with
+no contained item is lost, however long the document is.  An item of fewer words than a shingle (one
+to four) has one shingle of all its words, which only a document of just these words has: such items
+match whole texts only, and are not found inside longer documents.  A document probes the signatures with
 all its shingles; each candidate is verified by the exact containment of its shingle set.
 
 The benchmark is read in slices of at most about ``SLICE_BYTES`` of text.  One slice is sent to
