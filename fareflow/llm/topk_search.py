@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from fareflow.llm.common import stored
 
-LARGEST = 1 << 23  # components are held to this size, so that no score leaves 64 bits
+LARGEST = 2.0**63  # a quantised component from this size on is an error
 DENSE = 8  # a list that holds more than 1/8 of the block's rows is kept complete
 
 
@@ -32,7 +32,10 @@ def _quantised(scale: float):
             row = np.repeat(np.arange(len(sizes)), sizes)
             usable = np.bincount(row, ~np.isfinite(flat), len(sizes)) == 0
             with np.errstate(over="ignore", invalid="ignore"):
-                values = np.clip(np.nan_to_num(np.floor(scale * flat)), -LARGEST, LARGEST).astype("<i4")
+                values = np.floor(scale * flat)
+                if (np.abs(values[usable[row]]) >= LARGEST).any():
+                    raise OverflowError("a component times the scale leaves 64 bits")
+                values = np.where(usable[row], values, 0).astype("<i8")
             ends = np.cumsum(sizes)
             ids = batch.column("vec_id").to_numpy()
             yield pa.RecordBatch.from_arrays(
@@ -43,14 +46,14 @@ def _quantised(scale: float):
 
 
 def quantise(vectors: DataFrame, scale: float = 64) -> DataFrame:
-    """``vec_id`` and floor(scale * x) of each component as packed 32-bit integers."""
+    """``vec_id`` and floor(scale * x) of each component as packed 64-bit integers."""
     return vectors.select("vec_id", "embedding").mapInArrow(_quantised(scale), "vec_id long, v binary")
 
 
 def _rows(packed: list[bytes], width: int) -> np.ndarray:
-    out = np.zeros((len(packed), width), np.int32)
+    out = np.zeros((len(packed), width), np.int64)
     for i, v in enumerate(packed):
-        x = np.frombuffer(v, "<i4")
+        x = np.frombuffer(v, "<i8")
         out[i, :len(x)] = x
     return out
 
@@ -70,7 +73,7 @@ class InvertedLists:
         total, part = np.zeros(self.n, self.type), np.empty(self.n, self.type)
         for term in np.flatnonzero(query):
             at, values = self.lists[term]
-            weight = self.type(query[term])
+            weight = int(query[term]) if self.type is object else self.type(query[term])
             if at is None:  # a complete list: every row has a place, in order
                 np.multiply(values, weight, out=part)
                 total += part
@@ -96,10 +99,12 @@ def _searched(k: int):
             ids = candidates.column("vec_id").to_numpy()[order]
             theirs = candidates.column("v").to_pylist()
             ours = queries.column("v").to_pylist()
-            width = max(map(len, ours + theirs)) // 4
+            width = max(map(len, ours + theirs)) // 8
             rows, weights = _rows([theirs[i] for i in order], width), _rows(ours, width)
-            largest = lambda x: int(np.abs(x, dtype=np.int64).max(initial=0))
-            lists = InvertedLists(rows, np.int32 if width * largest(rows) * largest(weights) < 2**31 else np.int64)
+            largest = lambda x: max(int(x.max(initial=0)), -int(x.min(initial=0)))
+            bound = width * largest(rows) * largest(weights)
+            # beyond 64 bits Python's integers keep the sums exact; a winner's score beyond them is an error
+            lists = InvertedLists(rows, np.int32 if bound < 2**31 else np.int64 if bound < 2**63 else object)
             for qid, qkey, query in zip(queries.column("vec_id").to_numpy(), queries.column("query_key").to_numpy(), weights, strict=True):
                 scores = lists.scores(query)
                 others = np.flatnonzero(ids != qid)
@@ -121,8 +126,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, scale: float = 64,
     or whose vector holds a null or non-finite component take no part; a shorter vector counts
     as zero in the components it lacks, an empty one scores 0.  Rows that repeat a vec_id are
     candidates each; a query repeated exactly is asked once, and two different vectors under one
-    query id are answered each.  Components beyond 2^23 in size after scaling are held to it.
-    An empty table gives no rows; other columns are ignored.
+    query id are answered each.  Scores are exact; a component after scaling or a
+    winner's score that leaves 64 bits is an error.  An empty table gives no rows; other columns are ignored.
     """
     rows = stored(quantise(vectors, scale), "vectors")
     asked = rows.where(is_query).distinct().withColumn("query_key", F.xxhash64("vec_id", "v"))

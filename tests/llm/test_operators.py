@@ -179,6 +179,17 @@ def test_top_k(spark):
     assert top_k(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_top_k_of_large_components(spark):
+    rows = [(0, [200_000.0, 1.0]), (1, [131_073.0, 0.0]), (2, [262_144.0, 0.0]), (3, [1e9, 0.0]), (4, [1e9, 0.5]), (5, [-1e12, 3.0])]
+    df = spark.createDataFrame([*rows, (40, [1e9, 1e9])], "vec_id long, embedding array<double>")
+    q = {i: [math.floor(64 * x) for x in v] for i, v in [*rows, (40, [1e9, 1e9])]}
+    got = top_k(df, F.col("vec_id") == 0, k=5, scale=64).collect()
+    wanted = sorted((-sum(x * y for x, y in zip(q[0], v)), i) for i, v in q.items() if i)[:5]
+    assert [(-r.score, r.vec_id) for r in sorted(got, key=lambda r: r.rank)] == wanted
+    with pytest.raises(Exception, match="64 bits"):
+        top_k(spark.createDataFrame([(0, [1e300])], "vec_id long, embedding array<double>"), F.lit(True)).collect()
+
+
 def test_containment(spark, odd, empty):
     pick = random.Random(4)
     word = lambda: "".join(pick.choice("abcdef") for _ in range(3))
