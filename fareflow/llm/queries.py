@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fareflow.llm import language_id, quality
+from fareflow.llm.collocations import collocations
 from fareflow.llm.common import crc_remainder, table
 from fareflow.llm.decontaminate import contained_items
 from fareflow.llm.licenses import license_matches
@@ -85,6 +86,10 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_matches(table(spark, sf_dir, "documents"))
 
 
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_language_id": op2_language_id,
@@ -96,6 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_simhash_dedup": op9_simhash_dedup,
     "op10_license_scan": op10_license_scan,
+    "op13_phrase_collocations": op13_phrase_collocations,
 }
 
 
@@ -136,4 +142,23 @@ ORACLE_SQL: dict[str, str] = {
                  FROM documents d LEFT JOIN bad ON d.source IS NOT DISTINCT FROM bad.source)
         SELECT doc_id, source, CAST(coalesce(len(l) - len(o), 0) AS BIGINT) AS lines_dropped,
                CAST(length(array_to_string(o, chr(10))) AS BIGINT) AS n_chars, array_to_string(o, chr(10)) AS text FROM kept""",
+    "op13_phrase_collocations": r"""
+        WITH w AS (SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w
+          FROM (SELECT lang, unnest(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+        grams AS (SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
+                  FROM w, range(1, 6) ks(k)),
+        f AS (SELECT lang, k, phrase, count(*) AS c FROM grams GROUP BY ALL),
+        totals AS (SELECT lang, sum(c) AS n FROM f WHERE k = 1 GROUP BY lang),
+        cand AS (SELECT lang, k, phrase, c AS a, string_split(phrase, ' ') AS p FROM f WHERE k >= 2 AND c >= 100),
+        cuts AS (SELECT lang, k, phrase, a, j, array_to_string(p[:j], ' ') AS lp, array_to_string(p[j + 1:], ' ') AS rp
+                 FROM cand, range(1, 5) js(j) WHERE j < k),
+        scored AS (SELECT c.lang, c.phrase, a, j, l.c AS l, r.c AS r, n, (1000::HUGEINT * a * n) // (l.c::HUGEINT * r.c) AS score
+                   FROM cuts c JOIN f l ON c.lang = l.lang AND c.lp = l.phrase AND l.k = c.j JOIN f r ON c.lang = r.lang AND c.rp = r.phrase AND r.k = c.k - c.j
+                   JOIN totals t ON t.lang = c.lang),
+        low AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+        inner_ AS (SELECT lang, a, k, unnest(flatten(list_transform(range(2, k), lambda m: list_transform(range(1, k - m + 2), lambda i: array_to_string(p[i:i + m - 1], ' '))))) AS phrase FROM cand),
+        gone AS (SELECT DISTINCT i.lang, i.phrase FROM inner_ i JOIN cand c ON c.lang = i.lang AND c.phrase = i.phrase AND i.a * 100 >= c.a * 100)
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n::BIGINT AS n, score::BIGINT AS score
+        FROM low ANTI JOIN gone USING (lang, phrase) QUALIFY rank <= 2000""",
 }
