@@ -19,6 +19,7 @@ from fareflow.llm.line_dedup import MIN_PAGES, RATIO, drop_boilerplate
 from fareflow.llm.packing import pack_documents
 from fareflow.llm.simhash_dedup import near_duplicates
 from fareflow.llm.suffix_dedup import without_repeats
+from fareflow.llm.token_alignment import align
 from fareflow.llm.token_counts import token_counts
 from fareflow.llm.token_files import read_token_files, write_token_files
 from fareflow.llm.topk_search import top_k
@@ -87,6 +88,10 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_matches(table(spark, sf_dir, "documents"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align(table(spark, sf_dir, "documents"))
+
+
 def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = without_repeats(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
@@ -107,6 +112,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_simhash_dedup": op9_simhash_dedup,
     "op10_license_scan": op10_license_scan,
+    "op11_token_alignment": op11_token_alignment,
     "op12_suffix_dedup": op12_suffix_dedup,
     "op13_phrase_collocations": op13_phrase_collocations,
 }
