@@ -6,18 +6,23 @@
 * ``fanout_left_join``: ``one LEFT JOIN many`` where ``one`` is unique per key
   (J1).
 * ``lookup_left_join``: ``facts LEFT JOIN dim`` where ``dim`` is unique per
-  key (J5, J7).  Broadcasts the dim when a row count proves it small.
+  key (J5).  Broadcasts the dim when a row count proves it small.
+* ``lookup_all``: the same for several dims, one after another (J7-J10).
 
-Both split hot rows from cold ones: the unique side's rows of the hot keys (at
+The first two split hot rows from cold ones: the unique side's rows of the hot keys (at
 most ``max_keys``) are broadcast to the hot rows, which are never shuffled; the
 rest joins on the plain key, so a partitioning by that key is reused and no key
 in it holds more than the share that ``hot_keys`` allows.  Where no key is hot,
-adaptive execution drops the hot branch.
+adaptive execution drops the hot branch.  That split reads its input twice, so
+stacked lookups would double the plan each time; ``lookup_all`` reads its input
+once, whatever the number of lookups.
 """
 
 from __future__ import annotations
 
 import weakref
+from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -91,6 +96,14 @@ def row_width(df: DataFrame) -> int:
     return ROW_OVERHEAD + sum(_WIDTH.get(type(f.dataType).__name__, 64) for f in df.schema.fields)
 
 
+def _small(dim: DataFrame, size_of: DataFrame | None, max_rows: int, max_bytes: int) -> bool:
+    """Whether a row count proves ``dim`` (or the table it is a projection of) small enough to broadcast."""
+    if max_rows <= 0:
+        return False
+    rows = row_count(size_of if size_of is not None else dim)
+    return rows <= max_rows and rows * row_width(dim) <= max_bytes
+
+
 def lookup_left_join(facts: DataFrame, dim: DataFrame, key: str, hot: DataFrame | None = None,
                      broadcast_max_rows: int | None = None, how: str = "left",
                      size_of: DataFrame | None = None,
@@ -108,10 +121,8 @@ def lookup_left_join(facts: DataFrame, dim: DataFrame, key: str, hot: DataFrame
     * otherwise a plain shuffle join (AQE may split skewed partitions).
     """
     columns = [*facts.columns, *(c for c in dim.columns if c != key)]
-    if broadcast_max_rows is not None:
-        rows = row_count(size_of if size_of is not None else dim)
-        if rows <= broadcast_max_rows and rows * row_width(dim) <= broadcast_max_bytes:
-            return facts.join(F.broadcast(dim), key, how)
+    if broadcast_max_rows is not None and _small(dim, size_of, broadcast_max_rows, broadcast_max_bytes):
+        return facts.join(F.broadcast(dim), key, how)
     if hot is None:
         return facts.join(dim, key, how)
     f = _flag_hot(facts, key, hot).withColumn("_apart", F.col("_hot") | F.col(key).isNull())
@@ -119,3 +130,95 @@ def lookup_left_join(facts: DataFrame, dim: DataFrame, key: str, hot: DataFrame
     cold = f.filter(~F.col("_apart")).drop("_hot", "_apart").join(d.filter(~F.col("_hot")).drop("_hot"), key, how)
     apart = f.filter("_apart").drop("_hot", "_apart").join(F.broadcast(d.filter("_hot").drop("_hot")), key, how)
     return cold.select(*columns).unionByName(apart.select(*columns))
+
+
+@dataclass(frozen=True)
+class Lookup:
+    """A dim to look up by ``key`` (unique in ``dim``, named alike in the facts).
+
+    ``how`` is "left" or "inner"; ``size_of`` a table the dim is a projection of, counted in its place;
+    ``hot`` the key's hot values as a bounded table (``hot_keys``), if they are known.
+    """
+
+    dim: DataFrame
+    key: str
+    how: str = "left"
+    size_of: DataFrame | None = None
+    hot: DataFrame | None = None
+
+
+def hot_values(df: DataFrame, keys: Sequence[str], max_keys: int = DEFAULT_MAX_HOT_KEYS,
+               min_rows: int = DEFAULT_MIN_HOT_ROWS) -> dict[str, list]:
+    """The hot values of several key columns, found in one pass over ``df``.
+
+    As in ``hot_keys`` a value is hot with at least 1 / ``max_keys`` of all rows and ``min_rows`` rows, so a
+    column has at most ``max_keys`` of them: a bounded list on the driver.  Each row is counted
+    under all its keys at once (combined in the map tasks).
+    """
+    if not keys:
+        return {}
+    slots = [F.struct(F.lit(i).alias("slot"), *(F.col(k).alias(f"k{j}") if i == j else F.lit(None).cast(df.schema[k].dataType).alias(f"k{j}")
+                                                for j, k in enumerate(keys))) for i, _ in enumerate(keys)]
+    counts = (df.select(F.explode(F.array(*slots)).alias("of")).groupBy("of").agg(F.count(F.lit(1)).alias("n")))
+    rows = counts.select("of.*", "n")
+    totals = rows.groupBy("slot").agg(F.sum("n").alias("total"))
+    hot = (rows.where(F.col("n") >= min_rows).join(F.broadcast(totals), "slot")
+           .where(F.col("n") * F.lit(max_keys) >= F.col("total")).collect())
+    out: dict[str, list] = {k: [] for k in keys}
+    for r in hot:
+        value = r[f"k{r['slot']}"]
+        if value is not None:
+            out[keys[r["slot"]]].append(value)
+    return out
+
+
+# Shares that the rows of hot keys, and those without a key, are dealt into.
+SPREAD = 1 << 16
+
+
+def _spread_join(facts: DataFrame, lookup: Lookup, hot: list) -> DataFrame:
+    """``facts JOIN dim`` by one shuffle of the facts in which no key is hot.
+
+    Rows of a hot key take the dim's row from a broadcast of the hot keys' rows (at most as many as
+    there are hot keys); in the shuffle they, and rows without a key, are dealt by a hash of the
+    whole row under a key that matches nothing.  All others join on their key.
+    """
+    key, own = lookup.key, [c for c in lookup.dim.columns if c != lookup.key]
+    apart = F.col(key).isNull() | (F.col(key).isin(hot) if hot else F.lit(False))
+    share = F.pmod(F.xxhash64(*[F.col(c) for c in facts.columns]), F.lit(SPREAD)) + 1
+    keyed = facts.withColumn("_dealt", F.struct(F.when(~apart, F.col(key)).alias("k"), F.when(apart, share).otherwise(F.lit(0)).cast("long").alias("s")))
+    cold = lookup.dim.where(F.col(key).isNotNull()).select(
+        F.struct(F.col(key).alias("k"), F.lit(0).cast("long").alias("s")).alias("_dealt"), F.struct(*own).alias("_cold"))
+    joined = keyed.join(cold, "_dealt", "left")
+    found = F.col("_cold")
+    if hot:
+        few = lookup.dim.where(F.col(key).isin(hot)).select(F.col(key).alias("_hot_key"), F.struct(*own).alias("_hot"))
+        joined = joined.join(F.broadcast(few), F.col(key) == F.col("_hot_key"), "left")
+        found = F.coalesce("_cold", "_hot")
+    joined = joined.withColumn("_found", found)
+    if lookup.how == "inner":
+        joined = joined.where(F.col("_found").isNotNull())
+    return joined.select(*facts.columns, *[F.col(f"_found.{c}").alias(c) for c in own])
+
+
+def lookup_all(facts: DataFrame, lookups: Sequence[Lookup], broadcast_max_rows: int,
+               broadcast_max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES, max_hot: int = DEFAULT_MAX_HOT_KEYS,
+               min_hot_rows: int = DEFAULT_MIN_HOT_ROWS) -> DataFrame:
+    """``facts`` joined to each dim of ``lookups``, which are unique per key.
+
+    Dims that a row count proves small are broadcast first.  For the others the hot values of all
+    their keys are taken from one pass over the facts (a bounded list), and each lookup shuffles the
+    facts once.  The facts are read once for the hot values and once for the joins, however many
+    dims there are; no branch of the input is repeated.
+    """
+    small = [x for x in lookups if _small(x.dim, x.size_of, broadcast_max_rows, broadcast_max_bytes)]
+    large = [x for x in lookups if x not in small]
+    unknown = [x.key for x in large if x.hot is None]
+    hot = hot_values(facts, unknown, max_hot, min_hot_rows)
+    out = facts
+    for x in small:
+        out = out.join(F.broadcast(x.dim), x.key, x.how)
+    for x in large:
+        out = _spread_join(out, x, hot[x.key] if x.hot is None else [r[0] for r in x.hot.collect()])
+    names = [c for x in lookups for c in x.dim.columns if c != x.key]
+    return out.select(*facts.columns, *names)

@@ -12,7 +12,7 @@ from fareflow.functions.dates import days_between, months_crossed, part, trailin
 from fareflow.functions.keys import surrogate_key
 from fareflow.functions.rates import exact_avg, safe_divide, safe_pct
 from fareflow.operators.fraud import FRAUD_FLAGS, payment_summary, trip_fraud_flags
-from fareflow.operators.joins import hot_keys, lookup_left_join
+from fareflow.operators.joins import Lookup, lookup_all
 from fareflow.operators.ranking import global_rank, top_n_per
 from fareflow.operators.spine import date_attributes, date_spine, spine_between
 from fareflow.session import DEFAULT_AS_OF
@@ -132,17 +132,16 @@ def fact_trips(trips: DataFrame, dim_drivers: DataFrame, dim_riders: DataFrame,
 
     ``trips`` is trip-grain (``trip_grain``) or a delta of it.  Each dim
     lookup broadcasts the (key, sk) pairs when a row count proves them small,
-    else joins hot fact keys (a driver with a third of all trips) apart, by a
-    broadcast of just their dim rows.
+    else shuffles the trips once, with the rows of hot keys (a driver with a
+    third of all trips) dealt evenly and looked up in a broadcast of just
+    their dim rows.
     """
     drivers = dim_drivers.filter("is_current").select("driver_id", "driver_sk")
     riders = dim_riders.filter("is_current").select("rider_id", "rider_sk")
     cities = dim_cities.select("city_id", "city_sk")
-    f = lookup_left_join(trips, drivers, "driver_id", hot=driver_hot,
-                         broadcast_max_rows=broadcast_max_rows, size_of=dim_drivers)
-    f = lookup_left_join(f, riders, "rider_id", hot=rider_hot,
-                         broadcast_max_rows=broadcast_max_rows, size_of=dim_riders)
-    f = lookup_left_join(f, cities, "city_id", broadcast_max_rows=broadcast_max_rows, size_of=dim_cities)
+    f = lookup_all(trips, [Lookup(drivers, "driver_id", size_of=dim_drivers, hot=driver_hot),
+                           Lookup(riders, "rider_id", size_of=dim_riders, hot=rider_hot),
+                           Lookup(cities, "city_id", size_of=dim_cities)], broadcast_max_rows)
     return f.select(
         surrogate_key("trip_id").alias("trip_sk"),
         "driver_sk", "rider_sk", "city_sk",
@@ -157,10 +156,9 @@ def fact_trips(trips: DataFrame, dim_drivers: DataFrame, dim_riders: DataFrame,
     )
 
 
-def _dim_join(fact: DataFrame, dim: DataFrame, sk: str, cols: list[str], broadcast_max_rows: int) -> DataFrame:
-    """Inner join of the fact to a dimension on its surrogate key (J8-J10), hot keys of the fact apart."""
-    d = dim.select(sk, *cols)
-    return lookup_left_join(fact, d, sk, hot=hot_keys(fact, sk), broadcast_max_rows=broadcast_max_rows, how="inner", size_of=dim)
+def _dims(fact: DataFrame, dims: list[tuple[DataFrame, str, list[str]]], broadcast_max_rows: int) -> DataFrame:
+    """Inner joins of the fact to dimensions on their surrogate keys (J8-J10), all in one go."""
+    return lookup_all(fact, [Lookup(dim.select(sk, *cols), sk, "inner", size_of=dim) for dim, sk, cols in dims], broadcast_max_rows)
 
 
 def daily_revenue(fact: DataFrame, dim_cities: DataFrame, broadcast_max_rows: int = 2_000_000) -> DataFrame:
@@ -170,7 +168,7 @@ def daily_revenue(fact: DataFrame, dim_cities: DataFrame, broadcast_max_rows: in
     merge key), so the distinct count equals the plain count and needs no
     extra shuffle on trip_id.
     """
-    j = _dim_join(fact, dim_cities, "city_sk", ["city_name", "country_code"], broadcast_max_rows)
+    j = _dims(fact, [(dim_cities, "city_sk", ["city_name", "country_code"])], broadcast_max_rows)
     zero = F.lit(0).cast("decimal(28,9)")
     return (j.groupBy(F.to_date("requested_at").alias("revenue_date"), "city_name", "country_code")
             .agg(F.count("trip_id").alias("total_trips"),
@@ -200,9 +198,8 @@ def drivers_leaderboard(fact: DataFrame, dim_drivers: DataFrame, dim_cities: Dat
     per = f.groupBy("driver_sk", "city_sk").agg(
         F.count("trip_id").alias("_trips"), F.sum("gross_revenue").alias("_revenue"),
         F.sum("trip_duration_minutes").alias("_minutes"), F.count("trip_duration_minutes").alias("_timed"))
-    j = _dim_join(per, dim_drivers, "driver_sk",
-                  ["driver_id", "driver_status", "driver_tier", "rating_category"], broadcast_max_rows)
-    j = _dim_join(j, dim_cities, "city_sk", ["city_name"], broadcast_max_rows)
+    j = _dims(per, [(dim_drivers, "driver_sk", ["driver_id", "driver_status", "driver_tier", "rating_category"]),
+                    (dim_cities, "city_sk", ["city_name"])], broadcast_max_rows)
     agg = (j.groupBy("driver_id", "driver_status", "driver_tier", "rating_category", "city_name")
            .agg(F.sum("_trips").alias("trips_completed"),
                 F.sum("_revenue").alias("total_revenue"),
@@ -218,9 +215,8 @@ def fraud_monitoring(fact: DataFrame, dim_cities: DataFrame, dim_drivers: DataFr
                      broadcast_max_rows: int = 2_000_000) -> DataFrame:
     """Flagged trips of the trailing window with their first-matching reason."""
     f = trailing_days(fact, "trip_date", days, as_of).filter(F.col("is_fraud_flag") == F.lit(True))
-    j = _dim_join(f, dim_cities, "city_sk", ["city_name"], broadcast_max_rows)
-    j = _dim_join(j, dim_drivers, "driver_sk", ["driver_id"], broadcast_max_rows)
-    j = _dim_join(j, dim_riders, "rider_sk", ["rider_id"], broadcast_max_rows)
+    j = _dims(f, [(dim_cities, "city_sk", ["city_name"]), (dim_drivers, "driver_sk", ["driver_id"]),
+                  (dim_riders, "rider_sk", ["rider_id"])], broadcast_max_rows)
     return j.select(
         "trip_id", F.to_date("requested_at").alias("fraud_date"), "city_name", "driver_id", "rider_id",
         "gross_revenue", "is_fraud_flag", bands.fraud_reason().alias("fraud_reason"),
