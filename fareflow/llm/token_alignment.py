@@ -38,7 +38,7 @@ from fareflow.llm.tokens import BYTE_LEVEL
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 LEFT, RIGHT = "byte_bpe_50k.json", "piece_bpe_32k.model"
-LONG, CHUNK, BLOCK, FAN = 64 << 10, 32 << 10, 8 << 20, 16
+LONG, CHUNK, BLOCK, FAN = 64 << 10, 32 << 10, 1 << 20, 16
 ID_BITS = 20  # of a pair's right id
 _MANY = 1 << 16  # links of a group from which equal ids are counted before they are paired
 
@@ -159,23 +159,26 @@ class Groups:
         place_b = np.arange(len(code_b)) + np.cumsum(self.n_a)[self.of_b]
         codes = np.empty(len(code_a) + len(code_b), np.int64)
         codes[place_a], codes[place_b] = code_a, -1 - code_b
-        written = [_RENDERED[c] if c >= 0 else _RENDERED_RIGHT[-1 - c] for c in codes.tolist()]
-        sizes = np.cumsum([len(w) for w in written])
-        return b"".join(written), sizes[np.cumsum(self.n_a + self.n_b)[last] - 1]
+        sizes = np.cumsum(np.searchsorted(_DIGITS, np.where(codes >= 0, codes, -1 - codes) >> 1, "right") + 1)
+        written = b"".join([_RENDERED[c] if c >= 0 else _RENDERED_RIGHT[-1 - c] for c in codes.tolist()])
+        return written, sizes[np.cumsum(self.n_a + self.n_b)[last] - 1]
 
     def links(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(group, pair, occurrences): pairs of left and right ids; a pair may stand more than once in a group."""
         many = self.n_a * self.n_b > _MANY
         repeat = np.where(many, 0, self.n_b)[self.of_a]
-        begin = np.cumsum(np.append(0, self.n_b))[self.of_a]
-        step = np.arange(repeat.sum()) - np.repeat(np.cumsum(repeat) - repeat, repeat)
-        right = self.tokens.b[np.repeat(begin, repeat) + step]
-        out = [(np.repeat(self.of_a, repeat), np.repeat(self.tokens.a, repeat) << ID_BITS | right, np.ones(len(right), np.int64))]
+        # of a left token's links the i-th goes to the i-th right token of its group
+        skip = np.cumsum(np.append(0, self.n_b))[self.of_a] - (np.cumsum(repeat) - repeat)
+        right = np.repeat(skip, repeat)
+        right += np.arange(len(right))
+        pair = np.repeat(self.tokens.a << ID_BITS, repeat)
+        pair |= self.tokens.b[right]
+        out = [(np.repeat(self.of_a, repeat), pair, np.ones(len(pair), np.int64))]
         for g in np.flatnonzero(many):
             a, n = np.unique(self.tokens.a[self.of_a == g], return_counts=True)
             b, m = np.unique(self.tokens.b[self.of_b == g], return_counts=True)
             out.append((np.full(len(a) * len(b), g), (a[:, None] << ID_BITS | b).ravel(), (n[:, None] * m).ravel()))
-        return tuple(np.concatenate(c) for c in zip(*out, strict=True))
+        return out[0] if len(out) == 1 else tuple(np.concatenate(c) for c in zip(*out, strict=True))
 
 
 class _Rendered(dict):
@@ -189,17 +192,19 @@ class _Rendered(dict):
         return out
 
 
+_DIGITS = np.array([0, *(10**n for n in range(1, 7))])  # an id has as many digits as there are values up to it
 _RENDERED, _RENDERED_RIGHT = _Rendered("|"), _Rendered(";")
 
 
 def summed(owner: np.ndarray, pair: np.ndarray, times: np.ndarray):
     """(owner, pair, times) with each pair of an owner once, sorted."""
-    order = np.lexsort((pair, owner))
-    owner, pair, times = owner[order], pair[order], times[order]
-    new = np.ones(len(owner), bool)
-    new[1:] = (owner[1:] != owner[:-1]) | (pair[1:] != pair[:-1])
-    at = np.flatnonzero(new)
-    return owner[at], pair[at], np.add.reduceat(times, at) if len(at) else times
+    key = owner << (2 * ID_BITS)  # below 2 ** 23 owners in a block
+    key |= pair
+    order = np.argsort(key)
+    key, times = key[order], times[order]
+    at = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+    key, times = key[at], np.add.reduceat(times, at) if len(at) else times
+    return key >> (2 * ID_BITS), key & ((1 << 2 * ID_BITS) - 1), times
 
 
 # ---- short texts -----------------------------------------------------------------
