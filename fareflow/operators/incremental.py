@@ -128,10 +128,17 @@ def _merge_into(spark: SparkSession, target_path: str, source: DataFrame, key: s
     if not partition_immutable:
         old_parts = {r["_p"] for r in target.join(src_keys, target[key] == src_keys["_k"], "inner")
                      .select(F.col(partition).alias("_p")).distinct().collect()}
+    replace_rows(spark, target_path, target, source, source.select(key), key, partition, cluster, new_parts, old_parts)
+
+
+def replace_rows(spark: SparkSession, target_path: str, target: DataFrame, source: DataFrame, keys: DataFrame, key: str, partition: str,
+                 cluster: list[str] | None, new_parts: set, old_parts: set) -> None:
+    """Rewrite the partitions ``new_parts`` (which gain rows) and ``old_parts`` (which hold some of ``keys``):
+    the rows of ``keys`` go, those of ``source`` come.  Partitions left with no row are removed."""
     # partition values are dates: both sets are bounded by the calendar
     touched_list = sorted(new_parts | old_parts, key=str)
     affected = target.filter(_in_partitions(partition, touched_list))
-    kept = affected.join(source.select(key), key, "left_anti")
+    kept = affected.join(keys, key, "left_anti")
     merged = kept.unionByName(source.select(*target.columns))
     # a partition is left empty only if it lost a moved key, receives no
     # source row and keeps none of its other rows: check just those

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from fareflow.operators.incremental import merge_by_key, new_rows, shared_table_path
 from fareflow.operators.joins import hot_keys
+from fareflow.operators.keyed import merge_keyed
 from fareflow.operators.scd import current_versions, scd2_apply, scd2_init
 from fareflow.plans import intermediate, marts
 
@@ -32,7 +33,7 @@ def load_fact(m, target_path: str, watermark_col: str = "created_at", inclusive:
     """One incremental run: delta above the watermark -> fact rows -> merge."""
     delta = new_rows(m.trip_grain, target_path, watermark_col, inclusive)
     fact = build_fact(m, delta)
-    merge_by_key(m.spark, target_path, fact, FACT_KEY, FACT_PARTITION, FACT_CLUSTER)
+    merge_keyed(m.spark, target_path, fact, FACT_KEY, FACT_PARTITION, FACT_CLUSTER, F.struct("updated_at"))
     return fact
 
 
@@ -62,14 +63,23 @@ def merge_by_key_q(m) -> DataFrame:
 def merge_null_date(m) -> DataFrame:
     """I1 with rows of no date: every 7th trip is first stored without one; of these the even ones then move
     to their date, and every third trip comes again, the odd 7th ones still without a date."""
+    return _null_dates(m, merge_by_key)
+
+
+def merge_null_date_keyed(m) -> DataFrame:
+    """``merge_null_date`` with the key index: the moved keys are found without reading the fact."""
+    return _null_dates(m, merge_keyed)
+
+
+def _null_dates(m, merge) -> DataFrame:
     path = shared_table_path(m.spark, "fact_trips_null")
     undated = (F.col("trip_id") % 7 == 0)
     first = m.fact_trips.withColumn("trip_date", F.when(~undated, F.col("trip_date")))
-    merge_by_key(m.spark, path, first, FACT_KEY, FACT_PARTITION, FACT_CLUSTER)
+    merge(m.spark, path, first, FACT_KEY, FACT_PARTITION, FACT_CLUSTER)
     still = undated & (F.col("trip_id") % 2 == 1)
     again = (m.fact_trips.filter((F.col("trip_id") % 14 == 0) | (F.col("trip_id") % 3 == 0))
              .withColumn("trip_date", F.when(~still, F.col("trip_date"))))
-    merge_by_key(m.spark, path, again, FACT_KEY, FACT_PARTITION, FACT_CLUSTER)
+    merge(m.spark, path, again, FACT_KEY, FACT_PARTITION, FACT_CLUSTER)
     return m.spark.read.parquet(path).select(*m.fact_trips.columns)
 
 

@@ -232,6 +232,7 @@ def _register_more() -> None:
         "incremental_delta": history.incremental_delta,
         "merge_by_key": history.merge_by_key_q,
         "merge_null_date": history.merge_null_date,
+        "merge_null_date_keyed": history.merge_null_date_keyed,
         "dq_quarantine_text": quality_checks.dq_quarantine_text,
         "scd2_history": history.scd2_history,
         "fact_current_dims": history.fact_current_dims,
@@ -246,6 +247,7 @@ def _register_more() -> None:
         "stream_sessions_distributed": status_stream.stream_sessions_distributed,
         "stream_merge": status_stream.stream_merge,
         "stream_late_payments": status_stream.stream_late_payments,
+        "stream_stale_trips": status_stream.stream_stale_trips,
     })
 
 

@@ -90,15 +90,34 @@ def late_rows(query) -> int:
     return sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"])
 
 
-def _refresh(models, trips: DataFrame, payments: DataFrame, target_path: str) -> None:
-    """Build the fact rows of ``trips`` (staged) from their own payments and merge them by key."""
-    from fareflow.operators.incremental import merge_by_key
+def trip_versions(trips_raw: DataFrame) -> DataFrame:
+    """``trip_id``, ``_order``: the highest copy of each raw trip in the order of staging's dedup (W1): the
+    latest ``updated_at``, ties by the other columns."""
+    others = [c for c in trips_raw.columns if c not in ("trip_id", "updated_at")]
+    return (trips_raw.where(F.col("trip_id").isNotNull()).groupBy("trip_id")
+            .agg(F.max(F.struct("updated_at", *others)).alias("_order")))
+
+
+def _refresh(models, trips: DataFrame, payments: DataFrame, target_path: str, versions: DataFrame | None = None) -> None:
+    """Build the fact rows of ``trips`` (staged) from their own payments and merge them by key.
+
+    With ``versions`` (``trip_versions`` of the raw trips) a row counts only if no later copy of its
+    trip has been merged before, and a trip whose latest copy staging or the fact leaves out (no
+    rider, no known status) goes from the fact, as in a batch run over all copies.
+    """
+    from fareflow.functions.keys import surrogate_key
+    from fareflow.operators.keyed import merge_keyed
     from fareflow.plans import marts
     from fareflow.plans.history import FACT_CLUSTER, FACT_KEY, FACT_PARTITION, build_fact
 
     own = payments.join(trips.select("trip_id"), "trip_id", "left_semi")  # before any aggregation
     fact = build_fact(models, marts.trip_grain(trips, own))
-    merge_by_key(trips.sparkSession, target_path, fact, FACT_KEY, FACT_PARTITION, FACT_CLUSTER)
+    spark, version, deleted, rows = trips.sparkSession, None, None, fact
+    if versions is not None:
+        keyed = versions.select(surrogate_key("trip_id").alias(FACT_KEY), "_order")
+        rows = keyed.join(fact, FACT_KEY, "left")
+        version, deleted = F.col("_order"), F.col("trip_id").isNull()
+    merge_keyed(spark, target_path, rows, FACT_KEY, FACT_PARTITION, FACT_CLUSTER, version, deleted, fact.columns)
 
 
 def _run_batches(stream: DataFrame, on_batch, checkpoint: str) -> None:
@@ -117,7 +136,8 @@ def fact_stream(spark: SparkSession, orders: DataFrame, models, target_path: str
     """Each micro-batch of new orders -> trips -> fact rows -> merge by key.
 
     Of the payments known so far only those of the batch's trips are summarised;
-    payments that come later reach the fact by ``payment_stream``.
+    payments that come later reach the fact by ``payment_stream``.  A trip may come again in any
+    order: its latest copy (W1) decides, whichever micro-batch brings it.
     """
     from fareflow.plans import staging
     from fareflow.sources.adapter import bind_adapter, test_tables
@@ -129,7 +149,7 @@ def fact_stream(spark: SparkSession, orders: DataFrame, models, target_path: str
         # it is bound with in SQL are opened in that session too
         s = batch.sparkSession
         trips_raw = bind_adapter(s, "trips_raw", {**test_tables(s, sf_dir), "orders": batch})
-        _refresh(models, staging.stg_trips(trips_raw), models.stg_payments, target_path)
+        _refresh(models, staging.stg_trips(trips_raw), models.stg_payments, target_path, trip_versions(trips_raw))
 
     _run_batches(orders, on_batch, target_path + "-checkpoint")
 
@@ -174,6 +194,32 @@ def stream_late_payments(m) -> DataFrame:
     return m.spark.read.parquet(target).select(*m.fact_trips.columns)
 
 
+def shuffled_copies(orders: DataFrame) -> list[DataFrame]:
+    """``orders`` in three parts with copies of some in each, so that old copies come after and before the
+    latest.  A stale copy is three days older, with another price and status; every 89th order gets a
+    newer copy without a customer, which staging rejects."""
+    key = F.col("o_orderkey")
+    stale = (orders.withColumn("o_orderdate", F.expr("o_orderdate - INTERVAL 3 DAYS")).withColumn("o_totalprice", F.col("o_totalprice") * 2)
+             .withColumn("o_orderstatus", F.when(F.col("o_orderstatus") == "F", "O").otherwise("F")))
+    gone = (orders.where(key % 89 == 0).withColumn("o_orderdate", F.expr("o_orderdate + INTERVAL 10 DAYS"))
+            .withColumn("o_custkey", F.lit(None).cast("bigint")))
+    even = key % 2 == 0
+    return [orders.where(even).unionByName(stale.where(~even & (key % 7 == 0))).unionByName(gone.where(~even)),
+            orders.where(~even).unionByName(stale.where(even & (key % 6 == 0))),
+            stale.where(key % 5 == 0).unionByName(gone.where(even))]
+
+
+def stream_stale_trips(m) -> DataFrame:
+    """I7 with W1: orders that come again, old copies last or first, a folder of files per micro-batch."""
+    orders = m.spark.read.parquet(f"{m.extra_sources['sf_dir']}/orders.parquet")
+    folder, target = shared_table_path(m.spark, "orders-shuffled"), shared_table_path(m.spark, "fact-stale-trips")
+    for number, part in enumerate(shuffled_copies(orders)):
+        part.write.parquet(f"{folder}/part{number}")
+        # the same checkpoint each time: a run takes the new folder
+        fact_stream(m.spark, read_stream(m.spark, f"{folder}/part*", "*.parquet", orders.schema), m, target)
+    return m.spark.read.parquet(target).select(*m.fact_trips.columns)
+
+
 def session_stream(staged: DataFrame, sink_path: str, chunk: str = "day") -> DataFrame:
     """Closed online -> offline sessions per driver, across micro-batches.
 
