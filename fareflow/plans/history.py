@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fareflow.operators.incremental import merge_by_key, new_rows, shared_table_path
+from fareflow.operators.asof import as_of_join
 from fareflow.operators.joins import hot_keys
 from fareflow.operators.keyed import merge_keyed
 from fareflow.operators.scd import current_versions, scd2_apply, scd2_init
@@ -98,6 +99,23 @@ def scd2_history(m) -> DataFrame:
     return scd2_apply(h, driver_snapshot(m, m.config.as_of), "driver_id", DRIVER_TRACKED, m.config.as_of_ts)
 
 
+# Snapshots of the point-in-time lookup.
+HISTORY_DATES = [dt.date(1996, 1, 1), dt.date(1998, 1, 1), dt.date(2000, 1, 1), SNAPSHOT_AS_OF]
+
+
+def fact_versions_asof(m) -> DataFrame:
+    """Every trip with the driver attributes that were valid when it was requested, from a stored
+    history of four snapshots; trips before the first have none."""
+    path = shared_table_path(m.spark, "driver_versions")
+    for day in HISTORY_DATES:
+        current, start = driver_snapshot(m, day), dt.datetime(day.year, day.month, day.day)
+        done = history_versions(m.spark, path)
+        store_history(m.spark, scd2_apply(stored_history(m.spark, path), current, "driver_id", DRIVER_TRACKED, start)
+                      if done else scd2_init(current, start), path)
+    trips = m.trip_grain.select("trip_id", "driver_id", "requested_at")
+    return as_of_join(trips, stored_history(m.spark, path), "driver_id", "requested_at", DRIVER_TRACKED)
+
+
 # Dimensions kept as type-2 history by ``snapshot`` (tracked attributes).
 SNAPSHOT_DIMS = {
     "dim_drivers": ("driver_id", ["driver_status", "driver_tier", "rating_category", "driver_health_status",

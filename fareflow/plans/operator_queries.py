@@ -237,6 +237,7 @@ def _register_more() -> None:
         "scd2_history": history.scd2_history,
         "fact_current_dims": history.fact_current_dims,
         "fact_hot_lookup": history.fact_hot_lookup,
+        "fact_versions_asof": history.fact_versions_asof,
         "incremental_updates": history.incremental_updates,
     })
     from fareflow.streaming import status_stream
