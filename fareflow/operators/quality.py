@@ -11,7 +11,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 RESULT_COLS = ["table", "rule", "column", "violations", "status"]
@@ -69,6 +69,53 @@ def check_expr(df: DataFrame, table: str, name: str, violating: Column) -> DataF
         *_result(table, name, "*", F.col("_v")))
 
 
+class Measures:
+    """Rules measured in the pass that reads or writes a table (Q1, Q3, Q5), by ``DataFrame.observe``.
+
+    ``watch`` gives a DataFrame with the rules attached; whatever job runs it first measures them.
+    ``rows`` are the results.  A stage that runs again after a lost executor is measured again, so a
+    count of zero is exact and a higher one may be too high.  Tables with violations
+    therefore compare their measured rows with a count (for stored tables the file footers' counts),
+    and are checked by a pass of their own if these differ.
+    """
+
+    def __init__(self):
+        self._watched: list[tuple[DataFrame, str, list[tuple[str, str, Column]], Observation]] = []
+
+    def watch(self, df: DataFrame, table: str, rules: Sequence[tuple[str, str, Column]]) -> DataFrame:
+        """``rules``: (rule, column, violating predicate)."""
+        rules = [(rule, column, F.coalesce(bad, F.lit(False))) for rule, column, bad in rules]
+        seen = Observation(f"{table}-rules")
+        self._watched.append((df, table, rules, seen))
+        return df.observe(seen, F.count(F.lit(1)).alias("rows"), *[F.count_if(bad).alias(f"r{i}") for i, (_, _, bad) in enumerate(rules)])
+
+    def measured(self, table: str, rule: str) -> int:
+        """Violations of one rule as they were measured."""
+        for _, name, rules, seen in self._watched:
+            for i, (own, _, _) in enumerate(rules):
+                if (name, own) == (table, rule):
+                    return seen.get[f"r{i}"]
+        raise KeyError((table, rule))
+
+    def rows(self, spark: SparkSession) -> DataFrame:
+        out = []
+        for df, table, rules, seen in self._watched:
+            counts = [seen.get[f"r{i}"] for i in range(len(rules))]
+            if any(counts) and seen.get["rows"] != df.count():
+                again = df.agg(*[F.count_if(bad).alias(f"r{i}") for i, (_, _, bad) in enumerate(rules)]).first()
+                counts = list(again)
+            out += [(table, rule, column, n, "fail" if n else "pass") for (rule, column, _), n in zip(rules, counts, strict=True)]
+        return spark.createDataFrame(out, "table string, rule string, column string, violations bigint, status string")
+
+
+def not_null_rules(columns: Sequence[str]) -> list[tuple[str, str, Column]]:
+    return [("not_null", c, F.col(c).isNull()) for c in columns]
+
+
+def accepted_rule(column: str, values: Iterable) -> tuple[str, str, Column]:
+    return ("accepted_values", column, F.col(column).isNotNull() & ~F.col(column).isin(list(values)))
+
+
 def freshness(df: DataFrame, table: str, loaded_at: str | None, warn_minutes: int, error_minutes: int,
               as_of: dt.datetime) -> DataFrame:
     """Q7: age of the newest ``loaded_at`` against warn / error thresholds.

@@ -229,6 +229,7 @@ def _register_more() -> None:
         "freshness": quality_checks.dq_freshness,
         "dq_quarantine": quality_checks.dq_quarantine,
         "dq_summary": quality_checks.dq_summary,
+        "dq_measured": quality_checks.dq_measured,
         "incremental_delta": history.incremental_delta,
         "merge_by_key": history.merge_by_key_q,
         "merge_null_date": history.merge_null_date,

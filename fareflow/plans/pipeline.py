@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from fareflow.operators.joins import hot_keys
 
@@ -69,24 +69,37 @@ def _keep(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
-def _stg(fn: Callable[[DataFrame], DataFrame], raw_name: str):
-    def build(m: "Models") -> DataFrame:
-        raw = m.raw[raw_name]
-        if not m.config.strict_casts:
-            from fareflow.operators.quality import quarantine
-            from fareflow.plans.quality_checks import STAGING_CASTS, UNIQUE
-            raw = quarantine(raw, STAGING_CASTS[raw_name], UNIQUE[raw_name])[0]
-        return fn(raw)
-    return build
+# Staging models: the function and its raw table.
+STAGED = {
+    "stg_trips": (staging.stg_trips, "trips_raw"),
+    "stg_drivers": (staging.stg_drivers, "drivers_raw"),
+    "stg_riders": (staging.stg_riders, "riders_raw"),
+    "stg_payments": (staging.stg_payments, "payments_raw"),
+    "stg_cities": (staging.stg_cities, "cities_raw"),
+    "stg_status_events": (staging.stg_status_events, "driver_status_events_raw"),
+}
+
+
+def _staging_input(m: "Models", raw_name: str, raw: DataFrame) -> DataFrame:
+    if not m.config.strict_casts:
+        from fareflow.operators.quality import quarantine
+        from fareflow.plans.quality_checks import STAGING_CASTS, UNIQUE
+        raw = quarantine(raw, STAGING_CASTS[raw_name], UNIQUE[raw_name])[0]
+    return raw
+
+
+def _stg(name: str):
+    fn, raw_name = STAGED[name]
+    return lambda m: fn(_staging_input(m, raw_name, m.raw[raw_name]))
 
 
 BUILDERS: dict[str, Callable[[Models], DataFrame]] = {
-    "stg_trips": _stg(staging.stg_trips, "trips_raw"),
-    "stg_drivers": _stg(staging.stg_drivers, "drivers_raw"),
-    "stg_riders": _stg(staging.stg_riders, "riders_raw"),
-    "stg_payments": _stg(staging.stg_payments, "payments_raw"),
-    "stg_cities": _stg(staging.stg_cities, "cities_raw"),
-    "stg_status_events": _stg(staging.stg_status_events, "driver_status_events_raw"),
+    "stg_trips": _stg("stg_trips"),
+    "stg_drivers": _stg("stg_drivers"),
+    "stg_riders": _stg("stg_riders"),
+    "stg_payments": _stg("stg_payments"),
+    "stg_cities": _stg("stg_cities"),
+    "stg_status_events": _stg("stg_status_events"),
     "trip_hot_keys": lambda m: intermediate.trip_hot_keys(m.stg_payments),
     "int_trip_details": lambda m: intermediate.int_trip_details(m.stg_trips, m.stg_payments, m.trip_hot_keys),
     "int_payment_analysis": lambda m: intermediate.int_payment_analysis(m.stg_payments, m.stg_trips,
@@ -129,27 +142,53 @@ TABLES = ["int_trip_details", "int_payment_analysis", "int_driver_activity", "dr
 REPORTS = ["daily_revenue", "drivers_leaderboard", "fraud_monitoring", "payments_reliability"]
 
 
-def materialize(models: Models, warehouse: str) -> dict[str, str]:
+def _store_staging(models: Models, root: str, measures) -> dict[str, int]:
+    """Staging as stored tables, the raw tables' rules measured in the same pass.  Returns the keys that
+    staging's dedup kept of each raw table."""
+    from fareflow.plans.quality_checks import raw_rules
+    from fareflow.sources.sinks import write_table
+
+    kept = {}
+    for name, (fn, raw_name) in STAGED.items():
+        kept[raw_name] = Observation(f"{raw_name}-kept")
+        raw = measures.watch(models.raw[raw_name], raw_name, raw_rules(raw_name))
+        models._cache[name] = write_table(fn(_staging_input(models, raw_name, raw), kept[raw_name]), f"{root}/{name}")
+    return {raw: seen.get["n"] for raw, seen in kept.items()}
+
+
+def materialize(models: Models, warehouse: str, measure: bool = False):
     """One full run: views, then tables, then the incremental fact, then reports.
 
     Every table is written under ``warehouse`` and read back, so later
     models start from stored files; the fact is merged by key into its
     date-partitioned table (first run = full load).  Returns name -> path.
+
+    With ``measure`` staging is stored as tables as well, and the declared rules are measured while the
+    tables are written: returns (name -> path, rule results as in ``dq_summary``).
     """
+    from fareflow.operators.quality import Measures
     from fareflow.plans.history import load_fact
+    from fareflow.plans.quality_checks import measured_summary, trip_rules
     from fareflow.sources.sinks import as_view, write_table
 
     paths: dict[str, str] = {}
     root = warehouse.rstrip("/")
+    measures, keys = Measures(), {}
     if not models.config.strict_casts:  # the rows that staging leaves out are stored, never thrown away
         from fareflow.plans.quality_checks import quarantined_rows
         paths["quarantine"] = f"{root}/quarantine"
         write_table(quarantined_rows(models), paths["quarantine"])
+    if measure:
+        keys = _store_staging(models, root, measures)
+        paths |= {name: f"{root}/{name}" for name in VIEWS}
     for name in VIEWS:
         as_view(models[name], name)
     for name in TABLES:
         paths[name] = f"{root}/{name}"
-        stored = write_table(models[name], paths[name])
+        table = models[name]
+        if measure and name == "int_trip_details":
+            table = measures.watch(table, "trips", trip_rules())
+        stored = write_table(table, paths[name])
         models._cache[name].unpersist()  # later models read the stored table
         models._cache[name] = stored
     paths["fact_trips"] = f"{root}/fact_trips"
@@ -160,7 +199,7 @@ def materialize(models: Models, warehouse: str) -> dict[str, str]:
         paths[name] = f"{root}/{name}"
         models._cache[name] = write_table(models[name], paths[name])
     models.free()
-    return paths
+    return (paths, measured_summary(models, measures, keys)) if measure else paths
 
 
 def read_report(spark: SparkSession, warehouse: str, report: str) -> DataFrame:

@@ -103,6 +103,39 @@ def dq_summary(m) -> DataFrame:
     return _union([dq_not_null(m), dq_unique(m), dq_accepted(m), dq_relationships(m), dq_custom_results(m)])
 
 
+def raw_rules(table: str) -> list:
+    """Q1 and Q3 of a raw table, and the rows with a key (rule ``keyed``, for the uniqueness check)."""
+    return [*Q.not_null_rules(NOT_NULL[table]), *(Q.accepted_rule(c, v) for t, c, v in ACCEPTED if t == table),
+            ("keyed", UNIQUE[table], F.col(UNIQUE[table]).isNotNull())]
+
+
+def trip_rules() -> list:
+    """Q5 on the trip x payment rows."""
+    done = F.col("trip_status") == "completed"
+    bad = [F.col("actual_fare") < 0, done & (F.col("trip_duration_minutes") <= 0), done & ~F.col("payment_status").eqNullSafe("success")]
+    return [(rule, "*", b) for rule, b in zip(CUSTOM_CHECKS, bad, strict=True)]
+
+
+def measured_summary(m, measures: Q.Measures, keys: dict[str, int]) -> DataFrame:
+    """E3 from a run's own measures: Q1, Q3 and Q5 need no further pass; a raw key is unique if the run kept
+    as many rows as it read (``keys``: distinct keys of each raw table), else Q2 counts its repeated
+    values; Q4 and the fact's key are checked on the stored tables."""
+    rows = measures.rows(m.spark)
+    passed = [t for t, n in keys.items() if measures.measured(t, "keyed") == n]
+    unique = m.spark.createDataFrame([(t, "unique", UNIQUE[t], 0, "pass") for t in passed], rows.schema)
+    repeated = [Q.check_unique(m.raw[t], t, k) for t, k in UNIQUE.items() if t not in passed]
+    return _union([rows.where("rule <> 'keyed'"), unique, *repeated, Q.check_unique(m.fact_trips, "fact_trips", "trip_sk"), dq_relationships(m)])
+
+
+def dq_measured(m) -> DataFrame:
+    """Q1-Q5 measured by a full run while it stores its tables (the rows of ``dq_summary``)."""
+    from fareflow.operators.incremental import shared_table_path
+    from fareflow.plans.pipeline import Models, materialize
+
+    run = Models(m.spark, dict(m.raw), m.config)
+    return materialize(run, shared_table_path(m.spark, "measured-run"), measure=True)[1]
+
+
 # Casts staging applies to each raw table (the typed contract).
 STAGING_CASTS = {
     "trips_raw": {"trip_id": "bigint", "rider_id": "bigint", "driver_id": "bigint", "city_id": "bigint",

@@ -7,7 +7,7 @@ on purpose: pushing it below ROW_NUMBER would change which row survives.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from fareflow.functions.clean import (blank_default, clamp, clean_enum, default_false, floor_zero,
@@ -21,6 +21,11 @@ PAYMENT_PROVIDERS = ["stripe", "paypal"]
 DRIVER_EVENT_STATUSES = ["online", "offline"]
 
 
+def _kept(df: DataFrame, keys: Observation | None) -> DataFrame:
+    """The rows that the dedup kept, counted (``n``) where a run asks for it."""
+    return df.observe(keys, F.count(F.lit(1)).alias("n")) if keys is not None else df
+
+
 def _require(df: DataFrame, *cols: str) -> DataFrame:
     cond = None
     for c in cols:
@@ -28,10 +33,10 @@ def _require(df: DataFrame, *cols: str) -> DataFrame:
     return df.filter(cond)
 
 
-def stg_trips(trips_raw: DataFrame) -> DataFrame:
+def stg_trips(trips_raw: DataFrame, keys: Observation | None = None) -> DataFrame:
     """M1: one row per trip, latest ``updated_at``."""
     d = dedupe_latest(trips_raw, ["trip_id"], ["updated_at"])
-    out = d.select(
+    out = _kept(d, keys).select(
         F.col("trip_id").cast("bigint").alias("trip_id"),
         F.col("rider_id").cast("bigint").alias("rider_id"),
         F.col("driver_id").cast("bigint").alias("driver_id"),
@@ -52,11 +57,11 @@ def stg_trips(trips_raw: DataFrame) -> DataFrame:
     return _require(out, "trip_id", "rider_id", "driver_id")
 
 
-def stg_drivers(drivers_raw: DataFrame) -> DataFrame:
+def stg_drivers(drivers_raw: DataFrame, keys: Observation | None = None) -> DataFrame:
     """M2: one row per driver, latest ``updated_at``; rating clamped to [1, 5]."""
     d = dedupe_latest(drivers_raw, ["driver_id"], ["updated_at"])
     rating = F.col("rating").cast("double")
-    out = d.select(
+    out = _kept(d, keys).select(
         F.col("driver_id").cast("bigint").alias("driver_id"),
         F.col("city_id").cast("bigint").alias("city_id"),
         F.col("vehicle_id").cast("bigint").alias("vehicle_id"),
@@ -69,10 +74,10 @@ def stg_drivers(drivers_raw: DataFrame) -> DataFrame:
     return _require(out, "driver_id", "city_id")
 
 
-def stg_riders(riders_raw: DataFrame) -> DataFrame:
+def stg_riders(riders_raw: DataFrame, keys: Observation | None = None) -> DataFrame:
     """M3: one row per rider, latest ``created_at``."""
     d = dedupe_latest(riders_raw, ["rider_id"], ["created_at"])
-    out = d.select(
+    out = _kept(d, keys).select(
         F.col("rider_id").cast("bigint").alias("rider_id"),
         F.col("signup_date").cast("date").alias("signup_date"),
         F.col("created_at").cast(TS).alias("created_at"),
@@ -82,13 +87,13 @@ def stg_riders(riders_raw: DataFrame) -> DataFrame:
     return _require(out, "rider_id", "signup_date")
 
 
-def stg_payments(payments_raw: DataFrame) -> DataFrame:
+def stg_payments(payments_raw: DataFrame, keys: Observation | None = None) -> DataFrame:
     """M4: one row per payment, latest ``created_at`` then highest ``ingest_seq``."""
     tiebreak = ["ingest_seq"] if "ingest_seq" in payments_raw.columns else None
     d = dedupe_latest(payments_raw, ["payment_id"], ["created_at"], tiebreak)
     amount = F.col("amount").cast(MONEY)
     fee = F.col("fee").cast(MONEY)
-    out = d.select(
+    out = _kept(d, keys).select(
         F.col("payment_id").cast("bigint").alias("payment_id"),
         F.col("trip_id").cast("bigint").alias("trip_id"),
         whitelist("payment_status", PAYMENT_STATUSES).alias("payment_status"),
@@ -101,10 +106,10 @@ def stg_payments(payments_raw: DataFrame) -> DataFrame:
     return _require(out, "payment_id", "trip_id")
 
 
-def stg_cities(cities_raw: DataFrame) -> DataFrame:
+def stg_cities(cities_raw: DataFrame, keys: Observation | None = None) -> DataFrame:
     """M5: one row per city, latest ``launch_date``; blank names -> 'unknown'."""
     d = dedupe_latest(cities_raw, ["city_id"], ["launch_date"])
-    out = d.select(
+    out = _kept(d, keys).select(
         F.col("city_id").cast("bigint").alias("city_id"),
         blank_default("city_name", "unknown", upper=False).alias("city_name"),
         blank_default("country", "unknown").alias("country_code"),
@@ -113,11 +118,11 @@ def stg_cities(cities_raw: DataFrame) -> DataFrame:
     return _require(out, "city_id")
 
 
-def stg_status_events(events_raw: DataFrame) -> DataFrame:
+def stg_status_events(events_raw: DataFrame, keys: Observation | None = None) -> DataFrame:
     """M6: one row per event; status whitelisted, unrecognised rows dropped."""
     d = dedupe_latest(events_raw.filter(F.col("driver_id").isNotNull()),
                       ["event_id"], ["event_timestamp"])
-    out = d.select(
+    out = _kept(d, keys).select(
         F.col("event_id").cast("bigint").alias("event_id"),
         F.col("driver_id").cast("bigint").alias("driver_id"),
         whitelist("status", DRIVER_EVENT_STATUSES, default="unknown").alias("driver_status"),
