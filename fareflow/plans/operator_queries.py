@@ -14,11 +14,15 @@ from fareflow.functions import bands
 from fareflow.functions.clean import blank_default, clamp, floor_zero, whitelist
 from fareflow.functions.dates import days_between, elapsed, months_crossed
 from fareflow.functions.keys import surrogate_key
+from fareflow.operators.distinct import distinct_sketches, exact_counts, merged_counts, standard_error
 from fareflow.operators.fraud import duplicate_payments
+from fareflow.operators.incremental import shared_table_path
 from fareflow.operators.ranking import global_rank, rank_within, top_n_per
 from fareflow.operators.sessions import next_event, pair_sessions
 from fareflow.operators.spine import spine_between
+from fareflow.plans import intermediate
 from fareflow.plans.staging import DRIVER_EVENT_STATUSES, PAYMENT_PROVIDERS, PAYMENT_STATUSES
+from fareflow.sources.sinks import write_bucketed, write_table
 
 
 def enum_whitelist(m) -> DataFrame:
@@ -189,6 +193,39 @@ def date_diffs(m) -> DataFrame:
         months_crossed(F.to_date("requested_at"), as_of).alias("months_crossed"))
 
 
+def distinct_sketches_q(m) -> DataFrame:
+    """A2: distinct riders a month, exact and from the union of stored daily sketches, with the error.  ``within`` says
+    whether the estimate lies within five standard errors."""
+    trips = m.stg_trips.select(F.to_date("requested_at").alias("day"), "rider_id")
+    sketches = write_table(distinct_sketches(trips, ["day"], "rider_id"), shared_table_path(m.spark, "rider-sketches"))
+    month = F.trunc("day", "month").alias("month")
+    estimated = merged_counts(sketches.select(month, "rows", "sketch"), ["month"])
+    exact = exact_counts(trips.select(month, "rider_id"), ["month"], "rider_id")
+    error = (F.col("estimate") - F.col("exact")) / F.col("exact")
+    return (exact.join(estimated, "month")
+            .select("month", F.col("rows").alias("trips"), "exact", "estimate", error.alias("error"),
+                    (F.abs(error) <= 5 * standard_error()).alias("within")))
+
+
+def distinct_riders(m) -> DataFrame:
+    """A2: the exact columns of ``distinct_sketches``, and whether the estimate is as good as stated."""
+    return distinct_sketches_q(m).select("month", "trips", "exact", "within")
+
+
+def bucketed_trip_details(m) -> DataFrame:
+    """Trips and payments stored by buckets of ``trip_id``; their joins then shuffle neither."""
+    trips, payments = bucketed_trip_tables(m)
+    return intermediate.int_trip_details(trips, payments, intermediate.trip_hot_keys(payments))
+
+
+def bucketed_trip_tables(m, buckets: int = 8) -> tuple[DataFrame, DataFrame]:
+    out = []
+    for name in ("stg_trips", "stg_payments"):
+        path = shared_table_path(m.spark, f"bucketed-{name}")
+        out.append(write_bucketed(m[name], f"{name}_{path.rsplit('-', 1)[1]}", path, "trip_id", buckets))
+    return tuple(out)
+
+
 QUERIES = {
     "enum_whitelist": enum_whitelist,
     "blank_default": blank_default_q,
@@ -214,6 +251,9 @@ QUERIES = {
     "surrogate_keys": surrogate_keys,
     "date_spine": date_spine_q,
     "date_diffs": date_diffs,
+    "distinct_sketches": distinct_sketches_q,
+    "distinct_riders": distinct_riders,
+    "bucketed_trip_details": bucketed_trip_details,
 }
 
 
