@@ -20,7 +20,7 @@ from fareflow.operators.incremental import shared_table_path
 from fareflow.operators.ranking import global_rank, rank_within, top_n_per
 from fareflow.operators.sessions import next_event, pair_sessions
 from fareflow.operators.spine import spine_between
-from fareflow.plans import intermediate
+from fareflow.plans import intermediate, marts
 from fareflow.plans.staging import DRIVER_EVENT_STATUSES, PAYMENT_PROVIDERS, PAYMENT_STATUSES
 from fareflow.sources.sinks import write_bucketed, write_table
 
@@ -226,6 +226,32 @@ def bucketed_trip_tables(m, buckets: int = 8) -> tuple[DataFrame, DataFrame]:
     return tuple(out)
 
 
+def stored_run(m) -> dict[str, str]:
+    """A full run of its own (E1) into the shared folder: views, tables, the merged fact, reports."""
+    from fareflow.plans.pipeline import Models, materialize
+
+    return materialize(Models(m.spark, dict(m.raw), m.config), shared_table_path(m.spark, "stored-run"))
+
+
+def stored_daily_revenue(m) -> DataFrame:
+    """The report as a full run stored it, read back in its published order."""
+    from fareflow.plans.pipeline import read_report
+
+    return read_report(m.spark, stored_run(m)["daily_revenue"].rsplit("/", 1)[0], "daily_revenue")
+
+
+def staging_views(m) -> DataFrame:
+    """S3: payments per provider and trip status, from the staging views of a full run by their names."""
+    stored_run(m)
+    return m.spark.sql("""SELECT payment_provider, trip_status, count(*) AS payments, sum(amount) AS amount
+                          FROM stg_payments JOIN stg_trips USING (trip_id) GROUP BY payment_provider, trip_status""")
+
+
+def fraud_reasons(m) -> DataFrame:
+    """T11, M19 over all days: every reason occurs, as it does not in the report's last week."""
+    return marts.fraud_monitoring(m.fact_trips, m.dim_cities, m.dim_drivers, m.dim_riders, m.config.as_of, 36_500, m.config.broadcast_max_rows)
+
+
 QUERIES = {
     "enum_whitelist": enum_whitelist,
     "blank_default": blank_default_q,
@@ -251,6 +277,9 @@ QUERIES = {
     "surrogate_keys": surrogate_keys,
     "date_spine": date_spine_q,
     "date_diffs": date_diffs,
+    "stored_daily_revenue": stored_daily_revenue,
+    "staging_views": staging_views,
+    "fraud_reasons": fraud_reasons,
     "distinct_sketches": distinct_sketches_q,
     "distinct_riders": distinct_riders,
     "bucketed_trip_details": bucketed_trip_details,

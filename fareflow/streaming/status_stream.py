@@ -34,6 +34,7 @@ from pyspark.sql import types as T
 from fareflow.functions.clean import whitelist
 from fareflow.operators.incremental import shared_table_path
 from fareflow.plans.staging import DRIVER_EVENT_STATUSES
+from fareflow.sources.sinks import write_bucketed
 
 log = logging.getLogger(__name__)
 
@@ -98,6 +99,22 @@ def trip_versions(trips_raw: DataFrame) -> DataFrame:
             .agg(F.max(F.struct("updated_at", *others)).alias("_order")))
 
 
+# Trips of a micro-batch up to which their ids are brought to the payments' scan.
+MOST_IDS = 10_000
+
+
+def own_payments(payments: DataFrame, trips: DataFrame, most: int = MOST_IDS) -> DataFrame:
+    """The payments of ``trips``.
+
+    Few trips (at most ``most``, a bounded list) become a filter on the scan: of a payment table in buckets
+    of ``trip_id`` (``write_bucketed``) only the files of their buckets are opened.  More trips are
+    a semi-join, which shuffles neither side of tables in such buckets."""
+    ids = [r[0] for r in trips.select("trip_id").distinct().limit(most + 1).collect()]
+    if len(ids) <= most:
+        return payments.where(F.col("trip_id").isin(ids))
+    return payments.join(trips.select("trip_id"), "trip_id", "left_semi")
+
+
 def _refresh(models, trips: DataFrame, payments: DataFrame, target_path: str, versions: DataFrame | None = None) -> None:
     """Build the fact rows of ``trips`` (staged) from their own payments and merge them by key.
 
@@ -110,7 +127,7 @@ def _refresh(models, trips: DataFrame, payments: DataFrame, target_path: str, ve
     from fareflow.plans import marts
     from fareflow.plans.history import FACT_CLUSTER, FACT_KEY, FACT_PARTITION, build_fact
 
-    own = payments.join(trips.select("trip_id"), "trip_id", "left_semi")  # before any aggregation
+    own = own_payments(payments, trips)  # before any aggregation
     fact = build_fact(models, marts.trip_grain(trips, own))
     spark, version, deleted, rows = trips.sparkSession, None, None, fact
     if versions is not None:
@@ -184,13 +201,15 @@ def stream_merge(m) -> DataFrame:
 
 
 def stream_late_payments(m) -> DataFrame:
-    """The fact first loaded with every other payment, then caught up by the payment stream."""
+    """The fact first loaded with every other payment, then caught up by the payment stream; the payments
+    are stored in buckets of their trips."""
     folder = m.extra_sources["sf_dir"]
-    target = shared_table_path(m.spark, "fact-late-payments")
-    _refresh(m, m.stg_trips, m.stg_payments.filter("payment_id % 20 = 0"), target)
+    target, path = shared_table_path(m.spark, "fact-late-payments"), shared_table_path(m.spark, "payments-by-trip")
+    payments = write_bucketed(m.stg_payments, f"payments_by_trip_{path.rsplit('-', 1)[1]}", path, "trip_id", 8)
+    _refresh(m, m.stg_trips, payments.filter("payment_id % 20 = 0"), target)
     schema = m.spark.read.parquet(f"{folder}/lineitem.parquet").schema
     lines = read_stream(m.spark, folder, "lineitem.parquet", schema)
-    payment_stream(lines.select(F.col("l_orderkey").alias("trip_id")), m, m.stg_payments, target)
+    payment_stream(lines.select(F.col("l_orderkey").alias("trip_id")), m, payments, target)
     return m.spark.read.parquet(target).select(*m.fact_trips.columns)
 
 

@@ -1,7 +1,9 @@
 """Bucketed tables and mergeable distinct counts."""
 
 import datetime as dt
+import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from fareflow.operators.distinct import distinct_sketches, exact_counts, merged_counts, standard_error
@@ -62,3 +64,28 @@ def test_daily_sketches_merge_to_any_period(spark):
     assert set(got) == set(want) and all(abs(got[k] - want[k]) <= 5 * standard_error() * want[k] for k in want)
     assert sum(r.estimate for r in merged_counts(sketches, ["day"]).collect()) > 3 * sum(want.values())
     assert exact_counts(days.where("user IS NULL"), ["day"], "user").agg(F.sum("exact")).first()[0] == 0
+
+
+def test_a_micro_batch_opens_the_files_of_its_trips_only(spark):
+    from fareflow.streaming.status_stream import own_payments
+
+    m = Models.from_testdata(spark, SF)
+    _, payments = bucketed_trip_tables(m, 16)
+    trips = m.stg_trips.where("trip_id IN (1, 2, 40)").select("trip_id")
+    few = own_payments(payments, trips)
+    many = own_payments(payments, trips, most=2)  # beyond the bound: a join, the same rows
+    assert "SemiJoin" in many._jdf.queryExecution().optimizedPlan().toString() or "LeftSemi" in many._jdf.queryExecution().optimizedPlan().toString()
+    want = sorted(map(repr, m.stg_payments.where("trip_id IN (1, 2, 40)").collect()))
+    assert sorted(map(repr, few.collect())) == sorted(map(repr, many.select(*few.columns).collect())) == want and want
+    assert own_payments(payments, trips.limit(0)).count() == 0
+    own = {r[0] for r in few.select(F.input_file_name()).distinct().collect()}
+    others = [f for f in payments.inputFiles() if f not in own]
+    assert len(own) <= 3 and len(others) >= 13
+    for file in others:  # broken: they cannot be read any more
+        path = file.removeprefix("file://")
+        os.remove(os.path.join(os.path.dirname(path), f".{os.path.basename(path)}.crc"))
+        with open(path, "wb") as f:
+            f.write(b"broken")
+    assert sorted(map(repr, own_payments(payments, trips).collect())) == want
+    with pytest.raises(Exception, match="not a Parquet file|FAILED_READ_FILE"):
+        payments.count()
