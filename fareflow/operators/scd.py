@@ -8,7 +8,9 @@ their tracked columns:
 * changed key    -> current version closed at ``effective_at``; a new current
                     version starts at ``effective_at``
 * new key        -> first version starts at ``effective_at``
-* key missing from the snapshot -> current version kept (no hard delete)
+* key missing from the snapshot -> current version kept, or closed at ``effective_at``
+                    with ``close_missing`` (rows deleted at the source); if the key comes
+                    again, a new version starts then
 
 Closed versions pass through untouched.  One full outer join on the dimension
 key sees one row per key on each side; a changed key gives two rows.
@@ -40,11 +42,12 @@ def scd2_init(snapshot: DataFrame, effective_at: dt.datetime) -> DataFrame:
 
 
 def scd2_apply(history: DataFrame, snapshot: DataFrame, key: str, tracked: Sequence[str],
-               effective_at: dt.datetime) -> DataFrame:
+               effective_at: dt.datetime, close_missing: bool = False) -> DataFrame:
     """The new history after applying ``snapshot`` at ``effective_at``.
 
     Change detection compares the tracked columns null-safely (exact; no
-    hash collisions).
+    hash collisions).  ``close_missing``: the snapshot is complete, so a key
+    it does not hold is gone.
     """
     eff = F.lit(effective_at).cast("timestamp")
     if not history.filter(F.col("valid_from") > eff).isEmpty():
@@ -64,7 +67,8 @@ def scd2_apply(history: DataFrame, snapshot: DataFrame, key: str, tracked: Seque
                         end.cast("timestamp").alias("valid_to"), open_.alias("is_current"))
 
     never = F.lit(None)
-    kept = row("_old", F.col("_old.valid_from"), F.when(changed, eff), ~changed)
+    ended = changed | (known & ~seen) if close_missing else changed
+    kept = row("_old", F.col("_old.valid_from"), F.when(ended, eff), ~ended)
     opened = row("_new", eff, never, F.lit(True))
     rows = both.select(F.explode(F.when(changed, F.array(kept, opened)).when(known, F.array(kept))
                                  .otherwise(F.array(opened))).alias("r")).select("r.*")

@@ -99,6 +99,14 @@ def scd2_history(m) -> DataFrame:
     return scd2_apply(h, driver_snapshot(m, m.config.as_of), "driver_id", DRIVER_TRACKED, m.config.as_of_ts)
 
 
+def scd2_closed_keys(m) -> DataFrame:
+    """I3 with rows deleted at the source: every tenth driver is missing from the second snapshot, which closes its version."""
+    t0 = dt.datetime(SNAPSHOT_AS_OF.year, SNAPSHOT_AS_OF.month, SNAPSHOT_AS_OF.day)
+    h = scd2_init(driver_snapshot(m, SNAPSHOT_AS_OF), t0)
+    left = driver_snapshot(m, m.config.as_of).filter("driver_id % 10 <> 3")
+    return scd2_apply(h, left, "driver_id", DRIVER_TRACKED, m.config.as_of_ts, close_missing=True)
+
+
 # Snapshots of the point-in-time lookup.
 HISTORY_DATES = [dt.date(1996, 1, 1), dt.date(1998, 1, 1), dt.date(2000, 1, 1), SNAPSHOT_AS_OF]
 

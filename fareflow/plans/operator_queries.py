@@ -305,6 +305,7 @@ def _register_more() -> None:
         "merge_null_date_keyed": history.merge_null_date_keyed,
         "dq_quarantine_text": quality_checks.dq_quarantine_text,
         "scd2_history": history.scd2_history,
+        "scd2_closed_keys": history.scd2_closed_keys,
         "fact_current_dims": history.fact_current_dims,
         "fact_hot_lookup": history.fact_hot_lookup,
         "fact_versions_asof": history.fact_versions_asof,

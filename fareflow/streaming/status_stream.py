@@ -80,15 +80,28 @@ def run_to_table(stream: DataFrame, name: str, fmt: str = "parquet") -> DataFram
     q = (stream.writeStream.format(fmt).outputMode("append")
          .option("checkpointLocation", path + "-checkpoint")
          .trigger(availableNow=True).start(path))
-    q.awaitTermination()
-    if late := late_rows(q):
+    if late := finished(q):
         log.warning("%s: %d rows came after the watermark and were dropped", name, late)
     return spark.read.schema(stream.schema).parquet(path)
 
 
-def late_rows(query) -> int:
-    """Rows that a stream's stateful operators dropped as later than the watermark, over its recent progress."""
-    return sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"])
+def late_rows(progress) -> int:
+    """Rows that a stream's stateful operators dropped as later than the watermark, over progress reports
+    or over a query's recent ones."""
+    reports = getattr(progress, "recentProgress", progress)
+    return sum(op["numRowsDroppedByWatermark"] for p in reports for op in p["stateOperators"])
+
+
+def finished(query, seconds: float = 2) -> int:
+    """Wait for the query's end; the rows it dropped as late.  A query keeps its last 100 reports only, so
+    they are gathered while it runs."""
+    reports: dict[int, dict] = {}
+    done = False
+    while not done:
+        done = query.awaitTermination(seconds)
+        for p in query.recentProgress:
+            reports[p["batchId"]] = p
+    return late_rows(reports.values())
 
 
 def trip_versions(trips_raw: DataFrame) -> DataFrame:
@@ -282,8 +295,7 @@ def session_stream(staged: DataFrame, sink_path: str, chunk: str = "day") -> Dat
 
     q = (staged.writeStream.foreachBatch(on_batch).option("checkpointLocation", sink_path + "-checkpoint")
          .trigger(availableNow=True).start())
-    q.awaitTermination()
-    if late := late_rows(q):
+    if late := finished(q):
         log.warning("%s: %d rows came after the watermark and were dropped", sink_path, late)
     return staged.sparkSession.read.parquet(sink_path).select(*SESSION_COLUMNS)
 
@@ -294,31 +306,39 @@ def stream_sessions(m) -> DataFrame:
     return session_stream(staged_status_stream(events), shared_table_path(m.spark, "sessions"))
 
 
-def disordered(events: DataFrame, folder: str) -> str:
-    """Write ``events`` as files 0 to 5 under ``folder``, far out of order and with stale copies; the
-    watermark that covers the disorder is returned.
+def disordered_parts(events: DataFrame) -> tuple[str, list[DataFrame]]:
+    """``events`` in six parts, far out of order and with stale copies, and the watermark that covers the disorder.
 
-    The odd events of each quarter of the time span come one file later than the even ones; every
-    fifth event also has a copy, ten minutes older and of another type, two files later.
+    The odd events of each quarter of the time span come one part later than the even ones; every
+    fifth event also has a copy, ten minutes older and of another type, two parts later.
     """
     first, last = events.agg(F.min("ts"), F.max("ts")).first()
     span = int((last - first).total_seconds()) + 1
     quarter = F.least(F.lit(3), F.floor(4 * F.timestamp_diff("SECOND", F.lit(first), F.col("ts")) / span))
-    tagged = events.withColumn("_file", (quarter + F.col("event_id") % 2).cast("int"))
-    stale = (events.filter("event_id % 5 = 0").withColumn("_file", (quarter + 2).cast("int"))
+    tagged = events.withColumn("_part", (quarter + F.col("event_id") % 2).cast("int"))
+    stale = (events.filter("event_id % 5 = 0").withColumn("_part", (quarter + 2).cast("int"))
              .withColumn("ts", F.expr("ts - INTERVAL 10 MINUTES"))
              .withColumn("event_type", F.when(F.col("event_type") == "click", "view").otherwise("click")))
-    both = tagged.unionByName(stale).persist()
-    for i in range(6):  # written in turn: the file source reads the oldest first
-        both.filter(F.col("_file") == i).drop("_file").coalesce(1).write.parquet(f"{folder}/part{i}")
-    both.unpersist()
-    return f"{span // 2 + 3600} seconds"
+    both = tagged.unionByName(stale)
+    return f"{span // 2 + 3600} seconds", [both.filter(F.col("_part") == i).drop("_part") for i in range(6)]
+
+
+def disordered(events: DataFrame, folder: str) -> str:
+    """Write the parts of ``disordered_parts`` as folders of files under ``folder``, oldest first; returns the watermark."""
+    watermark, parts = disordered_parts(events)
+    for i, part in enumerate(parts):  # written in turn: the file source reads the oldest first
+        part.write.parquet(f"{folder}/part{i}")
+    return watermark
 
 
 def stream_sessions_distributed(m) -> DataFrame:
-    """I6 over ``disordered`` events, a file per micro-batch: the sessions of the batch pairing."""
+    """I6 over ``disordered_parts``, a folder of files per micro-batch: the sessions of the batch pairing."""
     events = m.spark.read.schema(EVENTS_SCHEMA).parquet(f"{m.extra_sources['sf_dir']}/events.parquet")
-    folder = shared_table_path(m.spark, "events-disordered")
-    watermark = disordered(events, folder)
-    stream = read_stream(m.spark, f"{folder}/part*", "*.parquet", EVENTS_SCHEMA, max_files_per_trigger=1)
-    return session_stream(staged_status_stream(stream, watermark), shared_table_path(m.spark, "sessions-disordered"), "hour")
+    folder, sink = shared_table_path(m.spark, "events-disordered"), shared_table_path(m.spark, "sessions-disordered")
+    watermark, parts = disordered_parts(events)
+    for i, part in enumerate(parts):
+        part.write.parquet(f"{folder}/part{i}")
+        # the same checkpoint each time: a run takes the new folder
+        stream = read_stream(m.spark, f"{folder}/part*", "*.parquet", EVENTS_SCHEMA)
+        sessions = session_stream(staged_status_stream(stream, watermark), sink, "hour")
+    return sessions
