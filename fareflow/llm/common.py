@@ -28,6 +28,16 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, *names: str) -> tuple[str, ...]:
+    """The names, each with underscores added until no column of ``df`` has it (in any case)."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return tuple(out)
+
+
 def crc_remainder(column: str, modulus: int) -> Column:
     """crc32 of the value as text, modulo ``modulus``; null stays null."""
     return F.crc32(F.col(column).cast("string")) % modulus

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fareflow.llm.common import stored
+from fareflow.llm.common import fresh, stored
 
 RATIO = 0.08  # boilerplate: on more than this share of a host's pages ...
 MIN_PAGES = 4  # ... and on at least this many of them
@@ -67,17 +67,17 @@ def drop_boilerplate(docs: DataFrame, host: str = "source", ratio: float = RATIO
     new text.  ``dropped`` names an extra column for the number of dropped lines.
     """
     found = boilerplate_lines(docs, host, ratio, min_pages, copies)
-    of_host = stored(found.groupBy("host").agg(F.collect_list("line_md5").alias("__boilerplate"))
-                     .withColumnRenamed("host", "__host"), "boilerplate")
-    rows = docs.join(of_host, F.col(f"`{host}`").cast("string").eqNullSafe(F.col("__host")), "left")
-    drop = F.coalesce(F.col("__boilerplate"), F.array())
+    bad, of, left = fresh(docs, "__boilerplate", "__host", "__kept")
+    of_host = stored(found.groupBy("host").agg(F.collect_list("line_md5").alias(bad)).withColumnRenamed("host", of), "boilerplate")
+    rows = docs.join(of_host, F.col(f"`{host}`").cast("string").eqNullSafe(F.col(of)), "left")
+    drop = F.coalesce(F.col(bad), F.array())
     lines = _lines(F.col("text"))
     kept = F.filter(lines, lambda line: ~F.coalesce(F.array_contains(drop, _key(line)), F.lit(False)))
-    rows = rows.withColumn("__kept", kept)
-    text = F.when(F.col("text").isNotNull(), F.array_join("__kept", "\n"))
+    rows = rows.withColumn(left, kept)
+    text = F.when(F.col("text").isNotNull(), F.array_join(left, "\n"))
     columns = {c: F.col(f"`{c}`") for c in docs.columns} | {"text": text}
     if "n_chars" in columns:
         columns["n_chars"] = F.char_length(text).cast(docs.schema["n_chars"].dataType)
     if dropped:
-        columns[dropped] = F.coalesce(F.size(lines) - F.size("__kept"), F.lit(0)).cast("long")
+        columns[dropped] = F.coalesce(F.size(lines) - F.size(left), F.lit(0)).cast("long")
     return rows.select(*[v.alias(k) for k, v in columns.items()])

@@ -6,8 +6,9 @@ distinct one is cut into pieces once; the piece counts return to the blocks and
 with the per-document frequencies.  No id is ever made, and what moves is one row per block and
 distinct pre-token plus the packed frequencies, both in proportion to the input.
 
-Both reads of the documents must see the same rows in the same partitions, as file scans do;
-each block carries a digest of its pre-tokens, and a difference raises an error.
+Both reads of the documents must see the same rows in the same partitions, as file scans do.
+Each read sends a digest of a block's pre-tokens, one with the packed frequencies and one in a row
+among the pre-tokens; blocks whose digests differ raise an error.
 """
 
 from __future__ import annotations
@@ -55,7 +56,8 @@ def _blocks(batches: Iterator[pa.RecordBatch], tokenizer: str, block_bytes: int)
 
 
 def _digest(numbers: dict) -> int:
-    return zlib.crc32("\0".join(numbers).encode())
+    """31 bits over the block's pre-tokens and their order."""
+    return zlib.crc32("\0".join(numbers).encode()) >> 1
 
 
 def _deltas(rows) -> np.ndarray:
@@ -85,9 +87,10 @@ def token_counts(docs: DataFrame, tokenizer: str = BYTE_BPE, block_bytes: int =
 
     def block_pieces(batches):
         for block, _, _, numbers, _ in _blocks(batches, tokenizer, block_bytes):
+            # the last row has no piece and the digest as a negative number
             yield pa.RecordBatch.from_arrays(
-                [pa.array([block] * len(numbers), pa.int64()), pa.array(range(len(numbers)), pa.int32()),
-                 pa.array(list(numbers), pa.string())], ["block", "no", "piece"])
+                [pa.array([block] * (len(numbers) + 1), pa.int64()), pa.array([*range(len(numbers)), -1 - _digest(numbers)], pa.int32()),
+                 pa.array([*numbers, None], pa.string())], ["block", "no", "piece"])
 
     def counted(batches):
         count, last = pre_tokens(tokenizer).count, (None, 0)
@@ -97,9 +100,8 @@ def token_counts(docs: DataFrame, tokenizer: str = BYTE_BPE, block_bytes: int =
             n = [last[1] if v == last[0] else count(v) for v in values]
             if values:
                 last = (values[-1], n[-1])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("block"), batch.column("no"),
-                 pa.array(np.array(n, np.int32)[coded.indices.to_numpy()] if n else [], pa.int32())], ["block", "no", "n"])
+            counts = np.array([*n, 0], np.int32)[coded.indices.fill_null(len(n)).to_numpy()]  # a digest's row counts nothing
+            yield pa.RecordBatch.from_arrays([batch.column("block"), batch.column("no"), pa.array(counts, pa.int32())], ["block", "no", "n"])
 
     def frequencies(batches):
         for block, ids, sizes, numbers, rows in _blocks(batches, tokenizer, block_bytes):
@@ -113,11 +115,12 @@ def token_counts(docs: DataFrame, tokenizer: str = BYTE_BPE, block_bytes: int =
 
     def summed(key, block: pa.Table, counts: pa.Table) -> pa.Table:
         out = {"doc_id": [], "n_bytes": [], "n_tokens": []}
-        n = np.zeros(counts.num_rows, np.int64)
-        no = counts.column("no").to_numpy()
-        if block.num_rows != 1 or block.column("distinct")[0].as_py() != len(no):
+        no, found = counts.column("no").to_numpy(), counts.column("n").to_numpy()
+        digest = -1 - no[no < 0]
+        if block.num_rows != 1 or digest.tolist() != block.column("digest").to_pylist() or block.column("distinct")[0].as_py() != len(no) - 1:
             raise RuntimeError("the documents differ between two reads; store them first")
-        n[no] = counts.column("n").to_numpy()
+        n = np.zeros(len(no) - 1, np.int64)
+        n[no[no >= 0]] = found[no >= 0]
         row = {k: block.column(k)[0].as_py() for k in ("ids", "sizes", "lengths", "deltas", "counts")}
         lengths, deltas, freq = (_unplanes(row[k]).astype(np.int64) for k in ("lengths", "deltas", "counts"))
         ends = np.cumsum(lengths)
