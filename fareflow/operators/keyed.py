@@ -31,7 +31,7 @@ from fareflow.operators.incremental import NULL_PARTITION, _delete, replace_rows
 KEYS_PER_BUCKET = 4_000_000
 
 
-def _folders(spark: SparkSession, path: str) -> list[str]:
+def folders(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders directly under ``path``, sorted; none if it is missing."""
     jvm = spark._jvm
     root = jvm.org.apache.hadoop.fs.Path(path)
@@ -42,7 +42,7 @@ def _folders(spark: SparkSession, path: str) -> list[str]:
 def index_path(spark: SparkSession, target_path: str) -> str | None:
     """The table's key index; its folder name says the number of buckets."""
     root = f"{target_path.rstrip('/')}_keys"
-    found = [n for n in _folders(spark, root) if n.startswith("buckets-")]
+    found = [n for n in folders(spark, root) if n.startswith("buckets-")]
     return f"{root}/{found[-1]}" if found else None
 
 
@@ -115,7 +115,7 @@ def _merge(spark: SparkSession, target: str, rows: DataFrame, key: str, partitio
     touched = [r[0] for r in rows.select(_bucket(key, buckets)).distinct().collect()]  # at most one a bucket
     index = (spark.read.schema(f"{entry}, _bucket int").parquet(path).where(F.col("_bucket").isin(touched)) if stored
              else spark.createDataFrame([], f"{entry}, _bucket int"))
-    left = [f"{target}_pending/{n}" for n in _folders(spark, f"{target}_pending")]
+    left = [f"{target}_pending/{n}" for n in folders(spark, f"{target}_pending")]
     known = index.drop("_bucket")
     if left:  # of a merge that did not end
         known = known.unionByName(spark.read.schema(entry).parquet(*left))

@@ -311,12 +311,13 @@ def _register_more() -> None:
         "fact_versions_asof": history.fact_versions_asof,
         "incremental_updates": history.incremental_updates,
     })
-    from fareflow.streaming import status_stream
+    from fareflow.streaming import keyed_sessions, status_stream
 
     QUERIES.update({
         "stream_dedup": status_stream.stream_dedup,
         "stream_sessions": status_stream.stream_sessions,
         "stream_sessions_distributed": status_stream.stream_sessions_distributed,
+        "stream_sessions_keyed": keyed_sessions.stream_sessions_keyed,
         "stream_merge": status_stream.stream_merge,
         "stream_late_payments": status_stream.stream_late_payments,
         "stream_stale_trips": status_stream.stream_stale_trips,

@@ -55,8 +55,12 @@ def read_stream(spark: SparkSession, folder: str, file_name: str, schema: T.Stru
     return reader.parquet(folder)
 
 
-def staged_status_stream(events: DataFrame, watermark: str = "1 hour", within: str = "1 hour") -> DataFrame:
-    """The test feed mapped onto the status contract, then staged, in event-time order."""
+def staged_status_stream(events: DataFrame, watermark: str = "1 hour", within: str = "1 hour", event_time: str | None = None) -> DataFrame:
+    """The test feed mapped onto the status contract, then staged, in event-time order.
+
+    ``event_time`` names a further column for stateful steps that follow: the end of the event's session
+    (``event_timestamp`` plus ``within``, less a microsecond), which carries the watermark."""
+    more = [F.window_time("session_window").alias(event_time)] if event_time else []
     raw = events.select(
         "event_id", F.col("user_id").alias("driver_id"),
         F.when(F.col("event_type") == "click", " ONLINE").when(F.col("event_type") == "view", "offline")
@@ -69,7 +73,7 @@ def staged_status_stream(events: DataFrame, watermark: str = "1 hour", within: s
             .agg(F.max(rank).alias("latest"))
             .select("event_id", F.col("latest.driver_id").alias("driver_id"),
                     whitelist("latest.status", DRIVER_EVENT_STATUSES, default="unknown").alias("driver_status"),
-                    F.col("latest.event_timestamp").alias("event_timestamp"))
+                    F.col("latest.event_timestamp").alias("event_timestamp"), *more)
             .filter(F.col("driver_status") != "unknown"))
 
 
