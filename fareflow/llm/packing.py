@@ -6,11 +6,12 @@ Two passes over the documents, and a sample between them:
    and their mean length, over all documents.  Terms are words (runs of letters) hashed to 2^18
    numbers, so the statistics that every task gets are 2^18 counts (2 MB), whatever the corpus.
 2. Documents are dealt into slots of about ``shard_docs`` documents by content.  A balanced tree of
-   at most 2^8 leaves, made from a sample of ``SAMPLE`` documents, halves them by their main
-   direction of variation (TF-IDF, 2^12 dimensions); a leaf that holds more than one slot is
-   parted by a MinHash of a document's rarest shared terms.  A MinHash that stands out in the
-   sample (a large group of copies) is parted by the hash of the doc_id instead, so no slot
-   grows with such a group.  Documents meet by slot in one shuffle, as ids and terms.
+   at most 2^8 leaves, made from a sample of ``SAMPLE`` documents with at least ``LEAF`` of them a
+   leaf, halves them by their main direction of variation (TF-IDF, 2^12 dimensions); a leaf that
+   holds more than one slot is parted by a MinHash of a document's rarest shared terms, or for a
+   MinHash that stands out in the sample (a large group of copies) by the hash of the doc_id.
+   Slots vary with the sample: in sf0.1 with 40 documents a slot the median is 40, the largest 72.
+   Smaller groups of copies are not parted.  Documents meet by slot in one shuffle, as ids and terms.
 3. The index is sharded: a shard is the next ``shard_docs`` documents in slot order (or fewer, when
    they reach ``shard_ids`` ids, or when a slot ends after half as many) with their inverted
    lists.  The first document is the seed; its window is filled with the best-scoring unused
@@ -43,6 +44,7 @@ K1, B = 1.2, 0.75
 SAMPLE = 2048  # documents from which the tree of slots is made
 DIMENSIONS, DEPTH = 1 << 12, 8
 RAREST = 8  # terms of a document that its MinHash is taken of
+LEAF = 64  # documents of the sample in a leaf of the tree
 HOT = 4  # a MinHash that so many documents of the sample share is parted by doc_id
 _MULTIPLY, _MASK = 0x9E3779B1, (1 << 32) - 1
 _DOCS, _WORDS = TERMS, TERMS + 1  # two more numbers in the statistics
@@ -101,7 +103,9 @@ class Slots:
     def __init__(self, sample: list[tuple[np.ndarray, np.ndarray]], idf: np.ndarray, n: int, shard_docs: int):
         self.idf = idf
         self.shared = np.log1p((n - 1.5) / 2.5) + 1e-3 if n > 2 else np.inf  # the idf of a term of two documents
-        self.depth = min(DEPTH, max(0, -(-n // shard_docs) - 1).bit_length())
+        # a leaf is made from enough documents of the sample to halve the corpus as it halves them
+        fine = max(1, len(sample) // LEAF).bit_length() - 1
+        self.depth = min(DEPTH, fine, max(0, -(-n // shard_docs) - 1).bit_length())
         self.directions = np.zeros(((1 << self.depth) - 1, DIMENSIONS), np.float32)
         self.limits = np.full(len(self.directions), np.inf)
         terms, counts = [t for t, _ in sample], [c for _, c in sample]
