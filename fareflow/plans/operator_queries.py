@@ -280,7 +280,6 @@ QUERIES = {
     "stored_daily_revenue": stored_daily_revenue,
     "staging_views": staging_views,
     "fraud_reasons": fraud_reasons,
-    "distinct_sketches": distinct_sketches_q,
     "distinct_riders": distinct_riders,
     "bucketed_trip_details": bucketed_trip_details,
 }
