@@ -12,10 +12,11 @@
 The first two split hot rows from cold ones: the unique side's rows of the hot keys (at
 most ``max_keys``) are broadcast to the hot rows, which are never shuffled; the
 rest joins on the plain key, so a partitioning by that key is reused and no key
-in it holds more than the share that ``hot_keys`` allows.  Where no key is hot,
-adaptive execution drops the hot branch.  That split reads its input twice, so
-stacked lookups would double the plan each time; ``lookup_all`` reads its input
-once, whatever the number of lookups.
+in it holds more than the share that ``hot_keys`` allows.  The hot keys are
+literals of the plan, so their filters reach the scans, and where no key is hot
+there is one plain join.  The split reads its input twice, so stacked lookups
+would double the plan each time; ``lookup_all`` reads its input once, whatever
+the number of lookups.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ import weakref
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_MAX_HOT_KEYS = 1000
@@ -51,23 +52,33 @@ def hot_keys(df: DataFrame, key: str, max_keys: int = DEFAULT_MAX_HOT_KEYS,
             .select(key))
 
 
-def _flag_hot(df: DataFrame, key: str, hot: DataFrame) -> DataFrame:
-    marked = hot.select(F.col(key).alias("_hot_key"), F.lit(True).alias("_hot"))
-    return (df.join(F.broadcast(marked), df[key] == marked["_hot_key"], "left")
-            .drop("_hot_key")
-            .withColumn("_hot", F.coalesce(F.col("_hot"), F.lit(False))))
+def _values(hot: DataFrame) -> list:
+    """The hot keys as a list: ``hot_keys`` bounds their number."""
+    return [r[0] for r in hot.collect()]
+
+
+def _among(key: str, values: list) -> Column:
+    return F.col(key).isin(values)
+
+
+def _beside(key: str, values: list) -> Column:
+    return F.col(key).isNull() | ~F.col(key).isin(values) if values else F.lit(True)
 
 
 def fanout_left_join(one: DataFrame, many: DataFrame, key: str, hot: DataFrame) -> DataFrame:
     """``one LEFT JOIN many ON key``; the keys of ``hot`` join by broadcast.
 
     ``one`` must be unique per key, and every key of ``hot`` must have rows in
-    ``many`` (``hot_keys(many, key)``), so the hot rows are an inner join.
+    ``many`` (``hot_keys(many, key)``), so the hot rows are an inner join.  The
+    keys are literals in the plan: their filter reaches the scans on both
+    sides, and without hot keys this is one plain join.
     """
     columns = [*one.columns, *(c for c in many.columns if c != key)]
-    left, right = _flag_hot(one, key, hot), _flag_hot(many, key, hot)
-    cold = left.filter(~F.col("_hot")).drop("_hot").join(right.filter(~F.col("_hot")).drop("_hot"), key, "left")
-    fanned = right.filter("_hot").drop("_hot").join(F.broadcast(left.filter("_hot").drop("_hot")), key)
+    values = _values(hot)
+    if not values:
+        return one.join(many, key, "left").select(*columns)
+    cold = one.filter(_beside(key, values)).join(many.filter(_beside(key, values)), key, "left")
+    fanned = many.filter(_among(key, values)).join(F.broadcast(one.filter(_among(key, values))), key)
     return cold.select(*columns).unionByName(fanned.select(*columns))
 
 
@@ -107,7 +118,7 @@ def _small(dim: DataFrame, size_of: DataFrame | None, max_rows: int, max_bytes:
 def lookup_left_join(facts: DataFrame, dim: DataFrame, key: str, hot: DataFrame | None = None,
                      broadcast_max_rows: int | None = None, how: str = "left",
                      size_of: DataFrame | None = None,
-                     broadcast_max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES) -> DataFrame:
+                     broadcast_max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES, keyed: bool = False) -> DataFrame:
     """``facts JOIN dim ON key`` for a dim unique per key.
 
     * ``broadcast_max_rows``: count the dim (or ``size_of``, a table the
@@ -117,7 +128,7 @@ def lookup_left_join(facts: DataFrame, dim: DataFrame, key: str, hot: DataFrame
     * otherwise, with ``hot`` given, the dim rows of the hot keys are broadcast
       to the facts of these keys and the rest joins by a shuffle.  Facts
       without a key match nothing; they go the broadcast way, because a
-      shuffle would send them all to one task.
+      shuffle would send them all to one task (``keyed``: there are none).
     * otherwise a plain shuffle join (AQE may split skewed partitions).
     """
     columns = [*facts.columns, *(c for c in dim.columns if c != key)]
@@ -125,10 +136,11 @@ def lookup_left_join(facts: DataFrame, dim: DataFrame, key: str, hot: DataFrame
         return facts.join(F.broadcast(dim), key, how)
     if hot is None:
         return facts.join(dim, key, how)
-    f = _flag_hot(facts, key, hot).withColumn("_apart", F.col("_hot") | F.col(key).isNull())
-    d = _flag_hot(dim, key, hot)
-    cold = f.filter(~F.col("_apart")).drop("_hot", "_apart").join(d.filter(~F.col("_hot")).drop("_hot"), key, how)
-    apart = f.filter("_apart").drop("_hot", "_apart").join(F.broadcast(d.filter("_hot").drop("_hot")), key, how)
+    values = _values(hot)
+    if not values and (keyed or not facts.schema[key].nullable):
+        return facts.join(dim, key, how).select(*columns)
+    cold = facts.filter(F.col(key).isNotNull() & _beside(key, values)).join(dim.filter(_beside(key, values)), key, how)
+    apart = facts.filter(F.col(key).isNull() | _among(key, values)).join(F.broadcast(dim.filter(_among(key, values))), key, how)
     return cold.select(*columns).unionByName(apart.select(*columns))
 
 
@@ -219,6 +231,6 @@ def lookup_all(facts: DataFrame, lookups: Sequence[Lookup], broadcast_max_rows:
     for x in small:
         out = out.join(F.broadcast(x.dim), x.key, x.how)
     for x in large:
-        out = _spread_join(out, x, hot[x.key] if x.hot is None else [r[0] for r in x.hot.collect()])
+        out = _spread_join(out, x, hot[x.key] if x.hot is None else _values(x.hot))
     names = [c for x in lookups for c in x.dim.columns if c != x.key]
     return out.select(*facts.columns, *names)

@@ -70,7 +70,7 @@ def int_payment_analysis(stg_payments: DataFrame, stg_trips: DataFrame,
     """
     hot = hot if hot is not None else trip_hot_keys(stg_payments)
     trips = stg_trips.select("trip_id", "trip_status", "actual_fare")
-    pa = lookup_left_join(stg_payments, trips, "trip_id", hot=hot)
+    pa = lookup_left_join(stg_payments, trips, "trip_id", hot=hot, keyed=True)  # staging requires the trip
     pa = pa.select(
         "payment_id", "trip_id", "payment_status", "payment_provider", "amount", "fee", "currency",
         "created_at", "trip_status", "actual_fare",

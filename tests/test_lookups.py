@@ -98,3 +98,21 @@ def test_reports_without_broadcast_are_planned_in_seconds(spark):
     assert time.perf_counter() - begin < 60
     for df, name in zip(got, ("daily_revenue", "drivers_leaderboard", "fraud_monitoring"), strict=True):
         assert _rows(df) == _rows(m[name])
+
+
+def test_without_hot_keys_the_fan_out_is_one_join(spark):
+    """No second branch of either side; with hot keys their filter reaches the scan."""
+    from fareflow.operators.joins import fanout_left_join, hot_keys, lookup_left_join
+
+    path = shared_table_path(spark, "fan-out")
+    spark.range(200).select(F.when(F.col("id") < 100, 5).otherwise(F.col("id")).alias("k"), F.col("id").alias("v")).write.parquet(path)
+    many, one = spark.read.parquet(path), spark.range(300).select(F.col("id").alias("k"), (-F.col("id")).alias("w"))
+    for top, branches in ((1, 1), (2, 2)):
+        hot = hot_keys(many, "k", max_keys=top, min_rows=1)
+        for joined, base in ((fanout_left_join(one, many, "k", hot), one.join(many, "k", "left")),
+                             (lookup_left_join(many, one, "k", hot, keyed=True), many.join(one, "k", "left"))):
+            plan = _plan(joined)
+            assert plan.count("FileScan parquet") == branches
+            pushed = [line.split("PushedFilters: ")[1] for line in plan.splitlines() if "PushedFilters" in line]
+            assert top == 1 or any("EqualTo(k,5)" in line and "Not" not in line.split("IsNotNull(k)")[-1] for line in pushed), pushed
+            assert _rows(joined) == _rows(base.select(*joined.columns))
