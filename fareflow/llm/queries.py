@@ -155,6 +155,20 @@ ORACLE_SQL: dict[str, str] = {
                  FROM documents d LEFT JOIN bad ON d.source IS NOT DISTINCT FROM bad.source)
         SELECT doc_id, source, CAST(coalesce(len(l) - len(o), 0) AS BIGINT) AS lines_dropped,
                CAST(length(array_to_string(o, chr(10))) AS BIGINT) AS n_chars, array_to_string(o, chr(10)) AS text FROM kept""",
+    "op12_suffix_dedup": r"""
+        WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, strlen(coalesce(text, '')) AS n FROM documents),
+        strings AS (SELECT doc_id, p, substring(h, 2 * p + 1, 200) AS s FROM (SELECT doc_id, h, unnest(range(0, n - 99)) AS p FROM d)),
+        repeats AS (SELECT doc_id, p FROM (SELECT doc_id, p, row_number() OVER (PARTITION BY s ORDER BY doc_id, p) AS k FROM strings) WHERE k > 1),
+        marked AS (SELECT doc_id, p, CASE WHEN p <= lag(p) OVER (PARTITION BY doc_id ORDER BY p) + 100 THEN 0 ELSE 1 END AS opens FROM repeats),
+        spans AS (SELECT doc_id, min(p) AS a, max(p) + 100 AS b
+                  FROM (SELECT doc_id, p, sum(opens) OVER (PARTITION BY doc_id ORDER BY p) AS g FROM marked) GROUP BY doc_id, g),
+        gaps AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS after FROM spans),
+        kept AS (SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans, max(b) AS last,
+                        string_agg(substring(h, 2 * after + 1, 2 * (a - after)), '' ORDER BY a) AS head
+                 FROM gaps JOIN d USING (doc_id) GROUP BY doc_id)
+        SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+               sha256(unhex(coalesce(head || substring(h, 2 * last + 1), h))) AS kept_sha256
+        FROM d LEFT JOIN kept USING (doc_id)""",
     "op13_phrase_collocations": r"""
         WITH w AS (SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w
           FROM (SELECT lang, unnest(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
