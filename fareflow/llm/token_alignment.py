@@ -152,15 +152,16 @@ class Groups:
 
     def text(self, last: np.ndarray) -> tuple[bytes, np.ndarray]:
         """All groups as ``a1,a2|b1;`` and the place of each text's end in it; ``last``: its last group."""
-        ends_a, ends_b = (np.append(of[1:] != of[:-1], True) if len(of) else np.zeros(0, bool) for of in (self.of_a, self.of_b))
-        code_a, code_b = self.tokens.a * 2 + ends_a, self.tokens.b * 2 + ends_b
+        last_a, last_b = (np.append(of[1:] != of[:-1], True) if len(of) else np.zeros(0, bool) for of in (self.of_a, self.of_b))
         # a group's left ids stand before its right ids
-        place_a = np.arange(len(code_a)) + np.cumsum(np.append(0, self.n_b))[self.of_a]
-        place_b = np.arange(len(code_b)) + np.cumsum(self.n_a)[self.of_b]
-        codes = np.empty(len(code_a) + len(code_b), np.int64)
-        codes[place_a], codes[place_b] = code_a, -1 - code_b
-        sizes = np.cumsum(np.searchsorted(_DIGITS, np.where(codes >= 0, codes, -1 - codes) >> 1, "right") + 1)
-        written = b"".join([_RENDERED[c] if c >= 0 else _RENDERED_RIGHT[-1 - c] for c in codes.tolist()])
+        place_a = np.arange(len(self.of_a)) + np.cumsum(np.append(0, self.n_b))[self.of_a]
+        place_b = np.arange(len(self.of_b)) + np.cumsum(self.n_a)[self.of_b]
+        ids = np.empty(len(self.of_a) + len(self.of_b), np.int64)
+        ids[place_a], ids[place_b] = self.tokens.a, self.tokens.b
+        mark = np.zeros(len(ids), np.int64)
+        mark[place_a], mark[place_b] = last_a, 2 * last_b
+        sizes = np.cumsum(np.searchsorted(_DIGITS, ids, "right") + 1)
+        written = _written(max(16, int(ids.max(initial=0)).bit_length()))[mark, ids].tobytes().translate(None, b"\0")
         return written, sizes[np.cumsum(self.n_a + self.n_b)[last] - 1]
 
     def links(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -181,19 +182,14 @@ class Groups:
         return out[0] if len(out) == 1 else tuple(np.concatenate(c) for c in zip(*out, strict=True))
 
 
-class _Rendered(dict):
-    """2 * id + whether it ends its side of the group -> its text; bounded by the vocabulary."""
-
-    def __init__(self, end: str):
-        self.end = end
-
-    def __missing__(self, code: int) -> bytes:
-        out = self[code] = f"{code >> 1}{self.end if code & 1 else ','}".encode()
-        return out
+_DIGITS = np.array([0, *(10**n for n in range(1, 7))])  # an id has as many digits as there are values up to it
 
 
-_DIGITS = np.array([0, *(10**n for n in range(1, 7))])  # an id has as many digits as there are values up to it
-_RENDERED, _RENDERED_RIGHT = _Rendered("|"), _Rendered(";")
+@lru_cache(maxsize=2)
+def _written(bits: int) -> np.ndarray:
+    """Every id of so many bits as text, with what follows it: an id of its side, the other side, the next group."""
+    ids = np.arange(1 << bits).astype("S7")
+    return np.array([np.char.add(ids, mark) for mark in (b",", b"|", b";")])
 
 
 def summed(owner: np.ndarray, pair: np.ndarray, times: np.ndarray):
