@@ -8,7 +8,7 @@ Two passes over the documents, and a sample between them:
 2. Documents are dealt into slots of about ``shard_docs`` documents by content.  A balanced tree of
    at most 2^8 leaves, made from a sample of ``SAMPLE`` documents with at least ``LEAF`` of them a
    leaf, halves them by their main direction of variation (TF-IDF, 2^12 dimensions); a leaf that
-   holds more than one slot is parted by a MinHash of a document's rarest shared terms, or for a
+   holds more than one slot is parted by a MinHash of a document's terms weighted by rarity, or for a
    MinHash that stands out in the sample (a large group of copies) by the hash of the doc_id.
    Slots vary with the sample: in sf0.1 with 40 documents a slot the median is 40, the largest 72.
    Smaller groups of copies are not parted.  Documents meet by slot in one shuffle, as ids and terms.
@@ -43,10 +43,9 @@ TERMS = 1 << 18
 K1, B = 1.2, 0.75
 SAMPLE = 2048  # documents from which the tree of slots is made
 DIMENSIONS, DEPTH = 1 << 12, 8
-RAREST = 8  # terms of a document that its MinHash is taken of
+RARE = 8  # power of the idf by which a term is drawn for the MinHash
 LEAF = 64  # documents of the sample in a leaf of the tree
 HOT = 4  # a MinHash that so many documents of the sample share is parted by doc_id
-_MULTIPLY, _MASK = 0x9E3779B1, (1 << 32) - 1
 _DOCS, _WORDS = TERMS, TERMS + 1  # two more numbers in the statistics
 
 
@@ -102,7 +101,12 @@ class Slots:
 
     def __init__(self, sample: list[tuple[np.ndarray, np.ndarray]], idf: np.ndarray, n: int, shard_docs: int):
         self.idf = idf
-        self.shared = np.log1p((n - 1.5) / 2.5) + 1e-3 if n > 2 else np.inf  # the idf of a term of two documents
+        # terms in a random order that puts rare ones first (a weighted MinHash); those of one document come last
+        shared = np.log1p((n - 1.5) / 2.5) + 1e-3 if n > 2 else np.inf  # the idf of a term of two documents
+        draw = -np.log(np.random.default_rng(4).random(TERMS)) / np.maximum(idf, 1e-6).astype(np.float64) ** RARE
+        self.drawn = np.empty(TERMS, np.int64)
+        self.drawn[np.argsort(np.where(idf <= shared, draw, np.inf), kind="stable")] = np.arange(TERMS)
+        self.drawn[idf > shared] = TERMS
         # a leaf is made from enough documents of the sample to halve the corpus as it halves them
         fine = max(1, len(sample) // LEAF).bit_length() - 1
         self.depth = min(DEPTH, fine, max(0, -(-n // shard_docs) - 1).bit_length())
@@ -118,8 +122,8 @@ class Slots:
         held = np.bincount(leaf, minlength=1 << self.depth)
         self.slots = np.maximum(1, np.rint(held * (n / shard_docs / max(1, len(sample)))).astype(np.int64))
         self.first = np.cumsum(self.slots) - self.slots
-        keys, often = np.unique([self.minhash(t) for t in terms] or [0], return_counts=True)
-        self.hot = frozenset(keys[often >= HOT].tolist()) if self.slots.max() > 1 else frozenset()
+        keys, often = np.unique(self.minhashes(terms), return_counts=True)
+        self.hot = frozenset([TERMS, *keys[often >= HOT].tolist()])
 
     def _vectors(self, terms: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(document, dimension, weight) of the documents' terms; each document has length one."""
@@ -153,20 +157,18 @@ class Slots:
                 node = 2 * node + 1 + (at > self.limits[node])
         return node - len(self.limits)
 
-    def minhash(self, terms: np.ndarray) -> int:
-        """MinHash of the rarest terms that other documents have as well."""
-        idf = self.idf[terms]
-        terms, idf = terms[idf <= self.shared], idf[idf <= self.shared]
-        if len(terms) > RAREST:
-            terms = terms[np.argsort(-idf, kind="stable")[:RAREST]]
-        return int(((terms * _MULTIPLY) & _MASK).min(initial=_MASK))
+    def minhashes(self, terms: list[np.ndarray]) -> np.ndarray:
+        """Of each document the first of its terms in the drawn order (``TERMS`` if it shares none)."""
+        starts = np.cumsum([0, *(len(t) for t in terms[:-1])])
+        drawn = np.append(self.drawn[np.concatenate([np.zeros(0, np.int64), *terms])], TERMS)
+        least = np.minimum.reduceat(drawn, starts) if len(terms) else np.zeros(0, np.int64)
+        return np.where([len(t) > 0 for t in terms], least, TERMS)
 
     def of(self, doc_ids: list, terms: list[np.ndarray], counts: list[np.ndarray]) -> list[int]:
         out = []
-        for doc_id, term, leaf in zip(doc_ids, terms, self._leaves(terms, counts).tolist(), strict=True):
+        for doc_id, key, leaf in zip(doc_ids, self.minhashes(terms).tolist(), self._leaves(terms, counts).tolist(), strict=True):
             slot, n = int(self.first[leaf]), int(self.slots[leaf])
             if n > 1:
-                key = self.minhash(term)
                 slot += xxhash.xxh64_intdigest(str(doc_id if key in self.hot else key)) % n
             out.append(slot)
         return out
