@@ -142,6 +142,15 @@ def _merged(owner: np.ndarray, first: np.ndarray, last: np.ndarray):
     return owner[at], first[at], far[np.append(at[1:], len(owner)) - 1]
 
 
+def _within(doc, at, n, to, kh, sh):
+    """The runs without those whose bytes stand earlier in the same text, and these as intervals of starts."""
+    order = np.lexsort((at, doc, sh, kh))
+    doc, at, n, to, kh, sh = (c[order] for c in (doc, at, n, to, kh, sh))
+    again = np.zeros(len(doc), bool)
+    again[1:] = (doc[1:] == doc[:-1]) & (sh[1:] == sh[:-1]) & (kh[1:] == kh[:-1])
+    return tuple(c[~again] for c in (doc, at, n, to, kh, sh)), _merged(doc[again], at[again], (at + n)[again])
+
+
 def _rows(length: int, gram: int, block_bytes: int, piece_bytes: int):
     def block(keys: list[tuple], texts: list[bytes]):
         none, ids, th = (np.array(c) for c in zip(*keys, strict=True))
@@ -149,11 +158,15 @@ def _rows(length: int, gram: int, block_bytes: int, piece_bytes: int):
         rank = np.empty(len(order), np.int64)
         changes = [(c[order][1:] != c[order][:-1]) for c in (none, ids, th)]
         rank[order] = np.concatenate([[0], np.cumsum(np.logical_or.reduce(changes))])
-        found = []
+        found, repeated = [], []
         for pieces in _cut(texts, length, piece_bytes):
             piece, *rest = runs([p for _, _, p in pieces], length, gram)
             number, offset = np.array([p[0] for p in pieces]), np.array([p[1] for p in pieces])
-            found.append((number[piece], rest[0] + offset[piece], *rest[1:]))
+            rows = (number[piece], rest[0] + offset[piece], *rest[1:])
+            if 8 * len(piece) > sum(len(p) for _, _, p in pieces):  # a text that repeats itself has a run for nearly every byte
+                rows, more = _within(*rows)
+                repeated.append(more)
+            found.append(rows)
         doc, at, n, to, kh, sh = (np.concatenate(c) for c in zip(*found, strict=True))
         if not len(doc):
             return
@@ -165,7 +178,8 @@ def _rows(length: int, gram: int, block_bytes: int, piece_bytes: int):
         first = np.flatnonzero(new)
         leader = first[np.cumsum(new) - 1]
         again = ~new & ((rank[doc] != rank[doc[leader]]) | (at != at[leader]))
-        owner, start, stop = _merged(doc[again], at[again], (at + n)[again])
+        again = zip((doc[again], at[again], (at + n)[again]), *repeated, strict=True)
+        owner, start, stop = _merged(*(np.concatenate(c) for c in again))
         nothing = np.zeros(len(owner), np.int64)
         yield _batch(_REPEAT, nothing, nothing, (none[owner], ids[owner], th[owner]), start, stop - start, nothing)
         # two kinds of a frequent gram show the others that it has several; the rest need no comparison
