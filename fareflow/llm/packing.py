@@ -46,6 +46,7 @@ DIMENSIONS, DEPTH = 1 << 12, 8
 RARE = 8  # power of the idf by which a term is drawn for the MinHash
 LEAF = 64  # documents of the sample in a leaf of the tree
 HOT = 4  # a MinHash that so many documents of the sample share is parted by doc_id
+BATCH = 1 << 20  # bytes of text cut at once
 _DOCS, _WORDS = TERMS, TERMS + 1  # two more numbers in the statistics
 
 
@@ -64,7 +65,7 @@ def corpus_statistics(docs: DataFrame) -> tuple[np.ndarray, float, int]:
     def counted(batches):
         seen = np.zeros(TERMS + 2, np.int64)
         for batch in parts(batches):
-            for first, last, raw in batches_of(texts(batch)):
+            for first, last, raw in batches_of(texts(batch), BATCH):
                 terms, counts, _ = _term_counts(units(raw))
                 seen[:TERMS] += np.bincount(terms, minlength=TERMS)
                 seen[_DOCS] += last - first
@@ -83,7 +84,7 @@ def _sample(docs: DataFrame, n: int) -> list[tuple[np.ndarray, np.ndarray]]:
     """Terms and counts of about ``SAMPLE`` documents, chosen by their hash."""
     def run(batches):
         for batch in parts(batches):
-            for _, _, raw in batches_of(texts(batch)):
+            for _, _, raw in batches_of(texts(batch), BATCH):
                 terms, counts, bounds = _term_counts(units(raw))
                 some = list(zip(bounds, bounds[1:]))
                 yield pa.RecordBatch.from_arrays([pa.array([x[i:j].tobytes() for i, j in some], pa.binary()) for x in (terms, counts)], ["t", "c"])
@@ -275,7 +276,7 @@ def _encoded(batches: Iterator[pa.RecordBatch], slots: Slots, tokenizer: str, en
             terms.extend(term[i:j] for i, j in zip(bounds, bounds[1:]))  # noqa: B023
             counts.extend(count[i:j] for i, j in zip(bounds, bounds[1:]))  # noqa: B023
 
-        ids = [np.concatenate([own, end]) for own in encoder.all_ids(texts(batch), seen)]
+        ids = [np.concatenate([own, end]) for own in encoder.all_ids(texts(batch), seen, BATCH)]
         doc_ids = batch.column("doc_id").to_pylist()
         yield pa.RecordBatch.from_arrays(
             [pa.array(doc_ids, pa.int64()), pa.array(slots.of(doc_ids, terms, counts), pa.int32()),

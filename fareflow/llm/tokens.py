@@ -151,15 +151,15 @@ class TextIds:
             return self._library(text)
         return b"".join(map(self.words.__getitem__, self.split(text)))
 
-    def all_ids(self, texts: list[str], seen=None) -> list[np.ndarray]:
-        """``ids`` of many texts, as arrays of unsigned 32-bit integers.
+    def all_ids(self, texts: list[str], seen=None, most_bytes: int = 4 << 20) -> list[np.ndarray]:
+        """``ids`` of many texts, as arrays of unsigned 32-bit integers, cut in batches of ``most_bytes``.
 
         With the word-end cut, a text that is not ``odd_texts`` is cut into exactly
         the units of ``words.units``; the ids of a unit are looked up once per batch.  ``seen``
         is called with (first text, units) of every batch.
         """
         out: list[np.ndarray] = []
-        for first, last, raw in batches_of(texts):
+        for first, last, raw in batches_of(texts, most_bytes):
             if self.kind == "word_end" or seen:
                 cut = units(raw)
                 if seen:
