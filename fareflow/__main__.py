@@ -3,7 +3,8 @@
 ``--landing`` holds the six landing tables, one folder of Parquet files each, named like the table
 (``trips_raw``, ...); ``--sf-dir`` derives them from the test data.
 
-run        full run of the model graph into ``--warehouse`` (views, tables, fact merge, reports)
+run        full run of the model graph into ``--warehouse`` (views, tables, fact merge, reports); with
+           ``--measure`` staging is stored too and the data-quality rules are measured meanwhile
 report     print a stored report (``--report NAME``) in its published order
 snapshot   update the type-2 history of the driver and rider dimensions
 test       the declared data-quality rules; exit code 1 when a rule fails
@@ -17,6 +18,14 @@ import datetime as dt
 import sys
 
 
+def _report(rules) -> int:
+    """Print the rule results; 1 if one failed."""
+    rows = rules.collect()
+    for r in rows:
+        print(f"{r['status'].upper():5} {r['rule']:16} {r['table']}.{r['column']}  violations={r['violations']}")
+    return 1 if any(r["status"] != "pass" for r in rows) else 0
+
+
 def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="fareflow")
     ap.add_argument("command", choices=["run", "report", "snapshot", "test", "freshness"])
@@ -27,6 +36,7 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--warehouse", help="output folder (shared storage on a cluster)")
     ap.add_argument("--as-of", help="evaluation date YYYY-MM-DD (default 2001-08-02)")
     ap.add_argument("--master", default=None)
+    ap.add_argument("--measure", action="store_true", help="run: measure the data-quality rules while the tables are written")
     ap.add_argument("--tune", action="store_true", help="size shuffles and splits from the input size")
     args = ap.parse_args(argv)
 
@@ -51,19 +61,17 @@ def main(argv: list[str] | None = None) -> int:
         read_report(spark, args.warehouse, args.report).show(100, truncate=False)
         return 0
     if args.command == "run":
-        for name, path in materialize(m, args.warehouse).items():
+        paths, rules = materialize(m, args.warehouse, True) if args.measure else (materialize(m, args.warehouse), None)
+        for name, path in paths.items():
             print(f"{name}\t{path}")
-        return 0
+        return _report(rules) if rules is not None else 0
     if args.command == "snapshot":
         from fareflow.plans.history import snapshot
         for name, path in snapshot(m, args.warehouse).items():
             print(f"{name}\t{path}")
         return 0
     if args.command == "test":
-        rows = quality_checks.dq_summary(m).collect()
-        for r in rows:
-            print(f"{r['status'].upper():5} {r['rule']:16} {r['table']}.{r['column']}  violations={r['violations']}")
-        return 1 if any(r["status"] != "pass" for r in rows) else 0
+        return _report(quality_checks.dq_summary(m))
     rows = quality_checks.dq_freshness(m).collect()
     for r in rows:
         print(f"{r['status']:14} {r['table']:26} max={r['max_loaded_at']} age_min={r['age_minutes']}")

@@ -59,3 +59,12 @@ def test_null_predicates_are_no_violations(spark):
     measures = Measures()
     measures.watch(spark.createDataFrame([(None,), (1,), (-1,)], "v int"), "t", [("negative", "*", F.col("v") < 0)]).collect()
     assert [tuple(r) for r in measures.rows(spark).collect()] == [("t", "negative", "*", 1, "fail")]
+
+
+def test_cli_run_measures(spark, capsys):
+    from fareflow.__main__ import main
+
+    code = main(["run", "--sf-dir", SF, "--warehouse", tempfile.mkdtemp(prefix="fareflow-measured-"), "--measure"])
+    out = capsys.readouterr().out
+    assert code == 1  # the raw test data violates declared rules
+    assert "daily_revenue\t" in out and "FAIL  not_null" in out and "PASS  unique" in out
