@@ -285,6 +285,9 @@ def _encoded(batches: Iterator[pa.RecordBatch], slots: Slots, tokenizer: str, en
 
 
 def _packed(batches: Iterator[pa.RecordBatch], idf: np.ndarray, mean: float, window: int, shard_docs: int, shard_ids: int):
+    # the tables of the tasks before, which tokenized in this worker, are not needed any more
+    text_ids.cache_clear()
+    pa.default_memory_pool().release_unused()
     sequence0, last = partition_id() << 33, None
     doc_ids, ids, terms, counts, size = [], [], [], [], 0
 
