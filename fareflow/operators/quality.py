@@ -63,6 +63,31 @@ def check_relationship(child: DataFrame, table: str, column: str, parent: DataFr
         *_result(table, "relationships", column, F.col("_v")))
 
 
+def check_relationships(child: DataFrame, table: str, references: Sequence[tuple[str, DataFrame, str]]) -> DataFrame:
+    """``check_relationship`` for several (column, parent, parent column), the child read once.
+
+    Each row is counted under all its references at once (in each map task), and the keys of all parents
+    meet them in one anti join; a reference has a slot of its own."""
+    types = {child.schema[column].dataType for column, _, _ in references} | {parent.schema[of].dataType for _, parent, of in references}
+
+    def value(column: str) -> Column:
+        return F.col(column) if len(types) == 1 else F.col(column).cast("string")
+
+    slots = F.array(*[F.struct(F.lit(i).alias("_slot"), value(column).alias("_key")) for i, (column, _, _) in enumerate(references)])
+    keys = (child.select(F.explode(slots).alias("_of")).select("_of.*").where(F.col("_key").isNotNull())
+            .groupBy("_slot", "_key").agg(F.count(F.lit(1)).alias("_n")))
+    known = [parent.select(F.lit(i).alias("_slot"), value(of).alias("_key")) for i, (_, parent, of) in enumerate(references)]
+    parents = known[0]
+    for more in known[1:]:
+        parents = parents.unionByName(more)
+    bad = keys.join(parents, ["_slot", "_key"], "left_anti").groupBy("_slot").agg(F.sum("_n").alias("_v"))
+    rules = child.sparkSession.range(1).select(F.posexplode(F.array(*[F.lit(column) for column, _, _ in references])).alias("_slot", "column"))
+    v = F.coalesce("_v", F.lit(0)).cast("bigint")
+    return rules.join(bad, "_slot", "left").select(
+        F.lit(table).alias("table"), F.lit("relationships").alias("rule"), "column", v.alias("violations"),
+        F.when(v == 0, "pass").otherwise("fail").alias("status"))
+
+
 def check_expr(df: DataFrame, table: str, name: str, violating: Column) -> DataFrame:
     """Q5: rows matching a violation predicate."""
     return df.agg(F.count_if(F.coalesce(violating, F.lit(False))).alias("_v")).select(

@@ -45,6 +45,10 @@ class Models:
             self._cache[name] = df
         return self._cache[name]
 
+    def lean(self) -> "LeanModels":
+        """The same models for a query that reads few columns of the fact."""
+        return LeanModels(self)
+
     def free(self) -> None:
         """Drop the kept copies; a later use computes the model again."""
         for df in self._cache.values():
@@ -56,6 +60,23 @@ class Models:
         return self[name]
 
 
+class LeanModels(Models):
+    """The graph of a query that reads few columns of the fact: what stands between staging and these columns
+    is not kept whole but pruned by Catalyst to what the query reads.  Copies that are kept already are
+    used, and all other models are those of the whole graph."""
+
+    def __init__(self, models: Models):
+        super().__init__(models.spark, models.raw, models.config)
+        self._whole = models
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in PRUNED or name in self._whole._cache:
+            return self._whole[name]
+        if name not in self._cache:
+            self._cache[name] = BUILDERS[name](self)
+        return self._cache[name]
+
+
 # Models read by several downstream models in one run: computed once and kept
 # (the table layer of the model graph).  A persisted block lost with its
 # executor is recomputed from lineage.
@@ -64,6 +85,9 @@ SHARED = {"stg_trips", "stg_payments", "stg_drivers", "stg_riders", "stg_cities"
           # hot-key sets: at most max_keys rows each, read by several joins
           "trip_hot_keys", "driver_hot_keys", "rider_hot_keys"}
 
+# Of these, the wide ones that a lean graph prunes instead of keeping them whole.
+PRUNED = {"stg_payments", "trip_grain", "fact_trips"}
+
 
 def _keep(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)

@@ -50,14 +50,13 @@ def dq_accepted(m) -> DataFrame:
 
 def dq_relationships(m) -> DataFrame:
     """Q4: references between staged models and from the fact to its dimensions."""
+    lean = m.lean()
     return _union([
-        Q.check_relationship(m.stg_trips, "stg_trips", "driver_id", m.stg_drivers, "driver_id"),
-        Q.check_relationship(m.stg_trips, "stg_trips", "rider_id", m.stg_riders, "rider_id"),
-        Q.check_relationship(m.stg_trips, "stg_trips", "city_id", m.stg_cities, "city_id"),
-        Q.check_relationship(m.stg_payments, "stg_payments", "trip_id", m.stg_trips, "trip_id"),
-        Q.check_relationship(m.fact_trips, "fact_trips", "driver_sk", m.dim_drivers, "driver_sk"),
-        Q.check_relationship(m.fact_trips, "fact_trips", "rider_sk", m.dim_riders, "rider_sk"),
-        Q.check_relationship(m.fact_trips, "fact_trips", "city_sk", m.dim_cities, "city_sk"),
+        Q.check_relationships(m.stg_trips, "stg_trips", [("driver_id", m.stg_drivers, "driver_id"), ("rider_id", m.stg_riders, "rider_id"),
+                                                         ("city_id", m.stg_cities, "city_id")]),
+        Q.check_relationship(lean.stg_payments, "stg_payments", "trip_id", m.stg_trips, "trip_id"),
+        Q.check_relationships(lean.fact_trips, "fact_trips", [("driver_sk", m.dim_drivers, "driver_sk"), ("rider_sk", m.dim_riders, "rider_sk"),
+                                                              ("city_sk", m.dim_cities, "city_sk")]),
     ])
 
 

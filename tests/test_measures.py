@@ -68,3 +68,19 @@ def test_cli_run_measures(spark, capsys):
     out = capsys.readouterr().out
     assert code == 1  # the raw test data violates declared rules
     assert "daily_revenue\t" in out and "FAIL  not_null" in out and "PASS  unique" in out
+
+
+def test_references_of_a_table_are_counted_in_one_pass(spark):
+    """Several references of a child give the rows of one check each, with nulls and keys of two types, from one scan."""
+    from fareflow.operators.quality import check_relationship, check_relationships
+
+    path = tempfile.mkdtemp(prefix="fareflow-references-") + "/child"
+    spark.createDataFrame([(1, 7, "x"), (1, None, "y"), (2, 8, None), (3, 7, "z"), (None, 9, "z")], "a long, b int, c string").write.parquet(path)
+    child = spark.read.parquet(path)
+    parents = [("a", spark.createDataFrame([(1,), (1,), (None,)], "k long"), "k"), ("b", spark.createDataFrame([(7,)], "k int"), "k"),
+               ("c", spark.createDataFrame([("x",), ("y",), ("z",)], "k string"), "k")]
+    got = check_relationships(child, "t", parents)
+    each = [tuple(check_relationship(child, "t", *p).first()) for p in parents]
+    assert sorted(map(tuple, got.collect())) == sorted(each) == [("t", "relationships", "a", 2, "fail"), ("t", "relationships", "b", 2, "fail"),
+                                                                 ("t", "relationships", "c", 0, "pass")]
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 1
