@@ -120,7 +120,7 @@ def fact_versions_asof(m) -> DataFrame:
         done = history_versions(m.spark, path)
         store_history(m.spark, scd2_apply(stored_history(m.spark, path), current, "driver_id", DRIVER_TRACKED, start)
                       if done else scd2_init(current, start), path)
-    trips = m.trip_grain.select("trip_id", "driver_id", "requested_at")
+    trips = m.lean().trip_grain.select("trip_id", "driver_id", "requested_at")
     return as_of_join(trips, stored_history(m.spark, path), "driver_id", "requested_at", DRIVER_TRACKED)
 
 
