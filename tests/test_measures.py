@@ -84,3 +84,18 @@ def test_references_of_a_table_are_counted_in_one_pass(spark):
     assert sorted(map(tuple, got.collect())) == sorted(each) == [("t", "relationships", "a", 2, "fail"), ("t", "relationships", "b", 2, "fail"),
                                                                  ("t", "relationships", "c", 0, "pass")]
     assert got._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 1
+
+
+def test_queries_of_few_fact_columns_keep_no_wide_copy(spark):
+    """The fact's references, merge key and reports over a few of its columns neither keep nor read the whole fact."""
+    from fareflow.plans.history import fact_versions_asof
+    from fareflow.plans.operator_queries import top10_per_city
+    from fareflow.plans.quality_checks import dq_relationships
+
+    m = Models.from_testdata(spark, SF)
+    for query in (dq_relationships, top10_per_city, fact_versions_asof):
+        query(m)
+        assert not {"stg_payments", "trip_grain", "fact_trips"} & set(m._cache), query.__name__
+    whole = m.fact_trips
+    assert m.lean().fact_trips is whole  # a kept copy is used
+    m.free()
