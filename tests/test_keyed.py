@@ -143,3 +143,17 @@ def test_stale_trips_in_any_order(spark):
             S.fact_stream(spark, S.read_stream(spark, f"{folder}/part*", "*.parquet", orders.schema), m, folder + "/fact")
         got = spark.read.parquet(folder + "/fact").select("trip_id", "updated_at", "trip_date", "gross_revenue", "trip_status")
         assert sorted(map(repr, got.collect())) == want
+
+
+def test_only_keys_are_looked_up_where_every_row_counts(spark, path, monkeypatch):
+    """Without versions, and in a first merge, the rows themselves go into no join before they are written."""
+    seen = []
+    for name in ("write_partitioned", "replace_rows"):
+        def spy(*args, _own=getattr(keyed, name), _rows=0 if name == "write_partitioned" else 3):
+            seen.append(args[_rows]._jdf.queryExecution().analyzed().toString())
+            return _own(*args)
+        monkeypatch.setattr(keyed, name, spy)
+    merge(spark, path, [("a", 5, 1, 50, False), ("b", 1, 1, 10, False)], version=None)
+    merge(spark, path, [("a", 2, 2, 20, False), ("b", None, 2, 30, True), ("c", 3, 1, 1, False)], version=None)
+    assert table(spark, path) == [("a", 2, 2, 20), ("c", 3, 1, 1)]
+    assert len(seen) == 2 and not any("Join" in plan for plan in seen)
