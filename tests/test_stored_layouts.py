@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from fareflow.operators.distinct import distinct_sketches, exact_counts, merged_counts, standard_error
 from fareflow.operators.incremental import shared_table_path
-from fareflow.plans import intermediate
+from fareflow.plans import intermediate, operator_queries
 from fareflow.plans.operator_queries import bucketed_trip_tables
 from fareflow.plans.pipeline import Models
 from fareflow.sources.sinks import write_bucketed
@@ -89,3 +89,12 @@ def test_a_micro_batch_opens_the_files_of_its_trips_only(spark):
     assert sorted(map(repr, own_payments(payments, trips).collect())) == want
     with pytest.raises(Exception, match="not a Parquet file|FAILED_READ_FILE"):
         payments.count()
+
+
+def test_staging_views_read_the_kept_staging(spark):
+    """After a full run the staging views read what the run read: nothing is deduplicated a second time."""
+    m = Models.from_testdata(spark, SF)
+    views = operator_queries.staging_views(m)
+    plan = views._jdf.queryExecution().withCachedData().toString()
+    assert plan.count("InMemoryRelation") == 2 and "Window" not in plan.split("InMemoryRelation")[0]
+    m.free()
