@@ -47,6 +47,8 @@ RARE = 8  # power of the idf by which a term is drawn for the MinHash
 LEAF = 64  # documents of the sample in a leaf of the tree
 HOT = 4  # a MinHash that so many documents of the sample share is parted by doc_id
 BATCH = 1 << 20  # bytes of text cut at once
+FIRST = 32  # neighbours of a seed sorted before the others
+COMMON = 4  # a term of more than this part of a shard's documents has a row of weights
 _DOCS, _WORDS = TERMS, TERMS + 1  # two more numbers in the statistics
 
 
@@ -176,19 +178,25 @@ class Slots:
 
 
 class Shard:
-    """Inverted BM25 lists over the documents of one shard."""
+    """Inverted BM25 lists over the documents of one shard; a term of over a ``1 / COMMON`` of them has a row of weights instead."""
 
     def __init__(self, terms: list[np.ndarray], counts: list[np.ndarray], idf: np.ndarray, mean: float):
         self.unused = np.ones(len(terms), bool)
         lengths = np.array([c.sum() for c in counts], np.float32)
         sizes = np.array([len(t) for t in terms])
-        doc = np.repeat(np.arange(len(terms), dtype=np.int32), sizes)
+        doc = np.repeat(np.arange(len(terms)), sizes)
         tf = np.concatenate(counts).astype(np.float32)
-        names, term = np.unique(np.concatenate(terms), return_inverse=True)
+        names, term, held = np.unique(np.concatenate(terms), return_inverse=True, return_counts=True)
         weight = idf[names][term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * lengths[doc] / mean))
         self.own = np.split(term, np.cumsum(sizes)[:-1])
-        by_term = np.argsort(term, kind="stable")
-        self.term, self.doc, self.weight = term[by_term], doc[by_term], weight[by_term]
+        common = COMMON * held > len(terms)
+        self.row = np.where(common, np.cumsum(common) - 1, -1)  # of each term
+        self.rows = np.zeros((int(common.sum()), len(terms)), np.float32)
+        far = common[term]
+        self.rows[self.row[term[far]], doc[far]] = weight[far]
+        doc, term, weight = doc[~far], term[~far], weight[~far]
+        by_term = np.argsort(term.astype(np.uint16) if len(names) <= 1 << 16 else term, kind="stable")  # a radix sort of the shorter
+        self.term, self.doc, self.weight = term[by_term], doc[by_term], weight[by_term].astype(np.float64)  # as bincount takes them
         self.left = self.indexed = len(terms)
         self._bounds(len(names))
 
@@ -204,15 +212,23 @@ class Shard:
             self._bounds(len(self.bounds) - 1)
             self.indexed = self.left
 
-    def neighbours(self, seed: int) -> np.ndarray:
-        """All unused documents, best score first, ties in shard order."""
-        starts, ends = self.bounds[self.own[seed]], self.bounds[self.own[seed] + 1]
+    def neighbours(self, seed: int) -> Iterator[int]:
+        """All unused documents, best score first, ties in shard order.  A window takes few: those are sorted first."""
+        own = self.own[seed]
+        row = self.row[own]
+        own = own[row < 0]
+        starts, ends = self.bounds[own], self.bounds[own + 1]
         sizes = ends - starts
         total = int(sizes.sum())
         at = np.arange(total) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
-        scores = np.bincount(self.doc[at], self.weight[at], len(self.unused))
+        scores = np.bincount(self.doc[at], self.weight[at], len(self.unused)) + self.rows[row[row >= 0]].sum(0, np.float64)
         some = np.flatnonzero(self.unused)
-        return some[np.argsort(-scores[some], kind="stable")]
+        behind = -scores[some]
+        if len(some) > 4 * FIRST:
+            best = behind <= np.partition(behind, FIRST)[FIRST]
+            yield from some[best][np.argsort(behind[best], kind="stable")].tolist()
+            some, behind = some[~best], behind[~best]
+        yield from some[np.argsort(behind, kind="stable")].tolist()
 
 
 def retrieval_order(lengths: list[int], window: int, shard) -> list[int]:
@@ -224,7 +240,7 @@ def retrieval_order(lengths: list[int], window: int, shard) -> list[int]:
     order, seed, at = [0], 0, lengths[0]
     shard.use(0)
     while shard.left:
-        for doc in shard.neighbours(seed).tolist():
+        for doc in shard.neighbours(seed):
             shard.use(doc)
             order.append(doc)
             full, at = at // window < (at + lengths[doc]) // window, at + lengths[doc]

@@ -16,11 +16,11 @@ from fareflow.llm.common import tokenizer_file
 from fareflow.llm.decontaminate import ContainmentIndex, contained_items, drop_contaminated, shingles
 from fareflow.llm.licenses import license_matches, scan
 from fareflow.llm.line_dedup import drop_boilerplate
-from fareflow.llm.packing import Slots, layout, pack_documents
+from fareflow.llm.packing import FIRST, K1, B, Shard, Slots, layout, pack_documents
 from fareflow.llm.simhash_dedup import drop_near_duplicates, fingerprint, fuzzy_keys, near_duplicates, spanning_links
 from fareflow.llm.token_counts import token_counts
 from fareflow.llm.token_files import decode, encode, read_token_files, write_token_files
-from fareflow.llm.tokens import pre_tokens, text_ids
+from fareflow.llm.tokens import TextIds, UnitTable, pre_tokens, text_ids
 from fareflow.llm.topk_search import top_k
 from fareflow.operators.incremental import shared_table_path
 
@@ -135,6 +135,36 @@ def test_packing_covers_every_id_once(spark, odd, empty):
     assert pack_documents(empty).count() == 0
 
 
+def test_unit_table_keeps_short_units_in_fixed_memory():
+    words = [a + b + c for a in "bdfg" for b in "aeiou" for c in "klmnprst"]
+    texts = random_texts(500) + ODD + [" ".join(words), " ".join(reversed(words)), "x" * 40 + " 1234 " + "é" * 12]
+    encoder, word = TextIds(WORD), library(WORD)
+    for bits in (1, 4, 12):  # few slots: units drive one another out
+        encoder.table = UnitTable(bits)
+        for _ in range(2):
+            assert [x.tolist() for x in encoder.all_ids(texts, most_bytes=100)] == [word(t) for t in texts]
+    assert not encoder.units.keys() & {w.encode() for w in words}
+
+
+def test_neighbours_are_sorted_by_score_in_parts():
+    pick = np.random.default_rng(5)
+    terms = [np.unique(pick.integers(0, 60, pick.integers(0, 30))) for _ in range(4 * FIRST + 40)]
+    counts = [pick.integers(1, 4, len(t)) for t in terms]
+    idf, n = pick.random(60).astype(np.float32), len(terms)
+    shard, mean = Shard(terms, counts, idf, 20.0), np.float32(20.0)
+    assert 0 < len(shard.rows) and len(shard.term)  # terms of many documents and of few
+    scores = np.zeros(n)
+    for doc, (t, c) in enumerate(zip(terms, counts, strict=True)):
+        tf = c.astype(np.float32)
+        weight = idf[t] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * np.float32(c.sum()) / mean))
+        scores[doc] = weight[np.isin(t, terms[3])].sum(dtype=np.float64)
+    for doc in (0, 3, 7):
+        shard.use(doc)
+    got = list(shard.neighbours(3))
+    assert sorted(got) == [d for d in range(n) if d not in (0, 3, 7)]
+    assert (np.diff(scores[got]) < 1e-5).all()
+
+
 def test_packing_puts_lexical_neighbours_together(spark):
     texts = [f"{'apple pear plum' if n % 2 else 'steel iron copper'} word{n}" for n in range(8)]
     got = pack_documents(spark.createDataFrame(rows_of(texts), DOCS).coalesce(1), window=16).collect()
