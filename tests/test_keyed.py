@@ -157,3 +157,12 @@ def test_only_keys_are_looked_up_where_every_row_counts(spark, path, monkeypatch
     merge(spark, path, [("a", 2, 2, 20, False), ("b", None, 2, 30, True), ("c", 3, 1, 1, False)], version=None)
     assert table(spark, path) == [("a", 2, 2, 20), ("c", 3, 1, 1)]
     assert len(seen) == 2 and not any("Join" in plan for plan in seen)
+
+
+def test_index_is_written_without_a_shuffle_of_its_own(spark, path):
+    """A bucket of the index is written by all tasks that have rows of it, not by one."""
+    rows = spark.range(0, 400, 1, 4).selectExpr("id AS k", "date_add(DATE'2020-01-01', CAST(id % 3 AS INT)) AS d", "id AS v")
+    keyed.merge_keyed(spark, path, rows, "k", "d")
+    index = spark.read.parquet(keyed.index_path(spark, path))
+    assert index.where("_bucket = 0").count() == index.select("k").distinct().count() == 400
+    assert len(index.inputFiles()) == 4
