@@ -4,11 +4,12 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
 from fareflow.llm import suffix_dedup
-from fareflow.llm.suffix_dedup import multikey_order, runs, without_repeats
+from fareflow.llm.suffix_dedup import _resolve, multikey_order, runs, without_repeats
 
 DOCS = "doc_id long, text string, id long, none string, at int"
 
@@ -107,3 +108,17 @@ def test_runs_cover_every_start_and_depend_on_content_only():
         for i in range(m + 1):  # equal strings choose the gram at the same place
             assert 0 <= t - i <= 22
             assert place.setdefault(pieces[p][a + i:a + i + 30], t - i) == t - i
+
+
+def test_rows_of_a_hot_gram_grow_with_the_group():
+    """Every run of a gram that many pieces share sends each of its strings at most once: rows in proportion, no pairs."""
+    made = {}
+    for n in (3000, 6000, 12000):
+        pick = np.random.default_rng(7)
+        before = [pick.integers(97, 123, 76, dtype=np.uint8).tobytes() for _ in range(n)]
+        suffix = [b"g" * 24 + pick.integers(97, 123, 76, dtype=np.uint8).tobytes() for _ in range(n)]
+        batch = pa.RecordBatch.from_arrays([pa.array(suffix, pa.binary()), pa.array(before, pa.binary()), pa.array([False] * n), pa.array(range(n)),
+                                            pa.array([0] * n), pa.array([0] * n, pa.int32())], ["suffix", "before", "none", "id", "th", "at"])
+        made[n] = sum(b.num_rows for b in _resolve(100, 24)([batch]))
+        assert made[n] == 77 * n  # no two strings are equal: one row for each place of the gram
+    assert made[12000] == 2 * made[6000] == 4 * made[3000]
