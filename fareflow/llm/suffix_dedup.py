@@ -11,11 +11,14 @@ mostly share their gram; a run of string starts with one gram is a row (about on
 2. ``_sift``: sorted by gram and bytes (64-bit hashes of each), runs with the same bytes as an earlier one are
    repeats, and grams that stand in one kind of run only are done.  What is left are the ends of
    repeated passages: the first run of each kind, where a gram has several kinds.
-3. These suffixes, with the bytes before them, are range-partitioned by their leading bytes with Spark's
-   sampled splitters (and by position, so that a frequent gram is spread).  ``_resolve`` sorts
-   a bucket's suffixes, and the bytes before them from right to left, by multikey quicksort; the
-   common prefixes of neighbours tell for every place of the gram which strings are equal.
-4. Strings of a gram that lies on a bucket's (or piece's) boundary are compared across boundaries
+3. These suffixes, with the bytes before them, are range-partitioned by their bytes with Spark's
+   sampled splitters (and by position, so that frequent bytes are spread).  A run is parted where its gram
+   comes into the string's second half: of a string with the gram in the first half more than half lies
+   behind it, so these runs are ordered by that part and then by the bytes before, the others
+   the other way round.  Strings that share the longer part and all bytes on the other side are then neighbours.
+   ``_resolve`` sorts a bucket's suffixes, and the bytes before them from right to left, by
+   multikey quicksort; the common prefixes of neighbours tell for every place of the gram which strings are equal.
+4. Strings whose neighbours go on beyond a bucket's (or piece's) boundary are compared across boundaries
    by their bytes; each piece sends the first of equal strings only.
 5. The removed starts return to the texts.
 
@@ -29,7 +32,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fareflow.llm.common import parts, stored
@@ -280,21 +283,37 @@ def _matrix(values: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
 _RESOLVED = f"window binary, {_KEY_TYPES}, at int, n int"
 
 
+def _half(length: int, gram: int) -> int:
+    """The gram's last place in a string that counts as the first half."""
+    return (length - gram) // 2
+
+
+def _shared(rows: np.ndarray, sizes: np.ndarray, with_: int) -> np.ndarray:
+    """The common prefix of each row with the row ``with_``."""
+    differs = rows != rows[with_]
+    return np.minimum(np.where(differs.any(1), differs.argmax(1), rows.shape[1]), np.minimum(sizes, sizes[with_]))
+
+
 def _resolve(length: int, gram: int):
-    """Suffixes sorted by leading gram and position: string starts to remove, and the strings of grams that
-    go on beyond the piece (``window``), to be compared with those of other pieces."""
-    most = length - gram  # the gram's last place in a string
+    """Suffixes and the reversed bytes before them in the order of ``_order``: string starts to remove, and the strings
+    that may go on beyond the piece (``window``), to be compared with those of other pieces."""
+    most, half = length - gram, _half(length, gram)  # most: the gram's last place in a string
 
     def piece(before: list[bytes], suffix: list[bytes], key: list[np.ndarray], at: np.ndarray):
-        left, left_size = _matrix([b[::-1] for b in before], most)
+        by_position = np.lexsort((at + np.array([len(b) for b in before]), *key[::-1]))
+        edges = np.flatnonzero((by_position == 0) | (by_position == len(at) - 1)).tolist()  # the piece's first and last row
+        before, suffix = [before[i] for i in by_position], [suffix[i] for i in by_position]
+        key, at = [k[by_position] for k in key], at[by_position]
+        left, left_size = _matrix(before, most)
         right, right_size = _matrix(suffix, length)
         low, high = length - right_size, left_size  # places of the gram in the row's strings
         place = at + left_size  # of the gram in its text
-        same = np.concatenate([[False], (right[1:, :gram] == right[:-1, :gram]).all(1)])
-        group = np.cumsum(~same)
-        position = np.concatenate([[0], np.cumsum(np.logical_or.reduce(
-            [~same[1:], place[1:] != place[:-1], *(k[1:] != k[:-1] for k in key)]))])
-        beyond = (group == group[0]) | (group == group[-1])
+        side = np.where(high <= half, 1, np.where(low > half, 2, 0))  # 0: runs that are not parted, ordered by gram only
+        near = []  # rows with an edge's order, and bytes that their strings share with the edge on the other side
+        for e in edges:
+            behind, before_ = _shared(right, right_size, e), _shared(left, left_size, e)
+            near.append(((side == side[e]) & [behind >= gram, behind >= length - half, before_ > half][side[e]], side[e], behind, before_))
+        position = np.concatenate([[0], np.cumsum(np.logical_or.reduce([place[1:] != place[:-1], *(k[1:] != k[:-1] for k in key)]))])
         right_order, right_common = multikey_order(right, right_size)
         left_order, left_common = multikey_order(left, left_size)
         remove = np.zeros((len(at), most + 1), bool)  # by row and by start after the row's first
@@ -310,6 +329,7 @@ def _resolve(length: int, gram: int):
             first = rows[first][of]
             again = position[rows] != position[first]
             remove[rows[again], left_size[rows[again]] - back] = True
+            beyond = np.logical_or.reduce([own & [True, before_ >= back, behind >= length - back][of] for own, of, behind, before_ in near])
             asks = rows[(first == rows) & beyond[rows]]
             if len(asks):
                 whole = np.concatenate([left[asks, :back][:, ::-1], right[asks, :length - back]], axis=1)
@@ -371,8 +391,20 @@ def _lists(column: pa.Array, fields: tuple[str, ...]):
     return offsets, [values.field(f).to_numpy(zero_copy_only=False) for f in fields]
 
 
-def _ends(length: int):
-    """The suffixes of the runs that a text is asked for, with the bytes before them."""
+def _order(length: int, gram: int) -> list[Column]:
+    """The order of the suffixes: see step 3 of the module's text."""
+    half = _half(length, gram)
+    first = F.length("before") <= half
+    own = (F.when(first, F.concat(F.substring("suffix", 1, length - half), "before"))
+           .otherwise(F.concat(F.substring("suffix", 1, gram), F.substring("before", 1, half + 1), F.col("suffix").substr(gram + 1, length))))
+    return [first, own, *(F.col(c) for c in _KEY), F.col("at") + F.length("before")]
+
+
+def _ends(length: int, gram: int):
+    """The suffixes of the runs that a text is asked for, with the bytes before them from right to left; a run is
+    parted between the halves of the gram's places."""
+    half = _half(length, gram)
+
     def run(batches):
         for batch in parts(batches):
             offsets, (start, n, to) = _lists(batch.column("asked"), ("at", "n", "to"))
@@ -380,10 +412,13 @@ def _ends(length: int):
             if not len(rows):
                 continue
             start, n, to = (v[offsets[0]:offsets[-1]] for v in (start, n, to))
+            late = np.clip(to - half, 0, n + 1)  # string starts with the gram in the second half
+            rows, start, n, to = (np.concatenate([a[late > 0], b[late <= n]]) for a, b in
+                                  ((rows, rows), (start, start + late), (late - 1, n - late), (to, to - late)))
             texts = batch.column("text").to_pylist()
             own = [texts[r] for r in rows.tolist()]
             places = (start + to).tolist()
-            before = [t[a:x] for t, a, x in zip(own, start.tolist(), places, strict=True)]
+            before = [t[a:x][::-1] for t, a, x in zip(own, start.tolist(), places, strict=True)]
             suffix = [t[x:b] for t, x, b in zip(own, places, (start + n + length).tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array(suffix, pa.binary()), pa.array(before, pa.binary()),
                                               *(batch.column(c).take(pa.array(rows)) for c in _KEY), pa.array(start.astype(np.int32))],
@@ -440,9 +475,8 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, blo
     texts = keyed.groupBy(*_KEY).agg(F.min("text").alias("text"), F.count(F.lit(1)).alias("copies"))
     asked = marks.select(*_KEY, "asked").hint("shuffle_hash")
     suffixes = (texts.join(asked, list(_KEY), "left").select(*_KEY, "text", F.coalesce("asked", F.array().cast("array<struct<at:int,n:int,to:int>>")).alias("asked"))
-                .mapInArrow(_ends(length), f"suffix binary, before binary, {_KEY_TYPES}, at int"))
-    lead = F.substring("suffix", 1, gram)
-    order = [lead, *_KEY, F.col("at") + F.length("before")]
+                .mapInArrow(_ends(length, gram), f"suffix binary, before binary, {_KEY_TYPES}, at int"))
+    order = _order(length, gram)
     resolved = suffixes.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_resolve(length, gram), _RESOLVED)
     across = (resolved.repartition(F.when(F.col("window").isNull(), F.xxhash64("id", "th")).otherwise(F.xxhash64("window")))
               .sortWithinPartitions("window", *_KEY, "at").mapInArrow(_across, _RESOLVED))

@@ -122,3 +122,29 @@ def test_rows_of_a_hot_gram_grow_with_the_group():
         made[n] = sum(b.num_rows for b in _resolve(100, 24)([batch]))
         assert made[n] == 77 * n  # no two strings are equal: one row for each place of the gram
     assert made[12000] == 2 * made[6000] == 4 * made[3000]
+
+
+def test_strings_of_a_gram_over_many_buckets_are_compared_where_they_are(spark, monkeypatch):
+    """One passage with another word changed in each text: a bucket sends on the strings at its edges, not all of the gram."""
+    monkeypatch.setattr(suffix_dedup, "PIECE", 256)
+    pick = random.Random(3)
+    passage = bytes(pick.choice(b"abcdefghijklmnopqrstuvwxyz ") for _ in range(600)).decode()
+    rows = []
+    for n in range(600):
+        at = pick.randrange(570)
+        rows.append((n, f"{passage[:at]}{n * 7919:06d}{passage[at + 6:]}", 1, "x", 2))
+    sent = spark.sparkContext.accumulator(0)
+    resolve = suffix_dedup._resolve
+
+    def counted(length, gram):
+        run = resolve(length, gram)
+
+        def each(batches):
+            for batch in run(batches):
+                sent.add(batch.num_rows - batch.column("window").null_count)
+                yield batch
+        return each
+
+    monkeypatch.setattr(suffix_dedup, "_resolve", counted)
+    check(spark, rows, 100, partitions=8, block_bytes=2000)
+    assert sent.value < 6000  # 2,112; 23,017 when all strings of the gram at an edge went on
