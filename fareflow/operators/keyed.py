@@ -87,14 +87,20 @@ def merge_keyed(spark: SparkSession, target_path: str, source: DataFrame, key: s
     columns = list(columns or source.columns)
     rows = source.select(*columns, (version if version is not None else F.lit(None).cast("struct<v:int>")).alias("_version"),
                          F.coalesce(deleted if deleted is not None else F.lit(False), F.lit(False)).alias("_deleted"))
-    rows = rows.where(F.col(key).isNotNull())
-    if version is not None:
-        rows = dedupe_latest(rows, [key], ["_version"])
-    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    kept = [rows.where(F.col(key).isNotNull()).persist(StorageLevel.MEMORY_AND_DISK)]
     try:
-        _merge(spark, target_path.rstrip("/"), rows, key, partition, cluster, columns, version is not None, buckets)
+        if version is not None and _repeats(kept[0], key):
+            kept.append(dedupe_latest(kept[0], [key], ["_version"]).persist(StorageLevel.MEMORY_AND_DISK))
+        _merge(spark, target_path.rstrip("/"), kept[-1], key, partition, cluster, columns, version is not None, buckets)
     finally:
-        rows.unpersist()
+        for df in kept:
+            df.unpersist()
+
+
+def _repeats(rows: DataFrame, key: str) -> bool:
+    """Whether a key may stand in several rows.  Hashes of the keys are shuffled in place of whole rows; equal
+    hashes of two keys only lead to a dedup that finds nothing."""
+    return not rows.groupBy(F.xxhash64(key).alias("_hash")).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").isEmpty()
 
 
 def _merge(spark: SparkSession, target: str, rows: DataFrame, key: str, partition: str, cluster: list[str],

@@ -13,6 +13,9 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from fareflow.functions.keys import packed
 
 RESULT_COLS = ["table", "rule", "column", "violations", "status"]
 
@@ -36,7 +39,8 @@ def check_not_null(df: DataFrame, table: str, columns: Sequence[str]) -> DataFra
 
 def check_unique(df: DataFrame, table: str, key: str) -> DataFrame:
     """Q2: number of non-NULL key values that occur more than once."""
-    dup = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n")) \
+    value = packed(F.col(key)) if isinstance(df.schema[key].dataType, T.StringType) else F.col(key)
+    dup = df.filter(F.col(key).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("_n")) \
         .filter(F.col("_n") > 1)
     return dup.agg(F.count(F.lit(1)).alias("_v")).select(*_result(table, "unique", key, F.col("_v")))
 
@@ -71,6 +75,8 @@ def check_relationships(child: DataFrame, table: str, references: Sequence[tuple
     types = {child.schema[column].dataType for column, _, _ in references} | {parent.schema[of].dataType for _, parent, of in references}
 
     def value(column: str) -> Column:
+        if types == {T.StringType()}:
+            return packed(F.col(column))
         return F.col(column) if len(types) == 1 else F.col(column).cast("string")
 
     slots = F.array(*[F.struct(F.lit(i).alias("_slot"), value(column).alias("_key")) for i, (column, _, _) in enumerate(references)])
@@ -122,10 +128,12 @@ class Measures:
                     return seen.get[f"r{i}"]
         raise KeyError((table, rule))
 
-    def rows(self, spark: SparkSession) -> DataFrame:
+    def rows(self, spark: SparkSession, aside: str | None = None) -> DataFrame:
+        """The results of all rules but ``aside``, a rule that marks rows without being a violation."""
         out = []
         for df, table, rules, seen in self._watched:
-            counts = [seen.get[f"r{i}"] for i in range(len(rules))]
+            own = [(i, r) for i, r in enumerate(rules) if r[0] != aside]
+            rules, counts = [r for _, r in own], [seen.get[f"r{i}"] for i, _ in own]
             if any(counts) and seen.get["rows"] != df.count():
                 again = df.agg(*[F.count_if(bad).alias(f"r{i}") for i, (_, _, bad) in enumerate(rules)]).first()
                 counts = list(again)

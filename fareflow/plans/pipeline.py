@@ -9,6 +9,7 @@ prunes what the output does not need.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark import StorageLevel
@@ -177,15 +178,21 @@ REPORTS = ["daily_revenue", "drivers_leaderboard", "fraud_monitoring", "payments
 
 def _store_staging(models: Models, root: str, measures) -> dict[str, int]:
     """Staging as stored tables, the raw tables' rules measured in the same pass.  Returns the keys that
-    staging's dedup kept of each raw table."""
+    staging's dedup kept of each raw table.  Trips (which the dedup deals by their id) and payments are stored in
+    buckets of the trip, by which details, analysis, grain and reference check join them."""
     from fareflow.plans.quality_checks import raw_rules
-    from fareflow.sources.sinks import write_table
+    from fareflow.sources.sinks import write_bucketed, write_table
 
-    kept = {}
+    kept, buckets = {}, int(models.spark.conf.get("spark.sql.shuffle.partitions"))
     for name, (fn, raw_name) in STAGED.items():
         kept[raw_name] = Observation(f"{raw_name}-kept")
         raw = measures.watch(models.raw[raw_name], raw_name, raw_rules(raw_name))
-        models._cache[name] = write_table(fn(_staging_input(models, raw_name, raw), kept[raw_name]), f"{root}/{name}")
+        table = fn(_staging_input(models, raw_name, raw), kept[raw_name])
+        if name in ("stg_trips", "stg_payments"):
+            own = f"{name}_{uuid.uuid4().hex}"  # its name in the catalog
+            models._cache[name] = write_bucketed(table, own, f"{root}/{name}", "trip_id", buckets, dealt=name == "stg_trips")
+        else:
+            models._cache[name] = write_table(table, f"{root}/{name}")
     return {raw: seen.get["n"] for raw, seen in kept.items()}
 
 

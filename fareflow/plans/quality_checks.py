@@ -120,11 +120,11 @@ def measured_summary(m, measures: Q.Measures, keys: dict[str, int]) -> DataFrame
     """E3 from a run's own measures: Q1, Q3 and Q5 need no further pass; a raw key is unique if the run kept
     as many rows as it read (``keys``: distinct keys of each raw table), else Q2 counts its repeated
     values; Q4 and the fact's key are checked on the stored tables."""
-    rows = measures.rows(m.spark)
+    rows = measures.rows(m.spark, aside="keyed")
     passed = [t for t, n in keys.items() if measures.measured(t, "keyed") == n]
     unique = m.spark.createDataFrame([(t, "unique", UNIQUE[t], 0, "pass") for t in passed], rows.schema)
     repeated = [Q.check_unique(m.raw[t], t, k) for t, k in UNIQUE.items() if t not in passed]
-    return _union([rows.where("rule <> 'keyed'"), unique, *repeated, Q.check_unique(m.fact_trips, "fact_trips", "trip_sk"), dq_relationships(m)])
+    return _union([rows, unique, *repeated, Q.check_unique(m.fact_trips, "fact_trips", "trip_sk"), dq_relationships(m)])
 
 
 def dq_measured(m) -> DataFrame:

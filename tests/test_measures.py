@@ -99,3 +99,32 @@ def test_queries_of_few_fact_columns_keep_no_wide_copy(spark):
     whole = m.fact_trips
     assert m.lean().fact_trips is whole  # a kept copy is used
     m.free()
+
+
+def test_a_measured_run_shuffles_trips_and_payments_once_each(spark, monkeypatch):
+    """Staging is stored in buckets of the trip: details, analysis, grain and reference check deal neither table again."""
+    from fareflow.operators import keyed
+    from fareflow.plans import marts
+
+    def refused(*args):
+        raise AssertionError("whole rows of unique keys were deduplicated")
+
+    monkeypatch.setattr(keyed, "dedupe_latest", refused)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        m = Models.from_testdata(spark, SF)
+        materialize(m, tempfile.mkdtemp(prefix="fareflow-measured-"), measure=True)
+        plan = marts.trip_grain(m["stg_trips"], m["stg_payments"])._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_packed_keys_are_the_same_texts(spark):
+    from fareflow.functions.keys import packed, unpacked
+
+    texts = [None, "", "a", "0a", "0A", "abc", "no key", "é", "00ff", "d41d8cd98f00b204e9800998ecf8427e", "D41d8cd98f00b204e9800998ecf8427e", "\x00"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", packed(F.col("t")).alias("p"))
+    assert [r[0] for r in rows.select(unpacked(F.col("p"))).collect()] == texts
+    assert rows.select("p").distinct().count() == len(texts)
