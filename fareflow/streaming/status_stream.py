@@ -8,6 +8,8 @@
   leave in event-time order whatever order they came in: an event of a later
   micro-batch is never older than one of an earlier.  Rows that come later than
   that are dropped; ``late_rows`` reports how many.
+* ``hourly_status_stream``: the same events for a query whose further steps close by the hour, by plain windows
+  instead of session windows.
 * ``session_stream``: online -> offline pairing per driver (I6): each
   micro-batch runs the batch pairing over its events and the last event of each
   driver seen before.  LEAD is not supported on streams.
@@ -55,28 +57,65 @@ def read_stream(spark: SparkSession, folder: str, file_name: str, schema: T.Stru
     return reader.parquet(folder)
 
 
-def staged_status_stream(events: DataFrame, watermark: str = "1 hour", within: str = "1 hour", event_time: str | None = None) -> DataFrame:
-    """The test feed mapped onto the status contract, then staged, in event-time order.
-
-    ``event_time`` names a further column for stateful steps that follow: the end of the event's session
-    (``event_timestamp`` plus ``within``, less a microsecond), which carries the watermark."""
-    more = [F.window_time("session_window").alias(event_time)] if event_time else []
+def mapped_status_stream(events: DataFrame) -> DataFrame:
+    """The test feed mapped onto the status contract."""
     raw = events.select(
         "event_id", F.col("user_id").alias("driver_id"),
         F.when(F.col("event_type") == "click", " ONLINE").when(F.col("event_type") == "view", "offline")
          .otherwise(F.col("event_type")).alias("status"),
         F.col("ts").cast("timestamp").alias("event_timestamp"))
-    rank = F.struct("event_timestamp", "driver_id", "status")  # ties as in the batch dedup
-    return (raw.filter(F.col("event_id").isNotNull() & F.col("driver_id").isNotNull())
-            .withWatermark("event_timestamp", watermark)
-            .groupBy("event_id", F.session_window("event_timestamp", within))
-            .agg(F.max(rank).alias("latest"))
-            .select("event_id", F.col("latest.driver_id").alias("driver_id"),
-                    whitelist("latest.status", DRIVER_EVENT_STATUSES, default="unknown").alias("driver_status"),
-                    F.col("latest.event_timestamp").alias("event_timestamp"), *more)
+    return raw.filter(F.col("event_id").isNotNull() & F.col("driver_id").isNotNull())
+
+
+RANK = ("event_timestamp", "driver_id", "status")  # the latest copy; ties as in the batch dedup
+
+
+def known_events(latest: DataFrame, *more: str) -> DataFrame:
+    """Staged events of ``latest`` (a struct of ``RANK`` per event) with a known status."""
+    return (latest.select("event_id", F.col("latest.driver_id").alias("driver_id"),
+                          whitelist("latest.status", DRIVER_EVENT_STATUSES, default="unknown").alias("driver_status"),
+                          F.col("latest.event_timestamp").alias("event_timestamp"), *more)
             .filter(F.col("driver_status") != "unknown"))
 
 
+def staged_status_stream(events: DataFrame, watermark: str = "1 hour", within: str = "1 hour") -> DataFrame:
+    """The test feed mapped onto the status contract, then staged, in event-time order."""
+    return known_events(mapped_status_stream(events)
+                        .withWatermark("event_timestamp", watermark)
+                        .groupBy("event_id", F.session_window("event_timestamp", within))
+                        .agg(F.max(F.struct(*RANK)).alias("latest")))
+
+
+def hourly_status_stream(events: DataFrame, watermark: str = "1 hour", hours: int = 1) -> DataFrame:
+    """I5 for stateful steps that work by the hour: the events of ``staged_status_stream`` (``within`` of ``hours``) and
+    ``closed_at``, which carries the watermark.
+
+    A session window looks its neighbours up in the state by two scans per event.  Here an event's copies of an hour
+    (after its start, up to and with its end) make one group, found by its key: any two of them lie within the hour, and the
+    next copy, if it follows within an hour, can only lie in the next hour.  So each copy also goes, as a mark, to its event's
+    group of the hour before, and a group that is followed this way is not the session's last and gives nothing.  A group is
+    closed an hour after its end, the hour in which the session ends that its latest copy closes."""
+    length = hours * 3_600_000_000
+    at, hour = F.unix_micros("event_timestamp"), F.expr(f"INTERVAL {hours} HOURS")
+    micro = F.expr("INTERVAL 1 MICROSECOND")
+    sharp = F.pmod(at, F.lit(length)) == 0  # ends its hour: a microsecond less is in it
+    own = F.when(sharp, F.col("event_timestamp") - micro).otherwise(F.col("event_timestamp"))
+    # times lie an hour ahead, as groups close an hour late, and so does the watermark: the same watermark in the end.
+    # The third is for the watermark alone, whose milliseconds the microsecond less would change
+    uses = F.array_compact(F.array(F.struct(F.lit("own").alias("use"), (own + hour).alias("hour_after")),
+                                   F.struct(F.lit("mark").alias("use"), own.alias("hour_after")),
+                                   F.when(sharp, F.struct(F.lit("clock").alias("use"), (F.col("event_timestamp") + hour).alias("hour_after")))))
+    groups = (mapped_status_stream(events).where(at.isNotNull())
+              .select("*", F.inline(uses))
+              .withWatermark("hour_after", f"{watermark} {hours} hours")
+              .groupBy("event_id", F.window("hour_after", f"{hours} hours"))
+              .agg(F.max(F.when(F.col("use") == "own", F.struct(*RANK))).alias("latest"),
+                   F.min(F.when(F.col("use") == "mark", at)).alias("next_at"))
+              .select("event_id", "latest", "next_at", F.window_time("window").alias("closed_at")))
+    followed = F.coalesce(F.col("next_at") - F.unix_micros("latest.event_timestamp") <= length, F.lit(False))
+    return known_events(groups.where(F.col("latest").isNotNull() & ~followed), "closed_at")
+
+
 def run_to_table(stream: DataFrame, name: str, fmt: str = "parquet") -> DataFrame:
     """Run ``stream`` to completion (availableNow) into a table; return the table."""
     spark = stream.sparkSession

@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 
 from fareflow.operators.sessions import pair_sessions
 from fareflow.plans import staging
+from fareflow.streaming import keyed_sessions
 from fareflow.streaming.keyed_sessions import chunk_rows, run_parts
-from fareflow.streaming.status_stream import EVENTS_SCHEMA, disordered_parts
+from fareflow.streaming.status_stream import EVENTS_SCHEMA, disordered_parts, hourly_status_stream, staged_status_stream
 
 BASE = dt.datetime(2020, 1, 1)
 
@@ -62,3 +63,36 @@ def test_one_driver_holds_all_events(spark):
     watermark, parts = disordered_parts(feed)
     folder = tempfile.mkdtemp(prefix="fareflow-keyed-sessions-")
     assert rows(run_parts(spark, [parts[0].unionByName(parts[1]), *parts[2:]], watermark, folder, folder + "/sink")) == batch(spark, feed, watermark)
+
+
+def test_the_state_is_found_by_key_and_python_is_called_by_block(spark, monkeypatch):
+    """No step scans the state for an event's neighbours, and the drivers of a block share their messages to the state store."""
+    reports, finished = [], keyed_sessions.finished
+
+    def kept(query):
+        late = finished(query)
+        reports.extend(op for p in query.recentProgress for op in p["stateOperators"])
+        return late
+
+    monkeypatch.setattr(keyed_sessions, "finished", kept)
+    feed = events(spark, 400, 40)
+    folder = tempfile.mkdtemp(prefix="fareflow-keyed-sessions-")
+    assert rows(run_parts(spark, [feed], "3600 seconds", folder, folder + "/sink")) == batch(spark, feed, "3600 seconds")
+    assert not [op for op in reports if "sessionWindow" in op["operatorName"]]
+    calls = sum(op["numRowsUpdated"] for op in reports if op["operatorName"].startswith("transformWithState"))
+    assert 0 < calls <= 3
+
+
+def test_hours_give_the_events_of_session_windows(spark):
+    """Copies on the hour, exactly an hour apart, a microsecond more, chained over hours and of other drivers."""
+    pick = random.Random(11)
+    near = [dt.timedelta(microseconds=m) for m in (-1, 0, 0, 1)]
+    copies = [(i, BASE + dt.timedelta(minutes=20 * pick.randrange(21)) + pick.choice(near), pick.randrange(3), pick.choice(["click", "view", "error"]), 0.0, "")
+              for i in range(400) for _ in range(pick.randrange(1, 7))]
+    feed = spark.createDataFrame([*copies, (1, None, 1, "view", 0.0, ""), (None, BASE, 1, "view", 0.0, "")], EVENTS_SCHEMA)
+    columns = ["event_id", "driver_id", "driver_status", "event_timestamp"]
+    hourly = hourly_status_stream(feed).cache()
+    want = sorted(map(tuple, staged_status_stream(feed).select(*columns).collect()))
+    assert sorted(map(tuple, hourly.select(*columns).collect())) == want and len(want) > 300
+    ends = F.date_trunc("hour", F.expr("event_timestamp + INTERVAL 1 HOUR - INTERVAL 1 MICROSECOND"))
+    assert hourly.where(F.date_trunc("hour", "closed_at") != ends).count() == 0
