@@ -161,7 +161,8 @@ def links(prints: DataFrame, max_distance: int = MOST) -> DataFrame:
         raise ValueError(f"max_distance must be 0 to {MOST}")
     keys = prints.select("fp").mapInArrow(_keyed, "key long, fp long")
     sizes = keys.groupBy("key").count().where("count > 1")
-    rows = keys.join(sizes, "key").withColumn("blocks", F.ceil(F.col("count") / BUCKET).cast("int"))
+    # a fingerprint has about a hundred keys, but the planner counts one row of them for each: it would broadcast them all
+    rows = keys.hint("merge").join(sizes, "key").withColumn("blocks", F.ceil(F.col("count") / BUCKET).cast("int"))
     block = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
     dealt = (rows.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
              .select(F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other")).alias("cell"), "fp"))
@@ -193,7 +194,8 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 4, max_distance: int =
     first = prints.groupBy("fp").agg(F.min("doc_id").alias("first")).join(roots, "fp")
     component = first.groupBy("root").agg(F.min("first").alias("component_id"))
     of = first.join(component, "root").select("fp", "component_id")
-    return prints.join(of, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    # files of many equal fingerprints are far smaller than their rows, so their size is no reason to broadcast them
+    return prints.hint("merge").join(of, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 def drop_near_duplicates(docs: DataFrame, shingle_words: int = 4, max_distance: int = MOST) -> DataFrame:

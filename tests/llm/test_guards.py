@@ -3,10 +3,12 @@
 import uuid
 
 import pytest
+from pyspark.sql import functions as F
 
 from fareflow.llm import token_counts as T
 from fareflow.llm.common import fresh
 from fareflow.llm.line_dedup import drop_boilerplate
+from fareflow.llm.simhash_dedup import links, near_duplicates
 
 
 def test_two_reads_that_differ_raise(spark, monkeypatch, tmp_path):
@@ -37,3 +39,18 @@ def test_line_dedup_beside_columns_of_its_own_names(spark):
     got = sorted(map(tuple, drop_boilerplate(docs).collect()))
     assert got == [(i, f"own line {i}", "h", f"a{i}", f"b{i}", f"c{i}", len(f"own line {i}")) for i in range(10)]
     assert drop_boilerplate(docs).columns == docs.columns
+
+
+def test_keys_of_fingerprints_are_never_broadcast(spark):
+    """3,000 fingerprints have some 300,000 keys; the planner's estimate of them lies far below its limit."""
+    prints = spark.range(3000).select(F.xxhash64("id").alias("fp"))
+    linked = links(prints)
+    assert linked.count() == 0
+    plan = linked._jdf.queryExecution().executedPlan()
+    linked.collect()
+    assert "SortMergeJoin" in plan.toString() and "Broadcast" not in plan.toString()
+    # rows of one text lie in files far smaller than themselves
+    docs = spark.createDataFrame([(i, "one two three four five") for i in range(50)], "doc_id long, text string")
+    found = near_duplicates(docs)
+    assert [r["component_id"] for r in found.collect()] == [0] * 50
+    assert "SortMergeJoin [fp" in found._jdf.queryExecution().executedPlan().toString()
