@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+import re
 import tempfile
 
 import pytest
@@ -166,3 +167,59 @@ def test_index_is_written_without_a_shuffle_of_its_own(spark, path):
     index = spark.read.parquet(keyed.index_path(spark, path))
     assert index.where("_bucket = 0").count() == index.select("k").distinct().count() == 400
     assert len(index.inputFiles()) == 4
+
+
+def test_stored_rows_are_shuffled_once_in_a_merge(spark, path, monkeypatch):
+    """Rows that stay are dealt to the writing tasks and go into no join before, in merges with versions or without."""
+    import glob
+
+    days = "date_add(DATE'2020-01-01', CAST(id % 3 AS INT)) AS d"
+    rows = spark.range(0, 3000, 1, 4).selectExpr("md5(CAST(id AS STRING)) AS k_sk", days, "repeat(md5(CAST(-id AS STRING)), 8) AS v", "1 AS t")
+    again = spark.range(0, 30, 1, 1).selectExpr("md5(CAST(id AS STRING)) AS k_sk", days, "'new' AS v", "2 AS t")
+    written = []
+
+    def spy(*args, _own=keyed.replace_rows):
+        written.append(args[3]._jdf.queryExecution().analyzed().toString())
+        return _own(*args)
+
+    monkeypatch.setattr(keyed, "replace_rows", spy)
+    plans = []
+
+    def sorted_rows(df, *cols, _own=type(rows).sortWithinPartitions):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return _own(df, *cols)
+
+    monkeypatch.setattr(type(rows), "sortWithinPartitions", sorted_rows)
+    for version in (None, F.struct("t")):
+        target = f"{path}{version is None}"
+        merge_keyed(spark, target, rows, "k_sk", "d", version=version, unique=True)
+        plans.clear()
+        merge_keyed(spark, target, again, "k_sk", "d", version=version, unique=True)
+        stored = spark.read.parquet(target)
+        assert stored.count() == 3000 and stored.where("v = 'new'").count() == 30
+        # the kept key lookup is a physical plan here (SortMergeJoin)
+        assert not re.search(r"\WJoin ", plans[-1]) and plans[-1].count("RepartitionByExpression") == 1
+    assert len(written) == 2 and not any("Join" in plan for plan in written)
+    assert not glob.glob(f"{path}*_pending/*")
+
+
+def test_late_copies_are_left_out_where_they_would_be_written(spark, path):
+    """A late copy of one key beside a new row of the same day, and a key that a failed first merge had announced."""
+    merge(spark, path, [("a", 5, 1, 50, False), ("b", 1, 1, 10, None)])
+    merge(spark, path, [("a", 3, 2, 20, False), ("b", 3, 2, 30, False), ("c", 4, 1, 1, True)])
+    assert table(spark, path) == [("a", 5, 1, 50), ("b", 3, 2, 30)]
+    index = spark.read.parquet(index_path(spark, path))
+    assert sorted((r.k, r._place, r._version.t) for r in index.collect()) == [("a", "2001-01-05", 50), ("b", "2001-01-03", 30), ("c", None, 1)]
+
+
+def test_many_rows_of_a_partition_are_dealt_in_shares(spark, path, monkeypatch):
+    from fareflow.operators import incremental
+
+    monkeypatch.setattr(incremental, "ROWS_PER_SHARE", 40)
+    monkeypatch.setattr(spark.conf, "get", lambda name, *a, own=spark.conf.get: "64" if name == "spark.sql.shuffle.partitions" else own(name, *a))
+    rows = [(f"k{i}", None if i % 2 else 1, i, 1, False) for i in range(400)]
+    merge(spark, path, rows)
+    merge(spark, path, [(k, 2 if v % 40 == 0 else d, -v, 2, v % 40 == 7) for k, d, v, *_ in rows if v % 5 < 3])
+    want = [(k, day(2 if v % 40 == 0 else d).day if d or v % 40 == 0 else None, -v, 2) if v % 5 < 3 else (k, d, v, 1)
+            for k, d, v, *_ in rows if v % 5 >= 3 or v % 40 != 7]
+    assert table(spark, path) == sorted(want, key=repr)
