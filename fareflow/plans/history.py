@@ -25,9 +25,9 @@ SNAPSHOT_AS_OF = dt.date(2001, 7, 1)
 DRIVER_TRACKED = ["driver_status", "driver_tier", "rating_category", "driver_health_status"]
 
 
-def build_fact(m, trips: DataFrame) -> DataFrame:
+def build_fact(m, trips: DataFrame, *more: str) -> DataFrame:
     return marts.fact_trips(trips, m.dim_drivers, m.dim_riders, m.dim_cities, m.config.as_of,
-                            m.config.broadcast_max_rows, m.driver_hot_keys, m.rider_hot_keys)
+                            m.config.broadcast_max_rows, m.driver_hot_keys, m.rider_hot_keys, more)
 
 
 def load_fact(m, target_path: str, watermark_col: str = "created_at", inclusive: bool = False) -> DataFrame:

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fareflow.functions import bands
@@ -82,14 +83,19 @@ def trip_calendar(stg_trips: DataFrame) -> DataFrame:
     return date_attributes(spine_between(stg_trips, "requested_at"))
 
 
-def trip_grain(stg_trips: DataFrame, stg_payments: DataFrame) -> DataFrame:
-    """Trip details at one row per trip (the fact's grain).
+def fact_status() -> Column:
+    """Whether a staged trip's status is one of the fact's."""
+    return F.col("trip_status").isin("completed", "cancelled", "no_show")
+
+
+def trip_grain(stg_trips: DataFrame, stg_payments: DataFrame, *more: str) -> DataFrame:
+    """Trip details at one row per trip (the fact's grain), and the trips' columns ``more``.
 
     Payments are summarised per trip first (partial aggregation), then
     joined 1:1 to the trips; the chosen payment's fee gives net revenue and
     each fraud flag is "fired on any of the trip's payments".
     """
-    trips = stg_trips.filter(F.col("trip_status").isin("completed", "cancelled", "no_show"))
+    trips = stg_trips.filter(fact_status())
     j = trip_fraud_flags(trips.join(payment_summary(stg_payments), "trip_id", "left"))
     return j.select(
         "trip_id", "rider_id", "driver_id", "city_id", "requested_at", "pickup_at", "dropoff_at",
@@ -101,7 +107,7 @@ def trip_grain(stg_trips: DataFrame, stg_payments: DataFrame) -> DataFrame:
         F.coalesce(F.col("has_duplicate_payments"), F.lit(False)).alias("has_duplicate_payments"),
         *FRAUD_FLAGS, "is_fraud_flag",
         bands.surge_band("surge_multiplier").alias("surge_impact_category"),
-        "created_at", "updated_at", "trip_status", "payment_method",
+        "created_at", "updated_at", "trip_status", "payment_method", *more,
     )
 
 
@@ -127,8 +133,8 @@ def collapse_payments(trip_details: DataFrame, stg_payments: DataFrame) -> DataF
 
 def fact_trips(trips: DataFrame, dim_drivers: DataFrame, dim_riders: DataFrame, dim_cities: DataFrame,
                inserted_at: dt.date = DEFAULT_AS_OF, broadcast_max_rows: int = 2_000_000,
-               driver_hot: DataFrame | None = None, rider_hot: DataFrame | None = None) -> DataFrame:
-    """The trip fact, keyed by trip_sk, with surrogate keys of current dims.
+               driver_hot: DataFrame | None = None, rider_hot: DataFrame | None = None, more: Sequence[str] = ()) -> DataFrame:
+    """The trip fact, keyed by trip_sk, with surrogate keys of current dims (J7, I4), and the trips' columns ``more``.
 
     ``trips`` is trip-grain (``trip_grain``) or a delta of it.  Each dim
     lookup broadcasts the (key, sk) pairs when a row count proves them small,
@@ -152,7 +158,7 @@ def fact_trips(trips: DataFrame, dim_drivers: DataFrame, dim_riders: DataFrame,
         "surge_impact_category", "requested_at", "pickup_at", "dropoff_at", "created_at",
         _ts(inserted_at).alias("inserted_at"),
         "trip_id", "trip_status", "payment_method", "is_corporate_trip", "has_duplicate_payments",
-        *FRAUD_FLAGS, "updated_at",
+        *FRAUD_FLAGS, "updated_at", *more,
     )
 
 

@@ -7,7 +7,7 @@ on purpose: pushing it below ROW_NUMBER would change which row survives.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from fareflow.functions.clean import (blank_default, clamp, clean_enum, default_false, floor_zero,
@@ -35,8 +35,21 @@ def _require(df: DataFrame, *cols: str) -> DataFrame:
 
 def stg_trips(trips_raw: DataFrame, keys: Observation | None = None) -> DataFrame:
     """M1: one row per trip, latest ``updated_at``."""
-    d = dedupe_latest(trips_raw, ["trip_id"], ["updated_at"])
-    out = _kept(d, keys).select(
+    return cleaned_trips(_kept(latest_trips(trips_raw), keys)).filter(staged_trip())
+
+
+def latest_trips(trips_raw: DataFrame) -> DataFrame:
+    return dedupe_latest(trips_raw, ["trip_id"], ["updated_at"])
+
+
+def staged_trip() -> Column:
+    """Whether staging keeps a trip of ``cleaned_trips``."""
+    return F.col("trip_id").isNotNull() & F.col("rider_id").isNotNull() & F.col("driver_id").isNotNull()
+
+
+def cleaned_trips(latest: DataFrame, *more: Column) -> DataFrame:
+    """The typed and cleaned columns of raw trips, and ``more`` of them."""
+    return latest.select(
         F.col("trip_id").cast("bigint").alias("trip_id"),
         F.col("rider_id").cast("bigint").alias("rider_id"),
         F.col("driver_id").cast("bigint").alias("driver_id"),
@@ -53,8 +66,8 @@ def stg_trips(trips_raw: DataFrame, keys: Observation | None = None) -> DataFram
         default_false("is_corporate").alias("is_corporate"),
         F.col("created_at").cast(TS).alias("created_at"),
         F.col("updated_at").cast(TS).alias("updated_at"),
+        *more,
     )
-    return _require(out, "trip_id", "rider_id", "driver_id")
 
 
 def stg_drivers(drivers_raw: DataFrame, keys: Observation | None = None) -> DataFrame:

@@ -29,7 +29,7 @@ from __future__ import annotations
 import logging
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -147,12 +147,9 @@ def finished(query, seconds: float = 2) -> int:
     return late_rows(reports.values())
 
 
-def trip_versions(trips_raw: DataFrame) -> DataFrame:
-    """``trip_id``, ``_order``: the highest copy of each raw trip in the order of staging's dedup (W1): the
-    latest ``updated_at``, ties by the other columns."""
-    others = [c for c in trips_raw.columns if c not in ("trip_id", "updated_at")]
-    return (trips_raw.where(F.col("trip_id").isNotNull()).groupBy("trip_id")
-            .agg(F.max(F.struct("updated_at", *others)).alias("_order")))
+def trip_version(trips_raw: DataFrame) -> Column:
+    """A raw trip's place in the order of staging's dedup (W1): the latest ``updated_at``, ties by the other columns."""
+    return F.struct("updated_at", *[c for c in trips_raw.columns if c not in ("trip_id", "updated_at")])
 
 
 # Trips of a micro-batch up to which their ids are brought to the payments' scan.
@@ -171,26 +168,28 @@ def own_payments(payments: DataFrame, trips: DataFrame, most: int = MOST_IDS) ->
     return payments.join(trips.select("trip_id"), "trip_id", "left_semi")
 
 
-def _refresh(models, trips: DataFrame, payments: DataFrame, target_path: str, versions: DataFrame | None = None) -> None:
-    """Build the fact rows of ``trips`` (staged) from their own payments and merge them by key.
+def _refresh(models, trips: DataFrame, ids: DataFrame, payments: DataFrame, target_path: str, gone: DataFrame | None = None) -> None:
+    """Build the fact rows of ``trips`` (staged) from their own payments and merge them by key; ``ids`` has all of
+    their ``trip_id``s, and may have others.
 
-    With ``versions`` (``trip_versions`` of the raw trips) a row counts only if no later copy of its
-    trip has been merged before, and a trip whose latest copy staging or the fact leaves out (no
-    rider, no known status) goes from the fact, as in a batch run over all copies.
+    With ``gone`` the trips carry their ``_version``: a row counts only if no later copy of its
+    trip has been merged before, and a trip of ``gone`` (``trip_id``, ``_version``), whose latest copy staging or the fact leaves
+    out (no rider, no known status), goes from the fact, as in a batch run over all copies.
     """
     from fareflow.functions.keys import surrogate_key
     from fareflow.operators.keyed import merge_keyed
     from fareflow.plans import marts
     from fareflow.plans.history import FACT_CLUSTER, FACT_KEY, FACT_PARTITION, build_fact
 
-    own = own_payments(payments, trips)  # before any aggregation
-    fact = build_fact(models, marts.trip_grain(trips, own))
-    spark, version, deleted, rows = trips.sparkSession, None, None, fact
-    if versions is not None:
-        keyed = versions.select(surrogate_key("trip_id").alias(FACT_KEY), "_order")
-        rows = keyed.join(fact, FACT_KEY, "left")
-        version, deleted = F.col("_order"), F.col("trip_id").isNull()
-    merge_keyed(spark, target_path, rows, FACT_KEY, FACT_PARTITION, FACT_CLUSTER, version, deleted, fact.columns)
+    carried = ["_version"] if gone is not None else []
+    own = own_payments(payments, ids)  # before any aggregation
+    fact = build_fact(models, marts.trip_grain(trips, own, *carried), *carried)
+    columns, version, deleted, rows = [c for c in fact.columns if c not in carried], None, None, fact
+    if gone is not None:
+        missing = gone.select(surrogate_key("trip_id").alias(FACT_KEY), "_version", F.lit(True).alias("_gone"))
+        rows = fact.withColumn("_gone", F.lit(False)).unionByName(missing, allowMissingColumns=True)
+        version, deleted = F.col("_version"), F.col("_gone")
+    merge_keyed(trips.sparkSession, target_path, rows, FACT_KEY, FACT_PARTITION, FACT_CLUSTER, version, deleted, columns, unique=True)
 
 
 def _run_batches(stream: DataFrame, on_batch, checkpoint: str) -> None:
@@ -212,7 +211,7 @@ def fact_stream(spark: SparkSession, orders: DataFrame, models, target_path: str
     payments that come later reach the fact by ``payment_stream``.  A trip may come again in any
     order: its latest copy (W1) decides, whichever micro-batch brings it.
     """
-    from fareflow.plans import staging
+    from fareflow.plans import marts, staging
     from fareflow.sources.adapter import bind_adapter, test_tables
 
     sf_dir = models.extra_sources["sf_dir"]
@@ -222,7 +221,11 @@ def fact_stream(spark: SparkSession, orders: DataFrame, models, target_path: str
         # it is bound with in SQL are opened in that session too
         s = batch.sparkSession
         trips_raw = bind_adapter(s, "trips_raw", {**test_tables(s, sf_dir), "orders": batch})
-        _refresh(models, staging.stg_trips(trips_raw), models.stg_payments, target_path, trip_versions(trips_raw))
+        # the dedup's row is the trip and its version; a trip that goes is told by the filters that leave it out
+        latest = staging.cleaned_trips(staging.latest_trips(trips_raw), trip_version(trips_raw).alias("_version"))
+        stays = F.coalesce(staging.staged_trip() & marts.fact_status(), F.lit(False))
+        _refresh(models, latest.where(stays), trips_raw.select("trip_id"), models.stg_payments, target_path,
+                 latest.where(~stays).select("trip_id", "_version"))
 
     _run_batches(orders, on_batch, target_path + "-checkpoint")
 
@@ -234,7 +237,7 @@ def payment_stream(payment_trips: DataFrame, models, payments: DataFrame, target
     the trip's own micro-batch."""
     def on_batch(batch: DataFrame, epoch_id: int) -> None:
         touched = batch.select("trip_id").distinct()
-        _refresh(models, models.stg_trips.join(touched, "trip_id", "left_semi"), payments, target_path)
+        _refresh(models, models.stg_trips.join(touched, "trip_id", "left_semi"), touched, payments, target_path)
 
     _run_batches(payment_trips, on_batch, target_path + "-payments-checkpoint")
 
@@ -262,7 +265,7 @@ def stream_late_payments(m) -> DataFrame:
     folder = m.extra_sources["sf_dir"]
     target, path = shared_table_path(m.spark, "fact-late-payments"), shared_table_path(m.spark, "payments-by-trip")
     payments = write_bucketed(m.stg_payments, f"payments_by_trip_{path.rsplit('-', 1)[1]}", path, "trip_id", 8)
-    _refresh(m, m.stg_trips, payments.filter("payment_id % 20 = 0"), target)
+    _refresh(m, m.stg_trips, m.stg_trips, payments.filter("payment_id % 20 = 0"), target)
     schema = m.spark.read.parquet(f"{folder}/lineitem.parquet").schema
     lines = read_stream(m.spark, folder, "lineitem.parquet", schema)
     payment_stream(lines.select(F.col("l_orderkey").alias("trip_id")), m, payments, target)
